@@ -17,7 +17,11 @@ from sigfleet.functions.timefmt import format_time as format_time_col
 from sigfleet.functions.timefmt import range_end, range_start
 from sigfleet.operators import bundles, catalog_ops, latest, reports, samples, scans
 from sigfleet.schemas import HISTORY_SIGNALS, PLACEHOLDER_BASE_URL
+from sigfleet.session import work_path
+from sigfleet.sinks import bom
+from sigfleet.sources import catalog, landing, payloads, result_docs
 from sigfleet.sources import driver_tables as dtab
+from sigfleet.streaming import monitors
 
 NOW = dt.datetime(2024, 1, 30, 0, 0, 0)
 PUMP = 7
@@ -208,6 +212,81 @@ def q_result_document(spark, sf):
     return bundles.series_documents(r, ("pump_id", "signal"), render="pos").select("pump_id", "signal", "points", "datos_pos")
 
 
+def payload_body(pos, props):
+    """A body per reading covering the outcome classes (empty, [], broken,
+    object, array)."""
+    k = pos % 5
+    return (
+        F.when(k == 0, "")
+        .when(k == 1, "[]")
+        .when(k == 2, "{")
+        .when(k == 3, props)
+        .otherwise(F.concat(F.lit("["), props, F.lit("]")))
+    )
+
+
+def q_payload_outcomes(spark, sf):
+    ev = dtab.table(spark, sf, "events")
+    landed = ev.select(
+        F.col("user_id").cast("string").alias("pump_id"),
+        dtab.signal_of(F.col("event_type")).alias("signal"),
+        F.lit(False).alias("detailed"),
+        F.col("ts").alias("fetched_at"),
+        F.lit(200).alias("http_status"),
+        F.lit(None).cast("string").alias("error"),
+        F.encode(payload_body(F.col("event_id"), F.col("props")), "UTF-8").alias("body"),
+    )
+    return payloads.fetch_outcomes(landed).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_payload_readings(spark, sf):
+    """S3 end to end: readings -> service payloads (one per pump, signal,
+    day) -> decoded readings again."""
+    landed = landing.landed_bodies(_r(spark, sf))
+    return payloads.readings_from_landed(landed).select("pump_id", "signal", "time", "value")
+
+
+def q_catalog_scan(spark, sf):
+    path = work_path(spark, "landing-catalog")
+    landing.land_catalog(_p(spark, sf), path, per_file=1000, bom=True)
+    recs = catalog.read_catalog(spark, path)
+    return recs.select("pump_id", "name", F.size(F.col("links")).cast("long").alias("links"))
+
+
+def q_result_docs(spark, sf):
+    path = work_path(spark, "landing-docs")
+    landing.land_result_docs(_r(spark, sf), _p(spark, sf), path)
+    rd = result_docs.read_result_docs(spark, f"{path}/*", multi_line=False)
+    return rd.select("pump_id", "signal", "time", "value")
+
+
+def q_bom_repair(spark, sf):
+    src = work_path(spark, "landing-bom")
+    landing.land_catalog(_p(spark, sf), f"{src}/with_bom", per_file=1000, bom=True)
+    landing.land_catalog(_p(spark, sf), f"{src}/plain", per_file=1000, bom=False, envelope=True)
+    status = bom.repair_bom(spark, src, work_path(spark, "repaired"), pattern="*.txt")
+    return status.select("file", "status", "bytes_in", "bytes_out")
+
+
+def q_stream_latest(spark, sf):
+    src = dtab.events_to_readings(dtab.events_stream(spark, sf))
+    sink = monitors.run_available(spark, "latest", monitors.start_latest_monitor, src)
+    return monitors.read_latest(spark, sink)
+
+
+def q_stream_heartbeat(spark, sf):
+    src = dtab.events_to_readings(dtab.events_stream(spark, sf))
+    sink = monitors.run_available(spark, "heartbeat", monitors.start_heartbeat, src)
+    return spark.read.parquet(sink).select("poll", "pump_id", "status", "power")
+
+
+def q_stream_fault_alerts(spark, sf):
+    src = dtab.events_to_readings(dtab.events_stream(spark, sf))
+    chosen = catalog_ops.name_filter(_p(spark, sf), ["0001", "77"])
+    sink = monitors.run_available(spark, "alerts", monitors.start_fault_alerts, src, chosen)
+    return monitors.read_alerts(spark, sink).select("pump_id", "name", "time", "value")
+
+
 QUERIES = {
     "range_scan": q_range_scan,
     "range_scan_open": q_range_scan_open,
@@ -237,4 +316,12 @@ QUERIES = {
     "relative_range": q_relative_range,
     "wide_record": q_wide_record,
     "result_document": q_result_document,
+    "payload_outcomes": q_payload_outcomes,
+    "payload_readings": q_payload_readings,
+    "catalog_scan": q_catalog_scan,
+    "result_docs": q_result_docs,
+    "bom_repair": q_bom_repair,
+    "stream_latest": q_stream_latest,
+    "stream_heartbeat": q_stream_heartbeat,
+    "stream_fault_alerts": q_stream_fault_alerts,
 }

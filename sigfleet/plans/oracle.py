@@ -91,6 +91,11 @@ _WITH_R = {
     "then 'empty' else 'ok' end else 'object' end as outcome from (select case pos % 5 when 0 then '' when 1 "
     "then '[]' when 2 then '{' when 3 then props else concat('[', props, ']') end as b from (select "
     "event_id as pos, props from events))) group by outcome",
+    "payload_readings": "select cast(pump_id as varchar) as pump_id, signal, time, value from r",
+    "result_docs": "select cast(pump_id as varchar) as pump_id, signal, time, value from r",
+    "catalog_scan": "select cast(pump_id as varchar) as pump_id, name, cast(16 as bigint) as links from p",
+    "stream_fault_alerts": "select p.pump_id, p.name, r.time, r.value from p join r on r.pump_id = p.pump_id "
+    "where r.signal = 'fault' and (p.name like '%0001%' or p.name like '%77%')",
     "stream_latest": "select pump_id, signal, arg_max(value, (time, pos)) as value, max(time) as time from r "
     "group by pump_id, signal",
 }

@@ -74,17 +74,31 @@ def readings(
         ev = ev.where(F.col("ts") >= F.lit(start))
     if end is not None:
         ev = ev.where(F.col("ts") <= F.lit(end))
+    return events_to_readings(ev)
+
+
+def events_to_readings(ev: DataFrame) -> DataFrame:
+    """Projection ``events`` -> canonical readings (batch or streaming)."""
     return ev.select(
         F.col("user_id").alias("pump_id"),
         signal_of(F.col("event_type")).alias("signal"),
         F.lit(False).alias("detailed"),
         F.col("ts").alias("time"),
         F.col("value"),
-        F.get_json_object("props", "$.k").cast("int").alias("validity"),
+        F.get_json_object("props", "$.k").try_cast("int").alias("validity"),
         F.col("event_id").alias("pos"),
     )
 
 
+def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """``events`` as a file stream (the folder, filtered to the events file)."""
+    schema = table(spark, sf_dir, "events").schema
+    rs = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    if max_files:
+        rs = rs.option("maxFilesPerTrigger", max_files)
+    return rs.parquet(sf_dir.rstrip("/"))
+
+
 def pumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical catalogue ``(pump_id, name, source_pos)``; order = key order."""
     c = table(spark, sf_dir, "customer")
