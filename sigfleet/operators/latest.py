@@ -1,9 +1,10 @@
 """Latest value per pump and signal (A4) and its wide form.
 
-"Latest" is the last reading by ``(time, pos)``. It is computed as a
-grouped ``max(struct(time, pos, value, ...))``: Spark aggregates partially
+"Latest" is the last reading by ``(time, pos)``. It is computed as grouped
+``max_by(field, key)`` with ``key`` the fixed-width ordering of
+``sigfleet.functions.ordering``: a hash aggregate that Spark runs partially
 on every map task before the shuffle, so the shuffle carries at most one
-row per key per task however skewed the pumps are, and no sort is needed.
+row per key per task however skewed the pumps are, and nothing is sorted.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sigfleet.functions.ordering import order_key
+
 # Column name prefix of each signal in the wide form.
 WIDE_PREFIX = {"status": "status", "rawpower": "power"}
 
@@ -18,8 +21,9 @@ WIDE_PREFIX = {"status": "status", "rawpower": "power"}
 def latest_per_signal(readings: DataFrame, keys=("pump_id", "signal"), fields=("value",)) -> DataFrame:
     """``(keys..., time, fields...)`` of the last reading per key."""
     keys = list(keys)
-    m = F.max(F.struct("time", "pos", *fields)).alias("_l")
-    return readings.groupBy(*keys).agg(m).select(*keys, "_l.time", *[f"_l.{f}" for f in fields])
+    k = readings.withColumn("_k", order_key())
+    aggs = [F.max_by(c, "_k").alias(c) for c in ["time", *fields]]
+    return k.groupBy(*keys).agg(*aggs)
 
 
 def latest_wide(pumps: DataFrame, readings: DataFrame, signals=WIDE_PREFIX) -> DataFrame:
@@ -33,13 +37,9 @@ def latest_wide(pumps: DataFrame, readings: DataFrame, signals=WIDE_PREFIX) -> D
     """
     aggs = []
     for sig, prefix in signals.items():
-        hit = F.when(F.col("signal") == sig, F.struct("time", "pos", "value"))
-        aggs.append(F.max(hit).alias(f"_{prefix}"))
-    latest = readings.groupBy("pump_id").agg(*aggs)
-    cols = []
-    for prefix in signals.values():
-        cols += [F.col(f"_{prefix}.value").alias(f"{prefix}_value"), F.col(f"_{prefix}.time").alias(f"{prefix}_time")]
-    latest = latest.select("pump_id", *cols)
+        key = F.when(F.col("signal") == sig, F.col("_k"))
+        aggs += [F.max_by("value", key).alias(f"{prefix}_value"), F.max_by("time", key).alias(f"{prefix}_time")]
+    latest = readings.withColumn("_k", order_key()).groupBy("pump_id").agg(*aggs)
     return pumps.select("pump_id", "name").join(latest, "pump_id", "left")
 
 

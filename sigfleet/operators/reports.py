@@ -87,8 +87,7 @@ def exclude_offline(pumps: DataFrame, readings: DataFrame, offline: Column | Non
 
 def dedupe_last(df: DataFrame, key: str, order: str, cols) -> DataFrame:
     """A5: per ``key`` keep the record with the greatest ``order`` (the last
-    one in source order wins). A grouped ``max(struct)``: partial aggregate,
+    one in source order wins). A grouped ``max_by``: partial aggregate,
     safe when one key holds a large share of the records."""
     cols = list(cols)
-    m = F.max(F.struct(order, *cols)).alias("_m")
-    return df.groupBy(key).agg(m).select(key, f"_m.{order}", *[f"_m.{c}" for c in cols])
+    return df.groupBy(key).agg(F.max(order).alias(order), *[F.max_by(c, order).alias(c) for c in cols])

@@ -38,7 +38,7 @@ def result_doc_readings(docs: DataFrame) -> DataFrame:
     validity, pos)`` of result documents; empty series give no rows."""
     datos = F.col("datos")
     head = F.substring(F.regexp_replace(datos, r"^\s+", ""), 1, 1)
-    parts = F.when(head == "[", F.map_from_arrays(F.array(F.col("endpoint")), F.array(datos))).when(
+    parts = F.when(head == "[", F.map_from_arrays(F.array(F.coalesce(F.col("endpoint"), F.lit(""))), F.array(datos))).when(
         head == "{", F.from_json(datos, "map<string,string>")
     )
     base = docs.select(

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sigfleet.functions.ordering import order_key
 from sigfleet.session import work_path
 
 
@@ -37,9 +38,13 @@ def _start(df: DataFrame, sink: str, checkpoint: str, mode: str, trigger: dict,
 # --- T1: latest value per pump and signal ---------------------------------
 
 def latest_state(readings_stream: DataFrame) -> DataFrame:
-    """Stateful aggregate: the last reading by ``(time, pos)`` per key.
-    ``max`` is idempotent, so re-landing a payload changes nothing."""
-    return readings_stream.groupBy("pump_id", "signal").agg(F.max(F.struct("time", "pos", "value")).alias("_l"))
+    """Stateful aggregate: the last reading by ``(time, pos)`` per key,
+    with its ordering key so sink batches can be merged. ``max_by`` is
+    idempotent, so re-landing a payload changes nothing."""
+    k = readings_stream.withColumn("_k", order_key())
+    return k.groupBy("pump_id", "signal").agg(
+        F.max("_k").alias("_k"), F.max_by("value", "_k").alias("value"), F.max_by("time", "_k").alias("time")
+    )
 
 
 def start_latest_monitor(
@@ -53,8 +58,9 @@ def start_latest_monitor(
 def read_latest(spark: SparkSession, sink: str) -> DataFrame:
     """Current latest values from a T1 sink: ``(pump_id, signal, value, time)``."""
     s = spark.read.parquet(sink)
-    r = s.groupBy("pump_id", "signal").agg(F.max("_l").alias("_l"))
-    return r.select("pump_id", "signal", F.col("_l.value").alias("value"), F.col("_l.time").alias("time"))
+    return s.groupBy("pump_id", "signal").agg(
+        F.max_by("value", "_k").alias("value"), F.max_by("time", "_k").alias("time")
+    )
 
 
 # --- T2: heartbeat of status and power -------------------------------------
