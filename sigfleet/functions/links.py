@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sigfleet.schemas import (
     DETAILED_SIGNAL_TEMPLATE,
+    PUBLICATION_PATH,
     DETAILED_SUFFIX,
     ENDPOINTS,
     PLACEHOLDER_BASE_URL,
@@ -69,3 +70,17 @@ def absolute_link(href, base: str = PLACEHOLDER_BASE_URL) -> Column:
 def swap_base(href, old_base: str, new_base: str) -> Column:
     """replace one base prefix by another (schedule links)."""
     return F.replace(_col(href), F.lit(old_base), F.lit(new_base))
+
+
+def publication_link(href, pump_id, base: str = PLACEHOLDER_BASE_URL) -> Column:
+    """F10 for schedule signals: move a catalogue link under the publication
+    base ``<base>/publication/physicalPumps/<id>``. Catalogue links already
+    hold the pump id after the base, so the id is added only when it is
+    absent (the client added it twice)."""
+    h = _col(href)
+    b = base.rstrip("/")
+    pid = _col(pump_id).cast("string")
+    holds_id = h.startswith(F.concat(F.lit(b + "/"), pid, F.lit("/")))
+    pub = F.lit(b + PUBLICATION_PATH)
+    target = F.when(holds_id, pub).otherwise(F.concat(pub, F.lit("/"), pid))
+    return F.replace(h, F.lit(b), target)

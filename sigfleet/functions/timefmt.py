@@ -65,17 +65,23 @@ def _days_back(keyword: Column) -> Column:
     return expr
 
 
-def range_start(text, now) -> Column:
+def range_start(text, now, calendar: bool = False) -> Column:
     """F2 + F3: start of a query range from what a user typed.
 
     Keyword (blank, today, yesterday, week, in two languages) -> now minus
     1, 2 or 7 days; 10 characters -> that date at midnight; otherwise
     ``yyyy-MM-dd HH:mm``; anything else -> null (rejected).
+    ``calendar=True`` makes "yesterday" start at yesterday's midnight
+    (the documented meaning) instead of now minus 48 hours.
     """
     t = F.trim(_col(text))
     days = _days_back(t)
+    back = ntz(now) - F.make_dt_interval(days)
+    if calendar:
+        midnight = F.to_date(ntz(now) - F.make_dt_interval(F.lit(1))).cast("timestamp_ntz")
+        back = F.when(days == 2, midnight).otherwise(back)
     return (
-        F.when(days.isNotNull(), ntz(now) - F.make_dt_interval(days))
+        F.when(days.isNotNull(), back)
         .when(F.length(t) == 10, parse_ntz(t, "yyyy-MM-dd"))
         .otherwise(parse_ntz(t, "yyyy-MM-dd HH:mm"))
     )

@@ -8,6 +8,8 @@ and the second level only moves one piece per day.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,37 +23,37 @@ def signal_counts(readings: DataFrame, signals) -> DataFrame:
     """A1: points per asked-for signal (0 when absent) plus a grand total.
 
     ``readings`` is already restricted to the pump(s) and range asked for.
-    The readings are reduced to one count per signal *before* the tiny
-    join with the asked-for list, then the list is rolled up.
+    One global aggregate with a ``count_if`` per asked-for signal (partial
+    on every map task, one row per task crosses the exchange), then the
+    single result row is unpivoted in place: no join, no rollup shuffle.
     """
-    spark = readings.sparkSession
     signals = list(dict.fromkeys(signals))
-    counted = (
-        readings.where(F.col("signal").isin(signals))
-        .groupBy("signal")
-        .agg(F.count("time").alias("_n"))
-    )
-    wanted = spark.createDataFrame([(s,) for s in signals], "signal string")
-    joined = wanted.join(counted, "signal", "left")
-    rolled = joined.rollup("signal").agg(
-        F.sum(F.coalesce(F.col("_n"), F.lit(0))).alias("points"),
-        F.grouping("signal").alias("_g"),
-    )
-    return rolled.select(
-        F.when(F.col("_g") == 1, F.lit(TOTAL_LABEL)).otherwise(F.col("signal")).alias("signal"),
-        F.col("points"),
-        points_label("points").alias("label"),
-    )
+    sig, has_time = F.col("signal"), F.col("time").isNotNull()
+    counts = readings.agg(*[F.count_if((sig == s) & has_time).alias(f"_c{i}") for i, s in enumerate(signals)])
+    total = reduce(lambda a, b: a + b, [F.col(f"_c{i}") for i in range(len(signals))])
+    entries = [F.struct(F.lit(s).alias("signal"), F.col(f"_c{i}").alias("points")) for i, s in enumerate(signals)]
+    entries.append(F.struct(F.lit(TOTAL_LABEL).alias("signal"), total.alias("points")))
+    rows = counts.select(F.inline(F.array(*entries)))
+    return rows.select("signal", "points", points_label("points").alias("label"))
+
 
+def _day_pieces(readings: DataFrame, keys, render: str, keep=None) -> DataFrame:
+    """Per key and day: count and the ordered piece of the series.
 
-def _day_pieces(readings: DataFrame, keys, render: str) -> DataFrame:
-    """Per key and day: count and the ordered piece of the series."""
+    With ``keep`` (a boolean column), rows failing it still form their key
+    group but add nothing to its piece (the piece is null / empty).
+    """
     day = F.to_date("time").alias("_day")
+    flt = ""
+    if keep is not None:
+        readings = readings.withColumn("_keep", keep)
+        flt = " filter (where _keep)"
     if render == "pos":
-        piece = F.expr("listagg(cast(pos as string), ',') within group (order by time, pos)")
+        piece = F.expr(f"listagg(cast(pos as string), ',') within group (order by time, pos){flt}")
     else:
-        piece = F.array_sort(F.collect_list(F.struct("time", "pos", "value", "validity")))
-    return readings.groupBy(*keys, day).agg(F.count(F.lit(1)).alias("_n"), piece.alias("_p"))
+        piece = F.expr(f"array_sort(collect_list(struct(time, pos, value, validity)){flt})")
+    n = F.count_if(F.col("_keep")) if keep is not None else F.count(F.lit(1))
+    return readings.groupBy(*keys, day).agg(n.alias("_n"), piece.alias("_p"))
 
 
 def _join_pieces(render: str, where: str | None = None):

@@ -38,6 +38,28 @@ def report_rows(pumps: DataFrame, readings: DataFrame, fault_pred: Column | None
     )
 
 
+def outcome_report_rows(pumps: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """A2 from fetch outcomes (``sigfleet.sources.payloads.fetch_outcomes``).
+
+    ``has_faults`` keeps the historical meaning (a fault fetch returned a
+    non-empty list); ``faults_known`` tells whether any fault fetch actually
+    answered, so a failed fetch no longer reads as "no faults" (D7).
+    Availability uses the same truthiness rule for status and power.
+    """
+    sig = F.col("signal")
+    answered = F.col("outcome").isin("ok", "empty", "object")
+    flags = outcomes.groupBy("pump_id").agg(
+        F.bool_or((sig == "fault") & F.col("is_nonempty")).alias("has_faults"),
+        F.bool_or((sig == "fault") & answered).alias("faults_known"),
+        F.bool_or((sig == "status") & F.col("is_nonempty")).alias("status_available"),
+        F.bool_or((sig == "rawpower") & F.col("is_nonempty")).alias("power_available"),
+        F.lit(True).alias("processed"),
+    )
+    j = pumps.select("pump_id", "name").join(flags, "pump_id", "left")
+    cols = ("has_faults", "faults_known", "status_available", "power_available", "processed")
+    return j.select("pump_id", "name", *[F.coalesce(F.col(c), F.lit(False)).alias(c) for c in cols])
+
+
 def fleet_summary(rows: DataFrame) -> DataFrame:
     """A2 totals over :func:`report_rows` (a global partial aggregate)."""
     return rows.agg(
@@ -50,27 +72,21 @@ def fleet_summary(rows: DataFrame) -> DataFrame:
 def wide_record(readings: DataFrame, signals=WIDE_SIGNALS, render: str = "array") -> DataFrame:
     """One row per pump with any reading, one series column per signal.
 
-    One grouped pass, not one join per signal: day pieces per
-    ``(pump, signal, day)`` for the wanted signals, plus a key-only row for
-    pumps seen in other signals, then one aggregation per pump.
+    One grouped pass, not one join per signal. First level: per ``(pump,
+    signal, day)`` the ordered piece of the wanted signals; rows of other
+    signals collapse into one key-only group per pump (so every pump with
+    readings appears). Second level: per pump, the pieces of each signal in
+    day order. A hot pump is split across its days on the first shuffle.
     ``render='pos'`` gives ``<prefix>_pos`` strings, else arrays.
     """
     wanted = list(signals)
-    sig = F.col("signal")
-    pieces = _day_pieces(readings.where(sig.isin(wanted)), ["pump_id", "signal"], render)
-    others = readings.where(~sig.isin(wanted) | sig.isNull()).select("pump_id").distinct()
-    empty_piece = F.lit(None).cast(pieces.schema["_p"].dataType)
-    others = others.select(
-        "pump_id",
-        F.lit(None).cast("string").alias("signal"),
-        F.lit(None).cast("date").alias("_day"),
-        F.lit(0).cast("long").alias("_n"),
-        empty_piece.alias("_p"),
-    )
-    both = pieces.unionByName(others)
+    hit = F.col("signal").isin(wanted)
+    keyed = readings.withColumn("_sig", F.when(hit, F.col("signal")))
+    keyed = keyed.withColumn("time", F.when(hit, F.col("time")))
+    pieces = _day_pieces(keyed, ["pump_id", "_sig"], render, keep=hit)
     suffix = "pos" if render == "pos" else "series"
-    aggs = [_join_pieces(render, f"signal = '{s}'").alias(f"{p}_{suffix}") for s, p in signals.items()]
-    return both.groupBy("pump_id").agg(*aggs)
+    aggs = [_join_pieces(render, f"_sig = '{s}'").alias(f"{p}_{suffix}") for s, p in signals.items()]
+    return pieces.groupBy("pump_id").agg(*aggs)
 
 
 def offline_pumps(readings: DataFrame, offline: Column | None = None) -> DataFrame:

@@ -62,6 +62,16 @@ def signal_select(readings: DataFrame, endpoint: str, pump_ids=None, start=None,
     return range_scan(readings, pump_ids, signals, start, end, detailed)
 
 
+def select_endpoints(readings: DataFrame, endpoints) -> DataFrame:
+    """Readings of a list of endpoint names, plain and detailed mixed
+    (e.g. ``["status", "detailed_status", "power", "speed", "faults"]``)."""
+    pred = F.lit(False)
+    for name in endpoints:
+        codes, detailed = endpoint_signals(name)
+        pred = pred | (F.col("signal").isin(list(codes)) & (F.col("detailed") == F.lit(detailed)))
+    return readings.where(pred)
+
+
 def range_carry_in(readings: DataFrame, start, end=None, keys=("pump_id", "signal")) -> DataFrame:
     """P5 with carry-in: rows in ``(start, end]`` plus, per pump and signal,
     the last row at or before ``start`` (the value in force at the start).

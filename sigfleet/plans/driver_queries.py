@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigfleet.functions.labels import file_key as file_key_col
+from sigfleet.functions.links import publication_link
 from sigfleet.functions.timefmt import format_time as format_time_col
 from sigfleet.functions.timefmt import range_end, range_start
 from sigfleet.operators import bundles, catalog_ops, latest, reports, samples, scans
@@ -137,8 +138,9 @@ def q_links_count(spark, sf):
 def q_links_rewrite(spark, sf):
     base = PLACEHOLDER_BASE_URL
     p = _p(spark, sf).select("pump_id", F.concat(F.lit(base + "/"), F.col("pump_id"), F.lit("/speed/")).alias("href"))
-    swap = F.col("pump_id") % 2 == 0
-    return catalog_ops.rewrite_links(p, "href", swap, base, base + "/publication/physicalPumps")
+    # Which links are schedule links (served under the publication base).
+    schedule = F.col("pump_id") % 2 == 0
+    return p.withColumn("href", F.when(schedule, publication_link("href", "pump_id", base)).otherwise(F.col("href")))
 
 
 def q_pump_info(spark, sf):

@@ -28,6 +28,7 @@ DETAILED_SUFFIX = "/detailed"
 
 # URL template of one signal of one pump; "{bmb_id}" is the pump id.
 PUMPS_PATH = "/physicalPumps"
+PUBLICATION_PATH = "/publication/physicalPumps"
 SIGNAL_TEMPLATE = "/physicalPumps/{bmb_id}/{signal}/"
 DETAILED_SIGNAL_TEMPLATE = "/physicalPumps/{bmb_id}/{signal}/detailed/"
 

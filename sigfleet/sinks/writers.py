@@ -78,9 +78,16 @@ def write_documents(docs: DataFrame, path: str, partition_by=("endpoint",)) -> N
     w.json(path)
 
 
-def default_export_path(base_dir: str, now=None) -> DataFrame:
-    """K2: default stamped name ``fleet_data_{yyyyMMdd_HHmmss}`` (as a column)."""
-    return F.concat(F.lit(base_dir.rstrip("/") + "/" + DEFAULT_EXPORT_PREFIX + "_"), file_stamp(now))
+def default_export_path(base_dir: str, now) -> str:
+    """K2: default stamped output path ``<base>/fleet_data_{yyyyMMdd_HHmmss}``
+    from the job's ``now`` (a datetime)."""
+    return f"{base_dir.rstrip('/')}/{DEFAULT_EXPORT_PREFIX}_{now:%Y%m%d_%H%M%S}"
+
+
+def wide_record_documents(wide: DataFrame, now) -> DataFrame:
+    """K6: wide pump record with the client's field names."""
+    out = wide.select(F.col("pump_id").alias("bomba_id"), ntz(now).alias("timestamp"), *[c for c in wide.columns if c != "pump_id"])
+    return out
 
 
 def write_output(

@@ -17,10 +17,10 @@ from pyspark.sql.utils import AnalysisException
 
 from sigfleet.functions.links import discovered_links
 from sigfleet.operators.reports import dedupe_last
-from sigfleet.schemas import BOM
+from sigfleet.schemas import BOM, DEFAULT_PUMP_TYPE
 
-CATALOG_COLUMNS = ["pump_id", "name", "links", "source_file", "source_pos"]
-_EMPTY_DDL = "pump_id string, name string, links map<string,string>, source_file string, source_pos long"
+CATALOG_COLUMNS = ["pump_id", "name", "pump_type", "links", "source_file", "source_pos"]
+_EMPTY_DDL = "pump_id string, name string, pump_type string, links map<string,string>, source_file string, source_pos long"
 
 
 def _documents(spark: SparkSession, path: str) -> DataFrame:
@@ -42,7 +42,8 @@ def catalog_records(docs: DataFrame) -> DataFrame:
     return x.select(
         m["id"].alias("pump_id"),
         m["name"].alias("name"),
-        F.map_filter(m, lambda k, v: ~k.isin("id", "name")).alias("links"),
+        F.coalesce(m["type"], F.lit(DEFAULT_PUMP_TYPE)).alias("pump_type"),
+        F.map_filter(m, lambda k, v: ~k.isin("id", "name", "type")).alias("links"),
         "source_file",
         F.col("source_pos").cast("long").alias("source_pos"),
     )
@@ -76,7 +77,7 @@ def latest_catalog(records: DataFrame) -> DataFrame:
     """A5 over catalogue records: one row per id, the last record wins
     (order: file path, then position in the file)."""
     r = records.withColumn("_order", F.struct("source_file", "source_pos"))
-    d = dedupe_last(r, "pump_id", "_order", ["name", "links", "source_file", "source_pos"])
+    d = dedupe_last(r, "pump_id", "_order", ["name", "pump_type", "links", "source_file", "source_pos"])
     return d.drop("_order")
 
 

@@ -5,9 +5,10 @@ error, body BINARY)``. Decoding is per row with built-in expressions:
 
 1. ``try_validate_utf8(cast(body as string))`` (null = not UTF-8),
 2. strip one leading byte-order mark,
-3. blank -> ``empty``; ``try_parse_json`` null -> ``malformed``,
+3. blank -> ``empty``,
 4. kind from the first non-blank character: ``[`` array (``ok`` or
-   ``empty``), ``{`` object, anything else (scalar, ``null``) malformed.
+   ``empty``), ``{`` object, anything else (scalar, ``null``) malformed;
+   broken JSON or text after the closing bracket -> ``malformed``.
 
 Only ``ok`` rows are parsed into readings, so an object body never becomes
 a row of nulls.
@@ -29,24 +30,35 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# ASCII blanks, as stripped from a body before the emptiness test.
+BLANKS = " \t\n\r\x0b\x0c"
+
+
 def body_text(body) -> Column:
     """UTF-8 text of a binary body without its byte-order mark; null when
     the bytes are not valid UTF-8."""
     text = F.try_validate_utf8(_col(body).cast("string"))
-    return F.regexp_replace(text, "^" + BOM, "")
+    return F.when(text.startswith(BOM), F.substring(text, 2, 2147483647)).otherwise(text)
 
 
 def text_outcome(text) -> Column:
-    """Outcome class of decoded text (no transport information)."""
+    """Outcome class of decoded text (no transport information).
+
+    Validity is decided by the parse that the kind needs anyway
+    (``json_array_length`` for arrays, ``json_object_keys`` for objects,
+    both null on broken JSON) plus a check that the text ends with the
+    bracket that closes its first one, so trailing text is refused too.
+    """
     t = _col(text)
-    head = F.substring(F.regexp_replace(t, r"^\s+", ""), 1, 1)
-    parsed = F.try_parse_json(t)
+    s = F.btrim(t, F.lit(BLANKS))
+    head = F.left(s, F.lit(1))
+    tail = F.right(s, F.lit(1))
+    n = F.json_array_length(t)
     return (
         F.when(t.isNull(), F.lit("error"))
-        .when(F.regexp_like(t, F.lit(r"^\s*$")), F.lit("empty"))
-        .when(parsed.isNull(), F.lit("malformed"))
-        .when(head == "[", F.when(F.json_array_length(t) == 0, F.lit("empty")).otherwise(F.lit("ok")))
-        .when(head == "{", F.lit("object"))
+        .when(s == "", F.lit("empty"))
+        .when((head == "[") & (tail == "]") & n.isNotNull(), F.when(n == 0, F.lit("empty")).otherwise(F.lit("ok")))
+        .when((head == "{") & (tail == "}") & F.json_object_keys(t).isNotNull(), F.lit("object"))
         .otherwise(F.lit("malformed"))
     )
 
@@ -76,7 +88,7 @@ def fetch_outcomes(landed: DataFrame) -> DataFrame:
     out = landed.select(
         "pump_id", "signal", "detailed", "fetched_at", outcome(landed).alias("outcome"), text.alias("_t")
     )
-    t = F.regexp_replace(F.col("_t"), r"^\s+|\s+$", "")
+    t = F.btrim(F.col("_t"), F.lit(BLANKS))
     return out.select(
         "pump_id",
         "signal",

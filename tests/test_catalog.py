@@ -110,3 +110,23 @@ def test_fallback_only_when_primary_unreadable(spark, tmp):
     assert fb.count() == 4 and {r.origin for r in fb.collect()} == {"snapshot"}
     # An empty primary list is an answer, not a failure.
     assert catalog_with_fallback(spark, f"{tmp}/empty", f"{tmp}/snap").count() == 0
+
+
+def test_pump_type_default_and_link_lookup(spark, tmp):
+    from sigfleet.functions.links import link_href, publication_link
+
+    recs = [record(0, "EB3 G4"), record(1, "EB3 G1")]
+    recs[1]["type"] = "Booster"
+    write(f"{tmp}/cat/a.json", recs)
+    cat = read_catalog(spark, f"{tmp}/cat").orderBy("source_pos")
+    rows = cat.select(
+        "pump_type",
+        link_href("links", "onoffschedule").alias("h"),
+        link_href("links", "nope").alias("missing"),
+        publication_link(link_href("links", "onoffschedule"), F.col("pump_id"), HOST).alias("pub"),
+    ).collect()
+    assert [r.pump_type for r in rows] == ["Physical Pump", "Booster"]
+    pid = "00000000-0000-0000-0000-000000000000"
+    assert rows[0].h == f"{HOST}/{pid}/onoffschedule/" and rows[0].missing is None
+    # the id already in the link is not repeated
+    assert rows[0].pub == f"{HOST}/publication/physicalPumps/{pid}/onoffschedule/"

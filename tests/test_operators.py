@@ -162,3 +162,42 @@ def test_history_lookback(mk_readings):
     }
     doc = bundles.history_document(rd(mk_readings), now, 24).where(F.col("bomba_id") == "a").first()
     assert doc.periodo.horas == 24 and len(doc.datos["status"]) == 3
+
+
+def test_select_endpoints_mixes_plain_and_detailed(spark):
+    from tests.conftest import READINGS_DDL
+
+    rows = [
+        ("a", "status", False, T("2024-01-01 00:00:00"), 1.0, 0, 0),
+        ("a", "status", True, T("2024-01-01 00:00:00"), 1.0, 0, 0),
+        ("a", "rawpower", True, T("2024-01-01 00:00:00"), 1.0, 0, 0),
+        ("a", "fault", False, T("2024-01-01 00:00:00"), 1.0, 0, 0),
+    ]
+    r = spark.createDataFrame(rows, READINGS_DDL)
+    got = {(x.signal, x.detailed) for x in scans.select_endpoints(r, ["status", "detailed_status", "power", "faults"]).collect()}
+    assert got == {("status", False), ("status", True), ("fault", False)}
+
+
+def test_outcome_report_keeps_unknown_faults_apart(spark, mk_pumps):
+    import datetime as _dt
+
+    from sigfleet.schemas import LANDED_SCHEMA
+    from sigfleet.sources.payloads import fetch_outcomes
+
+    one = b'[{"time": "2024-01-01T00:00:00Z", "value": 1.0, "validity": 0}]'
+    f = _dt.datetime(2024, 1, 1)
+    landed = spark.createDataFrame(
+        [
+            ("a", "fault", False, f, 200, None, one),
+            ("a", "status", False, f, 200, None, one),
+            ("b", "fault", False, f, 500, None, None),
+            ("c", "fault", False, f, 200, None, b"[]"),
+        ],
+        LANDED_SCHEMA,
+    )
+    rows = reports.outcome_report_rows(pm(mk_pumps), fetch_outcomes(landed))
+    got = {x.pump_id: (x.has_faults, x.faults_known, x.status_available) for x in rows.collect()}
+    assert got["a"] == (True, True, True)
+    assert got["b"] == (False, False, False)  # failed fetch: not "no faults"
+    assert got["c"] == (False, True, False)
+    assert got["d"] == (False, False, False)

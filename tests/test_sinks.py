@@ -87,3 +87,7 @@ def test_bom_repair(spark, tmp):
     assert text.rstrip(b"\n") == b"[1, 2]"
     # input untouched
     assert open(f"{src}/a.json", "rb").read().startswith(b"\xef\xbb\xbf")
+
+
+def test_default_export_path():
+    assert writers.default_export_path("/data/out/", NOW) == "/data/out/fleet_data_20240130_000000"

@@ -71,3 +71,8 @@ def test_lookback_hours(spark):
     assert got == [24, 6, 24, 48, 24]
     df = spark.createDataFrame([(6,)], "h int")
     assert df.select(lookback_start(F.col("h"), NOW)).first()[0] == NOW - dt.timedelta(hours=6)
+
+
+def test_calendar_yesterday(spark):
+    got = one_col(spark, ["ayer", "hoy"], lambda c: range_start(c, NOW, calendar=True))
+    assert got == [dt.datetime(2024, 1, 29, 0, 0), NOW - dt.timedelta(days=1)]
