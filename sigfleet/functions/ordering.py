@@ -1,14 +1,13 @@
-"""A single fixed-width ordering key for "last by (time, pos)".
-
-``max_by(x, struct(time, pos))`` would plan as a sort-based aggregate,
-because a struct aggregation buffer is not fixed-width. Packing
-``(time, pos)`` into one ``DECIMAL(38,0)`` (fixed-width in Spark's row
-format) keeps "latest" on the hash aggregate with map-side partial
-aggregation and no sort.
-
-key = micros(time) * 10^20 + (pos + 2^63), where micros are counted from
-the epoch on the wall clock (no session time zone involved) and a null time
-ranks below every real time. 18 + 20 digits fit in 38.
+""""Last reading by (time, pos)" as one aggregate expression.
+
+``max_by(struct(fields), struct(time, pos))``: exact (position breaks ties
+in time; a null time ranks lowest) and partially aggregated on every map
+task, so the shuffle carries one row per key per task however skewed the
+keys are. Spark plans it as a sort-based aggregate because struct buffers
+are not fixed-width. Measured at 1M readings on local[8] (added time over a
+plain grouped count): struct key 0.19 s, a window ``row_number() = 1``
+0.25 s, a ``DECIMAL(38,0)`` packed key on the hash aggregate 0.39 s (its
+buffer is re-serialised on every update), so the struct key is used.
 """
 
 from __future__ import annotations
@@ -16,34 +15,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_DAY_MICROS = 86_400_000_000
-_NULL_TIME = -(10**17)  # below year 1 (-6.2e16 micros)
-_POS_SHIFT = "9223372036854775808"  # 2^63
-
-
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def wall_micros(time) -> Column:
-    """Microseconds since 1970-01-01 00:00 of a ``TIMESTAMP_NTZ`` wall clock,
-    as ``DECIMAL(20,0)``; computed from calendar fields, so the session time
-    zone cannot shift it."""
-    t = _col(time)
-    days = F.unix_date(F.to_date(t)).cast("decimal(20,0)") * F.lit(_DAY_MICROS).cast("decimal(12,0)")
-    hm = (F.hour(t) * 3600 + F.minute(t) * 60).cast("decimal(20,0)") * F.lit(1_000_000).cast("decimal(7,0)")
-    sec = F.extract(F.lit("SECOND"), t) * F.lit(1_000_000).cast("decimal(7,0)")
-    return (days + hm + sec).cast("decimal(20,0)")
-
 
-def order_key(time="time", pos="pos") -> Column:
-    """``DECIMAL(38,0)`` ordering equal to ordering by ``(time, pos)``."""
-    micros = F.coalesce(wall_micros(time), F.lit(_NULL_TIME).cast("decimal(20,0)"))
-    shifted = _col(pos).cast("decimal(20,0)") + F.lit(_POS_SHIFT).cast("decimal(20,0)")
-    key = micros.cast("decimal(18,0)") * F.lit(str(10**20)).cast("decimal(21,0)") + shifted
-    return key.cast("decimal(38,0)")
+def order_key(time: str = "time", pos: str = "pos") -> Column:
+    """Ordering of readings: by ``time``, then position in the payload."""
+    return F.struct(F.col(time).alias("time"), F.col(pos).alias("pos"))
 
 
-def last_by(cols, key: Column) -> list[Column]:
-    """``max_by(c, key)`` for each column: the values of the last row."""
-    return [F.max_by(_col(c), key).alias(c if isinstance(c, str) else None) for c in cols]
+def last_of(fields, where: Column | None = None, time: str = "time", pos: str = "pos") -> Column:
+    """Aggregate: ``struct(fields)`` of the last row (optionally among rows
+    matching ``where``); null when no row qualifies."""
+    key = order_key(time, pos)
+    if where is not None:
+        key = F.when(where, key)
+    return F.max_by(F.struct(*[F.col(f) for f in fields]), key)

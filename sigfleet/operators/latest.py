@@ -1,10 +1,10 @@
 """Latest value per pump and signal (A4) and its wide form.
 
-"Latest" is the last reading by ``(time, pos)``. It is computed as grouped
-``max_by(field, key)`` with ``key`` the fixed-width ordering of
-``sigfleet.functions.ordering``: a hash aggregate that Spark runs partially
-on every map task before the shuffle, so the shuffle carries at most one
-row per key per task however skewed the pumps are, and nothing is sorted.
+"Latest" is the last reading by ``(time, pos)``, computed as a grouped
+``max_by(struct(fields), struct(time, pos))`` (``sigfleet.functions.ordering``):
+Spark runs it partially on every map task before the shuffle, so the
+shuffle carries at most one row per key per task however skewed the pumps
+are.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigfleet.functions.ordering import order_key
+from sigfleet.functions.ordering import last_of
 
 # Column name prefix of each signal in the wide form.
 WIDE_PREFIX = {"status": "status", "rawpower": "power"}
@@ -21,9 +21,8 @@ WIDE_PREFIX = {"status": "status", "rawpower": "power"}
 def latest_per_signal(readings: DataFrame, keys=("pump_id", "signal"), fields=("value",)) -> DataFrame:
     """``(keys..., time, fields...)`` of the last reading per key."""
     keys = list(keys)
-    k = readings.withColumn("_k", order_key())
-    aggs = [F.max_by(c, "_k").alias(c) for c in ["time", *fields]]
-    return k.groupBy(*keys).agg(*aggs)
+    cols = ["time", *fields]
+    return readings.groupBy(*keys).agg(last_of(cols).alias("_l")).select(*keys, *[f"_l.{c}" for c in cols])
 
 
 def latest_wide(pumps: DataFrame, readings: DataFrame, signals=WIDE_PREFIX) -> DataFrame:
@@ -35,11 +34,11 @@ def latest_wide(pumps: DataFrame, readings: DataFrame, signals=WIDE_PREFIX) -> D
     join strategy is left to AQE, which broadcasts a side only when its
     measured size is under the threshold.
     """
-    aggs = []
-    for sig, prefix in signals.items():
-        key = F.when(F.col("signal") == sig, F.col("_k"))
-        aggs += [F.max_by("value", key).alias(f"{prefix}_value"), F.max_by("time", key).alias(f"{prefix}_time")]
-    latest = readings.withColumn("_k", order_key()).groupBy("pump_id").agg(*aggs)
+    aggs = [last_of(["value", "time"], F.col("signal") == sig).alias(f"_{p}") for sig, p in signals.items()]
+    cols = []
+    for p in signals.values():
+        cols += [F.col(f"_{p}.value").alias(f"{p}_value"), F.col(f"_{p}.time").alias(f"{p}_time")]
+    latest = readings.groupBy("pump_id").agg(*aggs).select("pump_id", *cols)
     return pumps.select("pump_id", "name").join(latest, "pump_id", "left")
 
 

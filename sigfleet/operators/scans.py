@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigfleet.functions.links import endpoint_signals
-from sigfleet.functions.ordering import order_key
+from sigfleet.functions.ordering import last_of
 from sigfleet.functions.timefmt import ntz
 
 
@@ -76,14 +76,13 @@ def range_carry_in(readings: DataFrame, start, end=None, keys=("pump_id", "signa
     """P5 with carry-in: rows in ``(start, end]`` plus, per pump and signal,
     the last row at or before ``start`` (the value in force at the start).
 
-    The carried row is picked by grouped ``max_by(column, key)`` over the
-    fixed-width ``(time, pos)`` key: a hash aggregate run partially on the
-    map side, so a hot pump never lands whole in one task. The two branches
-    read disjoint time ranges of one table.
+    The carried row is picked by a grouped "last by (time, pos)" aggregate,
+    run partially on the map side, so a hot pump never lands whole in one
+    task. The two branches read disjoint time ranges of one table.
     """
     keys = list(keys)
     rest = [c for c in readings.columns if c not in keys]
     inside = time_range(readings.where(F.col("time") > ntz(start)), None, end)
-    before = time_range(readings, None, start).withColumn("_k", order_key())
-    carried = before.groupBy(*keys).agg(*[F.max_by(c, "_k").alias(c) for c in rest])
+    before = time_range(readings, None, start)
+    carried = before.groupBy(*keys).agg(last_of(rest).alias("_l")).select(*keys, "_l.*")
     return inside.unionByName(carried.select(*inside.columns))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sigfleet.functions.ordering import order_key
+from sigfleet.functions.ordering import last_of
 from sigfleet.session import work_path
 
 
@@ -41,10 +41,7 @@ def latest_state(readings_stream: DataFrame) -> DataFrame:
     """Stateful aggregate: the last reading by ``(time, pos)`` per key,
     with its ordering key so sink batches can be merged. ``max_by`` is
     idempotent, so re-landing a payload changes nothing."""
-    k = readings_stream.withColumn("_k", order_key())
-    return k.groupBy("pump_id", "signal").agg(
-        F.max("_k").alias("_k"), F.max_by("value", "_k").alias("value"), F.max_by("time", "_k").alias("time")
-    )
+    return readings_stream.groupBy("pump_id", "signal").agg(last_of(["time", "pos", "value"]).alias("_l"))
 
 
 def start_latest_monitor(
@@ -57,10 +54,9 @@ def start_latest_monitor(
 
 def read_latest(spark: SparkSession, sink: str) -> DataFrame:
     """Current latest values from a T1 sink: ``(pump_id, signal, value, time)``."""
-    s = spark.read.parquet(sink)
-    return s.groupBy("pump_id", "signal").agg(
-        F.max_by("value", "_k").alias("value"), F.max_by("time", "_k").alias("time")
-    )
+    s = spark.read.parquet(sink).select("pump_id", "signal", "_l.*")
+    r = s.groupBy("pump_id", "signal").agg(last_of(["value", "time"]).alias("_l"))
+    return r.select("pump_id", "signal", "_l.value", "_l.time")
 
 
 # --- T2: heartbeat of status and power -------------------------------------
