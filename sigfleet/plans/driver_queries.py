@@ -231,7 +231,7 @@ def q_payload_outcomes(spark, sf):
     ev = dtab.table(spark, sf, "events")
     landed = ev.select(
         F.col("user_id").cast("string").alias("pump_id"),
-        dtab.signal_of(F.col("event_type")).alias("signal"),
+        dtab.signal_of().alias("signal"),
         F.lit(False).alias("detailed"),
         F.col("ts").alias("fetched_at"),
         F.lit(200).alias("http_status"),

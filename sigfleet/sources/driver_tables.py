@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Adapter map (ours): event type -> signal; any other type is "inservice".
 EVENT_SIGNAL = {
@@ -27,30 +28,65 @@ EVENT_SIGNAL = {
 FALLBACK_SIGNAL = "inservice"
 
 
+# Schema per table path, learned on first read: later reads skip schema
+# inference (footer reads, or a listing job over many files on a cluster).
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
+
+
+def _sql_list(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
 
+# The adapter map as one SQL CASE (built once; one expression per query).
+SIGNAL_SQL = (
+    "CASE event_type "
+    + " ".join(f"WHEN '{et}' THEN '{sig}'" for et, sig in EVENT_SIGNAL.items())
+    + f" ELSE '{FALLBACK_SIGNAL}' END"
+)
 
-def signal_of(event_type: Column) -> Column:
+
+def signal_of(event_type: Column | None = None) -> Column:
+    """Signal of an event type (column ``event_type`` by default)."""
+    if event_type is None:
+        return F.expr(SIGNAL_SQL)
     expr = None
     for et, sig in EVENT_SIGNAL.items():
-        expr = (F.when(event_type == et, sig) if expr is None else expr.when(event_type == et, sig))
+        expr = F.when(event_type == et, sig) if expr is None else expr.when(event_type == et, sig)
     return expr.otherwise(FALLBACK_SIGNAL)
 
 
-def event_type_predicate(signals) -> Column | None:
-    """``event_type`` predicate equal to ``signal IN signals``."""
+def event_type_sql(signals) -> str | None:
+    """SQL predicate on ``event_type`` equal to ``signal IN signals``."""
     if signals is None:
         return None
     signals = set(signals)
-    et = F.col("event_type")
     known = [e for e, s in EVENT_SIGNAL.items() if s in signals]
-    pred = et.isin(known) if known else F.lit(False)
+    pred = f"event_type IN ({_sql_list(known)})" if known else "false"
     if FALLBACK_SIGNAL in signals:
-        pred = pred | et.isNull() | ~et.isin(list(EVENT_SIGNAL))
+        pred = f"({pred} OR event_type IS NULL OR event_type NOT IN ({_sql_list(EVENT_SIGNAL)}))"
     return pred
 
 
+def event_type_predicate(signals) -> Column | None:
+    """``event_type`` predicate equal to ``signal IN signals``."""
+    sql = event_type_sql(signals)
+    return None if sql is None else F.expr(sql)
+
+
+def _ts_sql(t) -> str:
+    return "TIMESTAMP_NTZ '" + t.isoformat(sep=" ") + "'"
+
+
 def readings(
     spark: SparkSession,
     sf_dir: str,
@@ -61,33 +97,39 @@ def readings(
 ) -> DataFrame:
     """Canonical readings ``(pump_id, signal, detailed, time, value, validity, pos)``.
 
-    Every argument becomes a filter on source columns, pushed to Parquet.
-    ``start``/``end`` are inclusive; ``None`` leaves that side open.
+    Every argument becomes one conjunct of a single filter on source
+    columns, pushed to Parquet. ``start``/``end`` (datetimes) are inclusive;
+    ``None`` leaves that side open.
     """
     ev = table(spark, sf_dir, "events")
-    pred = event_type_predicate(signals)
-    if pred is not None:
-        ev = ev.where(pred)
+    conds = []
+    if signals is not None:
+        conds.append(event_type_sql(signals))
     if pump_ids is not None:
-        ev = ev.where(F.col("user_id").isin(list(pump_ids)))
+        conds.append(f"user_id IN ({', '.join(str(int(p)) for p in pump_ids)})")
     if start is not None:
-        ev = ev.where(F.col("ts") >= F.lit(start))
+        conds.append(f"ts >= {_ts_sql(start)}")
     if end is not None:
-        ev = ev.where(F.col("ts") <= F.lit(end))
+        conds.append(f"ts <= {_ts_sql(end)}")
+    if conds:
+        ev = ev.where(" AND ".join(f"({c})" for c in conds))
     return events_to_readings(ev)
 
 
+READINGS_SQL = [
+    "user_id AS pump_id",
+    f"{SIGNAL_SQL} AS signal",
+    "false AS detailed",
+    "ts AS time",
+    "value",
+    "try_cast(get_json_object(props, '$.k') AS INT) AS validity",
+    "event_id AS pos",
+]
+
+
 def events_to_readings(ev: DataFrame) -> DataFrame:
     """Projection ``events`` -> canonical readings (batch or streaming)."""
-    return ev.select(
-        F.col("user_id").alias("pump_id"),
-        signal_of(F.col("event_type")).alias("signal"),
-        F.lit(False).alias("detailed"),
-        F.col("ts").alias("time"),
-        F.col("value"),
-        F.get_json_object("props", "$.k").try_cast("int").alias("validity"),
-        F.col("event_id").alias("pos"),
-    )
+    return ev.selectExpr(*READINGS_SQL)
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
