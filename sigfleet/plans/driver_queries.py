@@ -71,6 +71,14 @@ def q_signal_counts(spark, sf):
     return bundles.signal_counts(r, BASIC)
 
 
+def q_individual_query(spark, sf):
+    """U4: the three basic signals of one pump over the last day, with counts."""
+    sigs = ("status", "rawpower", "speed")
+    start = NOW - dt.timedelta(days=1)
+    r = _r(spark, sf, signals=sigs, pump_ids=[PUMP], start=start, end=NOW)
+    return bundles.signal_counts(r, sigs)
+
+
 def q_latest_per_signal(spark, sf):
     return latest.latest_per_signal(_r(spark, sf)).select("pump_id", "signal", "time", "value")
 
@@ -295,6 +303,7 @@ QUERIES = {
     "range_carry_in": q_range_carry_in,
     "signal_select": q_signal_select,
     "signal_counts": q_signal_counts,
+    "individual_query": q_individual_query,
     "latest_per_signal": q_latest_per_signal,
     "latest_wide": q_latest_wide,
     "report_rows": q_report_rows,

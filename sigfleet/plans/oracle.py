@@ -26,6 +26,11 @@ _WITH_R = {
     "count(r.time) as points, case when count(r.time) > 0 then concat(count(r.time), ' puntos') else "
     "'sin datos' end as label from (values ('status'), ('rawpower'), ('speed'), ('aaecontrol')) g(signal) "
     "left join r on r.signal = g.signal and r.pump_id = 7 group by rollup (g.signal)",
+    "individual_query": "select case when grouping(g.signal) = 1 then 'TOTAL' else g.signal end as signal, "
+    "count(r.time) as points, case when count(r.time) > 0 then concat(count(r.time), ' puntos') else "
+    "'sin datos' end as label from (values ('status'), ('rawpower'), ('speed')) g(signal) left join r on "
+    "r.signal = g.signal and r.pump_id = 7 and r.time >= timestamp '2024-01-29 00:00:00' and r.time <= "
+    "timestamp '2024-01-30 00:00:00' group by rollup (g.signal)",
     "latest_per_signal": "select pump_id, signal, time, value from (select r.*, row_number() over "
     "(partition by pump_id, signal order by time desc, pos desc) as rn from r) t where rn = 1",
     "latest_wide": "select p.pump_id, p.name, l.status_value, l.status_time, l.power_value, l.power_time "
