@@ -65,7 +65,7 @@ def head_n(pumps: DataFrame, n: int | None = None, order: str = "source_pos") ->
     return df if n is None else df.limit(n)
 
 
-def _signal_keys() -> list[tuple[str, bool]]:
+def signal_keys() -> list[tuple[str, bool]]:
     return [(c, False) for c in SIGNAL_CODES] + [(c, True) for c in SIGNAL_CODES]
 
 
@@ -75,7 +75,7 @@ def links_workset(pumps: DataFrame, base: str = PLACEHOLDER_BASE_URL) -> DataFra
     The 16 keys come from a literal array exploded per pump: a generator
     on the pump rows, no join and no shuffle.
     """
-    keys = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(d).alias("detailed")) for c, d in _signal_keys()])
+    keys = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(d).alias("detailed")) for c, d in signal_keys()])
     x = pumps.select("pump_id", F.explode(keys).alias("_k"))
     key = F.concat(F.col("_k.code"), F.when(F.col("_k.detailed"), F.lit(DETAILED_SUFFIX)).otherwise(F.lit("")))
     return x.select(
@@ -88,7 +88,7 @@ def links_workset(pumps: DataFrame, base: str = PLACEHOLDER_BASE_URL) -> DataFra
 def links_map(pumps: DataFrame, base: str = PLACEHOLDER_BASE_URL) -> DataFrame:
     """Catalogue-shaped link column ``links map<key, '{"href": ...}'>``."""
     entries = []
-    for c, d in _signal_keys():
+    for c, d in signal_keys():
         href = fill_template(F.col("pump_id"), F.lit(c), d, base)
         entries.append(F.struct(F.lit(c + (DETAILED_SUFFIX if d else "")), F.to_json(F.struct(href.alias("href")))))
     return pumps.withColumn("links", F.map_from_entries(F.array(*entries)))

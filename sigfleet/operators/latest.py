@@ -40,11 +40,3 @@ def latest_wide(pumps: DataFrame, readings: DataFrame, signals=WIDE_PREFIX) -> D
         cols += [F.col(f"_{p}.value").alias(f"{p}_value"), F.col(f"_{p}.time").alias(f"{p}_time")]
     latest = readings.groupBy("pump_id").agg(*aggs).select("pump_id", *cols)
     return pumps.select("pump_id", "name").join(latest, "pump_id", "left")
-
-
-def latest_flags(readings: DataFrame) -> DataFrame:
-    """Latest-value availability flags per pump (K3 columns)."""
-    return readings.groupBy("pump_id").agg(
-        F.bool_or(F.col("signal") == "status").alias("status_available"),
-        F.bool_or(F.col("signal") == "rawpower").alias("power_available"),
-    )

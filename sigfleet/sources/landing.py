@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigfleet.functions.links import fill_template
-from sigfleet.operators.catalog_ops import _signal_keys
+from sigfleet.operators.catalog_ops import signal_keys
 from sigfleet.schemas import BOM, DETAILED_SUFFIX, PLACEHOLDER_BASE_URL
 
 # Endpoint name of each signal in result documents.
@@ -22,7 +22,7 @@ BASIC = ("status", "rawpower", "speed")
 def catalog_record_json(pumps: DataFrame, base: str = PLACEHOLDER_BASE_URL) -> DataFrame:
     """One JSON text per pump: ``id``, ``name`` and the 16 link objects."""
     fields = [F.col("pump_id").cast("string").alias("id"), F.col("name").alias("name")]
-    for code, det in _signal_keys():
+    for code, det in signal_keys():
         href = fill_template(F.col("pump_id"), F.lit(code), det, base)
         fields.append(F.struct(href.alias("href")).alias(code + (DETAILED_SUFFIX if det else "")))
     return pumps.select("pump_id", "source_pos", F.to_json(F.struct(*fields)).alias("_json"))

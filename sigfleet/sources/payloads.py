@@ -124,13 +124,44 @@ def reading_time(text) -> Column:
     return F.regexp_replace(_col(text), "Z$", "").try_cast("timestamp_ntz")
 
 
+def _zero_length_files(spark, root: str) -> list:
+    """``(path, modification time)`` of the zero-byte files under ``root``.
+
+    Spark's file scan skips zero-length files, yet an empty body is an
+    outcome to count; one recursive listing (metadata only) finds them.
+    """
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    it = fs.listFiles(path, True)
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if st.getLen() == 0 and not name.startswith(("_", ".")):
+            out.append((st.getPath().toString(), st.getModificationTime()))
+    return out
+
+
 def read_landed_files(spark, path: str, pump_id: str | None = None, signal: str | None = None) -> DataFrame:
-    """Landed payload files (one body per file, any layout) as landed rows.
+    """Landed payload files (one body per file) as landed rows.
 
-    ``binaryFile`` reads each file whole in one task; file names or a
-    partitioned layout carry the pump and signal.
+    ``binaryFile`` reads each file whole in one task; a partitioned layout
+    (``pump_id=…/signal=…``) or other columns carry the pump and signal.
+    Zero-byte files, which the scan skips, are added back as empty bodies.
     """
     files = spark.read.format("binaryFile").load(path)
+    zero = _zero_length_files(spark, path)
+    if zero:
+        extra = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
+        z = spark.createDataFrame(zero, "path string, _ms long").select(
+            "path",
+            (F.col("_ms") / 1000).cast("timestamp").alias("modificationTime"),
+            F.lit(0).cast("long").alias("length"),
+            F.lit(b"").cast("binary").alias("content"),
+            *[F.regexp_extract("path", f"/{c}=([^/]+)/", 1).cast(files.schema[c].dataType).alias(c) for c in extra],
+        )
+        files = files.unionByName(z)
     return files.select(
         (F.col(pump_id) if pump_id else F.lit(None).cast("string")).alias("pump_id"),
         (F.col(signal) if signal else F.lit(None).cast("string")).alias("signal"),

@@ -1,13 +1,17 @@
 """Structured Streaming monitors.
 
-Every monitor writes through ``foreachBatch`` into a folder of per-batch
-Parquet directories ``<sink>/batch_id=N``. A retried batch overwrites its own
-directory, so the sink is idempotent (exactly-once with the checkpoint), and
-readers reduce the batches with the same aggregate the stream uses, so the
-result equals the batch answer however the input was cut into batches.
-
-State stays bounded: T1 keeps one row per pump and signal (the fleet), T2
-and T3 keep no state at all.
+Every monitor writes through ``foreachBatch`` into per-batch Parquet
+directories ``<sink>/batch_id=N``. A retried batch overwrites its own
+directory, so the sinks are idempotent (exactly-once with the checkpoint).
+
+* T1 keeps one row per pump and signal in the state store (bounded by the
+  fleet). Each batch writes a *snapshot*: the previous snapshot merged with
+  the keys that changed in the batch, so the sink holds whole answers,
+  readers read only the newest snapshot, and the per-batch cost is bounded
+  by the fleet, not by the history. A retried batch rebuilds its snapshot
+  from the same predecessor.
+* T2 and T3 keep no state; their sinks are logs (one entry per poll and
+  pump, one per alert).
 """
 
 from __future__ import annotations
@@ -44,19 +48,57 @@ def latest_state(readings_stream: DataFrame) -> DataFrame:
     return readings_stream.groupBy("pump_id", "signal").agg(last_of(["time", "pos", "value"]).alias("_l"))
 
 
+def _snapshot_ids(spark: SparkSession, sink: str) -> list[int]:
+    """Batch ids of the complete snapshots under ``sink`` (listing only)."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(sink)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    ids = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            ids.append(int(name.split("=", 1)[1]))
+    return sorted(ids)
+
+
+def _merge_snapshot(sink: str):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        prev = [b for b in _snapshot_ids(spark, sink) if b < batch_id]
+        cur = batch.select("pump_id", "signal", "_l.*")
+        if prev:
+            cur = cur.unionByName(spark.read.parquet(f"{sink}/batch_id={prev[-1]}").select("pump_id", "signal", "_l.*"))
+        merged = cur.groupBy("pump_id", "signal").agg(last_of(["time", "pos", "value"]).alias("_l"))
+        merged.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    return write
+
+
 def start_latest_monitor(
     readings_stream: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Every trigger (default 30 s) emit the keys whose latest value changed."""
+    """Every trigger (default 30 s) merge the keys whose latest value
+    changed into a new snapshot of the fleet's latest values."""
     trigger = trigger or {"processingTime": "30 seconds"}
-    return _start(latest_state(readings_stream), sink, checkpoint, "update", trigger, name=None)
+    w = (
+        latest_state(readings_stream)
+        .writeStream.outputMode("update")
+        .foreachBatch(_merge_snapshot(sink))
+        .option("checkpointLocation", checkpoint)
+    )
+    return w.trigger(**trigger).start()
 
 
 def read_latest(spark: SparkSession, sink: str) -> DataFrame:
-    """Current latest values from a T1 sink: ``(pump_id, signal, value, time)``."""
-    s = spark.read.parquet(sink).select("pump_id", "signal", "_l.*")
-    r = s.groupBy("pump_id", "signal").agg(last_of(["value", "time"]).alias("_l"))
-    return r.select("pump_id", "signal", "_l.value", "_l.time")
+    """Current latest values from a T1 sink: ``(pump_id, signal, value, time)``
+    (the newest complete snapshot)."""
+    ids = _snapshot_ids(spark, sink)
+    if not ids:
+        return spark.createDataFrame([], "pump_id bigint, signal string, value double, time timestamp_ntz")
+    s = spark.read.parquet(f"{sink}/batch_id={ids[-1]}")
+    return s.select("pump_id", "signal", F.col("_l.value").alias("value"), F.col("_l.time").alias("time"))
 
 
 # --- T2: heartbeat of status and power -------------------------------------

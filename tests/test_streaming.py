@@ -50,6 +50,11 @@ def test_latest_stream_equals_batch_across_restarts(spark):
     want = as_set(latest_per_signal(everything).select("pump_id", "signal", "value", "time"))
     assert got == want
     assert ("p1", "status", 0.0, dt.datetime(2024, 1, 1, 1, 0)) in got
+    # every batch wrote a whole snapshot; the newest alone is the answer
+    snaps = monitors._snapshot_ids(spark, sink)
+    assert len(snaps) >= 2
+    last = spark.read.parquet(f"{sink}/batch_id={snaps[-1]}")
+    assert last.count() == len(want)
 
 
 def test_fault_alerts_stream(spark, mk_pumps):
