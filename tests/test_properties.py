@@ -80,13 +80,16 @@ def test_carry_in_matches_brute_force(spark, rows, a, b):
 @given(readings)
 def test_series_sample_matches_brute_force(spark, rows):
     rows = distinct_orders(rows)
-    got = sorted((x.pump_id, x.signal, x.pos, x.time) for x in samples.series_sample(frame(spark, rows), 2).collect())
+    def tkey(t):
+        return (t is not None, t or T0)
+
+    got = sorted((x.pump_id, x.signal, x.pos, tkey(x.time)) for x in samples.series_sample(frame(spark, rows), 2).collect())
     groups = {}
     for r in rows:
         groups.setdefault((r[0], r[1]), []).append(r)
     # ascending (time, pos) with nulls first, as Spark orders
     want = sorted(
-        (r[0], r[1], r[4], r[2])
+        (r[0], r[1], r[4], tkey(r[2]))
         for g in groups.values()
         for r in sorted(g, key=order)[:2]
     )
