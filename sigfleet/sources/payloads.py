@@ -143,6 +143,15 @@ def _zero_length_files(spark, root: str) -> list:
     return out
 
 
+def _text_of(files: DataFrame, name: str | None) -> Column:
+    """A key column as text. For a ``name=value`` folder the exact text of
+    the path is used (partition type inference would turn ``007`` into 7)."""
+    if not name:
+        return F.lit(None).cast("string")
+    from_path = F.nullif(F.regexp_extract("path", f"/{name}=([^/]+)/", 1), F.lit(""))
+    return F.coalesce(from_path, F.col(name).cast("string"))
+
+
 def read_landed_files(spark, path: str, pump_id: str | None = None, signal: str | None = None) -> DataFrame:
     """Landed payload files (one body per file) as landed rows.
 
@@ -163,8 +172,8 @@ def read_landed_files(spark, path: str, pump_id: str | None = None, signal: str
         )
         files = files.unionByName(z)
     return files.select(
-        (F.col(pump_id) if pump_id else F.lit(None).cast("string")).alias("pump_id"),
-        (F.col(signal) if signal else F.lit(None).cast("string")).alias("signal"),
+        _text_of(files, pump_id).alias("pump_id"),
+        _text_of(files, signal).alias("signal"),
         F.lit(False).alias("detailed"),
         F.col("modificationTime").cast("timestamp_ntz").alias("fetched_at"),
         F.lit(200).alias("http_status"),

@@ -68,12 +68,12 @@ def test_landed_files_with_partitioned_layout(spark, tmp):
 
     from sigfleet.sources.payloads import read_landed_files
 
-    for pump, sig, body in [("p1", "status", ONE), ("p1", "rawpower", BOM + ONE), ("p2", "status", b"")]:
+    for pump, sig, body in [("p1", "status", ONE), ("p1", "rawpower", BOM + ONE), ("p2", "status", b""), ("007", "status", ONE)]:
         d = f"{tmp}/landed/pump_id={pump}/signal={sig}"
         os.makedirs(d)
         with open(f"{d}/body.json", "wb") as f:
             f.write(body)
     landed = read_landed_files(spark, f"{tmp}/landed", pump_id="pump_id", signal="signal")
     got = {(r.pump_id, r.signal): r.outcome for r in fetch_outcomes(landed).collect()}
-    assert got == {("p1", "status"): "ok", ("p1", "rawpower"): "ok", ("p2", "status"): "empty"}
-    assert readings_from_landed(landed).count() == 2
+    assert got == {("p1", "status"): "ok", ("p1", "rawpower"): "ok", ("p2", "status"): "empty", ("007", "status"): "ok"}
+    assert readings_from_landed(landed).count() == 3
