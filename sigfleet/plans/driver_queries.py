@@ -16,7 +16,7 @@ from sigfleet.functions.labels import file_key as file_key_col
 from sigfleet.functions.links import publication_link
 from sigfleet.functions.timefmt import format_time as format_time_col
 from sigfleet.functions.timefmt import range_end, range_start
-from sigfleet.operators import bundles, catalog_ops, latest, reports, samples, scans
+from sigfleet.operators import asof, bundles, catalog_ops, latest, reports, samples, scans
 from sigfleet.schemas import HISTORY_SIGNALS, PLACEHOLDER_BASE_URL
 from sigfleet.session import work_path
 from sigfleet.sinks import bom
@@ -60,6 +60,16 @@ def q_range_carry_in(spark, sf):
     )
 
 
+def q_range_carry_in_indexed(spark, sf):
+    """Carry-in served by the daily-last index (built here into the shared
+    folder; in production it is maintained once per day)."""
+    path = work_path(spark, "daily-last")
+    asof.write_daily_last(_r(spark, sf).select("pump_id", "signal", "time", "value", "pos"), path)
+    index = spark.read.parquet(path)
+    r = _r(spark, sf, start=CARRY[0] - dt.timedelta(days=1), end=CARRY[1]).select("pump_id", "signal", "time", "value", "pos")
+    return asof.range_carry_in_indexed(r, index, CARRY[0], CARRY[1]).select("pump_id", "signal", "time", "value")
+
+
 def q_signal_select(spark, sf):
     sigs = ["status", "rawpower", "speed", "fault"]
     r = _r(spark, sf, signals=sigs, pump_ids=[PUMP])
@@ -301,6 +311,7 @@ QUERIES = {
     "range_scan": q_range_scan,
     "range_scan_open": q_range_scan_open,
     "range_carry_in": q_range_carry_in,
+    "range_carry_in_indexed": q_range_carry_in_indexed,
     "signal_select": q_signal_select,
     "signal_counts": q_signal_counts,
     "individual_query": q_individual_query,

@@ -116,5 +116,6 @@ _PLAIN = {
 
 def oracle_sql() -> dict[str, str]:
     out = {k: R + v for k, v in _WITH_R.items()}
+    out["range_carry_in_indexed"] = out["range_carry_in"]
     out.update(_PLAIN)
     return out
