@@ -27,7 +27,9 @@ def ntz(value) -> Column:
         value = dt.datetime.fromisoformat(value.rstrip("Z"))
     if isinstance(value, dt.datetime) and value.tzinfo is not None:
         value = value.replace(tzinfo=None)
-    return F.lit(value).cast("timestamp_ntz")
+    # From ISO text: a Python datetime literal would pass through the
+    # process's local zone and the session zone on its way to NTZ.
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def parse_ntz(text, fmt: str) -> Column:

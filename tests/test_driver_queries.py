@@ -48,3 +48,20 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert rows_of(df.columns, rows) == rows_of(ocols, orows)
+
+
+TIME_QUERIES = ["range_scan", "range_carry_in", "history_export", "relative_range", "format_time", "individual_query", "result_document"]
+
+
+@pytest.mark.parametrize("name", TIME_QUERIES)
+def test_time_queries_ignore_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = entry.queries()[name](spark, SF_SMOKE)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    rel = con.execute(entry.oracle_sql()[name])
+    ocols = [d[0] for d in rel.description]
+    assert rows_of(df.columns, rows) == rows_of(ocols, rel.fetchall())
