@@ -106,4 +106,5 @@ def dedupe_last(df: DataFrame, key: str, order: str, cols) -> DataFrame:
     one in source order wins). A grouped ``max_by``: partial aggregate,
     safe when one key holds a large share of the records."""
     cols = list(cols)
-    return df.groupBy(key).agg(F.max(order).alias(order), *[F.max_by(c, order).alias(c) for c in cols])
+    last = F.max_by(F.struct(*cols), F.col(order)).alias("_m")  # one struct: the columns of one record
+    return df.groupBy(key).agg(F.max(order).alias(order), last).select(key, order, *[f"_m.{c}" for c in cols])
