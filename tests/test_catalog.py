@@ -130,3 +130,20 @@ def test_pump_type_default_and_link_lookup(spark, tmp):
     assert rows[0].h == f"{HOST}/{pid}/onoffschedule/" and rows[0].missing is None
     # the id already in the link is not repeated
     assert rows[0].pub == f"{HOST}/publication/physicalPumps/{pid}/onoffschedule/"
+
+
+def test_id_names_csv_keeps_catalogue_pairs_and_order(spark, tmp):
+    import csv
+    import glob as _glob
+
+    from sigfleet.sinks.writers import write_csv
+
+    recs = fleet()
+    write(f"{tmp}/cat/a.json", recs)
+    cat = read_catalog(spark, f"{tmp}/cat").orderBy("source_file", "source_pos")
+    write_csv(id_names(cat), f"{tmp}/ids")
+    rows = []
+    for part in sorted(_glob.glob(f"{tmp}/ids/part-*.csv")):
+        with open(part, newline="", encoding="utf-8") as f:
+            rows += [(r["id"], r["name"]) for r in csv.DictReader(f)]
+    assert rows == [(r["id"], r["name"]) for r in recs]
