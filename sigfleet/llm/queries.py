@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigfleet.llm import quality_rules
+from sigfleet.llm import corpus_sql, mixing, quality_rules
 from sigfleet.llm.common import table
 
 
@@ -27,8 +27,17 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document by the mix at weights 5, 2, 1."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(spark, docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
+    "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_mixing": corpus_sql.MIXING,
+}
