@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigfleet.llm import corpus_sql, mixing, quality_rules
+from sigfleet.llm import corpus_sql, license_scan, mixing, quality_rules
 from sigfleet.llm.common import table
 
 
@@ -33,7 +33,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return license_scan.scan(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))[0]
+
+
 QUERIES = {
+    "op8_license_scan": op8_license_scan,
     "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
 }
