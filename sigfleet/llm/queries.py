@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigfleet.llm import corpus_sql, license_scan, mixing, quality_rules
+from sigfleet.llm import corpus_sql, license_scan, mixing, pii, quality_rules
 from sigfleet.llm.common import table
 
 
@@ -27,6 +27,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern spans and disclosing terms of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = F.col("spans")
+    return pii.sanitise(spark, docs).select(
+        "doc_id",
+        *[pii.kind_count(base, k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+        pii.span_text(F.col("all_spans")).alias("spans"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix at weights 5, 2, 1."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -39,6 +51,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op8_license_scan": op8_license_scan,
     "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
