@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigfleet.llm import corpus_sql, license_scan, mixing, pii, quality_rules
+from sigfleet.llm import corpus_sql, license_scan, mixing, near_dedup, pii, quality_rules
 from sigfleet.llm.common import table
 
 
@@ -39,6 +39,17 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document (smallest doc_id of the class)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.classes(spark, docs).select(
+        "doc_id",
+        "class_id",
+        "class_size",
+        (F.col("row") == F.col("class_row")).alias("kept"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix at weights 5, 2, 1."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -53,6 +64,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op8_license_scan": op8_license_scan,
+    "op4_near_dedup": op4_near_dedup,
     "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
 }
