@@ -1,5 +1,24 @@
 """DuckDB SQL for the operators that SQL can express."""
 
+TOPK = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
+         CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e),
+              lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.r <> c.r
+  WHERE q.vec_id % 100 = 0
+), k AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM k WHERE rank <= 10
+"""
+
 MIXING = r"""
 WITH d AS (
   SELECT doc_id, source,

@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigfleet.llm import corpus_sql, license_scan, mixing, near_dedup, pii, quality_rules
+from sigfleet.llm import (
+    corpus_sql,
+    license_scan,
+    mixing,
+    near_dedup,
+    pii,
+    quality_rules,
+    token_counts,
+    topk,
+)
 from sigfleet.llm.common import table
 
 
@@ -39,6 +48,24 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Path of the tokenizer's vocabulary; a setting of the session overrides it.
+VOCABULARY = "file:///opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token length histogram of all documents with its suffix sums."""
+    vocabulary = spark.conf.get("sigfleet.llm.vocabulary", VOCABULARY)
+    lengths = token_counts.lengths(spark, table(spark, sf_dir, "documents"), vocabulary)
+    return token_counts.totals(token_counts.histogram(lengths))
+
+
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector."""
+    return topk.top_k(
+        spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10
+    )
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document (smallest doc_id of the class)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,11 +91,14 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op8_license_scan": op8_license_scan,
+    "op2_token_counts": op2_token_counts,
+    "op3_topk": op3_topk,
     "op4_near_dedup": op4_near_dedup,
     "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_topk": corpus_sql.TOPK,
     "op7_mixing": corpus_sql.MIXING,
 }
