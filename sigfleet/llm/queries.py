@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from sigfleet.llm import (
     corpus_sql,
+    language_id,
     license_scan,
     mixing,
     near_dedup,
+    packing,
     pii,
     quality_rules,
     token_counts,
@@ -77,6 +79,12 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bin of every piece of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return packing.packed_documents(spark, docs)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix at weights 5, 2, 1."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -88,14 +96,25 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))[0]
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    docs = docs.withColumn("held_out", F.coalesce(rest == 1, F.lit(False)))
+    sample = language_id.training_sample(spark, docs, ~F.col("held_out"))
+    return language_id.predict(docs, language_id.fit(sample), keep=["doc_id", "held_out"])
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op8_license_scan": op8_license_scan,
     "op2_token_counts": op2_token_counts,
     "op3_topk": op3_topk,
     "op4_near_dedup": op4_near_dedup,
+    "op5_packing": op5_packing,
     "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
