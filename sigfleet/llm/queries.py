@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sigfleet.llm import (
     corpus_sql,
+    cotraining,
     language_id,
     license_scan,
     mixing,
@@ -85,6 +86,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(spark, docs)
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Co-trained quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    sample = cotraining.training_sample(spark, docs, table(spark, sf_dir, "labels"))
+    return cotraining.score(docs, cotraining.fit(sample)).withColumn("kept", F.col("score") >= 0.5)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix at weights 5, 2, 1."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -112,6 +120,7 @@ QUERIES = {
     "op3_topk": op3_topk,
     "op4_near_dedup": op4_near_dedup,
     "op5_packing": op5_packing,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
