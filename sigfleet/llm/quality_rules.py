@@ -400,4 +400,7 @@ def filter_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame) ->
     """The documents that the base rule and the learned list keep."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
     scored = score(docs, fit(spark, docs, labels))
-    return scored.where(F.col("qrule")["kept"]).select(*columns)
+    # A plain filter would be pushed below the projections and compute the
+    # statistics within the predicate once more; a generator is not crossed.
+    verdict = F.explode_outer(F.when(F.col("qrule")["kept"], F.array(F.lit(True))))
+    return scored.select(*columns, verdict.alias("qkept")).where("qkept").select(*columns)
