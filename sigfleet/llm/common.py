@@ -35,6 +35,16 @@ def count_chars(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
 
 
+def packed_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, safe from clashing names."""
+    return F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns])
+
+
+def unpacked(column: str, names: list[str]) -> list[Column]:
+    """The columns of a :func:`packed_row` again."""
+    return [F.col(column)[c].alias(c) for c in names]
+
+
 def text_key(text: Column) -> Column:
     """128-bit key of a text: equal texts, equal keys (null apart from '')."""
     return F.struct(

@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sigfleet.llm.common import stored, whole, word_array
+from sigfleet.llm.common import packed_row, stored, unpacked, whole, word_array
 
 WEIGHTS = (5.0, 2.0, 1.0)
 ROWS_PER_BUCKET = 16_384
@@ -196,10 +196,9 @@ def mix_documents(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
         .groupBy("digest")
         .agg(F.sort_array(F.collect_list("copies")).alias("mix_copies"))
     )
-    columns = list(docs.columns)
     packed = docs.select(
-        digest(docs[id_col], docs[text_col]).alias("digest"),
-        F.struct(*[docs[c] for c in columns]).alias("row"),
+        digest(F.col(id_col), F.col(text_col)).alias("digest"),
+        packed_row(docs).alias("row"),
     )
     # Rows that agree in id and text share one list: the n-th takes its n-th count.
     nth = F.row_number().over(Window.partitionBy("digest").orderBy("digest"))
@@ -209,5 +208,5 @@ def mix_documents(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
         .withColumn("times", F.coalesce(F.get("mix_copies", F.col("nth") - 1), F.lit(0)))
         .where("times > 0")
         .select(F.col("row"), F.explode(F.sequence(F.lit(1), F.col("times"))))
-        .select(*[F.col("row")[c].alias(c) for c in columns])
+        .select(*unpacked("row", docs.columns))
     )

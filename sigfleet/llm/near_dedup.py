@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sigfleet.llm import bagminhash as bmh
-from sigfleet.llm.common import stored, text_key
+from sigfleet.llm.common import packed_row, stored, text_key, unpacked
 from sigfleet.llm.components import components
 from sigfleet.llm.groups import grouped
 
@@ -341,13 +341,12 @@ def dedup_documents(
     """``docs`` with one document of each class: the one of smallest id."""
     placed = classes(spark, docs, id_col=id_col, text_col=text_col, **how)
     kept = placed.where("row = class_row").select("doc_id", "ka", "kb")
-    columns = list(docs.columns)
-    key = text_key(docs[text_col])
+    key = text_key(F.col(text_col))
     packed = docs.select(
-        docs[id_col].cast("long").alias("doc"),
+        F.col(id_col).cast("long").alias("doc"),
         key["a"].alias("ka"),
         key["b"].alias("kb"),
-        F.struct(*[docs[c] for c in columns]).alias("whole_row"),
+        packed_row(docs).alias("whole_row"),
     )
     # Rows that agree in id and text are interchangeable: as many stay as were kept.
     counted = kept.groupBy("doc_id", "ka", "kb").agg(F.count("*").alias("stay"))
@@ -358,5 +357,5 @@ def dedup_documents(
         .join(counted.alias("k"), same)
         .select("whole_row", "stay", nth.alias("nth"))
         .where("nth <= stay")
-        .select(*[F.col("whole_row")[c].alias(c) for c in columns])
+        .select(*unpacked("whole_row", docs.columns))
     )

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigfleet.llm.common import count_chars, stored, whole, word_array
+from sigfleet.llm.common import count_chars, packed_row, stored, unpacked, whole, word_array
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -49,12 +49,12 @@ def document_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     An input column of that name is replaced.
     """
-    other = [docs[c] for c in docs.columns if c != "qstat"]
-    text = whole(docs[text_col])
+    other = [F.col(f"`{c}`") for c in docs.columns if c != "qstat"]
+    text = whole(F.col(text_col))
     base = docs.select(
         *other,
         F.struct(
-            word_array(docs[text_col]).alias("w"),
+            word_array(F.col(text_col)).alias("w"),
             F.split(text, "\n").alias("lines"),
             F.length(F.translate(text, "\x20\x09\x0a\x0b\x0c\x0d", "")).alias("word_chars"),
             count_chars(text, SYMBOLS).alias("n_symbols"),
@@ -398,9 +398,13 @@ def score(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFra
 
 def filter_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the base rule and the learned list keep."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    scored = score(docs, fit(spark, docs, labels))
+    packed = docs.select(packed_row(docs).alias("doc"), F.col("text"))
+    scored = score(packed, fit(spark, docs, labels))
     # A plain filter would be pushed below the projections and compute the
     # statistics within the predicate once more; a generator is not crossed.
     verdict = F.explode_outer(F.when(F.col("qrule")["kept"], F.array(F.lit(True))))
-    return scored.select(*columns, verdict.alias("qkept")).where("qkept").select(*columns)
+    return (
+        scored.select("doc", verdict.alias("kept"))
+        .where("kept")
+        .select(*unpacked("doc", docs.columns))
+    )
