@@ -11,9 +11,10 @@ with their file and position so "last record wins" (A5) is well defined.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 
 from sigfleet.functions.links import discovered_links
 from sigfleet.operators.reports import dedupe_last
@@ -36,8 +37,14 @@ def catalog_records(docs: DataFrame) -> DataFrame:
     doc = F.col("doc")
     head = F.substring(F.regexp_replace(doc, r"^\s+", ""), 1, 1)
     arr = F.when(head == "[", doc).when(head == "{", F.get_json_object(doc, "$.results"))
-    recs = docs.select("source_file", F.from_json(arr, "array<map<string,string>>").alias("_a"))
-    x = recs.select("source_file", F.posexplode("_a").alias("source_pos", "_m"))
+    # Record by record: one that is no object is left out alone.
+    recs = docs.select("source_file", F.from_json(arr, "array<string>").alias("_a"))
+    x = (
+        recs.select("source_file", F.posexplode("_a").alias("source_pos", "_e"))
+        .where(F.ltrim("_e").startswith("{"))
+        .withColumn("_m", F.from_json("_e", "map<string,string>"))
+        .where(F.col("_m").isNotNull())
+    )
     m = F.col("_m")
     return x.select(
         m["id"].alias("pump_id"),
@@ -68,7 +75,9 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """
     try:
         docs = _documents(spark, path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], _EMPTY_DDL)
     return catalog_records(docs)
 
@@ -89,5 +98,5 @@ def catalog_with_fallback(spark: SparkSession, primary_path: str, snapshot_path:
         docs = _documents(spark, primary_path)
         docs.limit(1).count()  # forces listing; a transport-level failure raises here
         return catalog_records(docs).withColumn("origin", F.lit("primary"))
-    except Exception:  # noqa: BLE001 - any read failure means "use the snapshot"
+    except (PySparkException, Py4JJavaError):  # missing, unreadable or broken storage
         return read_catalog(spark, snapshot_path).withColumn("origin", F.lit("snapshot"))

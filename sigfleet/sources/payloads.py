@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sigfleet.schemas import BOM, READING_ARRAY_DDL
+from sigfleet.schemas import BOM, READING_STRUCT
 
 # Collector error codes that mean "nothing was fetched" (no body).
 NO_PUMP = "no_pump"
@@ -41,28 +41,56 @@ def body_text(body) -> Column:
     return F.when(text.startswith(BOM), F.substring(text, 2, 2147483647)).otherwise(text)
 
 
-def text_outcome(text) -> Column:
-    """Outcome class of decoded text (no transport information).
+def is_one_document(text) -> Column:
+    """Whether the text is exactly one JSON value.
 
-    Validity is decided by the parse that the kind needs anyway
-    (``json_array_length`` for arrays, ``json_object_keys`` for objects,
-    both null on broken JSON) plus a check that the text ends with the
-    bracket that closes its first one, so trailing text is refused too.
+    Spark's JSON functions stop after the first complete value. So the text
+    is parsed as the only member of an object and as the only element of an
+    array: text after its end breaks at least one of the two, or shows as a
+    second member.
     """
     t = _col(text)
+    member = F.concat(F.lit('{"x":'), t, F.lit("}"))
+    element = F.concat(F.lit("["), t, F.lit("]"))
+    return F.coalesce(
+        F.try_parse_json(member).isNotNull()
+        & (F.size(F.json_object_keys(member)) == 1)
+        & (F.json_array_length(element) == 1),
+        F.lit(False),
+    )
+
+
+def text_outcome(text) -> Column:
+    """Outcome class of decoded text (no transport information)."""
+    t = _col(text)
     s = F.btrim(t, F.lit(BLANKS))
     head = F.left(s, F.lit(1))
-    tail = F.right(s, F.lit(1))
-    n = F.json_array_length(t)
+    one = is_one_document(t)
     return (
         F.when(t.isNull(), F.lit("error"))
         .when(s == "", F.lit("empty"))
-        .when((head == "[") & (tail == "]") & n.isNotNull(), F.when(n == 0, F.lit("empty")).otherwise(F.lit("ok")))
-        .when((head == "{") & (tail == "}") & F.json_object_keys(t).isNotNull(), F.lit("object"))
+        .when(
+            (head == "[") & one,
+            F.when(F.json_array_length(t) == 0, F.lit("empty")).otherwise(F.lit("ok")),
+        )
+        .when((head == "{") & one, F.lit("object"))
         .otherwise(F.lit("malformed"))
     )
 
 
+def array_elements(text) -> Column:
+    """The elements of a JSON array, each as JSON text (a bad one is only
+    itself; a JSON null is a null)."""
+    return F.from_json(_col(text), "array<string>")
+
+
+def reading_of(element) -> Column:
+    """A reading struct from an element's text; null unless it is an object."""
+    e = _col(element)
+    is_object = F.startswith(F.btrim(e, F.lit(BLANKS)), F.lit("{"))
+    return F.when(is_object, F.from_json(e, READING_STRUCT))
+
+
 def outcome(landed: DataFrame) -> Column:
     """Outcome of a landed fetch: transport first, then the body."""
     err = F.col("error")
@@ -102,12 +130,12 @@ def fetch_outcomes(landed: DataFrame) -> DataFrame:
 
 
 def readings_from_landed(landed: DataFrame) -> DataFrame:
-    """Canonical readings from the ``ok`` payloads; ``pos`` = index in payload."""
-    text = body_text("body")
-    ok = landed.where(outcome(landed) == "ok").select(
-        "pump_id", "signal", "detailed", F.from_json(text, READING_ARRAY_DDL).alias("_a")
-    )
-    x = ok.select("pump_id", "signal", "detailed", F.posexplode("_a").alias("pos", "_r"))
+    """Canonical readings from the ``ok`` payloads; ``pos`` = index in payload.
+
+    Elements are decoded one by one: one that is no object gives no reading
+    and costs only itself (:func:`payload_elements` counts them).
+    """
+    x = _elements(landed).where(F.col("_r").isNotNull())
     return x.select(
         "pump_id",
         "signal",
@@ -119,6 +147,24 @@ def readings_from_landed(landed: DataFrame) -> DataFrame:
     )
 
 
+def _elements(landed: DataFrame) -> DataFrame:
+    ok = landed.select("*", outcome(landed).alias("_o"), body_text("body").alias("_t"))
+    arrays = ok.where(F.col("_o") == "ok").select(
+        "pump_id", "signal", "detailed", "fetched_at", array_elements("_t").alias("_a")
+    )
+    x = arrays.select(
+        "pump_id", "signal", "detailed", "fetched_at", F.posexplode_outer("_a").alias("pos", "_e")
+    )
+    return x.withColumn("_r", reading_of("_e"))
+
+
+def payload_elements(landed: DataFrame) -> DataFrame:
+    """Per pump and series: array elements, and those that are no reading."""
+    return _elements(landed).groupBy("pump_id", "signal", "detailed").agg(
+        F.count(F.lit(1)).alias("elements"), F.count_if(F.col("_r").isNull()).alias("rejected")
+    )
+
+
 def reading_time(text) -> Column:
     """Service time text (``...Z``, UTC) -> ``TIMESTAMP_NTZ`` wall clock."""
     return F.regexp_replace(_col(text), "Z$", "").try_cast("timestamp_ntz")
@@ -156,7 +202,9 @@ def read_landed_files(spark, path: str, pump_id: str | None = None, signal: str
     """Landed payload files (one body per file) as landed rows.
 
     ``binaryFile`` reads each file whole in one task; a partitioned layout
-    (``pump_id=…/signal=…``) or other columns carry the pump and signal.
+    (``pump_id=…/signal=…``) carries the pump and signal, and where present
+    ``detailed``, ``http_status`` and ``error`` (a failed fetch is landed as
+    an empty file under its code).
     Zero-byte files, which the scan skips, are added back as empty bodies.
     """
     files = spark.read.format("binaryFile").load(path)
@@ -171,12 +219,19 @@ def read_landed_files(spark, path: str, pump_id: str | None = None, signal: str
             *[F.regexp_extract("path", f"/{c}=([^/]+)/", 1).cast(files.schema[c].dataType).alias(c) for c in extra],
         )
         files = files.unionByName(z)
+    here = lambda name: F.col(name) if name in files.columns else F.lit(None)
     return files.select(
         _text_of(files, pump_id).alias("pump_id"),
         _text_of(files, signal).alias("signal"),
-        F.lit(False).alias("detailed"),
-        F.col("modificationTime").cast("timestamp_ntz").alias("fetched_at"),
-        F.lit(200).alias("http_status"),
-        F.lit(None).cast("string").alias("error"),
+        F.coalesce(here("detailed").cast("string").try_cast("boolean"), F.lit(False)).alias(
+            "detailed"
+        ),
+        F.to_utc_timestamp(F.col("modificationTime").cast("timestamp_ntz"), F.current_timezone())
+        .cast("timestamp_ntz")
+        .alias("fetched_at"),
+        F.coalesce(here("http_status").cast("string").try_cast("int"), F.lit(200)).alias(
+            "http_status"
+        ),
+        here("error").cast("string").alias("error"),
         F.col("content").alias("body"),
     )

@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigfleet.schemas import ENDPOINTS, READING_ARRAY_DDL, RESULT_DOC_SCHEMA
-from sigfleet.sources.payloads import reading_time
+from sigfleet.schemas import ENDPOINTS, RESULT_DOC_SCHEMA
+from sigfleet.sources.payloads import array_elements, reading_of, reading_time
 
 
 def _endpoint_map(part: int) -> Column:
@@ -48,9 +48,9 @@ def result_doc_readings(docs: DataFrame) -> DataFrame:
         F.explode(parts).alias("_ep", "_arr"),
     )
     x = base.select(
-        "pump_id", "name", "endpoint", "_ep", F.posexplode(F.from_json("_arr", READING_ARRAY_DDL)).alias("pos", "_r")
-    )
-    return x.select(
+        "pump_id", "name", "endpoint", "_ep", F.posexplode(array_elements("_arr")).alias("pos", "_e")
+    ).withColumn("_r", reading_of("_e"))
+    return x.where(F.col("_r").isNotNull()).select(
         "pump_id",
         "name",
         "endpoint",

@@ -37,19 +37,24 @@ def write(path, obj, bom=True):
         f.write((BOM if bom else "") + text)
 
 
-def fleet(n=73):
-    # Names "EB<station> G<unit>", ordered by id, not by name.
-    return [record(i, f"EB{i % 25} G{i % 4 + 1}") for i in range(n)]
+def fleet(n=60):
+    # Names "north<station> u<unit>", ordered by id, not by name.
+    return [record(i, f"north{i % 25} u{i % 4 + 1}") for i in range(n)]
 
 
 def test_scan_bare_array_with_bom(spark, tmp):
     write(f"{tmp}/cat/a.json", fleet())
     df = read_catalog(spark, f"{tmp}/cat")
-    assert df.count() == 73
-    assert df.select(F.sum(F.size("links"))).first()[0] == 73 * 16
+    assert df.count() == 60
+    assert df.select(F.sum(F.size("links"))).first()[0] == 60 * 16
     assert [r.source_pos for r in df.orderBy("source_pos").limit(3).collect()] == [0, 1, 2]
 
 
+def test_bad_records_cost_only_themselves(spark, tmp):
+    write(f"{tmp}/cat/a.json", [record(0, "north1 u1"), 5, None, "x", [1], record(1, "north1 u2")])
+    assert [r.name for r in read_catalog(spark, f"{tmp}/cat").collect()] == ["north1 u1", "north1 u2"]
+
+
 def test_scan_envelope_and_other_shapes(spark, tmp):
     write(f"{tmp}/env/a.json", {"results": fleet(5)}, bom=False)
     write(f"{tmp}/other/a.json", {"items": fleet(5)})
@@ -61,7 +66,7 @@ def test_scan_envelope_and_other_shapes(spark, tmp):
 
 
 def test_link_discovery_and_count(spark, tmp):
-    recs = [record(0, "EB3 G4"), record(1, "EB3 G1", drop_key="speed/detailed")]
+    recs = [record(0, "south3 u4"), record(1, "south3 u1", drop_key="speed/detailed")]
     recs[0]["note"] = "plain text, not a link"
     write(f"{tmp}/cat/a.json", recs)
     cat = read_catalog(spark, f"{tmp}/cat")
@@ -73,7 +78,7 @@ def test_link_discovery_and_count(spark, tmp):
 
 
 def test_missing_fields_defaults_and_valid_ids(spark, tmp):
-    recs = [record(0, "EB1 G1"), record(1, None), record(2, "EB2 G1", with_id=False), record(3, "EB2 G2", with_id="")]
+    recs = [record(0, "north1 u1"), record(1, None), record(2, "south2 u1", with_id=False), record(3, "south2 u2", with_id="")]
     write(f"{tmp}/cat/a.json", recs)
     cat = read_catalog(spark, f"{tmp}/cat")
     assert valid_ids(cat).count() == 2
@@ -93,12 +98,12 @@ def test_repeated_id_last_wins(spark, tmp):
 def test_name_filter_substring_and_token(spark, tmp):
     write(f"{tmp}/cat/a.json", fleet())
     cat = read_catalog(spark, f"{tmp}/cat")
-    sub = name_filter(cat, ["EB1"]).count()
-    tok = name_filter(cat, ["EB1"], match="prefix_token").count()
-    exact = cat.where(F.col("name").startswith("EB1 ")).count()
-    many = cat.where(F.col("name").contains("EB1")).count()
+    sub = name_filter(cat, ["north1"]).count()
+    tok = name_filter(cat, ["north1"], match="prefix_token").count()
+    exact = cat.where(F.col("name").startswith("north1 ")).count()
+    many = cat.where(F.col("name").contains("north1")).count()
     assert sub == many and tok == exact and tok < sub
-    assert name_filter(cat, None).count() == 73
+    assert name_filter(cat, None).count() == 60
 
 
 def test_fallback_only_when_primary_unreadable(spark, tmp):
@@ -115,7 +120,7 @@ def test_fallback_only_when_primary_unreadable(spark, tmp):
 def test_pump_type_default_and_link_lookup(spark, tmp):
     from sigfleet.functions.links import link_href, publication_link
 
-    recs = [record(0, "EB3 G4"), record(1, "EB3 G1")]
+    recs = [record(0, "south3 u4"), record(1, "south3 u1")]
     recs[1]["type"] = "Booster"
     write(f"{tmp}/cat/a.json", recs)
     cat = read_catalog(spark, f"{tmp}/cat").orderBy("source_pos")

@@ -1,11 +1,11 @@
 import datetime as dt
 
 from sigfleet.schemas import LANDED_SCHEMA
-from sigfleet.sources.payloads import fetch_outcomes, readings_from_landed
+from sigfleet.sources.payloads import fetch_outcomes, payload_elements, readings_from_landed
 
 BOM = b"\xef\xbb\xbf"
-ONE = b'[{"time": "2025-10-23T15:00:00Z", "value": 1.0, "validity": 0}]'
-FETCHED = dt.datetime(2025, 10, 24, 15, 0, 0)
+ONE = b'[{"time": "2031-02-03T04:05:06Z", "value": 7.5, "validity": 3}]'
+FETCHED = dt.datetime(2031, 2, 4)
 
 # (case, body, http_status, error, expected outcome)
 CASES = [
@@ -16,9 +16,18 @@ CASES = [
     ("bom_only", BOM, 200, None, "empty"),
     ("empty_array", b"[]", 200, None, "empty"),
     ("not_json", b"not json", 200, None, "malformed"),
-    ("truncated", b'[{"time": "2025-10-23T15:00:00Z", "val', 200, None, "malformed"),
+    ("truncated", b'[{"time": "2031-02-03T04:05:06Z", "val', 200, None, "malformed"),
     ("trailing_text", ONE + b" x", 200, None, "malformed"),
     ("object_trailing_text", b'{"a": 1} x', 200, None, "malformed"),
+    ("two_arrays", b"[1] [2]", 200, None, "malformed"),
+    ("two_arrays_comma", b"[1],[2]", 200, None, "malformed"),
+    ("extra_bracket", b"[1]]", 200, None, "malformed"),
+    ("two_objects", b'{"a": 1}{"b": 2}', 200, None, "malformed"),
+    ("two_objects_comma", b'{"a": 1},{"b": 2}', 200, None, "malformed"),
+    ("extra_brace", b'{"a": 1}}', 200, None, "malformed"),
+    ("member", b'[1],"x":[2]', 200, None, "malformed"),
+    ("closes_and_opens", b'[1]} {"y":[2]', 200, None, "malformed"),
+    ("single_quotes", b"['a']", 200, None, "malformed"),
     ("scalar", b"42", 200, None, "malformed"),
     ("json_null", b"null", 200, None, "malformed"),
     ("empty_object", b"{}", 200, None, "object"),
@@ -54,8 +63,16 @@ def test_readings_only_from_ok_bodies(spark):
     rows = readings_from_landed(landed(spark)).collect()
     assert sorted(r["pump_id"] for r in rows) == ["array", "array_bom"]
     r = rows[0]
-    assert r["time"] == dt.datetime(2025, 10, 23, 15, 0, 0)
-    assert r["value"] == 1.0 and r["validity"] == 0 and r["pos"] == 0
+    assert r["time"] == dt.datetime(2031, 2, 3, 4, 5, 6)
+    assert r["value"] == 7.5 and r["validity"] == 3 and r["pos"] == 0
+
+
+def test_bad_elements_cost_only_themselves(spark):
+    body = b"[" + ONE[1:-1] + b', 5, null, "x", [1], ' + ONE[1:-1] + b"]"
+    df = spark.createDataFrame([("p", "status", True, FETCHED, 200, None, body)], LANDED_SCHEMA)
+    assert [(r.pos, r.detailed, r.value) for r in readings_from_landed(df).collect()] == [(0, True, 7.5), (5, True, 7.5)]
+    (r,) = payload_elements(df).collect()
+    assert (r.elements, r.rejected) == (6, 4)
 
 
 def test_object_body_never_a_row_of_nulls(spark):
@@ -77,3 +94,23 @@ def test_landed_files_with_partitioned_layout(spark, tmp):
     got = {(r.pump_id, r.signal): r.outcome for r in fetch_outcomes(landed).collect()}
     assert got == {("p1", "status"): "ok", ("p1", "rawpower"): "ok", ("p2", "status"): "empty", ("007", "status"): "ok"}
     assert readings_from_landed(landed).count() == 3
+
+
+def test_landed_folders_carry_series_and_transport(spark, tmp):
+    import os
+
+    from sigfleet.sources.payloads import read_landed_files
+
+    cases = [("p1", "true", "200", "none", ONE), ("p2", "false", "503", "none", b"x"), ("p3", "false", "200", "no_pump", b"x")]
+    for pump, det, code, err, body in cases:
+        d = f"{tmp}/landed/pump_id={pump}/signal=status/detailed={det}/http_status={code}"
+        if err != "none":
+            d += f"/error={err}"
+        else:
+            d += "/error=__HIVE_DEFAULT_PARTITION__"
+        os.makedirs(d)
+        with open(f"{d}/body.json", "wb") as f:
+            f.write(body)
+    landed = read_landed_files(spark, f"{tmp}/landed", pump_id="pump_id", signal="signal")
+    got = {r.pump_id: (r.detailed, r.outcome) for r in fetch_outcomes(landed).collect()}
+    assert got == {"p1": (True, "ok"), "p2": (False, "error"), "p3": (False, "no_pump")}
