@@ -25,7 +25,7 @@ import sys
 
 from pyspark.sql import functions as F
 
-from sigfleet.functions.timefmt import range_end, range_start
+from sigfleet.functions.timefmt import lookback_number, range_end, range_start
 from sigfleet.operators import bundles, latest, reports, scans
 from sigfleet.plans.ingest import ingest_catalog, ingest_payloads
 from sigfleet.schemas import ENDPOINTS, READINGS_SCHEMA
@@ -37,7 +37,7 @@ from sigfleet.streaming import monitors
 
 
 def _now(args) -> dt.datetime:
-    return dt.datetime.fromisoformat(args.now) if args.now else dt.datetime.now().replace(microsecond=0)
+    return dt.datetime.fromisoformat(args.now) if args.now else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
 def _range(spark, start_text: str, end_text: str, now: dt.datetime):
@@ -81,13 +81,13 @@ def cmd_report(spark, args):
     if args.faults_from:
         rows = reports.outcome_report_rows(pumps, spark.read.parquet(args.faults_from))
     else:
-        rows = reports.report_rows(pumps, scan_readings(spark, args.readings, signals=["fault", "status", "rawpower"]))
+        rows = reports.report_rows(pumps, scan_readings(spark, args.readings))
     writers.report_documents(reports.fleet_summary(rows), rows, args.out, _now(args))
 
 
 def cmd_history(spark, args):
     now = _now(args)
-    start = now - dt.timedelta(hours=args.hours)
+    start = now - dt.timedelta(hours=lookback_number(args.hours))
     r = scan_readings(spark, args.readings, pump_ids=args.pump, start=start, end=now)
     doc = bundles.history_document(r, now, args.hours)
     doc.write.mode("overwrite").json(args.out)
@@ -140,7 +140,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--faults-from", default=None)
     h = sub.add_parser("history")
     common(h, pumps=False)
-    h.add_argument("--hours", type=int, default=24)
+    h.add_argument("--hours", default="24")
     ip = sub.add_parser("ingest-payloads")
     ip.add_argument("--landed", required=True)
     ip.add_argument("--readings", required=True)

@@ -18,9 +18,14 @@ def default_name(name) -> Column:
     return F.coalesce(_col(name), F.lit(NO_NAME))
 
 
+def utc_now() -> Column:
+    """The clock as UTC wall clock, whatever the session zone."""
+    return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
+
+
 def file_stamp(now=None) -> Column:
     """``yyyyMMdd_HHmmss`` of ``now`` (the job argument) or of the clock."""
-    t = F.current_timestamp() if now is None else ntz(now)
+    t = utc_now() if now is None else ntz(now)
     return F.date_format(t, FILE_STAMP_FORMAT)
 
 

@@ -1,20 +1,19 @@
 """Bundles, counts and series documents.
 
-Series are gathered in two levels: first per key and calendar day, then the
-day pieces per key in day order. A hot pump is therefore split across its
-days on the first shuffle (each piece is bounded by one day of one sensor)
-and the second level only moves one piece per day.
+Series are gathered in chunks of a bucket of time: a document of a pump is a
+run of chunk rows, complete and in order, never one row with all its history.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigfleet.functions.labels import points_label
-from sigfleet.functions.timefmt import lookback_start, ntz
+from sigfleet.functions.timefmt import lookback_number, ntz
 from sigfleet.operators.scans import range_scan
 from sigfleet.schemas import HISTORY_SIGNALS, TOTAL_LABEL
 
@@ -37,61 +36,86 @@ def signal_counts(readings: DataFrame, signals) -> DataFrame:
     return rows.select("signal", "points", points_label("points").alias("label"))
 
 
-def _day_pieces(readings: DataFrame, keys, render: str, keep=None) -> DataFrame:
-    """Per key and day: count and the ordered piece of the series.
+# Hours of a day that one series chunk covers (a divisor of 24).
+BUCKET = 1
 
-    With ``keep`` (a boolean column), rows failing it still form their key
-    group but add nothing to its piece (the piece is null / empty).
-    """
-    day = F.to_date("time").alias("_day")
-    flt = ""
-    if keep is not None:
-        readings = readings.withColumn("_keep", keep)
-        flt = " filter (where _keep)"
-    if render == "pos":
-        piece = F.expr(f"listagg(cast(pos as string), ',') within group (order by time, pos){flt}")
-    else:
-        piece = F.expr(f"array_sort(collect_list(struct(time, pos, value, validity)){flt})")
-    n = F.count_if(F.col("_keep")) if keep is not None else F.count(F.lit(1))
-    return readings.groupBy(*keys, day).agg(n.alias("_n"), piece.alias("_p"))
-
-
-def _join_pieces(render: str, where: str | None = None):
-    """Aggregate expression joining day pieces in day order."""
-    flt = f" filter (where {where})" if where else ""
-    if render == "pos":
-        return F.expr(f"listagg(_p, ',') within group (order by _day){flt}")
-    pieces = F.expr(f"array_sort(collect_list(struct(_day, _p)){flt})")
-    return F.flatten(F.transform(pieces, lambda x: x["_p"]))
-
-
-def series_documents(readings: DataFrame, keys=("pump_id", "signal"), render: str = "array") -> DataFrame:
-    """One row per key with ``points`` and the whole ordered series.
-
-    ``render='array'`` -> ``datos array<struct<time,pos,value,validity>>``;
-    ``render='pos'`` -> ``datos_pos`` = positions joined by commas.
+
+def bucket_of(bucket: int = BUCKET):
+    """Start (NTZ) of the bucket of a day that a reading's ``time`` lies in."""
+    hour = F.floor(F.hour("time") / bucket) * bucket
+    return F.to_date("time").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour.cast("int"))
+
+
+def series_array(where=None):
+    """Aggregate: ordered ``array<struct<time,pos,value,validity>>`` of the
+    readings (matching ``where``); empty when there is none."""
+    one = F.struct("time", "pos", "value", "validity")
+    return F.array_sort(F.collect_list(one if where is None else F.when(where, one)))
+
+
+def series_chunks(
+    readings: DataFrame, keys=("pump_id", "signal", "detailed"), bucket: int = BUCKET
+) -> DataFrame:
+    """``keys, chunk, points, datos``: the series of a key in chunks.
+
+    A chunk holds the readings of one ``bucket`` hours in order; chunks in
+    order of ``chunk`` are the whole series. A hot pump is thereby dealt by
+    time, and no row or task grows with its history.
     """
     keys = list(keys)
-    pieces = _day_pieces(readings, keys, render)
-    name = "datos_pos" if render == "pos" else "datos"
-    return pieces.groupBy(*keys).agg(F.sum("_n").alias("points"), _join_pieces(render).alias(name))
+    return readings.groupBy(*keys, bucket_of(bucket).alias("chunk")).agg(
+        F.count(F.lit(1)).alias("points"), series_array().alias("datos")
+    )
 
 
 def history(readings: DataFrame, now, hours=24, signals=HISTORY_SIGNALS, pump_ids=None) -> DataFrame:
-    """Readings of the history signals over the last ``hours`` hours."""
-    start = lookback_start(hours, now)
-    df = range_scan(readings, pump_ids=pump_ids, signals=signals)
-    return df.where((F.col("time") >= start) & (F.col("time") <= ntz(now)))
+    """Detailed readings of the history signals over the last ``hours``
+    hours (a number, or the text a user typed)."""
+    h = lookback_number(hours)
+    start = now - dt.timedelta(hours=h)
+    return range_scan(readings, pump_ids, signals, start, now, detailed=True)
 
 
 def history_document(readings: DataFrame, now, hours=24, signals=HISTORY_SIGNALS) -> DataFrame:
-    """U3 document: per pump ``periodo`` and ``datos`` = map signal -> series."""
-    docs = series_documents(history(readings, now, hours, signals), ("pump_id", "signal"), "array")
-    start = lookback_start(hours, now)
-    return docs.groupBy("pump_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("signal", "datos"))).alias("datos")
-    ).select(
-        F.col("pump_id").alias("bomba_id"),
-        F.struct(start.alias("inicio"), ntz(now).alias("fin"), F.lit(int(hours)).alias("horas")).alias("periodo"),
-        "datos",
+    """U3 document: per pump and chunk ``periodo`` and ``datos`` = map
+    signal -> series in the service's form."""
+    h = lookback_number(hours)
+    chunks = series_chunks(history(readings, now, hours, signals))
+    one = F.struct("signal", service_items("datos"))
+    return (
+        chunks.groupBy("pump_id", "chunk")
+        .agg(F.map_from_entries(F.collect_list(one)).alias("datos"))
+        .select(
+            F.col("pump_id").alias("bomba_id"),
+            F.struct(
+                ntz(now - dt.timedelta(hours=h)).alias("inicio"),
+                ntz(now).alias("fin"),
+                F.lit(h).alias("horas"),
+            ).alias("periodo"),
+            F.col("chunk").alias("parte"),
+            "datos",
+        )
+    )
+
+
+def service_time(col):
+    """``yyyy-MM-ddTHH:mm:ss[.ffffff]Z``: fractions only where there are any."""
+    whole = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss")
+    micro = F.date_format(col, "SSSSSS")
+    return F.concat(
+        whole,
+        F.when(micro == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micro)),
+        F.lit("Z"),
+    )
+
+
+def service_items(column: str):
+    """A series array as the service sends it: no position, times as text."""
+    return F.transform(
+        F.col(column),
+        lambda x: F.struct(
+            service_time(x["time"]).alias("time"),
+            x["value"].alias("value"),
+            x["validity"].alias("validity"),
+        ),
     )

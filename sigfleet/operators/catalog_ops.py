@@ -122,10 +122,10 @@ def with_fallback(primary: DataFrame, snapshot: DataFrame, outcomes: DataFrame,
 
     ``outcomes(unit, outcome)`` has one row per load unit (file, partition);
     an unexpected shape or an empty load is *not* an error and does not fall
-    back. Two semi joins; AQE broadcasts ``outcomes`` when it is small.
+    back, nor does a unit without an outcome. An anti and a semi join; AQE
+    broadcasts ``outcomes`` when it is small.
     """
-    failed = outcomes.where(F.col("outcome") == "error").select(unit)
-    fine = outcomes.where(F.col("outcome") != "error").select(unit)
-    keep = primary.join(fine, unit, "left_semi")
+    failed = outcomes.where(F.col("outcome") == "error").select(unit).distinct()
+    keep = primary.join(failed, unit, "left_anti")
     repl = snapshot.join(failed, unit, "left_semi")
     return keep.unionByName(repl)

@@ -18,23 +18,31 @@ from sigfleet.functions.ordering import last_of
 WIDE_PREFIX = {"status": "status", "rawpower": "power"}
 
 
-def latest_per_signal(readings: DataFrame, keys=("pump_id", "signal"), fields=("value",)) -> DataFrame:
-    """``(keys..., time, fields...)`` of the last reading per key."""
+def latest_per_signal(readings: DataFrame, keys=("pump_id", "signal", "detailed"), fields=("value",)) -> DataFrame:
+    """``(keys..., time, fields...)`` of the last reading per key; the plain
+    and the detailed series of a signal are two series."""
     keys = list(keys)
     cols = ["time", *fields]
     return readings.groupBy(*keys).agg(last_of(cols).alias("_l")).select(*keys, *[f"_l.{c}" for c in cols])
 
 
-def latest_wide(pumps: DataFrame, readings: DataFrame, signals=WIDE_PREFIX) -> DataFrame:
+def latest_wide(
+    pumps: DataFrame, readings: DataFrame, signals=WIDE_PREFIX, detailed: bool = False
+) -> DataFrame:
     """One row per catalogue pump with ``<prefix>_value``/``<prefix>_time``
-    per signal; null where the pump has no reading of that signal.
+    per signal, plain or detailed; null where the pump has no such reading.
 
     One aggregation (one shuffle on ``pump_id``) produces every signal's
     latest value at once, then a left join keeps pumps without data. The
     join strategy is left to AQE, which broadcasts a side only when its
     measured size is under the threshold.
     """
-    aggs = [last_of(["value", "time"], F.col("signal") == sig).alias(f"_{p}") for sig, p in signals.items()]
+    aggs = [
+        last_of(
+            ["value", "time"], (F.col("signal") == sig) & (F.col("detailed") == F.lit(detailed))
+        ).alias(f"_{p}")
+        for sig, p in signals.items()
+    ]
     cols = []
     for p in signals.values():
         cols += [F.col(f"_{p}.value").alias(f"{p}_value"), F.col(f"_{p}.time").alias(f"{p}_time")]

@@ -6,11 +6,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sigfleet.operators.bundles import _day_pieces, _join_pieces
+from sigfleet.operators.bundles import BUCKET, bucket_of, series_array
 from sigfleet.operators.latest import latest_per_signal
 
 # Column prefix per signal in the wide record.
-WIDE_SIGNALS = {"status": "status", "rawpower": "power", "fault": "fault"}
+WIDE_SIGNALS = {
+    "status": "status",
+    "rawpower": "power",
+    "speed": "speed",
+    "fault": "faults",
+    "inservice": "inservice",
+}
 
 
 def pump_flags(readings: DataFrame, fault_pred: Column | None = None) -> DataFrame:
@@ -69,30 +75,42 @@ def fleet_summary(rows: DataFrame) -> DataFrame:
     )
 
 
-def wide_record(readings: DataFrame, signals=WIDE_SIGNALS, render: str = "array") -> DataFrame:
-    """One row per pump with any reading, one series column per signal.
-
-    One grouped pass, not one join per signal. First level: per ``(pump,
-    signal, day)`` the ordered piece of the wanted signals; rows of other
-    signals collapse into one key-only group per pump (so every pump with
-    readings appears). Second level: per pump, the pieces of each signal in
-    day order. A hot pump is split across its days on the first shuffle.
-    ``render='pos'`` gives ``<prefix>_pos`` strings, else arrays.
+def wide_record(
+    pumps: DataFrame,
+    readings: DataFrame,
+    detailed: bool = False,
+    signals=WIDE_SIGNALS,
+    bucket: int = BUCKET,
+) -> DataFrame:
+    """``pump_id, name, chunk`` and one series array per signal.
+
+    A pump's record is a run of chunks, one per ``bucket`` hours with any
+    reading, in order of ``chunk`` (the bucket's start); together they hold
+    the whole series, so neither a row nor a task ever holds a pump's whole
+    history. A pump without readings has one row with a null chunk and empty
+    series. One grouped pass, not one join per signal.
     """
-    wanted = list(signals)
-    hit = F.col("signal").isin(wanted)
-    keyed = readings.withColumn("_sig", F.when(hit, F.col("signal")))
-    keyed = keyed.withColumn("time", F.when(hit, F.col("time")))
-    pieces = _day_pieces(keyed, ["pump_id", "_sig"], render, keep=hit)
-    suffix = "pos" if render == "pos" else "series"
-    aggs = [_join_pieces(render, f"_sig = '{s}'").alias(f"{p}_{suffix}") for s, p in signals.items()]
-    return pieces.groupBy("pump_id").agg(*aggs)
+    scoped = readings.where(
+        F.col("signal").isin(list(signals)) & (F.col("detailed") == F.lit(detailed))
+    )
+    parts = scoped.groupBy("pump_id", bucket_of(bucket).alias("chunk")).agg(
+        *[series_array(F.col("signal") == s).alias(p) for s, p in signals.items()]
+    )
+    return (
+        pumps.select("pump_id", "name")
+        .join(parts, "pump_id", "left")
+        .select(
+            "pump_id", "name", "chunk",
+            *[F.coalesce(F.col(p), F.array()).alias(p) for p in signals.values()],
+        )
+    )
 
 
 def offline_pumps(readings: DataFrame, offline: Column | None = None) -> DataFrame:
-    """Pumps whose latest ``inservice`` reading is "off" (default value = 0)."""
+    """Pumps whose latest plain ``inservice`` reading is "off" (default value = 0)."""
     off = (F.col("value") == 0) if offline is None else offline
-    last = latest_per_signal(readings.where(F.col("signal") == "inservice"), keys=("pump_id",))
+    plain = readings.where((F.col("signal") == "inservice") & ~F.col("detailed"))
+    last = latest_per_signal(plain, keys=("pump_id",))
     return last.where(off).select("pump_id")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def series_sample(readings: DataFrame, n: int = 3, keys=("pump_id", "signal")) -> DataFrame:
+def series_sample(readings: DataFrame, n: int = 3, keys=("pump_id", "signal", "detailed")) -> DataFrame:
     """First ``n`` readings by ``(time, pos)`` of each series.
 
     ``row_number() <= n`` is planned with a partial ``WindowGroupLimit``

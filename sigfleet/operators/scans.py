@@ -72,8 +72,8 @@ def select_endpoints(readings: DataFrame, endpoints) -> DataFrame:
     return readings.where(pred)
 
 
-def range_carry_in(readings: DataFrame, start, end=None, keys=("pump_id", "signal")) -> DataFrame:
-    """P5 with carry-in: rows in ``(start, end]`` plus, per pump and signal,
+def range_carry_in(readings: DataFrame, start, end=None, keys=("pump_id", "signal", "detailed")) -> DataFrame:
+    """P5 with carry-in: rows in ``(start, end]`` plus, per pump and series,
     the last row at or before ``start`` (the value in force at the start).
 
     The carried row is picked by a grouped "last by (time, pos)" aggregate,
@@ -82,7 +82,8 @@ def range_carry_in(readings: DataFrame, start, end=None, keys=("pump_id", "signa
     """
     keys = list(keys)
     rest = [c for c in readings.columns if c not in keys]
-    inside = time_range(readings.where(F.col("time") > ntz(start)), None, end)
+    # The lower bound stated inclusively as well: it also prunes days.
+    inside = time_range(readings, start, end).where(F.col("time") > ntz(start))
     before = time_range(readings, None, start)
     carried = before.groupBy(*keys).agg(last_of(rest).alias("_l")).select(*keys, "_l.*")
     return inside.unionByName(carried.select(*inside.columns))

@@ -13,21 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigfleet.functions.labels import file_key as file_key_col
-from sigfleet.functions.links import publication_link
+from sigfleet.functions.labels import safe_size
+from sigfleet.functions.links import absolute_link, link_href, publication_link, signal_key
 from sigfleet.functions.timefmt import format_time as format_time_col
-from sigfleet.functions.timefmt import range_end, range_start
+from sigfleet.functions.timefmt import lookback_hours, lookback_start, range_end, range_start
 from sigfleet.operators import asof, bundles, catalog_ops, latest, reports, samples, scans
 from sigfleet.schemas import HISTORY_SIGNALS, PLACEHOLDER_BASE_URL
 from sigfleet.session import work_path
-from sigfleet.sinks import bom
+from sigfleet.plans.ingest import ingest_payloads
+from sigfleet.sinks import bom, writers
 from sigfleet.sources import catalog, landing, payloads, result_docs
 from sigfleet.sources import driver_tables as dtab
+from sigfleet.sources.payloads import reading_time
 from sigfleet.streaming import monitors
 
 NOW = dt.datetime(2024, 1, 30, 0, 0, 0)
 PUMP = 7
 RANGE = (dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20))
 CARRY = (dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 11))
+SERIES = ["pump_id", "signal", "detailed"]
+# Signals to collect.
+COLLECT = ["status", "detailed_status", "power", "speed", "faults"]
 BASIC = ("status", "rawpower", "speed", "aaecontrol")
 # Fault predicate and "off" rule for the driver data (continuous values).
 FAULT_OVER = 200.0
@@ -55,29 +61,47 @@ def q_range_scan_open(spark, sf):
 
 def q_range_carry_in(spark, sf):
     r = _r(spark, sf, end=CARRY[1])
-    return scans.range_carry_in(r.select("pump_id", "signal", "time", "value", "pos"), CARRY[0], CARRY[1]).select(
-        "pump_id", "signal", "time", "value"
+    return scans.range_carry_in(r.select(*SERIES, "time", "value", "pos"), CARRY[0], CARRY[1]).select(
+        *SERIES, "time", "value"
     )
 
 
-def q_range_carry_in_indexed(spark, sf):
-    """Carry-in served by the daily-last index (built here into the shared
-    folder; in production it is maintained once per day)."""
+def _daily_index(spark, sf, end=None):
+    """The daily-last index, built here into the shared folder; in
+    production it is maintained once per day."""
     path = work_path(spark, "daily-last")
-    asof.write_daily_last(_r(spark, sf).select("pump_id", "signal", "time", "value", "pos"), path)
-    index = spark.read.parquet(path)
-    r = _r(spark, sf, start=CARRY[0] - dt.timedelta(days=1), end=CARRY[1]).select("pump_id", "signal", "time", "value", "pos")
-    return asof.range_carry_in_indexed(r, index, CARRY[0], CARRY[1]).select("pump_id", "signal", "time", "value")
+    asof.write_daily_last(_r(spark, sf, end=end).select(*SERIES, "time", "value", "pos"), path)
+    return spark.read.parquet(path)
+
+
+def q_range_carry_in_indexed(spark, sf):
+    """Carry-in served by the daily-last index."""
+    index = _daily_index(spark, sf)
+    r = _r(spark, sf, start=CARRY[0] - dt.timedelta(days=1), end=CARRY[1]).select(*SERIES, "time", "value", "pos")
+    return asof.range_carry_in_indexed(r, index, CARRY[0], CARRY[1]).select(*SERIES, "time", "value")
+
+
+def q_latest_indexed(spark, sf):
+    """A4 from an index that ends before the newest readings."""
+    index = _daily_index(spark, sf, end=RANGE[1])
+    r = _r(spark, sf).select(*SERIES, "time", "value", "pos")
+    return asof.latest_from_index(r, index).select(*SERIES, "time", "value")
 
 
 def q_signal_select(spark, sf):
-    sigs = ["status", "rawpower", "speed", "fault"]
-    r = _r(spark, sf, signals=sigs, pump_ids=[PUMP])
-    return scans.range_scan(r, pump_ids=[PUMP], signals=sigs).select("pump_id", "signal", "time", "value")
+    """The signals to collect, plain and detailed mixed."""
+    r = scans.select_endpoints(_r(spark, sf, pump_ids=[PUMP]), COLLECT)
+    return r.select(*SERIES, "time", "value")
+
+
+def q_detailed_select(spark, sf):
+    """The detailed bundle by its endpoint name."""
+    r = _r(spark, sf, pump_ids=[PUMP], detailed=True)
+    return scans.signal_select(r, "all_detailed", [PUMP]).select(*SERIES, "time", "value")
 
 
 def q_signal_counts(spark, sf):
-    r = _r(spark, sf, signals=BASIC, pump_ids=[PUMP])
+    r = _r(spark, sf, signals=BASIC, pump_ids=[PUMP], detailed=False)
     return bundles.signal_counts(r, BASIC)
 
 
@@ -85,16 +109,16 @@ def q_individual_query(spark, sf):
     """U4: the three basic signals of one pump over the last day, with counts."""
     sigs = ("status", "rawpower", "speed")
     start = NOW - dt.timedelta(days=1)
-    r = _r(spark, sf, signals=sigs, pump_ids=[PUMP], start=start, end=NOW)
+    r = _r(spark, sf, signals=sigs, pump_ids=[PUMP], start=start, end=NOW, detailed=False)
     return bundles.signal_counts(r, sigs)
 
 
 def q_latest_per_signal(spark, sf):
-    return latest.latest_per_signal(_r(spark, sf)).select("pump_id", "signal", "time", "value")
+    return latest.latest_per_signal(_r(spark, sf)).select(*SERIES, "time", "value")
 
 
 def q_latest_wide(spark, sf):
-    r = _r(spark, sf, signals=["status", "rawpower"])
+    r = _r(spark, sf, signals=["status", "rawpower"], detailed=False)
     return latest.latest_wide(_p(spark, sf), r)
 
 
@@ -153,6 +177,19 @@ def q_links_count(spark, sf):
     return catalog_ops.links_count(catalog_ops.links_map(_p(spark, sf)))
 
 
+def q_link_lookup(spark, sf):
+    """links as some catalogues give them: relative for every
+    third pump, absent for every fifth; looked up, made absolute."""
+    p = catalog_ops.links_map(_p(spark, sf))
+    key = signal_key(F.lit("speed"), True)
+    relative = F.col("pump_id") % 3 == 0
+    host = F.lit(PLACEHOLDER_BASE_URL + "/")
+    links = F.transform_values("links", lambda k, v: F.when(relative, F.replace(v, host, F.lit(""))).otherwise(v))
+    links = F.map_filter(links, lambda k, v: (F.col("pump_id") % 5 != 0) | (k != key))
+    p = p.withColumn("links", links)
+    return p.select("pump_id", absolute_link(link_href("links", "speed/detailed")).alias("href"))
+
+
 def q_links_rewrite(spark, sf):
     base = PLACEHOLDER_BASE_URL
     p = _p(spark, sf).select("pump_id", F.concat(F.lit(base + "/"), F.col("pump_id"), F.lit("/speed/")).alias("href"))
@@ -170,12 +207,12 @@ def q_file_key(spark, sf):
 
 
 def q_series_sample(spark, sf):
-    return samples.series_sample(_r(spark, sf), 3).select("pump_id", "signal", "time", "value")
+    return samples.series_sample(_r(spark, sf), 3).select(*SERIES, "time", "value")
 
 
 def q_history_export(spark, sf):
-    r = _r(spark, sf, signals=HISTORY_SIGNALS, start=NOW - dt.timedelta(hours=24), end=NOW)
-    return bundles.history(r, NOW, 24).select("pump_id", "signal", "time", "value")
+    r = _r(spark, sf, signals=HISTORY_SIGNALS, start=NOW - dt.timedelta(hours=24), end=NOW, detailed=True)
+    return bundles.history(r, NOW, "24").select(*SERIES, "time", "value")
 
 
 def q_catalog_fallback(spark, sf):
@@ -198,20 +235,69 @@ def q_format_time(spark, sf):
     return r.select("pos", format_time_col(F.col("time").cast("string")).alias("api_time"))
 
 
+def typed_time(pos, time):
+    """Time texts as a client passes them, derived from each reading: full,
+    with fraction, offset or Z, partial, basic and broken forms."""
+    k = pos % 10
+    full = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss")
+    day = F.date_format(time, "yyyy-MM-dd")
+    return (
+        F.when(k == 0, F.concat(full, F.lit("Z")))
+        .when(k == 1, F.concat(full, F.lit(".123456")))
+        .when(k == 2, F.concat(full, F.lit("+02:00")))
+        .when(k == 3, day)
+        .when(k == 4, F.date_format(time, "yyyyMMdd"))
+        .when(k == 5, F.date_format(time, "yyyy-MM"))
+        .when(k == 6, F.concat(F.lit(" "), full))
+        .when(k == 7, F.concat(F.lit("foo"), F.lit("Z")))
+        .when(k == 8, F.date_format(time, "yyyy-MM-dd HH:mm"))
+        .otherwise(F.concat(F.date_format(time, "yyyy"), F.lit("-13-01T00:00:00")))
+    )
+
+
+def q_format_time_text(spark, sf):
+    """F1 over the forms of :func:`typed_time`."""
+    r = _r(spark, sf).select("pos", typed_time(F.col("pos"), F.col("time")).alias("k"))
+    return r.select("pos", "k", format_time_col(F.col("k")).alias("api_time"))
+
+
+def typed_hours(pos):
+    """What a user might type for the hours of a lookback."""
+    k = pos % 6
+    n = (pos % 100).cast("string")
+    return (
+        F.when(k == 0, "")
+        .when(k == 1, n)
+        .when(k == 2, F.concat(F.lit(" "), n, F.lit("\t")))
+        .when(k == 3, F.concat(n, F.lit(".5")))
+        .when(k == 4, F.concat(n, F.lit("h")))
+        .otherwise(F.concat(F.lit("+"), n))
+    )
+
+
+def q_lookback_range(spark, sf):
+    """lookback hours as text, and the start they give."""
+    r = _r(spark, sf).select("pos", typed_hours(F.col("pos")).alias("k"))
+    h = lookback_hours(F.col("k"))
+    return r.select("pos", "k", h.alias("hours"), lookback_start(h, NOW).alias("start_time"))
+
+
 def range_keyword(pos, time):
     """What a user might type for a range, derived from each reading."""
-    k = pos % 10
+    k = pos % 12
     d = F.date_format(time, "yyyy-MM-dd")
     return (
         F.when(k == 0, "")
         .when(k == 1, "hoy")
-        .when(k == 2, " Ayer ")
+        .when(k == 2, "\tAyer \n")
         .when(k == 3, "week")
         .when(k == 4, "SEMANA")
         .when(k == 5, d)
         .when(k == 6, F.date_format(time, "yyyy-MM-dd HH:mm"))
         .when(k == 7, "nonsense")
         .when(k == 8, "yesterday")
+        .when(k == 9, F.date_format(time, "yyyy-M-d H:m"))
+        .when(k == 10, F.concat(d, F.lit("\n")))
         .otherwise(F.concat(d, F.lit("x")))
     )
 
@@ -221,49 +307,149 @@ def q_relative_range(spark, sf):
     return r.select("pos", "k", range_start(F.col("k"), NOW).alias("start_time"), range_end(F.col("k"), NOW).alias("end_time"))
 
 
+def _flat(df: DataFrame, keys, columns) -> DataFrame:
+    """Readings of series columns again: ``keys, signal, time, value, pos``."""
+    entries = F.array(*[F.struct(F.lit(s).alias("signal"), F.col(c).alias("series")) for c, s in columns.items()])
+    x = df.select(*keys, F.explode(entries).alias("_e")).select(
+        *keys, "_e.signal", F.explode("_e.series").alias("_r")
+    )
+    return x.select(*keys, "signal", "_r.time", "_r.value", "_r.pos")
+
+
 def q_wide_record(spark, sf):
-    w = reports.wide_record(_r(spark, sf), render="pos")
-    return w.select("pump_id", "status_pos", "power_pos", "fault_pos")
+    """Every chunk of every pump's plain record, flattened; a pump
+    without readings shows with nulls."""
+    p = _p(spark, sf)
+    w = reports.wide_record(p, _r(spark, sf, detailed=False))
+    flat = _flat(w, ["pump_id"], {c: s for s, c in reports.WIDE_SIGNALS.items()})
+    return p.select("pump_id", "name").join(flat, "pump_id", "left")
+
+
+def q_wide_chunks(spark, sf):
+    """The chunks themselves: number of readings by series and chunk."""
+    w = reports.wide_record(_p(spark, sf), _r(spark, sf, detailed=True), detailed=True)
+    return w.select(
+        "pump_id", "chunk", *[safe_size(c).cast("long").alias(f"n_{c}") for c in reports.WIDE_SIGNALS.values()]
+    )
 
 
 def q_result_document(spark, sf):
-    sigs = ["status", "rawpower", "speed"]
-    r = _r(spark, sf, signals=sigs, pump_ids=[PUMP])
-    return bundles.series_documents(r, ("pump_id", "signal"), render="pos").select("pump_id", "signal", "points", "datos_pos")
+    """K1: the documents of one bundle and range, written, read back by S9."""
+    r = _r(spark, sf, start=RANGE[0], end=RANGE[1])
+    docs = writers.result_documents(r, _p(spark, sf), "all_detailed", RANGE[0], RANGE[1], NOW)
+    path = work_path(spark, "result-documents")
+    writers.write_documents(docs, path)
+    back = result_docs.read_result_docs(spark, path, multi_line=False)
+    return back.select(F.col("pump_id").cast("long").alias("pump_id"), "name", "signal", "detailed", "time", "value")
+
+
+def q_history_document(spark, sf):
+    """K7: the history documents, flattened again."""
+    docs = bundles.history_document(_r(spark, sf, detailed=True), RANGE[1], "48")
+    x = docs.select("bomba_id", F.explode("datos").alias("signal", "series")).select(
+        "bomba_id", "signal", F.explode("series").alias("_r")
+    )
+    return x.select(
+        F.col("bomba_id").alias("pump_id"), "signal", reading_time(F.col("_r.time")).alias("time"), "_r.value"
+    )
+
+
+def q_latest_csv(spark, sf):
+    """K3: the latest-value CSV, written and read back."""
+    r = _r(spark, sf, signals=["status", "rawpower"], detailed=False)
+    path = work_path(spark, "latest-csv")
+    writers.write_csv(writers.latest_export(latest.latest_wide(_p(spark, sf), r), NOW), path)
+    ddl = (
+        "ID long, Nombre string, Timestamp timestamp_ntz, Estado_Disponible boolean, Potencia_Disponible boolean, "
+        "Estado_Valor double, Estado_Tiempo timestamp_ntz, Potencia_Valor double, Potencia_Tiempo timestamp_ntz"
+    )
+    return spark.read.schema(ddl).option("header", True).csv(path)
+
+
+def q_id_names_csv(spark, sf):
+    """K4: the id/name CSV, written and read back; blanks at the ends and
+    quotes of a name survive."""
+    p = _p(spark, sf).withColumn("name", F.concat(F.lit(' "'), "name", F.lit('", ')))
+    path = work_path(spark, "id-names-csv")
+    writers.write_csv(catalog_ops.id_names(p), path)
+    read = spark.read.schema("id long, name string").options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    return read.csv(path)
+
+
+def q_report_json(spark, sf):
+    """K5: the report's two outputs, written; the rows with the totals."""
+    rows = reports.report_rows(_p(spark, sf), _r(spark, sf), _fault_over())
+    path = work_path(spark, "report")
+    writers.report_documents(reports.fleet_summary(rows), rows, path, NOW)
+    per_pump = spark.read.schema(
+        "id long, name string, has_faults boolean, status_available boolean, power_available boolean"
+    ).json(f"{path}/resumen_por_bomba")
+    total = spark.read.schema("total_bombas long, bombas_procesadas long, bombas_con_fallos long").json(f"{path}/summary")
+    return per_pump.join(F.broadcast(total.withColumn("_one", F.lit(1))), F.lit(1) == F.col("_one")).drop("_one")
 
 
 def payload_body(pos, props):
-    """A body per reading covering the outcome classes (empty, [], broken,
-    object, array)."""
-    k = pos % 5
+    """A body per reading covering the body-derived outcome classes."""
+    k = pos % 11
+    arr = F.concat(F.lit("["), props, F.lit("]"))
     return (
         F.when(k == 0, "")
         .when(k == 1, "[]")
         .when(k == 2, "{")
         .when(k == 3, props)
-        .otherwise(F.concat(F.lit("["), props, F.lit("]")))
+        .when(k == 4, F.concat(arr, F.lit(" "), arr))
+        .when(k == 5, F.concat(arr, F.lit(","), arr))
+        .when(k == 6, F.concat(props, props))
+        .when(k == 7, F.concat(arr, F.lit("]")))
+        .when(k == 8, F.concat(F.lit("["), props, F.lit(", 5, null, "), props, F.lit("]")))
+        .when(k == 9, F.lit("null"))
+        .otherwise(arr)
     )
 
 
-def q_payload_outcomes(spark, sf):
-    ev = dtab.table(spark, sf, "events")
-    landed = ev.select(
+def landed_events(spark, sf) -> DataFrame:
+    """A landed fetch per event: every class of body and of transport."""
+    k = F.col("event_id") % 7
+    return dtab.table(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("pump_id"),
         dtab.signal_of().alias("signal"),
-        F.lit(False).alias("detailed"),
+        F.expr(dtab.DETAILED_SQL).alias("detailed"),
         F.col("ts").alias("fetched_at"),
-        F.lit(200).alias("http_status"),
-        F.lit(None).cast("string").alias("error"),
+        F.when(k == 3, 500).otherwise(200).alias("http_status"),
+        F.when(k == 4, payloads.NO_PUMP).when(k == 5, payloads.NO_SIGNAL).when(k == 6, "timeout").alias("error"),
         F.encode(payload_body(F.col("event_id"), F.col("props")), "UTF-8").alias("body"),
     )
-    return payloads.fetch_outcomes(landed).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_payload_outcomes(spark, sf):
+    out = payloads.fetch_outcomes(landed_events(spark, sf))
+    return out.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_payload_partial(spark, sf):
+    """S3: elements and rejected elements per pump and series."""
+    return payloads.payload_elements(landed_events(spark, sf)).select(*SERIES, "elements", "rejected")
 
 
 def q_payload_readings(spark, sf):
-    """S3 end to end: readings -> service payloads (one per pump, signal,
-    day) -> decoded readings again."""
+    """S3 end to end: readings -> service payloads -> decoded readings."""
     landed = landing.landed_bodies(_r(spark, sf))
-    return payloads.readings_from_landed(landed).select("pump_id", "signal", "time", "value")
+    return payloads.readings_from_landed(landed).select(*SERIES, "time", "value")
+
+
+def q_ingest_twice(spark, sf):
+    """Ingest of two overlapping ranges, one of them twice: the readings."""
+    r = _r(spark, sf)
+    first = landing.landed_bodies(scans.time_range(r, None, RANGE[1]))
+    second = landing.landed_bodies(scans.time_range(r, RANGE[0], None))
+    path = work_path(spark, "ingest")
+    for landed in (first, second, first):
+        ingest_payloads(landed, f"{path}/readings", f"{path}/outcomes")
+    return spark.read.parquet(f"{path}/readings").select(
+        F.col("pump_id").cast("long").alias("pump_id"), "signal", "detailed", "time", "value"
+    )
 
 
 def q_catalog_scan(spark, sf):
@@ -277,7 +463,7 @@ def q_result_docs(spark, sf):
     path = work_path(spark, "landing-docs")
     landing.land_result_docs(_r(spark, sf), _p(spark, sf), path)
     rd = result_docs.read_result_docs(spark, f"{path}/*", multi_line=False)
-    return rd.select("pump_id", "signal", "time", "value")
+    return rd.select(*SERIES, "time", "value")
 
 
 def q_bom_repair(spark, sf):
@@ -285,7 +471,12 @@ def q_bom_repair(spark, sf):
     landing.land_catalog(_p(spark, sf), f"{src}/with_bom", per_file=1000, bom=True)
     landing.land_catalog(_p(spark, sf), f"{src}/plain", per_file=1000, bom=False, envelope=True)
     status = bom.repair_bom(spark, src, work_path(spark, "repaired"), pattern="*.txt")
-    return status.select("file", "status", "bytes_in", "bytes_out")
+    # The text writer numbers the files; folder, status and whether a mark went are fixed.
+    return status.groupBy(
+        F.substring_index("file", "/", 1).alias("folder"),
+        "status",
+        (F.col("bytes_in") - F.col("bytes_out")).alias("bytes_dropped"),
+    ).agg(F.count(F.lit(1)).alias("files"))
 
 
 def q_stream_latest(spark, sf):
@@ -296,8 +487,8 @@ def q_stream_latest(spark, sf):
 
 def q_stream_heartbeat(spark, sf):
     src = dtab.events_to_readings(dtab.events_stream(spark, sf))
-    sink = monitors.run_available(spark, "heartbeat", monitors.start_heartbeat, src)
-    return spark.read.parquet(sink).select("poll", "pump_id", "status", "power")
+    sink = monitors.run_available(spark, "heartbeat", monitors.start_heartbeat, src, _p(spark, sf))
+    return spark.read.parquet(sink).select("pump_id", "status", "power")
 
 
 def q_stream_fault_alerts(spark, sf):
@@ -312,7 +503,9 @@ QUERIES = {
     "range_scan_open": q_range_scan_open,
     "range_carry_in": q_range_carry_in,
     "range_carry_in_indexed": q_range_carry_in_indexed,
+    "latest_indexed": q_latest_indexed,
     "signal_select": q_signal_select,
+    "detailed_select": q_detailed_select,
     "signal_counts": q_signal_counts,
     "individual_query": q_individual_query,
     "latest_per_signal": q_latest_per_signal,
@@ -335,8 +528,18 @@ QUERIES = {
     "history_export": q_history_export,
     "catalog_fallback": q_catalog_fallback,
     "format_time": q_format_time,
+    "format_time_text": q_format_time_text,
+    "lookback_range": q_lookback_range,
     "relative_range": q_relative_range,
     "wide_record": q_wide_record,
+    "wide_chunks": q_wide_chunks,
+    "history_document": q_history_document,
+    "latest_csv": q_latest_csv,
+    "id_names_csv": q_id_names_csv,
+    "report_json": q_report_json,
+    "payload_partial": q_payload_partial,
+    "ingest_twice": q_ingest_twice,
+    "link_lookup": q_link_lookup,
     "result_document": q_result_document,
     "payload_outcomes": q_payload_outcomes,
     "payload_readings": q_payload_readings,

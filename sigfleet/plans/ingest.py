@@ -13,20 +13,45 @@ caching it, so an executor loss only re-runs tasks.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigfleet.operators.catalog_ops import valid_ids
 from sigfleet.sources.catalog import catalog_links, latest_catalog, read_catalog
 from sigfleet.sources.payloads import fetch_outcomes, readings_from_landed
-from sigfleet.sources.readings_table import write_readings
-
-
-def ingest_payloads(landed: DataFrame, readings_path: str, outcomes_path: str, files: int | None = None, mode: str = "overwrite") -> None:
-    """Decode landed payloads into the readings and outcomes tables."""
-    write_readings(readings_from_landed(landed), readings_path, files=files, mode=mode)
-    out = fetch_outcomes(landed).withColumn("day", F.to_date("fetched_at"))
-    out.write.mode(mode).partitionBy("signal", "day").parquet(outcomes_path)
+from sigfleet.sources.readings_table import merge_readings
+
+
+OUTCOME_FILES = 8
+
+
+def ingest_payloads(
+    landed: DataFrame, readings_path: str, outcomes_path: str, files: int | None = None
+) -> None:
+    """Add landed payloads to the readings and outcomes tables.
+
+    Readings are merged by key, so a repeated or overlapping landing adds
+    nothing twice. Outcomes are a log of fetches: a fetch (pump, signal,
+    detailed, time of fetching) landed again replaces nothing and is dropped.
+    """
+    merge_readings(readings_from_landed(landed), readings_path, files=files)
+    new = fetch_outcomes(landed).withColumn("day", F.to_date("fetched_at"))
+    key = ["pump_id", "signal", "detailed", "fetched_at"]
+    new = new.groupBy("day", *key).agg(
+        F.max(F.struct(*[c for c in new.columns if c not in ("day", *key)])).alias("_o")
+    ).select("day", *key, "_o.*")
+    spark = landed.sparkSession
+    try:
+        old = spark.read.parquet(outcomes_path).select("day", *key)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    else:
+        same = " and ".join(f"n.{c} <=> o.{c}" for c in ["day", *key])
+        new = new.alias("n").join(old.alias("o"), F.expr(same), "left_anti")
+    dealt = new.repartition("signal", "day", F.pmod(F.xxhash64("pump_id"), F.lit(OUTCOME_FILES)))
+    dealt.write.mode("append").partitionBy("signal", "day").parquet(outcomes_path)
 
 
 def ingest_catalog(spark: SparkSession, catalog_path: str, pumps_path: str, links_path: str) -> None:

@@ -60,8 +60,8 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set one under the local temp folder only when the session has none
-    (local tests); a cluster always names its own.
+    One under the local temp folder is set only when the session has none
+    and runs in one process; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -70,6 +70,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = os.path.join(tempfile.gettempdir(), "sigfleet-checkpoints")
         sc.setCheckpointDir(d)
     return d.rstrip("/")

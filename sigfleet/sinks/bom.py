@@ -16,16 +16,20 @@ BOM_HEX = "EFBBBF"
 
 def repair_status(spark: SparkSession, input_dir: str, pattern: str = "*.json") -> DataFrame:
     """Per file: ``(path, file, status, bytes_in, bytes_out, content)``;
-    status is ``repaired``, ``clean`` or ``skipped``."""
+    ``file`` is the path below ``input_dir``, status is ``repaired``,
+    ``clean`` or ``skipped``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(input_dir)
     regex = "^" + pattern.replace(".", r"\.").replace("*", ".*").replace("?", ".") + "$"
     name = F.element_at(F.split("path", "/"), -1)
+    # Up to the input folder's own name, then the path below it.
+    folder = input_dir.rstrip("/").rsplit("/", 1)[-1]
+    below = F.substring_index("path", f"/{folder}/", -1)
     has_bom = F.hex(F.substring("content", 1, 3)) == F.lit(BOM_HEX)
     matches = F.regexp_like(name, F.lit(regex))
     fixed = F.when(has_bom, F.expr("substring(content, 4)")).otherwise(F.col("content"))
     return files.select(
         "path",
-        name.alias("file"),
+        below.alias("file"),
         F.when(~matches, "skipped").when(has_bom, "repaired").otherwise("clean").alias("status"),
         F.col("length").alias("bytes_in"),
         F.when(matches, F.length(fixed)).alias("bytes_out"),
@@ -34,9 +38,14 @@ def repair_status(spark: SparkSession, input_dir: str, pattern: str = "*.json")
 
 
 def repair_bom(spark: SparkSession, input_dir: str, output_dir: str, pattern: str = "*.json") -> DataFrame:
-    """Write repaired copies to ``output_dir/file=<name>/`` and return the
-    per-file status rows (without content)."""
+    """Write repaired copies and return the per-file status rows.
+
+    Each file gets a folder ``output_dir/file=<path below input_dir>``, so
+    files of one name in different folders stay apart. The text writer ends
+    a file with a line feed: one that is there already is not doubled.
+    """
     st = repair_status(spark, input_dir, pattern)
-    todo = st.where(F.col("status") != "skipped").select("file", F.col("content").cast("string").alias("value"))
+    text = F.regexp_replace(F.col("content").cast("string"), r"\n\z", "")
+    todo = st.where(F.col("status") != "skipped").select("file", text.alias("value"))
     todo.write.mode("overwrite").partitionBy("file").text(output_dir)
     return st.drop("content")

@@ -10,61 +10,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigfleet.functions.labels import default_name, file_key, file_stamp
+from sigfleet.functions.labels import default_name, file_key, utc_now
 from sigfleet.functions.links import endpoint_signals
 from sigfleet.functions.timefmt import ntz
-from sigfleet.operators.bundles import series_documents
+from sigfleet.operators.bundles import series_chunks, service_items
 from sigfleet.operators.scans import range_scan
 from sigfleet.schemas import DEFAULT_EXPORT_PREFIX, ENDPOINTS
 
 FORMATS = ("json", "csv")
-
-
-def _reading_items(arr_col: str):
-    """Series array without the internal position, times in service format."""
-    return F.transform(
-        F.col(arr_col),
-        lambda x: F.struct(
-            F.date_format(x["time"], "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"),
-            x["value"].alias("value"),
-            x["validity"].alias("validity"),
-        ),
-    )
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def result_documents(readings: DataFrame, pumps: DataFrame, endpoint: str, start, end, now) -> DataFrame:
-    """One result document per pump for ``endpoint`` over a range.
+    """Result documents of every pump for ``endpoint`` over a range.
 
     Single-signal endpoints give ``datos`` as an array; bundles give a map
     endpoint -> array (``all_basic`` keys ``status``/``power``/``speed``).
-    Pumps without readings get an empty array / map of empty arrays.
+    A pump's document comes in parts, one per time bucket with readings
+    (``parte`` is the bucket's start), in order the whole series; a pump
+    without readings has one part with empty series.
     """
     signals, detailed = endpoint_signals(endpoint)
-    scoped = range_scan(readings, signals=signals, start=start, end=end, detailed=None)
-    series = series_documents(scoped, ("pump_id", "signal"), "array").select(
-        "pump_id", "signal", _reading_items("datos").alias("datos")
+    scoped = range_scan(readings, signals=signals, start=start, end=end, detailed=detailed)
+    chunks = series_chunks(scoped).select(
+        "pump_id", "signal", "chunk", service_items("datos").alias("datos")
     )
     empty = F.array().cast("array<struct<time:string,value:double,validity:int>>")
+    base = pumps.select("pump_id", "name")
     if len(signals) == 1:
-        per_pump = series.select("pump_id", "datos")
-        base = pumps.select("pump_id", "name").join(per_pump, "pump_id", "left")
+        base = base.join(chunks.select("pump_id", "chunk", "datos"), "pump_id", "left")
         datos = F.coalesce(F.col("datos"), empty)
     else:
         names = {codes[0]: name for name, (codes, det) in ENDPOINTS.items() if len(codes) == 1 and det == detailed}
         key = F.create_map(*[x for s in signals for x in (F.lit(s), F.lit(names[s]))])[F.col("signal")]
-        per_pump = series.groupBy("pump_id").agg(F.map_from_entries(F.collect_list(F.struct(key, "datos"))).alias("_m"))
-        base = pumps.select("pump_id", "name").join(per_pump, "pump_id", "left")
+        parts = chunks.groupBy("pump_id", "chunk").agg(
+            F.map_from_entries(F.collect_list(F.struct(key, "datos"))).alias("_m")
+        )
+        base = base.join(parts, "pump_id", "left")
         datos = F.map_from_entries(
             F.array(*[F.struct(F.lit(names[s]), F.coalesce(F.try_element_at("_m", F.lit(names[s])), empty)) for s in signals])
         )
     fmt = "yyyy-MM-dd'T'HH:mm:ss"
+    stamp = lambda t: F.lit(None).cast("string") if t is None else F.date_format(ntz(t), fmt)
     return base.select(
         file_key(endpoint, F.col("name"), now).alias("file_key"),
         F.struct(F.col("pump_id").cast("string").alias("id"), default_name("name").alias("name")).alias("bomba"),
         F.lit(endpoint).alias("endpoint"),
-        F.struct(
-            F.date_format(ntz(start), fmt).alias("inicio"), F.date_format(ntz(end), fmt).alias("fin")
-        ).alias("rango"),
+        F.struct(stamp(start).alias("inicio"), stamp(end).alias("fin")).alias("rango"),
+        F.col("chunk").alias("parte"),
         datos.alias("datos"),
         F.date_format(ntz(now), fmt).alias("timestamp_consulta"),
     )
@@ -85,9 +78,15 @@ def default_export_path(base_dir: str, now) -> str:
 
 
 def wide_record_documents(wide: DataFrame, now) -> DataFrame:
-    """K6: wide pump record with the client's field names."""
-    out = wide.select(F.col("pump_id").alias("bomba_id"), ntz(now).alias("timestamp"), *[c for c in wide.columns if c != "pump_id"])
-    return out
+    """K6: chunks of the wide record as JSON-ready rows (times as text)."""
+    series = [c for c in wide.columns if c not in ("pump_id", "name", "chunk")]
+    return wide.select(
+        F.col("pump_id").alias("bomba_id"),
+        F.struct(F.col("pump_id").cast("string").alias("id"), default_name("name").alias("name")).alias("info"),
+        ntz(now).alias("timestamp"),
+        F.col("chunk").alias("parte"),
+        *[service_items(c).alias(c) for c in series],
+    )
 
 
 def write_output(
@@ -103,19 +102,31 @@ def write_output(
     if fmt not in FORMATS:
         raise ValueError(f"output format not supported: {fmt!r} (use one of {FORMATS})")
     if include_timestamp:
-        df = df.withColumn("fetched_at", F.current_timestamp() if now is None else ntz(now))
+        df = df.withColumn("fetched_at", utc_now() if now is None else ntz(now))
     w = df.write.mode("overwrite")
     if separate_files:
         w = w.partitionBy("pump_id")
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        _csv(w).csv(path)
     else:
-        w.json(path)
+        w.option("timestampNTZFormat", MICROS).json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """K3/K4: CSV with a header row and no index column."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    _csv(df.write.mode("overwrite")).csv(path)
+
+
+def _csv(writer):
+    """Header, standard doubled quotes, blanks of a text and fractions of a
+    second kept."""
+    return writer.options(
+        header=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+        timestampNTZFormat=MICROS,
+    )
 
 
 def latest_export(latest_wide: DataFrame, now) -> DataFrame:

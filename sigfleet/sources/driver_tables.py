@@ -5,7 +5,8 @@
 * ``c_custkey`` -> ``pump_id``, ``c_name`` -> ``name``
 * ``user_id`` -> ``pump_id``, ``event_type`` -> ``signal`` (map below),
   ``ts`` -> ``time``, ``value`` -> ``value``, ``props.k`` -> ``validity``,
-  ``event_id`` -> ``pos``.
+  ``event_id`` -> ``pos``; every fourth event (``event_id % 4 = 3``) belongs
+  to the detailed series of its signal.
 
 Signal predicates are translated back into ``event_type`` predicates
 *before* the rename, so they reach the Parquet scan as pushed filters
@@ -16,7 +17,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Adapter map (ours): event type -> signal; any other type is "inservice".
 EVENT_SIGNAL = {
@@ -28,19 +28,8 @@ EVENT_SIGNAL = {
 FALLBACK_SIGNAL = "inservice"
 
 
-# Schema per table path, learned on first read: later reads skip schema
-# inference (footer reads, or a listing job over many files on a cluster).
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _sql_list(values) -> str:
@@ -83,6 +72,9 @@ def event_type_predicate(signals) -> Column | None:
     return None if sql is None else F.expr(sql)
 
 
+DETAILED_SQL = "event_id % 4 = 3"
+
+
 def _ts_sql(t) -> str:
     return "TIMESTAMP_NTZ '" + t.isoformat(sep=" ") + "'"
 
@@ -94,6 +86,7 @@ def readings(
     pump_ids=None,
     start=None,
     end=None,
+    detailed: bool | None = None,
 ) -> DataFrame:
     """Canonical readings ``(pump_id, signal, detailed, time, value, validity, pos)``.
 
@@ -111,6 +104,8 @@ def readings(
         conds.append(f"ts >= {_ts_sql(start)}")
     if end is not None:
         conds.append(f"ts <= {_ts_sql(end)}")
+    if detailed is not None:
+        conds.append(DETAILED_SQL if detailed else f"NOT {DETAILED_SQL}")
     if conds:
         ev = ev.where(" AND ".join(f"({c})" for c in conds))
     return events_to_readings(ev)
@@ -119,7 +114,7 @@ def readings(
 READINGS_SQL = [
     "user_id AS pump_id",
     f"{SIGNAL_SQL} AS signal",
-    "false AS detailed",
+    f"({DETAILED_SQL}) AS detailed",
     "ts AS time",
     "value",
     "try_cast(get_json_object(props, '$.k') AS INT) AS validity",

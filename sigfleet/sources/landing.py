@@ -19,6 +19,12 @@ SIGNAL_ENDPOINT = {"status": "status", "rawpower": "power", "speed": "speed", "f
 BASIC = ("status", "rawpower", "speed")
 
 
+def _endpoint_name():
+    """Endpoint name of a reading's series."""
+    name = F.create_map(*[v for k, e in SIGNAL_ENDPOINT.items() for v in (F.lit(k), F.lit(e))])
+    return F.concat(F.when(F.col("detailed"), F.lit("detailed_")).otherwise(F.lit("")), name[F.col("signal")])
+
+
 def catalog_record_json(pumps: DataFrame, base: str = PLACEHOLDER_BASE_URL) -> DataFrame:
     """One JSON text per pump: ``id``, ``name`` and the 16 link objects."""
     fields = [F.col("pump_id").cast("string").alias("id"), F.col("name").alias("name")]
@@ -55,11 +61,11 @@ def _sorted_items(col: str = "_items"):
 
 
 def land_result_docs(readings: DataFrame, pumps: DataFrame, path: str) -> None:
-    """Result documents as JSON Lines, one per pump and day: an ``all_basic``
-    bundle (object ``datos``) for status/power/speed and one single-signal
+    """Result documents as JSON Lines, one per pump and hour: an ``all_basic``
+    or ``all_detailed`` bundle (object ``datos``) for status/power/speed and one single-signal
     document (array ``datos``) for each other signal. Every reading lands
     exactly once."""
-    x = _items(readings).withColumn("_day", F.to_date("time"))
+    x = _items(readings).withColumn("_day", F.to_date("time")).withColumn("_hour", F.hour("time"))
     names = pumps.select("pump_id", "name")
 
     def doc_cols(endpoint):
@@ -71,32 +77,38 @@ def land_result_docs(readings: DataFrame, pumps: DataFrame, path: str) -> None:
 
     single = (
         x.where(~F.col("signal").isin(*BASIC))
-        .groupBy("pump_id", "signal", "_day")
+        .groupBy("pump_id", "signal", "detailed", "_day", "_hour")
         .agg(F.collect_list("_item").alias("_items"))
         .join(names, "pump_id", "left")
     )
-    ep = F.create_map(*[v for k, e in SIGNAL_ENDPOINT.items() for v in (F.lit(k), F.lit(e))])[F.col("signal")]
-    single.select(*doc_cols(ep), _sorted_items().alias("datos")).write.mode("overwrite").json(f"{path}/single")
+    single.select(*doc_cols(_endpoint_name()), _sorted_items().alias("datos")).write.mode("overwrite").json(f"{path}/single")
 
     per_sig = (
-        x.where(F.col("signal").isin(*BASIC)).groupBy("pump_id", "signal", "_day").agg(F.collect_list("_item").alias("_items"))
+        x.where(F.col("signal").isin(*BASIC))
+        .groupBy("pump_id", "signal", "detailed", "_day", "_hour")
+        .agg(F.collect_list("_item").alias("_items"))
     )
-    bundle = per_sig.groupBy("pump_id", "_day").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.create_map(*[v for k in BASIC for v in (F.lit(k), F.lit(SIGNAL_ENDPOINT[k]))])[F.col("signal")], _sorted_items()))).alias("datos")
+    bundle = per_sig.groupBy("pump_id", "detailed", "_day", "_hour").agg(
+        F.map_from_entries(F.collect_list(F.struct(_endpoint_name(), _sorted_items()))).alias("datos")
     ).join(names, "pump_id", "left")
-    bundle.select(*doc_cols(F.lit("all_basic")), "datos").write.mode("overwrite").json(f"{path}/bundle")
+    ep = F.when(F.col("detailed"), F.lit("all_detailed")).otherwise(F.lit("all_basic"))
+    bundle.select(*doc_cols(ep), "datos").write.mode("overwrite").json(f"{path}/bundle")
 
 
 def landed_bodies(readings: DataFrame) -> DataFrame:
-    """Landed rows whose body is the reading array of one pump, signal and
-    day, the way the service answers a one-day range query."""
-    x = _items(readings).withColumn("_day", F.to_date("time"))
-    g = x.groupBy("pump_id", "signal", "_day").agg(F.collect_list("_item").alias("_items"))
+    """Landed rows whose body is the reading array of one pump, series and
+    hour, the way the service answers a one-hour range query."""
+    x = _items(readings).withColumn("_day", F.to_date("time")).withColumn("_hour", F.hour("time"))
+    g = x.groupBy("pump_id", "signal", "detailed", "_day", "_hour").agg(
+        F.collect_list("_item").alias("_items")
+    )
     return g.select(
         F.col("pump_id").cast("string").alias("pump_id"),
         "signal",
-        F.lit(False).alias("detailed"),
-        F.col("_day").cast("timestamp_ntz").alias("fetched_at"),
+        "detailed",
+        (F.col("_day").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("_hour"))).alias(
+            "fetched_at"
+        ),
         F.lit(200).alias("http_status"),
         F.lit(None).cast("string").alias("error"),
         F.encode(F.to_json(_sorted_items()), "UTF-8").alias("body"),

@@ -15,6 +15,7 @@ into several files instead of landing in one task.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,24 +30,64 @@ def write_readings(
     files: int | None = None,
     mode: str = "overwrite",
     max_records_per_file: int = 5_000_000,
+    dynamic: bool = False,
 ) -> None:
     """Write canonical readings to the partitioned table at ``path``.
 
     ``files`` is the number of range partitions (output tasks); by default
-    the session's shuffle partition count.
+    the session's shuffle partition count. ``dynamic`` replaces only the
+    partitions that have new rows.
     """
     spark = readings.sparkSession
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     df = readings.select(*COLUMNS).withColumn("day", F.to_date("time"))
-    df = df.repartitionByRange(n, "signal", "day", "pump_id", "time").sortWithinPartitions("pump_id", "time", "pos")
+    df = df.repartitionByRange(n, "signal", "day", "pump_id", "time")
+    # Sorted by the partition columns first: the partitioned writer would
+    # otherwise sort by them itself and lose the order inside a file.
+    df = df.sortWithinPartitions("signal", "day", "pump_id", "time", "pos")
     (
         df.write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy("signal", "day")
         .parquet(path)
     )
 
 
+KEY = ["pump_id", "signal", "detailed", "time"]
+
+
+def merge_readings(readings: DataFrame, path: str, files: int | None = None) -> None:
+    """Add readings to the table, each ``KEY`` once: landing the same or an
+    overlapping range again changes nothing.
+
+    Only the ``(signal, day)`` partitions that the new readings touch are
+    read and replaced; of two readings of one key the newer landing stays.
+    A reading without a time has no day to merge into and is matched by its
+    null like any other value.
+    """
+    spark = readings.sparkSession
+    new = readings.select(*COLUMNS, F.to_date("time").alias("day"), F.lit(1).alias("_new"))
+    rows = new
+    try:
+        old = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    else:
+        touched = new.select("signal", "day").distinct()
+        same = F.expr("o.signal <=> t.signal and o.day <=> t.day")
+        kept = old.alias("o").join(touched.alias("t"), same, "left_semi")
+        rows = new.unionByName(kept.select(*COLUMNS, "day", F.lit(0).alias("_new")))
+    rest = [c for c in COLUMNS if c not in KEY]
+    once = (
+        rows.groupBy(*KEY)
+        .agg(F.max_by(F.struct(*rest), F.struct("_new", "pos")).alias("_r"))
+        .select(*KEY, "_r.*")
+    )
+    write_readings(once, path, files, mode="overwrite", dynamic=True)
+
+
 def scan_readings(
     spark: SparkSession,
     path: str,

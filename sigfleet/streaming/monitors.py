@@ -39,13 +39,17 @@ def _start(df: DataFrame, sink: str, checkpoint: str, mode: str, trigger: dict,
     return w.trigger(**trigger).start()
 
 
+SERIES = ["pump_id", "signal", "detailed"]
+# Snapshots of T1 that stay behind the newest one (readers may be on them).
+KEEP_SNAPSHOTS = 3
+
 # --- T1: latest value per pump and signal ---------------------------------
 
 def latest_state(readings_stream: DataFrame) -> DataFrame:
     """Stateful aggregate: the last reading by ``(time, pos)`` per key,
     with its ordering key so sink batches can be merged. ``max_by`` is
     idempotent, so re-landing a payload changes nothing."""
-    return readings_stream.groupBy("pump_id", "signal").agg(last_of(["time", "pos", "value"]).alias("_l"))
+    return readings_stream.groupBy(*SERIES).agg(last_of(["time", "pos", "value"]).alias("_l"))
 
 
 def _snapshot_ids(spark: SparkSession, sink: str) -> list[int]:
@@ -63,15 +67,28 @@ def _snapshot_ids(spark: SparkSession, sink: str) -> list[int]:
     return sorted(ids)
 
 
+def _drop_snapshot(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _merge_snapshot(sink: str):
+    known: list[int] = []  # complete snapshots, listed once per start
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = [b for b in _snapshot_ids(spark, sink) if b < batch_id]
-        cur = batch.select("pump_id", "signal", "_l.*")
-        if prev:
-            cur = cur.unionByName(spark.read.parquet(f"{sink}/batch_id={prev[-1]}").select("pump_id", "signal", "_l.*"))
-        merged = cur.groupBy("pump_id", "signal").agg(last_of(["time", "pos", "value"]).alias("_l"))
+        if not known or known[-1] >= batch_id:  # a start, or a batch run again
+            known[:] = [b for b in _snapshot_ids(spark, sink) if b < batch_id]
+        cur = batch.select(*SERIES, "_l.*")
+        if known:
+            last = spark.read.parquet(f"{sink}/batch_id={known[-1]}")
+            cur = cur.unionByName(last.select(*SERIES, "_l.*"))
+        merged = cur.groupBy(*SERIES).agg(last_of(["time", "pos", "value"]).alias("_l"))
         merged.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        known.append(batch_id)
+        while len(known) > KEEP_SNAPSHOTS + 1:
+            _drop_snapshot(spark, f"{sink}/batch_id={known.pop(0)}")
 
     return write
 
@@ -92,50 +109,77 @@ def start_latest_monitor(
 
 
 def read_latest(spark: SparkSession, sink: str) -> DataFrame:
-    """Current latest values from a T1 sink: ``(pump_id, signal, value, time)``
-    (the newest complete snapshot)."""
+    """Current latest values from a T1 sink: ``(pump_id, signal, detailed,
+    value, time)`` (the newest complete snapshot)."""
     ids = _snapshot_ids(spark, sink)
     if not ids:
-        return spark.createDataFrame([], "pump_id bigint, signal string, value double, time timestamp_ntz")
+        return spark.createDataFrame([], "pump_id bigint, signal string, detailed boolean, value double, time timestamp_ntz")
     s = spark.read.parquet(f"{sink}/batch_id={ids[-1]}")
-    return s.select("pump_id", "signal", F.col("_l.value").alias("value"), F.col("_l.time").alias("time"))
+    return s.select(*SERIES, F.col("_l.value").alias("value"), F.col("_l.time").alias("time"))
 
 
 # --- T2: heartbeat of status and power -------------------------------------
 
-def heartbeat_flags(batch: DataFrame, batch_id: int) -> DataFrame:
-    """One poll = one micro-batch: per pump, did status / power data arrive."""
+def heartbeat_flags(batch: DataFrame, batch_id: int, chosen_pumps: DataFrame) -> DataFrame:
+    """One poll = one micro-batch: for every chosen pump, did plain status
+    and power data arrive. A pump from which nothing came is Error/Error."""
     sig = F.col("signal")
-    ok = F.lit("OK")
-    err = F.lit("Error")
-    g = batch.groupBy("pump_id").agg(
+    seen = batch.where(~F.col("detailed")).groupBy("pump_id").agg(
         F.count_if(sig == "status").alias("status_points"),
         F.count_if(sig == "rawpower").alias("power_points"),
     )
-    return g.select(
-        F.lit(batch_id).cast("long").alias("poll"),
-        "pump_id",
-        F.when(F.col("status_points") > 0, ok).otherwise(err).alias("status"),
-        F.when(F.col("power_points") > 0, ok).otherwise(err).alias("power"),
+    label = lambda c: F.when(F.col(c) > 0, F.lit("OK")).otherwise(F.lit("Error"))
+    return (
+        chosen_pumps.select("pump_id")
+        .distinct()
+        .join(seen, "pump_id", "left")
+        .select(
+            F.lit(batch_id).cast("long").alias("poll"),
+            "pump_id",
+            label("status_points").alias("status"),
+            label("power_points").alias("power"),
+        )
     )
 
 
 def start_heartbeat(
-    readings_stream: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None
+    readings_stream: DataFrame,
+    chosen_pumps: DataFrame,
+    sink: str,
+    checkpoint: str,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Per poll (default every 10 s) OK/Error for status and power.
-    Stateless: each batch is summarised on its own."""
+    """Per poll (default every 10 s) OK/Error for status and power of
+    the chosen pumps. Stateless: each batch is summarised on its own."""
     trigger = trigger or {"processingTime": "10 seconds"}
-    src = readings_stream.where(F.col("signal").isin("status", "rawpower"))
-    return _start(src, sink, checkpoint, "append", trigger, fn=heartbeat_flags)
+    flags = lambda batch, n: heartbeat_flags(batch, n, chosen_pumps)
+    return _start(readings_stream, sink, checkpoint, "append", trigger, fn=flags)
 
 
 # --- T3: fault alerts for selected pumps -----------------------------------
 
-def fault_alerts_stream(readings_stream: DataFrame, chosen_pumps: DataFrame) -> DataFrame:
-    """Stream-static join of fault readings with the chosen pumps."""
+# A fault reading landed again within this span of its time alerts once.
+REPEATS_WITHIN = "7 days"
+
+
+def fault_alerts_stream(
+    readings_stream: DataFrame, chosen_pumps: DataFrame, repeats_within: str = REPEATS_WITHIN
+) -> DataFrame:
+    """Stream-static join of fault readings with the chosen pumps.
+
+    A reading is known by (pump, series, time), not by its place in a
+    payload, so a range landed again at another offset alerts once; the
+    state of that is bounded by the watermark.
+    """
     faults = readings_stream.where(F.col("signal") == "fault")
-    return faults.join(chosen_pumps.select("pump_id", "name"), "pump_id")
+    # Watermarks want a zoned type; the zone only moves the watermark.
+    marked = faults.withColumn("_event", F.col("time").cast("timestamp"))
+    once = (
+        marked.withWatermark("_event", repeats_within)
+        .dropDuplicatesWithinWatermark([*SERIES, "time"])
+        .drop("_event")
+    )
+    return once.join(chosen_pumps.select("pump_id", "name"), "pump_id")
 
 
 def start_fault_alerts(
@@ -146,10 +190,8 @@ def start_fault_alerts(
 
 
 def read_alerts(spark: SparkSession, sink: str) -> DataFrame:
-    """Alerts from a T3 sink; a re-landed reading alerts once (by pump,
-    signal, time, pos)."""
-    a = spark.read.parquet(sink).drop("batch_id")
-    return a.dropDuplicates(["pump_id", "signal", "time", "pos"])
+    """Alerts from a T3 sink."""
+    return spark.read.parquet(sink).drop("batch_id")
 
 
 # --- bounded runs ----------------------------------------------------------

@@ -1,16 +1,17 @@
 import datetime as dt
+import pathlib
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from sigfleet.operators import asof, scans
+from sigfleet.operators import asof, latest, scans
 from sigfleet.sources import driver_tables as dtab
 from sigfleet.sources.readings_table import scan_readings, write_readings
 from tests.conftest import SF_CHECK
 from tests.test_plans import plan
 from tests.test_properties import T0, distinct_orders, frame, readings
 
-COLS = ["pump_id", "signal", "time", "value", "pos"]
+COLS = ["pump_id", "signal", "detailed", "time", "value", "pos"]
 
 
 def rows(df):
@@ -33,6 +34,17 @@ def test_indexed_carry_in_equals_full_history(spark, tmp):
     assert len(part) == 2
 
 
+def test_latest_from_index_equals_full_history(spark, tmp):
+    r = dtab.readings(spark, SF_CHECK).select(*COLS)
+    old = scans.time_range(r, None, dt.datetime(2024, 1, 20, 23, 59, 59, 999999))
+    asof.write_daily_last(old, f"{tmp}/daily")
+    index = spark.read.parquet(f"{tmp}/daily")
+    want = rows(latest.latest_per_signal(r, fields=("value", "pos")))
+    assert rows(asof.latest_from_index(r, index)) == want
+    files = sum(1 for _ in pathlib.Path(f"{tmp}/daily").glob("day=*/*.parquet"))
+    assert files <= 20 * asof.FILES_PER_DAY
+
+
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(readings, st.integers(0, 20))
 def test_in_force_at_brute_force(spark, rs, a):

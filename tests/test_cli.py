@@ -18,9 +18,9 @@ def land_payload_files(spark, path):
     """One body file per pump, signal and day under pump_id=/signal=/day=."""
     bodies = landing.landed_bodies(dtab.readings(spark, SF_SMOKE))
     out = bodies.select(
-        "pump_id", "signal", F.to_date("fetched_at").cast("string").alias("day"), F.col("body").cast("string").alias("value")
+        "pump_id", "signal", "detailed", F.date_format("fetched_at", "yyyyMMddHH").alias("hour"), F.to_date("fetched_at").cast("string").alias("day"), F.col("body").cast("string").alias("value")
     )
-    out.write.mode("overwrite").partitionBy("pump_id", "signal", "day").text(path)
+    out.write.mode("overwrite").partitionBy("pump_id", "signal", "detailed", "day", "hour").text(path)
 
 
 def test_ingest_and_jobs(spark, tmp, capsys):
@@ -45,12 +45,14 @@ def test_ingest_and_jobs(spark, tmp, capsys):
     want = events.where(
         (F.col("pump_id") == 7)
         & F.col("signal").isin("status", "rawpower", "speed")
+        & ~F.col("detailed")
         & (F.col("time") >= dt.datetime(2024, 1, 5))
         & (F.col("time") <= dt.datetime(2024, 1, 20, 23, 59, 59))
     ).count()
     assert {p["signal"]: p["points"] for p in printed}["TOTAL"] == want
     docs = spark.read.json(f"{tmp}/q")
-    assert docs.count() == 1 and docs.first().bomba.id == "7"
+    assert {d.bomba.id for d in docs.collect()} == {"7"}
+    assert docs.select("parte").distinct().count() == docs.count()
 
     cli.main(["latest", "--readings", f"{tmp}/readings", "--pumps", f"{tmp}/pumps", "--now", NOW, "--out", f"{tmp}/latest"], spark)
     assert spark.read.option("header", True).csv(f"{tmp}/latest").count() == dtab.pumps(spark, SF_SMOKE).count()
@@ -66,7 +68,7 @@ def test_ingest_and_jobs(spark, tmp, capsys):
     cli.main(["monitor", "--landing", f"{tmp}/readings", "--sink", f"{tmp}/mon", "--checkpoint", f"{tmp}/ck", "--once"], spark)
     from sigfleet.streaming.monitors import read_latest
 
-    assert read_latest(spark, f"{tmp}/mon").count() == events.select("pump_id", "signal").distinct().count()
+    assert read_latest(spark, f"{tmp}/mon").count() == events.select("pump_id", "signal", "detailed").distinct().count()
 
 
 def test_rejected_range_text(spark, tmp):

@@ -26,7 +26,7 @@ def rd(mk_readings):
 
 
 def pm(mk_pumps):
-    return mk_pumps([("a", "EB1 G1"), ("b", "EB10 G1"), ("c", None), ("d", "EB2 G2")])
+    return mk_pumps([("a", "north1 u1"), ("b", "north10 u1"), ("c", None), ("d", "south2 u2")])
 
 
 def test_range_scan_inclusive_and_open(mk_readings):
@@ -105,19 +105,23 @@ def test_exclude_offline_keeps_pumps_without_inservice(mk_readings, mk_pumps):
     assert kept == {"b", "c", "d"}
 
 
-def test_wide_record_arrays_and_positions(mk_readings):
-    w = {x.pump_id: x for x in reports.wide_record(rd(mk_readings)).collect()}
-    assert set(w) == {"a", "b", "c"}
-    assert [e.pos for e in w["a"].status_series] == [0, 1, 2]
-    assert w["c"].status_series == []  # no data: empty series, as an empty fetch
-    p = {x.pump_id: x for x in reports.wide_record(rd(mk_readings), render="pos").collect()}
-    assert p["a"].power_pos == "0,1" and p["a"].fault_pos == "0"
+def test_wide_record_is_whole_in_chunks(mk_readings, mk_pumps):
+    rows = reports.wide_record(pm(mk_pumps), rd(mk_readings), bucket=1).orderBy("pump_id", "chunk").collect()
+    assert {x.pump_id for x in rows} == {"a", "b", "c", "d"}
+    a = [x for x in rows if x.pump_id == "a"]
+    assert len(a) > 1 and [x.chunk for x in a] == sorted(x.chunk for x in a)
+    assert [e.pos for x in a for e in x.status] == [0, 1, 2]
+    assert [e.pos for x in a for e in x.power] == [0, 1] and [e.pos for x in a for e in x.faults] == [0]
+    d = [x for x in rows if x.pump_id == "d"]
+    assert len(d) == 1 and d[0].chunk is None and d[0].status == [] and d[0].inservice == []
+    assert {len(x.status) for x in reports.wide_record(pm(mk_pumps), rd(mk_readings), detailed=True).collect()} == {0}
 
 
-def test_series_documents_cross_days_in_order(mk_readings):
-    rows = [("x", "status", f"2024-01-0{d} 0{h}:00:00", float(d * 10 + h), d * 10 + h) for d in (3, 1, 2) for h in (2, 1)]
-    docs = bundles.series_documents(mk_readings(rows), render="pos").first()
-    assert docs.points == 6 and docs.datos_pos == "11,12,21,22,31,32"
+def test_series_chunks_cross_days_in_order(mk_readings):
+    rows = [("x", "status", f"2024-01-0{d} 0{h}:30:00", float(d * 10 + h), d * 10 + h) for d in (3, 1, 2) for h in (2, 1)]
+    chunks = bundles.series_chunks(mk_readings(rows), bucket=24).orderBy("chunk").collect()
+    assert [[e.pos for e in c.datos] for c in chunks] == [[11, 12], [21, 22], [31, 32]]
+    assert bundles.series_chunks(mk_readings(rows)).count() == 6
 
 
 def test_series_sample_first_three(mk_readings):
@@ -151,17 +155,23 @@ def test_fallback_per_unit(spark):
     out = spark.createDataFrame([(1, "ok"), (2, "error")], "unit int, outcome string")
     got = {x.name for x in catalog_ops.with_fallback(prim, snap, out, "unit").collect()}
     assert got == {"p1", "s2"}
+    unknown = out.where("unit = 2").union(spark.createDataFrame([(1, None)], out.schema))
+    got = {x.name for x in catalog_ops.with_fallback(prim, snap, unknown, "unit").collect()}
+    assert got == {"p1", "s2"}  # no outcome, or a null one, is no error
 
 
 def test_history_lookback(mk_readings):
     now = dt.datetime(2024, 1, 2, 0, 0, 0)
-    h = bundles.history(rd(mk_readings), now, 24)
+    detailed = rd(mk_readings).withColumn("detailed", F.lit(True))
+    assert bundles.history(rd(mk_readings), now, 24).count() == 0  # plain series are not history
+    h = bundles.history(detailed, now, "24")
     assert {(x.pump_id, x.signal, x.pos) for x in h.collect()} == {
         ("a", "status", 0), ("a", "status", 1), ("a", "status", 2), ("a", "rawpower", 0), ("a", "rawpower", 1),
         ("a", "fault", 0), ("b", "status", 0),
     }
-    doc = bundles.history_document(rd(mk_readings), now, 24).where(F.col("bomba_id") == "a").first()
-    assert doc.periodo.horas == 24 and len(doc.datos["status"]) == 3
+    docs = bundles.history_document(detailed, now, "x").where(F.col("bomba_id") == "a").collect()
+    assert {d.periodo.horas for d in docs} == {24}
+    assert sum(len(d.datos.get("status", [])) for d in docs) == 3
 
 
 def test_select_endpoints_mixes_plain_and_detailed(spark):

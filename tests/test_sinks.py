@@ -3,6 +3,7 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from sigfleet.sinks import bom, writers
 from sigfleet.sources.result_docs import read_result_docs
@@ -15,10 +16,11 @@ END = dt.datetime(2024, 1, 2)
 
 def test_single_result_documents_round_trip(spark, tmp, mk_readings, mk_pumps):
     docs = writers.result_documents(mk_readings(ROWS), pm(mk_pumps), "status", START, END, NOW)
-    got = {d.bomba.id: d for d in docs.collect()}
-    assert got["a"].file_key == "consulta_status_EB1_G1_20240130_000000"
+    got = {d.bomba.id: d for d in docs.orderBy(F.desc("parte")).collect()}
+    assert got["a"].file_key == "consulta_status_north1_u1_20240130_000000"
     assert got["c"].file_key == "consulta_status_Sin_nombre_20240130_000000"
-    assert [x.time for x in got["a"].datos] == ["2024-01-01T00:00:00Z", "2024-01-01T00:30:00Z", "2024-01-01T01:00:00Z"]
+    parts = docs.where("bomba.id = 'a'").orderBy("parte").collect()
+    assert [x.time for d in parts for x in d.datos] == ["2024-01-01T00:00:00Z", "2024-01-01T00:30:00Z", "2024-01-01T01:00:00Z"]
     assert got["d"].datos == []
     writers.write_documents(docs, f"{tmp}/docs")
     back = read_result_docs(spark, f"{tmp}/docs", multi_line=False)
@@ -28,9 +30,12 @@ def test_single_result_documents_round_trip(spark, tmp, mk_readings, mk_pumps):
 
 def test_bundle_result_documents(spark, tmp, mk_readings, mk_pumps):
     docs = writers.result_documents(mk_readings(ROWS), pm(mk_pumps), "all_basic", START, END, NOW)
-    a = docs.where("bomba.id = 'a'").first()
-    assert set(a.datos) == {"status", "power", "speed"}
-    assert len(a.datos["status"]) == 3 and len(a.datos["power"]) == 2 and a.datos["speed"] == []
+    a = docs.where("bomba.id = 'a'").collect()
+    assert all(set(d.datos) == {"status", "power", "speed"} for d in a)
+    assert [sum(len(d.datos[k]) for d in a) for k in ("status", "power", "speed")] == [3, 2, 0]
+    assert writers.result_documents(mk_readings(ROWS), pm(mk_pumps), "detailed_status", START, END, NOW).where(
+        "size(datos) > 0"
+    ).count() == 0
     writers.write_documents(docs, f"{tmp}/docs")
     back = read_result_docs(spark, f"{tmp}/docs", multi_line=False)
     assert {(r.signal, r.n) for r in back.groupBy("signal").count().withColumnRenamed("count", "n").collect()} == {
@@ -60,6 +65,19 @@ def test_latest_csv_export(spark, tmp, mk_readings, mk_pumps):
     assert back.count() == 4
 
 
+def test_csv_keeps_blanks_quotes_and_fractions(spark, tmp):
+    df = spark.sql("select ' a, \"b\" ' as name, timestamp_ntz '2024-01-01 00:00:00.250125' as t")
+    writers.write_csv(df, f"{tmp}/c")
+    lines = open(glob.glob(f"{tmp}/c/part-*.csv")[0]).read().splitlines()
+    assert lines == ["name,t", '" a, ""b"" ",2024-01-01T00:00:00.250125']
+
+
+def test_documents_keep_fractions(spark, tmp, mk_readings, mk_pumps):
+    r = mk_readings([("a", "status", "2024-01-01 00:00:00.250000", 1.0, 0), ("a", "status", "2024-01-01 00:00:01", 1.0, 1)])
+    docs = writers.result_documents(r, pm(mk_pumps), "status", START, END, NOW).where("bomba.id = 'a'").collect()
+    assert [x.time for d in docs for x in d.datos] == ["2024-01-01T00:00:00.250000Z", "2024-01-01T00:00:01Z"]
+
+
 def test_report_documents(spark, tmp, mk_readings, mk_pumps):
     from sigfleet.operators.reports import fleet_summary, report_rows
 
@@ -79,10 +97,16 @@ def test_bom_repair(spark, tmp):
         f.write(b"[3]")
     with open(f"{src}/notes.txt", "wb") as f:
         f.write(b"\xef\xbb\xbfhello")
+    os.makedirs(f"{src}/sub")
+    with open(f"{src}/sub/a.json", "wb") as f:
+        f.write(b"[4]\n")
     status = {r.file: r for r in bom.repair_bom(spark, src, f"{tmp}/out").collect()}
     assert status["a.json"].status == "repaired" and status["a.json"].bytes_out == 6
     assert status["b.json"].status == "clean"
     assert status["notes.txt"].status == "skipped"
+    assert status["sub/a.json"].status == "clean"
+    below = open(glob.glob(f"{tmp}/out/file=sub%2Fa.json/part-*")[0], "rb").read()
+    assert below == b"[4]\n"
     text = open(glob.glob(f"{tmp}/out/file=a.json/part-*")[0], "rb").read()
     assert text.rstrip(b"\n") == b"[1, 2]"
     # input untouched

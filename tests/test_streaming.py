@@ -60,16 +60,17 @@ def test_latest_stream_equals_batch_across_restarts(spark):
 def test_fault_alerts_stream(spark, mk_pumps):
     src = work_path(spark, "test-src")
     land(spark, batch1(), src)
-    land(spark, batch1(), src)  # repeat: alerts once
-    chosen = mk_pumps([("p2", "EB3 G1")])
+    land(spark, [(p, s, d, t, v, q, pos + 3) for p, s, d, t, v, q, pos in batch1()], src)  # shifted repeat: alerts once
+    chosen = mk_pumps([("p2", "south3 u1")])
     sink = monitors.run_available(spark, "test-alerts", monitors.start_fault_alerts, stream(spark, src), chosen)
     rows = monitors.read_alerts(spark, sink).collect()
-    assert [(r.pump_id, r.name, r.value) for r in rows] == [("p2", "EB3 G1", 9.0)]
+    assert [(r.pump_id, r.name, r.value) for r in rows] == [("p2", "south3 u1", 9.0)]
 
 
-def test_heartbeat_per_poll(spark):
+def test_heartbeat_per_poll(spark, mk_pumps):
     src = work_path(spark, "test-src")
     land(spark, batch1(), src)
-    sink = monitors.run_available(spark, "test-hb", monitors.start_heartbeat, stream(spark, src))
+    chosen = mk_pumps([("p1", "n1"), ("p2", "n2"), ("p9", "silent")])
+    sink = monitors.run_available(spark, "test-hb", monitors.start_heartbeat, stream(spark, src), chosen)
     got = {(r.pump_id, r.status, r.power) for r in spark.read.parquet(sink).collect()}
-    assert got == {("p1", "OK", "Error"), ("p2", "Error", "OK")}
+    assert got == {("p1", "OK", "Error"), ("p2", "Error", "OK"), ("p9", "Error", "Error")}

@@ -61,6 +61,11 @@ def test_range_start_keywords_and_dates(spark):
 
 
 def test_range_end(spark):
+    vals = ["2024-01-05 9:30", "2024-1-05 1:05", "\t2024-01-05\n", "2024-02-30"]
+    got = one_col(spark, vals, lambda c: range_end(c, NOW))
+    day = dt.datetime(2024, 1, 5)
+    assert got == [day + dt.timedelta(hours=9, minutes=30), day + dt.timedelta(hours=1, minutes=5),
+                   dt.datetime(2024, 1, 5, 23, 59, 59), None]
     vals = ["", "2024-01-05", "2024-01-05 14:30", "hoy", "bad"]
     got = one_col(spark, vals, lambda c: range_end(c, NOW))
     assert got == [NOW, dt.datetime(2024, 1, 5, 23, 59, 59), dt.datetime(2024, 1, 5, 14, 30), None, None]
