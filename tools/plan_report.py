@@ -18,7 +18,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as entry  # noqa: E402
+from sigfleet.plans import driver_queries as entry  # noqa: E402
 from sigfleet.session import build_session  # noqa: E402
 
 
@@ -60,7 +60,7 @@ def main(argv):
     print("Aggregates are listed leaf-last as they appear in the tree; a pair is partial + final.\n")
     print("| Query | Scans (columns read; pushed filters) | Shuffles | Aggregates | Joins | Top-k cut | Python |")
     print("|---|---|---|---|---|---|---|")
-    for name, fn in entry.queries().items():
+    for name, fn in entry.QUERIES.items():
         s = summarise(explain(fn(spark, sf)))
         print(f"| `{name}` | {s['scans']} | {s['shuffles']} | {s['aggregates']} | {s['joins']} | {s['window_limit']} | {s['python']} |")
     spark.stop()
