@@ -148,33 +148,35 @@ def train(
     used: np.ndarray,
     classes: int,
     hidden: int = 8,
-    epochs: int = 12,
+    steps: int = 600,
     batch: int = 128,
     rate: float = 0.02,
     seed: int = 7,
 ) -> dict[str, np.ndarray]:
-    """Adam over shuffled batches; ``windows`` and ``used`` are (length, windows)."""
+    """``steps`` batches of Adam, reshuffled when all windows have been used.
+
+    ``windows`` and ``used`` are (length, windows).
+    """
     p = new_model(hidden, classes, seed)
     rng = np.random.default_rng(seed)
     m = {k: np.zeros_like(v) for k, v in p.items()}
     s = {k: np.zeros_like(v) for k, v in p.items()}
-    step, total = 0, epochs * -(-windows.shape[1] // batch)
-    for _ in range(epochs):
-        order = rng.permutation(windows.shape[1])
-        for at in range(0, len(order), batch):
-            pick = order[at : at + batch]
-            _, grad = gradients(p, windows[:, pick], labels[pick], used[:, pick])
-            norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
-            clip = min(1.0, 1.0 / (norm + 1e-9))
-            step += 1
-            lr = rate * (1.0 - step / (total + 1.0)) + 1e-4
-            for k, g in grad.items():
-                g *= F32(clip)
-                m[k] += F32(0.1) * (g - m[k])
-                s[k] += F32(0.01) * (g * g - s[k])
-                p[k] -= F32(lr) * (m[k] / (1 - 0.9**step)).astype(F32) / (
-                    np.sqrt(s[k] / (1 - 0.99**step)).astype(F32) + F32(1e-8)
-                )
+    order = np.empty(0, int)
+    for step in range(1, steps + 1):
+        if len(order) < batch:
+            order = np.concatenate([order, rng.permutation(windows.shape[1])])
+        pick, order = order[:batch], order[batch:]
+        _, grad = gradients(p, windows[:, pick], labels[pick], used[:, pick])
+        norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
+        clip = min(1.0, 1.0 / (norm + 1e-9))
+        lr = rate * (1.0 - step / (steps + 1.0)) + 1e-4
+        for k, g in grad.items():
+            g *= F32(clip)
+            m[k] += F32(0.1) * (g - m[k])
+            s[k] += F32(0.01) * (g * g - s[k])
+            p[k] -= F32(lr) * (m[k] / (1 - 0.9**step)).astype(F32) / (
+                np.sqrt(s[k] / (1 - 0.99**step)).astype(F32) + F32(1e-8)
+            )
     return p
 
 

@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from sigfleet.llm import bigru
 from sigfleet.llm.common import stored, whole
 
-EXCERPT = 64
+# Bytes of a training window, and windows an excerpt is cut into.
+TRAIN_WINDOW, TRAIN_WINDOWS = 64, 4
+EXCERPT = TRAIN_WINDOW * TRAIN_WINDOWS
 UNKNOWN = "und"
 
 
@@ -88,11 +90,15 @@ def _fitted(tables: Iterator[pa.RecordBatch], hidden: int) -> Iterator[pa.Record
     if not rows:
         return
     names = sorted({r["lang"] for r in rows})
-    windows = np.zeros((EXCERPT, len(rows)), np.uint8)
-    used = np.zeros((EXCERPT, len(rows)), np.float32)
-    labels = np.array([names.index(r["lang"]) for r in rows])
-    for i, r in enumerate(rows):
-        data = np.frombuffer(r["excerpt"].encode("utf-8")[:EXCERPT], np.uint8)
+    parts = []
+    for r in rows:
+        data = np.frombuffer(r["excerpt"].encode("utf-8"), np.uint8)[:EXCERPT]
+        label = names.index(r["lang"])
+        parts += [(data[a : a + TRAIN_WINDOW], label) for a in range(0, len(data), TRAIN_WINDOW)]
+    windows = np.zeros((TRAIN_WINDOW, len(parts)), np.uint8)
+    used = np.zeros((TRAIN_WINDOW, len(parts)), np.float32)
+    labels = np.array([label for _, label in parts])
+    for i, (data, _) in enumerate(parts):
         windows[: len(data), i] = data
         used[: len(data), i] = 1
     model = bigru.train(windows, labels, used, len(names), hidden)
