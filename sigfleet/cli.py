@@ -8,7 +8,8 @@
     python -m sigfleet ingest-payloads --landed DIR --readings R --outcomes O
     python -m sigfleet ingest-catalog  --catalog DIR --pumps P --links L
     python -m sigfleet repair-bom --input DIR --output DIR [--pattern '*.json']
-    python -m sigfleet monitor --landing DIR --sink DIR --checkpoint DIR [--once]
+    python -m sigfleet monitor --landing DIR --sink DIR --checkpoint DIR [--once] [--landed]
+                               [--kind latest|heartbeat|alerts] [--pumps P] [--pump ID ...]
 
 ``R`` is a readings table written by ``ingest-payloads``; ``P`` a pumps
 table from ``ingest-catalog``. Range texts follow the client's rules
@@ -109,9 +110,18 @@ def cmd_repair_bom(spark, args):
 
 
 def cmd_monitor(spark, args):
-    stream = spark.readStream.schema(READINGS_SCHEMA).parquet(args.landing)
+    if args.landed:
+        stream = monitors.landed_readings_stream(spark, args.landing)
+    else:
+        stream = spark.readStream.schema(READINGS_SCHEMA).parquet(args.landing)
     trigger = {"availableNow": True} if args.once else {"processingTime": f"{args.every} seconds"}
-    q = monitors.start_latest_monitor(stream, args.sink, args.checkpoint, trigger)
+    if args.kind == "latest":
+        q = monitors.start_latest_monitor(stream, args.sink, args.checkpoint, trigger)
+    else:
+        if not args.pumps:
+            raise SystemExit(f"monitor --kind {args.kind} needs --pumps")
+        start = monitors.start_heartbeat if args.kind == "heartbeat" else monitors.start_fault_alerts
+        q = start(stream, _pumps(spark, args), args.sink, args.checkpoint, trigger)
     q.awaitTermination()
 
 
@@ -158,6 +168,10 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--sink", required=True)
     m.add_argument("--checkpoint", required=True)
     m.add_argument("--every", type=int, default=30)
+    m.add_argument("--kind", choices=["latest", "heartbeat", "alerts"], default="latest")
+    m.add_argument("--landed", action="store_true", help="the landing holds payload rows, not readings")
+    m.add_argument("--pumps", default=None)
+    m.add_argument("--pump", nargs="*", default=None)
     m.add_argument("--once", action="store_true")
     return ap
 

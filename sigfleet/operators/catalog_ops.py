@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sigfleet.functions.links import discovered_links, fill_template, swap_base
+from sigfleet.functions.links import absolute_link, discovered_links, fill_template, link_href, swap_base
 from sigfleet.schemas import DETAILED_SUFFIX, PLACEHOLDER_BASE_URL, SIGNAL_CODES
 
 
@@ -110,10 +110,14 @@ def rewrite_links(df: DataFrame, href: str, when, old_base: str, new_base: str)
     return df.withColumn(href, F.when(when, swap_base(h, old_base, new_base)).otherwise(h))
 
 
-def pump_info(pumps: DataFrame, pump_ids, base: str = PLACEHOLDER_BASE_URL, signal: str = "status") -> DataFrame:
-    """Info record of the chosen pumps with the link of one signal."""
-    chosen = pumps.where(F.col("pump_id").isin(list(pump_ids)))
-    return chosen.select("pump_id", "name", fill_template(F.col("pump_id"), F.lit(signal), False, base).alias(f"{signal}_href"))
+def pump_info(
+    pumps_with_links: DataFrame, pump_ids, base: str = PLACEHOLDER_BASE_URL, signal: str = "status"
+) -> DataFrame:
+    """Info record of the chosen pumps with the catalogue's own
+    link of one signal (made absolute); no such link -> null."""
+    chosen = pumps_with_links.where(F.col("pump_id").isin(list(pump_ids)))
+    href = absolute_link(link_href("links", signal), base)
+    return chosen.select("pump_id", "name", href.alias(f"{signal}_href"))
 
 
 def with_fallback(primary: DataFrame, snapshot: DataFrame, outcomes: DataFrame, unit: str) -> DataFrame:

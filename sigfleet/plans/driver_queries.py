@@ -155,7 +155,12 @@ def q_id_names(spark, sf):
 
 
 def q_valid_ids(spark, sf):
-    return catalog_ops.valid_ids(_p(spark, sf)).select("pump_id", "name")
+    """Ids are missing or blank for two nations of five."""
+    c = dtab.table(spark, sf, "customer")
+    k = F.col("c_nationkey") % 5
+    text_id = F.when(k == 0, F.lit(None)).when(k == 1, F.lit("")).otherwise(F.col("c_custkey").cast("string"))
+    ids = c.select(text_id.alias("pump_id"), F.col("c_name").alias("name"))
+    return catalog_ops.valid_ids(ids).select(F.col("pump_id").cast("long").alias("pump_id"), "name")
 
 
 def q_head_n(spark, sf):
@@ -199,7 +204,7 @@ def q_links_rewrite(spark, sf):
 
 
 def q_pump_info(spark, sf):
-    return catalog_ops.pump_info(_p(spark, sf), [PUMP])
+    return catalog_ops.pump_info(catalog_ops.links_map(_p(spark, sf)), [PUMP])
 
 
 def q_file_key(spark, sf):
@@ -369,7 +374,8 @@ def q_latest_csv(spark, sf):
 def q_id_names_csv(spark, sf):
     """K4: the id/name CSV, written and read back; blanks at the ends and
     quotes of a name survive."""
-    p = _p(spark, sf).withColumn("name", F.concat(F.lit(' "'), "name", F.lit('", ')))
+    named = F.concat(F.lit(' "'), F.coalesce("name", F.lit("")), F.lit('", '))
+    p = _p(spark, sf).withColumn("name", named)
     path = work_path(spark, "id-names-csv")
     writers.write_csv(catalog_ops.id_names(p), path)
     read = spark.read.schema("id long, name string").options(
@@ -428,6 +434,11 @@ def q_payload_outcomes(spark, sf):
     return out.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_payload_sizes(spark, sf):
+    """A1: points of list results and, apart from them, keys of object ones."""
+    return payloads.payload_sizes(landed_events(spark, sf)).select(*SERIES, "points", "keys")
+
+
 def q_payload_partial(spark, sf):
     """S3: elements and rejected elements per pump and series."""
     return payloads.payload_elements(landed_events(spark, sf)).select(*SERIES, "elements", "rejected")
@@ -538,6 +549,7 @@ QUERIES = {
     "id_names_csv": q_id_names_csv,
     "report_json": q_report_json,
     "payload_partial": q_payload_partial,
+    "payload_sizes": q_payload_sizes,
     "ingest_twice": q_ingest_twice,
     "link_lookup": q_link_lookup,
     "result_document": q_result_document,

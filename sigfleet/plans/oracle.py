@@ -11,7 +11,7 @@ R = (
     "when 'click' then 'rawpower' when 'purchase' then 'speed' when 'error' then 'fault' "
     "else 'inservice' end as signal, event_id % 4 = 3 as detailed, ts as time, value, event_id as pos "
     "from events), "
-    "p as (select c_custkey as pump_id, c_name as name from customer) "
+    "p as (select c_custkey as pump_id, case when c_custkey % 10 <> 0 then c_name end as name from customer) "
 )
 
 _WITH_R = {
@@ -57,7 +57,7 @@ _WITH_R = {
     "where r.signal = 'fault' and (p.name like '%0001%' or p.name like '%77%')",
     "name_filter": "select pump_id, name from p where name like '%012%' or name like '%77%'",
     "id_names": "select pump_id as id, coalesce(name, '') as name from p",
-    "valid_ids": "select pump_id, name from p where pump_id is not null",
+    "valid_ids": "select c_custkey as pump_id, c_name as name from customer where c_nationkey % 5 > 1",
     "head_n": "select pump_id, name from p order by pump_id limit 10",
     "links_workset": "select p.pump_id, concat(g.s, d.d) as signal, concat('https://example.invalid/physicalPumps/', "
     "p.pump_id, '/', g.s, d.d, '/') as href from p cross join (values ('status'), ('rawpower'), ('speed'), "
@@ -114,16 +114,16 @@ _WITH_R = {
     "'status') as n_status, count(*) filter (signal = 'rawpower') as n_power, count(*) filter (signal = 'speed') as "
     "n_speed, count(*) filter (signal = 'fault') as n_faults, count(*) filter (signal = 'inservice') as n_inservice "
     "from r where detailed group by 1, 2) c on c.pump_id = p.pump_id",
-    "result_document": "select p.pump_id, p.name, r.signal, r.detailed, r.time, r.value from p join r on "
+    "result_document": "select p.pump_id, coalesce(p.name, 'Sin nombre') as name, r.signal, r.detailed, r.time, r.value from p join r on "
     "r.pump_id = p.pump_id where r.detailed and r.signal in ('status', 'rawpower', 'speed') and r.time >= "
     "timestamp '2024-01-10 00:00:00' and r.time <= timestamp '2024-01-20 00:00:00'",
-    "latest_csv": "select p.pump_id as ID, p.name as Nombre, timestamp '2024-01-30 00:00:00' as Timestamp, "
+    "latest_csv": "select p.pump_id as ID, coalesce(p.name, 'Sin nombre') as Nombre, timestamp '2024-01-30 00:00:00' as Timestamp, "
     "l.st is not null as Estado_Disponible, l.pt is not null as Potencia_Disponible, l.sv as Estado_Valor, "
     "l.st as Estado_Tiempo, l.pv as Potencia_Valor, l.pt as Potencia_Tiempo from p left join (select pump_id, "
     "arg_max(value, (time, pos)) filter (signal = 'status') as sv, max(time) filter (signal = 'status') as st, "
     "arg_max(value, (time, pos)) filter (signal = 'rawpower') as pv, max(time) filter (signal = 'rawpower') as pt "
     "from r where not detailed group by pump_id) l on l.pump_id = p.pump_id",
-    "id_names_csv": "select pump_id as id, concat(' \"', name, '\", ') as name from p",
+    "id_names_csv": "select pump_id as id, concat(' \"', coalesce(name, ''), '\", ') as name from p",
     "report_json": "select p.pump_id as id, p.name, coalesce(f.has_faults, false) as has_faults, "
     "coalesce(f.status_available, false) as status_available, coalesce(f.power_available, false) as "
     "power_available, count(*) over () as total_bombas, count(f.pump_id) over () as bombas_procesadas, "
@@ -136,6 +136,10 @@ _WITH_R = {
     "'no_pump' when 5 then 'no_signal' when 6 then 'error' else case pos % 11 when 0 then 'empty' when 1 then 'empty' "
     "when 3 then 'object' when 8 then 'ok' when 10 then 'ok' else 'malformed' end end as outcome from r) t "
     "group by outcome",
+    "payload_sizes": "select cast(pump_id as varchar) as pump_id, signal, detailed, cast(sum(case when k in (8, 10) "
+    "then case k when 8 then 2 else 1 end else 0 end) as bigint) as points, cast(sum(case when k = 3 then "
+    "len(json_keys(props)) else 0 end) as bigint) as keys from (select r.*, e.props, pos % 11 as k from r join events e "
+    "on e.event_id = r.pos) v where pos % 7 < 3 and k in (3, 8, 10) group by 1, 2, 3",
     "payload_partial": "select cast(pump_id as varchar) as pump_id, signal, detailed, cast(sum(case pos % 11 when 8 "
     "then 4 else 1 end) as bigint) as elements, cast(sum(case pos % 11 when 8 then 2 else 0 end) as bigint) as rejected "
     "from r where pos % 11 in (8, 10) and pos % 7 < 3 group by 1, 2, 3",

@@ -137,10 +137,13 @@ def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None
 
 
 def pumps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical catalogue ``(pump_id, name, source_pos)``; order = key order."""
+    """Canonical catalogue ``(pump_id, name, source_pos)``; order = key order.
+
+    Every tenth pump is taken to have no name in the catalogue.
+    """
     c = table(spark, sf_dir, "customer")
     return c.select(
         F.col("c_custkey").alias("pump_id"),
-        F.col("c_name").alias("name"),
+        F.when(F.col("c_custkey") % 10 != 0, F.col("c_name")).alias("name"),
         F.col("c_custkey").alias("source_pos"),
     )

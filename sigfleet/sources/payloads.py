@@ -158,6 +158,19 @@ def _elements(landed: DataFrame) -> DataFrame:
     return x.withColumn("_r", reading_of("_e"))
 
 
+def payload_sizes(landed: DataFrame) -> DataFrame:
+    """A1: per pump and series the readings of list results (``points``) and
+    the number of keys of object results (``keys``), which are shown but
+    never enter a total."""
+    text = body_text("body")
+    x = landed.select("pump_id", "signal", "detailed", outcome(landed).alias("_o"), text.alias("_t"))
+    readings = F.size(F.filter(array_elements("_t"), lambda e: reading_of(e).isNotNull()))
+    n = lambda o, c: F.sum(F.when(F.col("_o") == o, c).otherwise(0)).cast("long")
+    return x.where(F.col("_o").isin("ok", "object")).groupBy("pump_id", "signal", "detailed").agg(
+        n("ok", readings).alias("points"), n("object", F.size(F.json_object_keys("_t"))).alias("keys")
+    )
+
+
 def payload_elements(landed: DataFrame) -> DataFrame:
     """Per pump and series: array elements, and those that are no reading."""
     return _elements(landed).groupBy("pump_id", "signal", "detailed").agg(

@@ -20,8 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sigfleet.functions.labels import default_name
 from sigfleet.functions.ordering import last_of
+from sigfleet.schemas import LANDED_SCHEMA, NO_DATA
 from sigfleet.session import work_path
+from sigfleet.sources.payloads import readings_from_landed
 
 
 def _batch_writer(sink: str, fn=None):
@@ -118,6 +121,27 @@ def read_latest(spark: SparkSession, sink: str) -> DataFrame:
     return s.select(*SERIES, F.col("_l.value").alias("value"), F.col("_l.time").alias("time"))
 
 
+def latest_labels(spark: SparkSession, sink: str, chosen_pumps: DataFrame, signal: str = "status") -> DataFrame:
+    """T1 as shown: the chosen pumps with their latest plain value of one
+    signal as text, or the "no data" label."""
+    now = read_latest(spark, sink).where((F.col("signal") == signal) & ~F.col("detailed"))
+    return (
+        chosen_pumps.select("pump_id", "name")
+        .join(now.select("pump_id", "value", "time"), "pump_id", "left")
+        .select(
+            "pump_id",
+            default_name("name").alias("name"),
+            F.coalesce(F.col("value").cast("string"), F.lit(NO_DATA)).alias("value"),
+            "time",
+        )
+    )
+
+
+def landed_readings_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Readings from a stream of landed payload rows (Parquet, S3's form)."""
+    return readings_from_landed(spark.readStream.schema(LANDED_SCHEMA).parquet(path))
+
+
 # --- T2: heartbeat of status and power -------------------------------------
 
 def heartbeat_flags(batch: DataFrame, batch_id: int, chosen_pumps: DataFrame) -> DataFrame:

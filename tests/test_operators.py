@@ -145,8 +145,11 @@ def test_catalog_projection_ops(mk_pumps):
     assert href == "https://example.invalid/physicalPumps/a/speed/detailed/"
     counts = {x.links for x in catalog_ops.links_count(catalog_ops.links_map(p)).collect()}
     assert counts == {16}
-    info = catalog_ops.pump_info(p, ["b"]).first()
+    linked = catalog_ops.links_map(p)
+    info = catalog_ops.pump_info(linked, ["b"]).first()
     assert info.status_href == "https://example.invalid/physicalPumps/b/status/"
+    bare = linked.withColumn("links", F.map_filter("links", lambda k, v: k != "status"))
+    assert catalog_ops.pump_info(bare, ["b"]).first().status_href is None
 
 
 def test_fallback_per_unit(spark):

@@ -1,6 +1,7 @@
 import datetime as dt
 
 from sigfleet.operators.latest import latest_per_signal
+from sigfleet.schemas import LANDED_SCHEMA
 from sigfleet.session import work_path
 from sigfleet.streaming import monitors
 from tests.conftest import READINGS_DDL, T
@@ -67,6 +68,17 @@ def test_fault_alerts_stream(spark, mk_pumps):
     assert [(r.pump_id, r.name, r.value) for r in rows] == [("p2", "south3 u1", 9.0)]
 
 
+def test_landed_rows_and_labels(spark, mk_pumps):
+    body = b'[{"time": "2031-02-03T04:05:06Z", "value": 2.5, "validity": 0}]'
+    src = work_path(spark, "test-src")
+    rows = [("p1", "status", False, T("2031-02-03 05:00:00"), 200, None, body)]
+    spark.createDataFrame(rows, LANDED_SCHEMA).write.parquet(src)
+    stream_ = monitors.landed_readings_stream(spark, src)
+    sink = monitors.run_available(spark, "test-landed", monitors.start_latest_monitor, stream_)
+    shown = monitors.latest_labels(spark, sink, mk_pumps([("p1", "n1"), ("p2", None)])).collect()
+    assert {(r.pump_id, r.name, r.value) for r in shown} == {("p1", "n1", "2.5"), ("p2", "Sin nombre", "sin datos")}
+
+
 def test_heartbeat_per_poll(spark, mk_pumps):
     src = work_path(spark, "test-src")
     land(spark, batch1(), src)
