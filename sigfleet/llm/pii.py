@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigfleet.llm.common import stored, text_key, whole
+from sigfleet.llm.common import packed_row, stored, text_key, whole
 
 # Kinds in their order. The patterns match exactly what the
 # plain forms
@@ -58,7 +58,6 @@ _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 TERM = r"[^\p{L}\p{N}]+"
 MIN_TERM = 3
 CONTEXT = 80
-BROADCAST_TERMS = 200_000
 
 
 def _digits(value: Column) -> Column:
@@ -274,14 +273,12 @@ def disclosing_terms(
         _pair_counts(_occurrences(found)).where(F.col("contexts") >= min_contexts).withColumn("h", F.xxhash64("term")),
         "pii-pairs",
     )
-    candidates = pairs.select("h").distinct()
     words = F.array_distinct(F.split(F.lower(whole(F.col(text_col))), TERM))
     tokens = docs.select(F.explode_outer(words).alias("term")).select(F.xxhash64("term").alias("h"))
-    # The candidates are broadcast only when they are known to be few.
-    if candidates.count() <= BROADCAST_TERMS:
-        counted = tokens.join(F.broadcast(candidates), "h", "left_semi").groupBy("h").count()
-    else:
-        counted = tokens.groupBy("h").count().join(candidates, "h", "left_semi")
+    # Counted per term before the join with the pairs (an inner join: the
+    # optimizer would move a semi join below the count), so that its output
+    # has a row per pair, however many documents hold the term.
+    counted = tokens.groupBy("h").count()
     entities = (
         found.where(F.size("spans") > 0)
         .select(F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity"))
@@ -396,9 +393,9 @@ def sanitise_documents(
     )
     columns = list(docs.columns)
     packed = docs.select(
-        F.struct(*[docs[c] for c in columns]).alias("row"),
-        whole(docs[text_col]).alias("text"),
-        text_key(whole(docs[text_col])).alias("key"),
+        packed_row(docs).alias("row"),
+        whole(F.col(text_col)).alias("text"),
+        text_key(whole(F.col(text_col))).alias("key"),
     )
     marked = base_spans(packed, "text", "spans").join(terms, "key", "left")
     spans = F.array_sort(F.concat("spans", F.coalesce("terms", F.array().cast(SPAN))))
