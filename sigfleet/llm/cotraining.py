@@ -84,17 +84,22 @@ def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, steps: int = 250, l2: float = 1e-4):
-    """Weighted logistic regression by Adam; a row of coefficients, bias last."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    c = np.zeros(x.shape[1])
+def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, steps: int = 150, l2: float = 1e-4):
+    """Weighted logistic regression by Adam; a row of coefficients, bias last.
+
+    Runs in the type of ``x``: mixed types would copy the matrix in each step.
+    """
+    kind = x.dtype
+    x = np.hstack([x, np.ones((len(x), 1), kind)])
+    y, w = y.astype(kind), (w / w.sum()).astype(kind)
+    c = np.zeros(x.shape[1], kind)
     m, s = np.zeros_like(c), np.zeros_like(c)
-    w = w / w.sum()
     for t in range(1, steps + 1):
-        g = x.T @ (w * (_sigmoid(x @ c) - y)) + l2 * c
-        m += 0.1 * (g - m)
-        s += 0.01 * (g * g - s)
-        c -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-9)
+        g = x.T @ (w * (_sigmoid(x @ c) - y)) + kind.type(l2) * c
+        m += kind.type(0.1) * (g - m)
+        s += kind.type(0.01) * (g * g - s)
+        rate = kind.type(0.1 / (1 - 0.9**t))
+        c -= rate * m / (np.sqrt(s / kind.type(1 - 0.99**t)) + kind.type(1e-9))
     return c
 
 
