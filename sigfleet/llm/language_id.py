@@ -72,7 +72,9 @@ def training_sample(
         h.alias("h"),
         F.substring(text, (start + 1).cast("int"), F.lit(EXCERPT)).alias("excerpt"),
     )
-    chosen = labelled.join(cuts, "lang").where("h <= cut")
+    # One row per language (as many as the model has outputs): broadcast, so
+    # that only the chosen excerpts are shuffled, not those of a hot language.
+    chosen = labelled.join(F.broadcast(stored(spark, cuts, "language-cuts")), "lang").where("h <= cut")
     # Rows that repeat an id share its hash; the rank bounds them as well.
     again = F.row_number().over(Window.partitionBy("lang").orderBy("h", "excerpt"))
     return stored(
