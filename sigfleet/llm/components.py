@@ -23,7 +23,8 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     out = near.join(least, "u")
     if large:
         out = out.where("v > u")
-    return out.where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    out = out.where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return out if large else out.distinct()
 
 
 def components(spark: SparkSession, links: DataFrame, max_steps: int = 60) -> DataFrame:

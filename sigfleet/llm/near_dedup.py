@@ -7,10 +7,11 @@
    members to its smallest member (a star, not all pairs); links with clearly
    differing signatures are dropped, the others are verified on the exact
    multisets: weighted Jaccard of at least ``threshold``.
-3. A bucket whose members still lie in several components is searched
-   further, block against block by signature: every pair across components
-   that looks similar enough is verified as well, so no link found by the
-   bands is lost to the star.
+3. A bucket whose members still lie in several components draws further
+   leads by hash, others in every band. Members that no lead reached are
+   then compared with all members of their buckets, chunk against block:
+   every pair across components whose signatures are close is verified in the
+   task, so no link found by the bands is lost to the stars.
 4. Classes are the connected components of the verified links.
 
 Memory is bounded everywhere: star links are verified in chunks of
@@ -45,6 +46,8 @@ BLOCK = 256
 # deviation of 0.042 at 0.8: a pair is dropped unverified only when its
 # estimate lies more than four of these below the threshold.
 SLACK = 0.18
+# Further leads drawn per bucket and band.
+LEADS = 3
 
 
 def _signatures(batches, bands: int, rows: int):
@@ -143,78 +146,141 @@ def _verified(
     )
 
 
-def _agreement(sigs: np.ndarray, one: np.ndarray) -> np.ndarray:
-    return (sigs == one).mean(axis=1)
+def _linked(
+    groups: Iterator[pa.Table], threshold: float, rows: int
+) -> Iterator[pa.RecordBatch]:
+    """Verified links of a chunk of stragglers and a block of members.
 
-
-def _likely(groups: Iterator[pa.Table], least: float) -> Iterator[pa.RecordBatch]:
-    """Pairs across components of two blocks of a bucket that look similar."""
+    A pair that shares several bands is looked at in the first of them only
+    (the signatures tell). Components that a link has joined here need no
+    second link.
+    """
+    shingler = bmh.Shingler()
     for g in groups:
         ids = g.column("id").to_numpy()
-        comp = g.column("component").to_numpy()
         side = g.column("side").to_numpy()
-        lead = g.column("lead")[0].as_py()
+        band = g.column("band")[0].as_py()
+        texts = g.column("text")
         sig = np.stack([np.frombuffer(x, np.uint16) for x in g.column("sig").to_pylist()])
-        same_block = g.column("i")[0].as_py() == g.column("j")[0].as_py()
-        left = np.flatnonzero(side == 0)
-        right = left if same_block else np.flatnonzero(side == 1)
-        a, b = [], []
-        for k in left:
-            if ids[k] == lead:
-                continue  # the star has those
-            other = right[(comp[right] != comp[k]) & (ids[right] != lead)]
-            if same_block:
-                other = other[ids[other] < ids[k]]
-            if len(other):
-                hit = other[_agreement(sig[other], sig[k]) >= least]
-                a.extend([ids[k]] * len(hit))
-                b.extend(ids[hit])
-        if a:
+        comp = g.column("component").to_numpy().copy()
+        bags: dict[int, tuple] = {}
+
+        def bag(i: int, texts=texts, bags=bags) -> tuple:
+            if i not in bags:
+                bags[i] = bmh.bag(shingler.hashes(bmh.normal_words(texts[i].as_py())))
+            return bags[i]
+
+        targets = np.flatnonzero(side == 1)
+        out: list[tuple[int, int]] = []
+        for k in np.flatnonzero(side == 0):
+            other = targets[comp[targets] != comp[k]]
+            same = sig[other] == sig[k]
+            likely = same.mean(axis=1) >= threshold - SLACK
+            other, same = other[likely], same[likely]
+            if not len(other):
+                continue
+            shared = same.reshape(len(other), -1, rows).all(axis=2)
+            for i in other[shared.argmax(axis=1) == band].tolist():
+                if comp[i] != comp[k] and bmh.similarity(bag(int(k)), bag(i)) >= threshold:
+                    out.append((max(ids[i], ids[k]), min(ids[i], ids[k])))
+                    comp[comp == comp[i]] = comp[k]
+        if out:
+            x, y = zip(*out, strict=True)
             yield pa.RecordBatch.from_pydict(
-                {"id": pa.array(a, pa.int64()), "lead": pa.array(b, pa.int64())}
+                {"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())}
             )
 
 
-def _across(
-    spark: SparkSession, buckets: DataFrame, comps: DataFrame, sigs: DataFrame, least: float
-) -> DataFrame:
-    """Likely pairs inside buckets that still hold several components.
+def _marked(buckets: DataFrame, comps: DataFrame) -> DataFrame:
+    return buckets.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
 
-    ``buckets(key, id, lead)``; blocks of a bucket are compared two by two.
+def _other_leads(buckets: DataFrame, comps: DataFrame) -> DataFrame:
+    """Further stars for buckets that still hold several components.
+
+    ``LEADS`` leads per bucket, each the member of smallest hash; every band
+    draws others, so a text that its first lead did not reach meets dozens
+    of members of its group. Only members of other components are linked.
     """
-    marked = buckets.join(comps, "id", "left").withColumn(
-        "component", F.coalesce("component", "id")
-    )
-    open_keys = (
+    marked = _marked(buckets, comps)
+    drawn = [
+        F.min_by(F.struct("id", "component"), F.xxhash64(F.lit(i), "key", "id"))
+        for i in range(LEADS)
+    ]
+    leads = (
         marked.groupBy("key")
         .agg(
             F.count("*").alias("n"),
             F.min("component").alias("lo"),
             F.max("component").alias("hi"),
+            F.array(*drawn).alias("leads"),
         )
         .where("n >= 3 and lo < hi")
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .select("key", "leads")
     )
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows = marked.join(open_keys, "key").withColumn("block", block)
-    dealt = rows.select(
-        "key", "id", "lead", "component", "block",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
-    ).select(
-        "key", "id", "lead", "component",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"),
+    pairs = (
+        marked.select("key", "id", "component")
+        .join(leads, "key")
+        .select("id", "component", F.explode("leads").alias("l"))
+        .where("component <> l.component")
+    )
+    return pairs.select(
+        F.greatest("id", "l.id").alias("id"), F.least("id", "l.id").alias("lead")
+    ).distinct()
+
+
+def _across(
+    spark: SparkSession,
+    buckets: DataFrame,
+    comps: DataFrame,
+    members: DataFrame,
+    threshold: float,
+    rows: int = ROWS,
+) -> DataFrame:
+    """Verified links inside buckets that still hold several components.
+
+    ``buckets(key, band, id)``, ``members(id, sig, text)``: the members
+    outside a bucket's largest component, in chunks, meet all its members, in
+    blocks of ``BLOCK``, and are verified where they meet, so only links
+    leave a task.
+    """
+    marked = _marked(buckets, comps)
+    open_keys = (
+        marked.groupBy("key", "component")
+        .agg(F.count("*").alias("n"))
+        .groupBy("key")
+        .agg(
+            F.sum("n").alias("all"),
+            F.max(F.struct("n", "component")).alias("main"),
+        )
+        .where("all >= 3 and main.n < all")
+        .select(
+            "key",
+            F.col("main.component").alias("main"),
+            F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
+            F.ceil((F.col("all") - F.col("main.n")) / BLOCK).cast("int").alias("chunks"),
+        )
+    )
+    inside = marked.join(open_keys, "key")
+    place = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    block = inside.select(
+        "key", "band", "id", "component", place("blocks").alias("i"),
+        F.explode(every("chunks")).alias("j"), F.lit(1).alias("side"),
+    )
+    stragglers = inside.where("component <> main").select(
+        "key", "band", "id", "component", F.explode(every("blocks")).alias("i"),
+        place("chunks").alias("j"), F.lit(0).alias("side"),
     )
     return stored(
         spark,
         grouped(
-            dealt.join(sigs, "id"),
+            block.unionByName(stragglers).join(members, "id"),
             ["key", "i", "j"],
-            lambda g: _likely(g, least),
-            "id long, lead long",
-        ).distinct(),
-        "dedup-likely",
+            lambda g: _linked(g, threshold, rows),
+            "a long, b long",
+        ),
+        "dedup-links",
     )
 
 
@@ -242,14 +308,14 @@ def classes(
     )
     ids = copies.select("id")
     banded = table.select(F.col("row").alias("id"), "bands").join(ids, "id", "left_semi")
-    keyed = banded.select("id", F.explode("bands").alias("key"))
+    keyed = banded.select("id", F.posexplode("bands").alias("band", "key"))
     leads = (
         keyed.groupBy("key")
         .agg(F.min("id").alias("lead"), F.max("id").alias("last"))
         .where("lead < last")
         .select("key", "lead")
     )
-    buckets = stored(spark, keyed.join(leads, "key").select("key", "id", "lead"), "dedup-buckets")
+    buckets = stored(spark, keyed.join(leads, "key").select("key", "band", "id", "lead"), "dedup-buckets")
 
     members = buckets.select("id").distinct()
     sigs = stored(
@@ -261,18 +327,19 @@ def classes(
     )
     sig = sigs.select("id", "sig")
     star = buckets.where("id <> lead").select("id", "lead").distinct()
-    close = stored(
-        spark,
-        _plausible(star.join(sig, "id"), sig, least),
-        "dedup-candidates",
-    )
     texts = _texts(spark, docs, sigs.drop("sig"), id_col, text_col)
-    links = _verified(spark, close, texts, threshold)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        close = stored(spark, _plausible(pairs.join(sig, "id"), sig, least), "dedup-candidates")
+        return _verified(spark, close, texts, threshold)
+
+    links = verified(star)
+    comps = components(spark, links)
+    links = links.unionByName(verified(_other_leads(buckets, comps)))
     comps = components(spark, links)
-    more = _across(spark, buckets, comps, sig, least)
+    more = _across(spark, buckets, comps, sig.join(texts, "id"), threshold, rows)
     if not more.isEmpty():
-        links = links.unionByName(_verified(spark, more, texts, threshold))
-        comps = components(spark, links)
+        comps = components(spark, links.unionByName(more))
 
     text_class = copies.join(comps, "id", "left").select(
         "da", "db", F.coalesce("component", "id").alias("class")

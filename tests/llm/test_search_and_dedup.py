@@ -95,18 +95,23 @@ def test_classes_equal_brute_force(spark):
 
 
 def test_links_beyond_the_star_are_found(spark):
-    """a - b - c with a unlike c: the bucket's lead does not reach c."""
-    pairs = spark.createDataFrame([(1, 5), (1, 6), (1, 7)], "key long, id long")
+    """Members that no lead reached are compared across components."""
+    rng = random.Random(12)
+    base = data.sentence(rng, 60, 10_000)
+    texts = {5: data.sentence(rng, 60, 10_000), 6: base, 7: near_copies(rng, base, 1, 1)[0]}
+    pairs = spark.createDataFrame([(1, 0, 5), (1, 0, 6), (1, 0, 7)], "key long, band int, id long")
     sig = np.arange(90, dtype=np.uint16)
     far = sig.copy()
-    far[:80] += 1000
-    sigs = spark.createDataFrame(
-        [(5, bytearray(far.tobytes())), (6, bytearray(sig.tobytes())), (7, bytearray(sig.tobytes()))],
-        "id long, sig binary",
+    far[5:] += 1000
+    members = spark.createDataFrame(
+        [(i, bytearray((far if i == 5 else sig).tobytes()), t) for i, t in texts.items()],
+        "id long, sig binary, text string",
     )
     none = spark.createDataFrame([], "id long, component long")
-    found = near_dedup._across(spark, pairs, none, sigs, 0.6).collect()
-    assert {frozenset((r.id, r.lead)) for r in found} == {frozenset((6, 7))}
+    found = near_dedup._across(spark, pairs, none, members, 0.8).collect()
+    assert {(r.a, r.b) for r in found} == {(7, 6)}
+    later = near_dedup._across(spark, pairs.withColumn("band", F.lit(3)), none, members, 0.8)
+    assert later.isEmpty()  # a pair is looked at in the first band it shares
 
 
 def test_dedup_documents(spark):
