@@ -2,22 +2,26 @@
 
 The patterns find e-mail addresses, IP addresses, card and phone numbers.
 Each value found is a protected entity. From all documents the co-occurrence
-of entities with the terms around them gives, for a term ``t`` near an entity
-``c``,
+of entities with the terms of the texts that hold them gives, for a term ``t``
+and an entity ``c``,
 
     disclosure = PMI(c; t) / IC(c),  PMI = log2(p(c, t) / (p(c) p(t))),
                                      IC  = -log2 p(c),
 
 the share of the entity's information that the term gives away (1: the term
 occurs nowhere else). Terms above ``generalise_at`` are replaced by a class
-in the documents that hold the entity, above ``remove_at`` they are removed.
-A pair counts only if it occurs in ``min_contexts`` different contexts: one
+in the documents that hold the entity, above ``remove_at`` they are removed,
+wherever they stand in the text. All probabilities are shares of documents;
+a term counts where it stands outside of personal data, at any distance.
+A pair counts only if it occurs in ``min_contexts`` different texts: one
 text, however often copied, is one context and proves nothing.
 
-Built-in functions only. One pass over the texts finds spans and contexts and
-stores them (a small table); a second one counts in how many documents the
-candidate terms occur. Results of the co-occurrence step are keyed by the
-text, so copies share them.
+Built-in functions only. One pass over the texts finds spans and stores them
+with the texts that have any; a second one counts in how many documents each
+term occurs. Entities and terms that cannot reach a threshold (too few texts,
+or a term too frequent for any entity) are left out before they are paired,
+which changes no result. The co-occurrence step works on different texts and
+their numbers of copies, so copies share its results.
 
 Defined cases: a null text is empty and has no span; repeated rows get equal
 results; matches that fail their check are dropped without a retry; an empty
@@ -56,8 +60,8 @@ GATES = {
 }
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 TERM = r"[^\p{L}\p{N}]+"
+LETTER = r"[\p{L}\p{N}]"
 MIN_TERM = 3
-CONTEXT = 80
 
 
 def _digits(value: Column) -> Column:
@@ -182,80 +186,67 @@ def _entity(span: Column) -> Column:
 
 
 def find(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Stored ``row, doc_id, key, spans, contexts`` of every document.
+    """Stored ``row, doc_id, key, spans, text`` of every document.
 
-    ``contexts`` holds, for each span, the ``CONTEXT`` characters on either
-    side with their offset and whether the text goes on beyond them.
+    ``text`` is there only where spans are.
     """
     df = docs.select(
         F.col(id_col).alias("doc_id"),
         whole(F.col(text_col)).alias("text"),
     )
-    t = F.col("text")
-
-    def sides(s: Column) -> Column:
-        lo = F.greatest(s["start"] - CONTEXT, F.lit(0))
-        after = F.substring(t, s["end"] + 1, F.lit(CONTEXT))
-        return F.array(
-            F.struct(
-                _entity(s).alias("entity"),
-                lo.alias("at"),
-                F.substring(t, lo + 1, s["start"] - lo).alias("part"),
-                (lo > 0).alias("cut_left"),
-                F.lit(False).alias("cut_right"),
-            ),
-            F.struct(
-                _entity(s).alias("entity"),
-                s["end"].alias("at"),
-                after.alias("part"),
-                F.lit(False).alias("cut_left"),
-                (F.length(after) == CONTEXT).alias("cut_right"),
-            ),
-        )
-
-    spans = base_spans(df, "text", "spans")
     return stored(
         spark,
-        spans.select(
+        base_spans(df, "text", "spans").select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
-            text_key(t).alias("key"),
+            text_key(F.col("text")).alias("key"),
             "spans",
-            F.flatten(F.transform("spans", sides)).alias("contexts"),
+            F.when(F.size("spans") > 0, F.col("text")).alias("text"),
         ),
         "pii-found",
     )
 
 
-def _occurrences(found: DataFrame) -> DataFrame:
-    """Terms around entities: ``row, key, entity, context, term, start, end``."""
-    near = found.select(
-        "row", "key", "spans", F.explode("contexts").alias("c")
-    ).select(
-        "row", "key", "spans", "c.*",
-        F.xxhash64("c.part").alias("context"),
-        F.split(F.col("c.part"), TERM, -1).alias("terms"),
-        F.array_append(F.regexp_extract_all("c.part", F.lit(TERM), F.lit(0)), F.lit("")).alias(
-            "gaps"
-        ),
-    )
-    # The i-th term follows i earlier terms and the gaps between them.
-    i = F.col("i")
-    before = F.length(F.array_join(F.slice("terms", 1, i), "")) + F.length(
-        F.array_join(F.slice("gaps", 1, i), "")
-    )
-    terms = near.select("*", F.posexplode("terms").alias("i", "word")).select(
-        "row", "key", "entity", "context", "spans",
-        F.lower("word").alias("term"),
-        (F.col("at") + before).alias("start"),
-        (F.col("at") + before + F.length("word")).alias("end"),
-        ((i == 0) & F.col("cut_left")).alias("cut1"),
-        ((i == F.size("terms") - 1) & F.col("cut_right")).alias("cut2"),
+def _outside(text: Column, spans: Column) -> Column:
+    """``text`` without its spans and the words that reach into them."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    touches_left = rf"^{LETTER}++"
+    touches_right = rf"(?<!{LETTER}){LETTER}++$"
+
+    def piece(acc: Column, end: Column) -> Column:
+        part = F.substring(text, acc["at"] + 1, end - acc["at"])
+        return F.when(acc["at"] > 0, F.regexp_replace(part, touches_left, "")).otherwise(part)
+
+    def add(acc: Column, s: Column) -> Column:
+        part = F.regexp_replace(piece(acc, s["start"]), touches_right, "")
+        return F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when(s["start"] <= acc["at"], acc["out"])
+            .otherwise(F.array_append(acc["out"], part))
+            .alias("out"),
+        )
+
+    def finish(acc: Column) -> Column:
+        return F.array_join(F.array_append(acc["out"], piece(acc, F.length(text))), " ")
+
+    return F.aggregate(spans, start, add, finish)
+
+
+def _term_hashes(text: Column) -> Column:
+    """Hashes of the different terms of a text."""
+    words = F.filter(F.split(F.lower(text), TERM), lambda w: F.length(w) >= MIN_TERM)
+    return F.transform(F.array_distinct(words), lambda w: F.xxhash64(w))
+
+
+def _held(found: DataFrame) -> DataFrame:
+    """One row per different text with spans: ``row, key, copies, spans, text``."""
+    copies = (
+        found.where(F.size("spans") > 0)
+        .groupBy("key")
+        .agg(F.min("row").alias("row"), F.count("*").alias("copies"))
+        .select("row", "copies")
     )
-    inside = F.exists("spans", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"]))
-    return terms.where(
-        (F.col("end") - F.col("start") >= MIN_TERM) & ~F.col("cut1") & ~F.col("cut2") & ~inside
-    ).drop("spans", "cut1", "cut2")
+    return found.where(F.size("spans") > 0).drop("doc_id").join(copies, "row")
 
 
 def disclosing_terms(
@@ -267,69 +258,136 @@ def disclosing_terms(
     remove_at: float = 0.95,
     text_col: str = "text",
 ) -> DataFrame:
-    """``entity, term, kind, disclosure`` of the pairs above the thresholds."""
-    pairs = stored(
+    """``row, h, kind``: disclosing terms (by hash) of the texts of :func:`_held`."""
+    total = float(found.count())
+    held = _held(found)
+
+    def most(n_entity: Column) -> Column:
+        # With n_both <= n_entity, a term of more documents stays below the
+        # threshold; one more against rounding.
+        return F.lit(total) * F.pow(n_entity / F.lit(total), F.lit(generalise_at)) + 1
+
+    entities = stored(
         spark,
-        _pair_counts(_occurrences(found)).where(F.col("contexts") >= min_contexts).withColumn("h", F.xxhash64("term")),
-        "pii-pairs",
+        held.select(
+            "row",
+            "copies",
+            F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity"),
+        ),
+        "pii-entities",
     )
-    words = F.array_distinct(F.split(F.lower(whole(F.col(text_col))), TERM))
-    tokens = docs.select(F.explode_outer(words).alias("term")).select(F.xxhash64("term").alias("h"))
-    # Counted per term before the join with the pairs (an inner join: the
-    # optimizer would move a semi join below the count), so that its output
-    # has a row per pair, however many documents hold the term.
-    counted = tokens.groupBy("h").count()
-    entities = (
-        found.where(F.size("spans") > 0)
-        .select(F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity"))
-        .groupBy("entity")
-        .agg(F.count("*").alias("n_entity"))
+    counted_entities = (
+        entities.groupBy("entity")
+        .agg(F.count("*").alias("texts"), F.sum("copies").alias("n_entity"))
+        .where(F.col("texts") >= min_contexts)
+        .drop("texts")
+    )
+    entities = stored(spark, entities.join(counted_entities, "entity"), "pii-entities-counted")
+    widest = entities.agg(F.max(most(F.col("n_entity"))).alias("n")).first()["n"] or 0.0
+
+    # Documents per term: all words of all texts, less those that stand only
+    # in spans.
+    outside = _term_hashes(_outside(F.col("text"), F.col("spans")))
+    only_in_spans = F.array_except(_term_hashes(F.col("text")), outside)
+    everywhere = docs.select(F.explode(_term_hashes(whole(F.col(text_col)))).alias("h"))
+    counted = (
+        everywhere.select("h", F.lit(1).cast("long").alias("n"))
+        .unionByName(
+            found.where(F.size("spans") > 0).select(
+                F.explode(only_in_spans).alias("h"), F.lit(-1).cast("long").alias("n")
+            )
+        )
+        .groupBy("h")
+        .agg(F.sum("n").alias("n_term"))
+    )
+    terms = stored(spark, held.select("row", F.explode(outside).alias("h")), "pii-terms")
+    able = (
+        terms.groupBy("h")
+        .agg(F.count("*").alias("texts"))
+        .where(F.col("texts") >= min_contexts)
+        .join(counted, "h")
+        .where(F.col("n_term") <= widest)
+        .select("h", "n_term")
     )
-    total = found.agg(F.count("*").alias("n")).first()["n"]
-    n = F.lit(float(total))
-    pmi = F.log2(F.col("n_both") * n / (F.col("n_entity") * F.col("count")))
+    terms = stored(spark, terms.join(able, "h"), "pii-terms-counted")
+
+    n = F.lit(total)
+    pmi = F.log2(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
     ic = F.log2(n / F.col("n_entity"))
-    share = F.when(ic > 0, pmi / ic)
-    return (
-        pairs.join(counted, "h")
-        .join(entities, "entity")
-        .withColumn("disclosure", share)
+    pairs = (
+        entities.join(terms, "row")
+        .where(F.col("n_term") <= most(F.col("n_entity")))
+        .groupBy("entity", "h")
+        .agg(
+            F.sum("copies").alias("n_both"),
+            F.count("*").alias("texts"),
+            F.first("n_entity").alias("n_entity"),
+            F.first("n_term").alias("n_term"),
+        )
+        .where(F.col("texts") >= min_contexts)
+        .withColumn("disclosure", F.when(ic > 0, pmi / ic))
         .where(F.col("disclosure") >= generalise_at)
         .select(
             "entity",
-            "term",
+            "h",
             F.when(F.col("disclosure") >= remove_at, F.lit(REMOVE)).otherwise(F.lit(GENERAL)).alias(
                 "kind"
             ),
-            "disclosure",
         )
     )
+    pairs = stored(spark, pairs, "pii-pairs")
+    return (
+        terms.select("row", "h")
+        .join(pairs, "h")
+        .join(entities.select("row", "entity"), ["row", "entity"])
+        .groupBy("row", "h")
+        .agg(F.max("kind").alias("kind"))
+    )
 
 
-def _pair_counts(near: DataFrame) -> DataFrame:
-    """Documents and different contexts per (entity, term)."""
-    docs = near.select("entity", "term", "row").distinct().groupBy("entity", "term").agg(
-        F.count("*").alias("n_both")
-    )
-    contexts = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(
-        F.count("*").alias("contexts")
+def _marked(text: Column, spans: Column, found: Column) -> Column:
+    """Spans of the terms whose hashes are keys of ``found``, outside ``spans``."""
+    words = F.split(text, TERM, -1)
+    gaps = F.array_append(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lit(""))
+    parts = F.zip_with(
+        words,
+        gaps,
+        lambda w, g: F.struct(
+            F.length(w).alias("n"),
+            F.length(g).alias("g"),
+            F.when(F.length(w) >= MIN_TERM, F.lower(w)).alias("term"),
+        ),
     )
-    return docs.join(contexts, ["entity", "term"])
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+
+    def add(acc: Column, x: Column) -> Column:
+        kind = F.try_element_at(found, F.xxhash64(x["term"]))
+        one = F.struct(
+            acc["at"].alias("start"),
+            kind.alias("kind"),
+            (acc["at"] + x["n"]).alias("end"),
+            x["term"].alias("value"),
+        )
+        return F.struct(
+            (acc["at"] + x["n"] + x["g"]).alias("at"),
+            F.when(x["term"].isNotNull() & kind.isNotNull(), F.array_append(acc["out"], one))
+            .otherwise(acc["out"])
+            .alias("out"),
+        )
+
+    def clear(t: Column) -> Column:
+        return ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
+
+    return F.filter(F.aggregate(parts, start, add, lambda acc: acc["out"]), clear)
 
 
 def term_spans(found: DataFrame, disclosing: DataFrame) -> DataFrame:
     """``key, terms``: the spans of disclosing terms, per text."""
-    return (
-        _occurrences(found)
-        .select("key", "entity", "term", "start", "end")
-        .distinct()
-        .join(disclosing, ["entity", "term"])
-        .groupBy("key", "start", "end")
-        .agg(F.max("kind").alias("kind"), F.min("term").alias("value"))
-        .groupBy("key")
-        .agg(
-            F.collect_list(F.struct("start", "kind", "end", "value")).cast(SPAN).alias("terms")
-        )
+    lists = disclosing.groupBy("row").agg(
+        F.map_from_entries(F.collect_list(F.struct("h", "kind"))).alias("kinds")
+    )
+    return found.join(lists, "row").select(
+        "key", _marked(F.col("text"), F.col("spans"), F.col("kinds")).cast(SPAN).alias("terms")
     )
 
 

@@ -95,6 +95,26 @@ def test_disclosing_terms_are_found_and_common_ones_are_not(spark):
     assert new[100] == rows[6][1]
 
 
+def test_disclosing_terms_at_any_distance(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(8):
+        far = data.sentence(rng, 60)
+        # The name stands near the address in two texts only; it goes everywhere.
+        near = "Zylophane" if i < 2 else "someone"
+        text = f"{near} at boss@corp.example {far} Zylophane, {far} zylophane"
+        rows.append((i, text))
+    rows += [(100 + i, f"{data.sentence(rng, 40)} someone at nowhere") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.sanitise(spark, df).collect()}
+    for i, text in rows:
+        want = [m.span() for m in re.finditer("(?i)zylophane", text)]
+        got = [(s.start, s.end) for s in out[i].all_spans if s.value == "zylophane"]
+        assert got == want, i
+    new = {r.doc_id: r.text for r in pii.sanitise_documents(spark, df, length_col=None).collect()}
+    assert all("zylophane" not in t.lower() for t in new.values())
+
+
 def test_pii_messy_and_empty(spark):
     df, rows = data.messy(spark)
     got = pii.sanitise(spark, df).select("doc_id", pii.span_text(F.col("spans")).alias("s"))
