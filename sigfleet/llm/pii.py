@@ -1,8 +1,10 @@
 """Personal data: fixed patterns, and terms that disclose what they find.
 
 The patterns find e-mail addresses, IP addresses, card and phone numbers.
-Each value found is a protected entity. From all documents the co-occurrence
-of entities with the terms of the texts that hold them gives, for a term ``t``
+Each value found belongs to protected entities of three levels: its kind, its
+mail domain or number prefix, and the value itself, so that a value that is
+too rare to count gets the terms of the broader ones. From all documents the
+co-occurrence of entities with the terms of the texts that hold them gives, for a term ``t``
 and an entity ``c``,
 
     disclosure = PMI(c; t) / IC(c),  PMI = log2(p(c, t) / (p(c) p(t))),
@@ -185,6 +187,29 @@ def _entity(span: Column) -> Column:
     )
 
 
+def _entities(span: Column) -> Column:
+    """Protected entities of a span, from broad to narrow.
+
+    Its kind; the mail domain, the first two numbers of an IP address, the
+    first six digits of a card or four of a phone number; the value itself.
+    """
+    kind, digits = span["kind"], _digits(span["value"])
+    group = (
+        F.when(
+            kind == KINDS.index("email"),
+            F.concat(F.lit("@"), F.substring_index(F.lower(span["value"]), "@", -1)),
+        )
+        .when(
+            kind == KINDS.index("ip"),
+            F.concat(F.substring_index(span["value"], ".", 2), F.lit(".*")),
+        )
+        .when(kind == KINDS.index("card"), F.concat(F.substring(digits, 1, 6), F.lit("*")))
+        .otherwise(F.concat(F.substring(digits, 1, 4), F.lit("*")))
+    )
+    k = kind.cast("string")
+    return F.array(k, F.concat_ws(":", k, group), _entity(span))
+
+
 def find(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Stored ``row, doc_id, key, spans, text`` of every document.
 
@@ -272,7 +297,7 @@ def disclosing_terms(
         held.select(
             "row",
             "copies",
-            F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity"),
+            F.explode(F.array_distinct(F.flatten(F.transform("spans", _entities)))).alias("entity"),
         ),
         "pii-entities",
     )

@@ -115,6 +115,24 @@ def test_disclosing_terms_at_any_distance(spark):
     assert all("zylophane" not in t.lower() for t in new.values())
 
 
+def test_rare_values_get_the_terms_of_broader_entities(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(6):  # every address once, one domain
+        rows.append((i, f"{data.sentence(rng, 20)} zylophane u{i}@corp.example"))
+    for i in range(6):  # every number once, one prefix
+        rows.append((20 + i, f"{data.sentence(rng, 20)} quintarel +44 20 7946 00{i}1"))
+    for i in range(6):  # nothing in common but the kind
+        rows.append((40 + i, f"{data.sentence(rng, 20)} mandrovik {10 + i}.{20 + i}.0.1"))
+    rows += [(60 + i, f"{data.sentence(rng, 20)} someone at nowhere") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.sanitise(spark, df).collect()}
+    for first, name in ((0, "zylophane"), (20, "quintarel"), (40, "mandrovik")):
+        for i in range(first, first + 6):
+            assert name in {s.value for s in out[i].all_spans if s.kind == pii.REMOVE}, (i, name)
+    assert not any(out[60 + i].all_spans for i in range(300))
+
+
 def test_pii_messy_and_empty(spark):
     df, rows = data.messy(spark)
     got = pii.sanitise(spark, df).select("doc_id", pii.span_text(F.col("spans")).alias("s"))
