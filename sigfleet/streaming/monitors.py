@@ -11,7 +11,7 @@ directory, so the sinks are idempotent (exactly-once with the checkpoint).
   by the fleet, not by the history. A retried batch rebuilds its snapshot
   from the same predecessor.
 * T2 and T3 keep no state; their sinks are logs (one entry per poll and
-  pump, one per alert).
+  pump, one per alert). T3 leaves out what its sink already holds.
 """
 
 from __future__ import annotations
@@ -182,35 +182,65 @@ def start_heartbeat(
 
 # --- T3: fault alerts for selected pumps -----------------------------------
 
-# A fault reading landed again within this span of its time alerts once.
-REPEATS_WITHIN = "7 days"
-
+def fault_alerts_stream(readings_stream: DataFrame, chosen_pumps: DataFrame) -> DataFrame:
+    """Stream-static join of fault readings with the chosen pumps."""
+    faults = readings_stream.where(F.col("signal") == "fault")
+    return faults.join(chosen_pumps.select("pump_id", "name"), "pump_id")
+
+
+# A reading is known by (pump, series, time), not by its place in a payload,
+# so a range landed again at another offset alerts once.
+ALERT_KEY = [*SERIES, "time"]
+# More days than this in one batch are looked up as one range.
+MAX_DAY_RANGES = 100
+
+
+def _on_days_of(batch: DataFrame):
+    """Predicate on stored ``time``: the days of the batch, or null."""
+    day = F.to_date("time")
+    days = [r[0] for r in batch.select(day.alias("d")).distinct().orderBy("d").collect()]
+    known = [d for d in days if d is not None]
+    if len(known) > MAX_DAY_RANGES:
+        known = [(known[0], known[-1])]
+    else:
+        known = [(d, d) for d in known]
+    out = F.col("time").isNull()
+    for lo, hi in known:
+        first, last = (F.lit(str(d)).cast("timestamp_ntz") for d in (lo, hi))
+        out |= (F.col("time") >= first) & (F.col("time") < last + F.expr("interval 1 day"))
+    return out
+
+
+def _new_alerts(sink: str):
+    """Alerts of a batch that no earlier batch has written.
+
+    There is no watermark, so a fault alerts however late it lands and
+    whatever the clocks of other pumps say. A batch run again looks only at
+    its predecessors.
+    """
 
-def fault_alerts_stream(
-    readings_stream: DataFrame, chosen_pumps: DataFrame, repeats_within: str = REPEATS_WITHIN
-) -> DataFrame:
-    """Stream-static join of fault readings with the chosen pumps.
+    def new(batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        once = batch.dropDuplicates(ALERT_KEY)
+        paths = [f"{sink}/batch_id={b}" for b in _snapshot_ids(spark, sink) if b < batch_id]
+        if not paths:
+            return once
+        before = spark.read.schema(batch.schema).parquet(*paths).where(_on_days_of(batch))
+        a, b = once.alias("a"), before.select(*ALERT_KEY).alias("b")
+        same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ALERT_KEY]
+        return a.join(b, same, "left_anti")
 
-    A reading is known by (pump, series, time), not by its place in a
-    payload, so a range landed again at another offset alerts once; the
-    state of that is bounded by the watermark.
-    """
-    faults = readings_stream.where(F.col("signal") == "fault")
-    # Watermarks want a zoned type; the zone only moves the watermark.
-    marked = faults.withColumn("_event", F.col("time").cast("timestamp"))
-    once = (
-        marked.withWatermark("_event", repeats_within)
-        .dropDuplicatesWithinWatermark([*SERIES, "time"])
-        .drop("_event")
-    )
-    return once.join(chosen_pumps.select("pump_id", "name"), "pump_id")
+    return new
 
 
 def start_fault_alerts(
     readings_stream: DataFrame, chosen_pumps: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
+    """Every trigger (default 30 s) the faults of the chosen pumps that
+    have not alerted yet."""
     trigger = trigger or {"processingTime": "30 seconds"}
-    return _start(fault_alerts_stream(readings_stream, chosen_pumps), sink, checkpoint, "append", trigger)
+    alerts = fault_alerts_stream(readings_stream, chosen_pumps)
+    return _start(alerts, sink, checkpoint, "append", trigger, fn=_new_alerts(sink))
 
 
 def read_alerts(spark: SparkSession, sink: str) -> DataFrame:

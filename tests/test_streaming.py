@@ -68,6 +68,26 @@ def test_fault_alerts_stream(spark, mk_pumps):
     assert [(r.pump_id, r.name, r.value) for r in rows] == [("p2", "south3 u1", 9.0)]
 
 
+def test_fault_alerts_late_first_landing(spark, mk_pumps):
+    src, sink, ck = (work_path(spark, f"test-late-{x}") for x in ("src", "sink", "ck"))
+    chosen = mk_pumps([("p1", "n1"), ("p2", "n2")])
+
+    def fault(pump, time, pos):
+        return (pump, "fault", False, T(time), 9.0, 0, pos)
+
+    batches = [
+        [fault("p1", "2024-02-01 00:00:00", 0), fault("p2", "2094-01-01 00:00:00", 0)],  # a clock ahead
+        [fault("p1", "2024-02-01 00:01:00", 0)],
+        [fault("p1", "2024-01-01 00:00:00", 0), fault("p2", "2024-02-01 00:00:00", 1)],  # late, first time
+        [fault("p1", "2024-01-01 00:00:00", 5), fault("p1", "2024-02-01 00:00:00", 6)],  # repeats
+    ]
+    for rows in batches:
+        land(spark, rows, src)
+        monitors.start_fault_alerts(stream(spark, src), chosen, sink, ck, {"availableNow": True}).awaitTermination()
+    got = sorted((r.pump_id, r.time) for r in monitors.read_alerts(spark, sink).collect())
+    assert got == sorted({(r[0], r[3]) for rows in batches for r in rows})
+
+
 def test_landed_rows_and_labels(spark, mk_pumps):
     body = b'[{"time": "2031-02-03T04:05:06Z", "value": 2.5, "validity": 0}]'
     src = work_path(spark, "test-src")
