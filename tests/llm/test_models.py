@@ -182,6 +182,25 @@ def test_cotraining_uses_the_other_view():
     assert accuracy[2] >= max(accuracy[:2]) - 0.01 and accuracy[2] > 0.95
 
 
+def test_pseudo_labels_come_from_all_documents(spark):
+    rng = random.Random(8)
+    words = [[f"{c}{rng.randrange(10**6)}" for _ in range(30)] for c in ("bad", "good")]
+    rows = [
+        (i, " ".join(rng.choices(words[i % 2], k=8)), "en", f"s{i % 2}", 50) for i in range(10_000)
+    ]
+    df = spark.createDataFrame(rows, data.DOCS)
+    lab = data.labels(spark, [(i, i % 2, 0) for i in range(80)])
+    sample = cotraining.training_sample(spark, df, lab)
+    # Beyond any fixed pool: each document is there once, the labelled ones apart.
+    assert sample.where("label is null").count() == len(rows) - 80
+    model = cotraining.fit(sample)
+    got = cotraining.score(df, model).collect()
+    assert sum((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in got) / len(got) > 0.98
+    # Cuts reach the share of the whole pool, or all that is sure.
+    counts = [{"slot": -1, "bin": 0, "n": 1000}, *({"slot": 3, "bin": b, "n": 30} for b in range(9))]
+    assert cotraining._cuts(counts, 0.1)[1, 1] == 5
+
+
 def test_quality_classifier_on_held_out_labels(spark):
     docs = spark.read.parquet(f"{SF_SMOKE}/documents.parquet")
     lab = spark.read.parquet(f"{SF_SMOKE}/labels.parquet")
