@@ -167,7 +167,8 @@ def spans(
     """``key, template, label, phrase, first_word, end_word, coverage, accepted``.
 
     Phrases: one row per place, coverage 1. Notices: one row per group of
-    neighbouring diagonals (at most ``max_gap`` apart).
+    neighbouring diagonals (at most ``max_gap`` apart, or as far as the
+    stretch allows if the whole group fits).
     """
     keys = ["key", "template", "label", "phrase", "n_grams"]
     votes = (
@@ -184,26 +185,48 @@ def spans(
         F.lit(True).alias("accepted"),
     )
     line = Window.partitionBy(*keys).orderBy("diagonal")
-    jump = F.col("diagonal") - F.lag("diagonal").over(line) > max_gap
-    merged = (
+    jump = F.col("diagonal") - F.lag("diagonal").over(line)
+    # An insertion may be as long as the allowed stretch of the template.
+    words = F.col("n_grams") + K - 1
+    widest = F.greatest(F.lit(max_gap), F.floor(words * (max_stretch - 1)).cast("int"))
+
+    near = (
         votes.where("not phrase")
-        .withColumn("new", F.coalesce(jump, F.lit(True)).cast("int"))
+        .withColumn("new", F.coalesce(jump > max_gap, F.lit(True)).cast("int"))
+        .withColumn("far", F.coalesce(jump > widest, F.lit(True)).cast("int"))
         .withColumn("run", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*keys, "run")
+        .withColumn("group", F.sum("far").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*keys, "group", "run")
         .agg(
             F.max_by(F.struct("lo", "hi", F.size("ts").alias("n")),
                      F.struct(F.size("ts"), -F.col("diagonal"))).alias("best"),
+            F.array_distinct(F.flatten(F.collect_list("ts"))).alias("ts"),
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+        )
+        .withColumn("n", F.size("ts"))
+    )
+
+    def fits() -> Column:
+        return F.col("hi") + K - F.col("lo") <= F.ceil(words * max_stretch)
+
+    # A merged span longer than an edited copy can be falls back to its best
+    # diagonal, a group of them to its members.
+    pick = F.when(fits(), F.struct("lo", "hi", "n")).otherwise(F.col("best"))
+    merged = (
+        near.withColumn("pick", pick)
+        .groupBy(*keys, "group")
+        .agg(
+            F.collect_list("pick").alias("picks"),
             F.size(F.array_distinct(F.flatten(F.collect_list("ts")))).alias("n"),
             F.min("lo").alias("lo"),
             F.max("hi").alias("hi"),
         )
+        .withColumn("whole", F.when(fits(), F.array(F.struct("lo", "hi", "n"))).otherwise(F.col("picks")))
+        .select(*keys, F.explode("whole").alias("s"))
     )
-    # A merged span longer than an edited copy can be falls back to its best diagonal.
-    fits = F.col("hi") + K - F.col("lo") <= F.ceil((F.col("n_grams") + K - 1) * max_stretch)
-    pick = F.when(fits, F.struct("lo", "hi", "n")).otherwise(F.col("best"))
     return places.unionByName(
-        merged.withColumn("s", pick)
-        .withColumn("coverage", F.col("s.n") / F.col("n_grams"))
+        merged.withColumn("coverage", F.col("s.n") / F.col("n_grams"))
         .select(
             "key", "template", "label", "phrase",
             F.col("s.lo").alias("first_word"),

@@ -262,6 +262,21 @@ def test_license_scan_base_and_method(spark):
     assert any(r.first_word == 40 and r.end_word == 40 + len(edited) for r in span)
 
 
+def test_license_scan_longer_insertion(spark):
+    text = (
+        "noise " * 30 + "Redistribution and use in source and binary forms, with or without "
+        "modification, are permitted (subject to the limitations in the disclaimer below) "
+        "provided that the following conditions are met: " + "tail " * 30
+    )
+    twice = " ".join([license_scan.NOTICES[4].text] * 2)
+    df = spark.createDataFrame([(1, text), (2, twice)], "doc_id long, text string")
+    docs, spans = license_scan.scan(spark, df)
+    assert {r.labels for r in docs.collect()} == {"bsd"}
+    got = spans.where("accepted and label = 'bsd'").select("first_word", "end_word").collect()
+    n = len(license_scan.NOTICES[4].text.split())
+    assert sorted(map(tuple, got)) == [(0, n), (n, 2 * n), (30, 30 + n + 8)]
+
+
 def test_license_scan_messy_and_empty(spark):
     df, rows = data.messy(spark)
     docs, _ = license_scan.scan(spark, df)
