@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigfleet.llm import (
+    collocations,
     corpus_sql,
     cotraining,
     language_id,
@@ -15,8 +16,10 @@ from sigfleet.llm import (
     packing,
     pii,
     quality_rules,
+    spelling,
     token_counts,
     topk,
+    warc,
 )
 from sigfleet.llm.common import table
 
@@ -113,6 +116,26 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.fit(sample), keep=["doc_id", "held_out"])
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two to five words of each language."""
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    return collocations.collocations(spark, docs)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of the corpus."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spark, spelling.word_counts(docs))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to archives, deduplicated, and read back."""
+    archives = warc.write_archives(spark, table(spark, sf_dir, "pages"))
+    return warc.payloads(spark, warc.deduplicated(spark, archives)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op8_license_scan": op8_license_scan,
@@ -124,9 +147,15 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_collocations": op11_collocations,
+    "op12_spelling": op12_spelling,
+    "op13_warc": op13_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_topk": corpus_sql.TOPK,
     "op7_mixing": corpus_sql.MIXING,
+    "op11_collocations": corpus_sql.COLLOCATIONS,
+    "op12_spelling": corpus_sql.SPELLING,
+    "op13_warc": corpus_sql.WARC,
 }
