@@ -44,7 +44,8 @@ CHUNK = 128
 BLOCK = 256
 # Signatures of BANDS * ROWS components estimate a similarity with a standard
 # deviation of 0.042 at 0.8: a pair is dropped unverified only when its
-# estimate lies more than four of these below the threshold.
+# estimate lies more than four of these below the threshold, which happens to
+# 3 of 100,000 pairs at 0.8 (binomial tail) and to fewer above.
 SLACK = 0.18
 # Further leads drawn per bucket and band.
 LEADS = 3
@@ -128,15 +129,15 @@ def _verify(groups: Iterator[pa.Table], threshold: float) -> Iterator[pa.RecordB
 def _verified(
     spark: SparkSession, pairs: DataFrame, texts: DataFrame, threshold: float
 ) -> DataFrame:
-    """Of ``pairs(id, lead)`` those at or above the threshold, as ``a, b``.
+    """Of ``pairs(id, lead, n)`` those at or above the threshold, as ``a, b``.
 
     A lead with many members is dealt to chunks; its text is repeated once
-    per chunk, not once per pair.
+    per chunk, not once per pair. ``n`` is the size of the largest bucket
+    that made the pair: a lead stands in one bucket per band, so a chunk
+    holds at most ``CHUNK`` pairs of each band or thereabouts.
     """
-    sizes = pairs.groupBy("lead").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    dealt = pairs.join(sizes, "lead").select(
-        "lead", "id", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk")
-    )
+    chunks = F.ceil(F.col("n") / CHUNK)
+    dealt = pairs.select("lead", "id", F.pmod(F.xxhash64("id"), chunks).cast("int").alias("chunk"))
     leads = dealt.select("lead", "chunk").distinct().withColumn("id", F.col("lead"))
     rows = dealt.unionByName(leads).join(texts, "id").select("lead", "chunk", "id", "text")
     return stored(
@@ -151,9 +152,9 @@ def _linked(
 ) -> Iterator[pa.RecordBatch]:
     """Verified links of a chunk of stragglers and a block of members.
 
-    A pair that shares several bands is looked at in the first of them only
-    (the signatures tell). Components that a link has joined here need no
-    second link.
+    A pair that shares several bands is looked at in the first of them only:
+    the band keys tell, or without these the signatures. Components that a
+    link has joined here need no second link.
     """
     shingler = bmh.Shingler()
     for g in groups:
@@ -162,6 +163,10 @@ def _linked(
         band = g.column("band")[0].as_py()
         texts = g.column("text")
         sig = np.stack([np.frombuffer(x, np.uint16) for x in g.column("sig").to_pylist()])
+        if "bands" in g.column_names:
+            bands = np.array(g.column("bands").to_pylist(), np.int64)[:, :, None]
+        else:
+            bands = sig.reshape(len(sig), -1, rows)
         comp = g.column("component").to_numpy().copy()
         bags: dict[int, tuple] = {}
 
@@ -176,10 +181,10 @@ def _linked(
             other = targets[comp[targets] != comp[k]]
             same = sig[other] == sig[k]
             likely = same.mean(axis=1) >= threshold - SLACK
-            other, same = other[likely], same[likely]
+            other = other[likely]
             if not len(other):
                 continue
-            shared = same.reshape(len(other), -1, rows).all(axis=2)
+            shared = (bands[other] == bands[k]).all(axis=2)
             for i in other[shared.argmax(axis=1) == band].tolist():
                 if comp[i] != comp[k] and bmh.similarity(bag(int(k)), bag(i)) >= threshold:
                     out.append((max(ids[i], ids[k]), min(ids[i], ids[k])))
@@ -216,17 +221,22 @@ def _other_leads(buckets: DataFrame, comps: DataFrame) -> DataFrame:
             F.array(*drawn).alias("leads"),
         )
         .where("n >= 3 and lo < hi")
-        .select("key", "leads")
+        .select("key", "leads", "n")
     )
     pairs = (
         marked.select("key", "id", "component")
         .join(leads, "key")
-        .select("id", "component", F.explode("leads").alias("l"))
+        .select("id", "component", "n", F.explode("leads").alias("l"))
         .where("component <> l.component")
     )
-    return pairs.select(
-        F.greatest("id", "l.id").alias("id"), F.least("id", "l.id").alias("lead")
-    ).distinct()
+    return _once(
+        pairs.select(F.greatest("id", "l.id").alias("id"), F.least("id", "l.id").alias("lead"), "n")
+    )
+
+
+def _once(pairs: DataFrame) -> DataFrame:
+    """``id, lead, n`` without repeats, dealt by ``id`` as the join that follows wants it."""
+    return pairs.repartition("id").groupBy("id", "lead").agg(F.max("n").alias("n"))
 
 
 def _across(
@@ -239,8 +249,8 @@ def _across(
 ) -> DataFrame:
     """Verified links inside buckets that still hold several components.
 
-    ``buckets(key, band, id)``, ``members(id, sig, text)``: the members
-    outside a bucket's largest component, in chunks, meet all its members, in
+    ``buckets(key, band, id)``, ``members(id, sig, text)``, with ``bands`` or
+    without: the members outside a bucket's largest component, in chunks, meet all its members, in
     blocks of ``BLOCK``, and are verified where they meet, so only links
     leave a task.
     """
@@ -300,46 +310,52 @@ def classes(
     """
     least = threshold - SLACK
     table = signatures(spark, docs, id_col, text_col, bands, rows)
-    # Equal texts: one number per text, its smallest row number.
+    # Equal texts: one row per text, that of its smallest row number.
+    first = F.min(F.struct("row", "doc_id", "ka", "kb", "bands", "sig"))
     copies = stored(
         spark,
-        table.where("da is not null").groupBy("da", "db").agg(F.min("row").alias("id")),
+        table.where("da is not null")
+        .groupBy("da", "db")
+        .agg(first.alias("f"))
+        .select("da", "db", F.col("f.row").alias("id"), "f.doc_id", "f.ka", "f.kb", "f.bands", "f.sig"),
         "dedup-texts",
     )
-    ids = copies.select("id")
-    banded = table.select(F.col("row").alias("id"), "bands").join(ids, "id", "left_semi")
-    keyed = banded.select("id", F.posexplode("bands").alias("band", "key"))
+    keyed = copies.select("id", F.posexplode("bands").alias("band", "key"))
     leads = (
         keyed.groupBy("key")
-        .agg(F.min("id").alias("lead"), F.max("id").alias("last"))
-        .where("lead < last")
-        .select("key", "lead")
+        .agg(F.min("id").alias("lead"), F.count("*").alias("n"))
+        .where("n > 1")
+        .select("key", "lead", "n")
+    )
+    buckets = stored(
+        spark, keyed.join(leads, "key").select("key", "band", "id", "lead", "n"), "dedup-buckets"
     )
-    buckets = stored(spark, keyed.join(leads, "key").select("key", "band", "id", "lead"), "dedup-buckets")
 
-    members = buckets.select("id").distinct()
     sigs = stored(
         spark,
-        table.select(F.col("row").alias("id"), "sig", "doc_id", "ka", "kb").join(
-            members, "id", "left_semi"
+        copies.select("id", "sig", "bands", "doc_id", "ka", "kb").join(
+            buckets.select("id").distinct(), "id", "left_semi"
         ),
         "dedup-members",
     )
     sig = sigs.select("id", "sig")
-    star = buckets.where("id <> lead").select("id", "lead").distinct()
-    texts = _texts(spark, docs, sigs.drop("sig"), id_col, text_col)
+    star = _once(buckets.where("id <> lead"))
+    texts = _texts(spark, docs, sigs.select("id", "doc_id", "ka", "kb"), id_col, text_col)
 
     def verified(pairs: DataFrame) -> DataFrame:
         close = stored(spark, _plausible(pairs.join(sig, "id"), sig, least), "dedup-candidates")
         return _verified(spark, close, texts, threshold)
 
-    links = verified(star)
-    comps = components(spark, links)
-    links = links.unionByName(verified(_other_leads(buckets, comps)))
-    comps = components(spark, links)
-    more = _across(spark, buckets, comps, sig.join(texts, "id"), threshold, rows)
+    def joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+        stars = comps.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        return components(spark, stars.unionByName(links))
+
+    comps = components(spark, verified(star))
+    comps = joined(comps, verified(_other_leads(buckets, comps)))
+    members = sigs.select("id", "sig", "bands").join(texts, "id")
+    more = _across(spark, buckets, comps, members, threshold, rows)
     if not more.isEmpty():
-        comps = components(spark, links.unionByName(more))
+        comps = joined(comps, more)
 
     text_class = copies.join(comps, "id", "left").select(
         "da", "db", F.coalesce("component", "id").alias("class")
@@ -362,7 +378,7 @@ def classes(
 
 
 def _plausible(pairs: DataFrame, sig: DataFrame, least: float) -> DataFrame:
-    """``id, lead`` of the pairs whose signatures agree in enough components."""
+    """``id, lead, n`` of the pairs whose signatures agree in enough components."""
 
     def keep(batches):
         for b in batches:
@@ -373,13 +389,12 @@ def _plausible(pairs: DataFrame, sig: DataFrame, least: float) -> DataFrame:
                 for c in ("sig", "other")
             )
             ok = pa.array((x == y).mean(axis=1) >= least)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id").filter(ok), b.column("lead").filter(ok)], ["id", "lead"]
-            )
+            names = ["id", "lead", "n"]
+            yield pa.RecordBatch.from_arrays([b.column(c).filter(ok) for c in names], names)
 
     other = sig.select(F.col("id").alias("lead"), F.col("sig").alias("other"))
-    return pairs.join(other, "lead").select("id", "lead", "sig", "other").mapInArrow(
-        keep, "id long, lead long"
+    return pairs.join(other, "lead").select("id", "lead", "n", "sig", "other").mapInArrow(
+        keep, "id long, lead long, n long"
     )
 
 
