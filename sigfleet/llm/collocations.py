@@ -56,6 +56,9 @@ MAP_BITS = 27
 CHUNK = 4 << 20
 # Hashes that a task holds before it writes runs.
 RUN = 4 << 20
+# Bytes of text per part of the hashes, and bits of the number of parts at most: a
+# run of RUN hashes is cut into pieces of no fewer than 16.
+SHARE, PART_BITS = 1 << 20, 18
 # Phrases in a container before it bursts, levels of trie nodes, phrases in a trie before it spills.
 BURST, LEVELS, HELD = 2_048, 3, 400_000
 
@@ -164,7 +167,7 @@ def _runs(found: Iterator[dict[int, np.ndarray]], parts: int) -> Iterator[pa.Rec
     size = 0
 
     def out() -> Iterator[pa.RecordBatch]:
-        shift = np.uint64(BITS - int(np.log2(parts)))
+        shift = np.uint64(BITS - parts.bit_length() + 1)
         for level, lists in held.items():
             v, n = np.unique(np.concatenate(lists), return_counts=True)
             part = v >> shift
@@ -446,9 +449,9 @@ def phrase_counts(
         F.coalesce("lang", F.lit("und")).cast("binary").alias("lang"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
-    # A group of the merge is a small share of a shuffle partition.
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = 1 << min(24, (64 * shuffles - 1).bit_length())
+    # The runs of a part, which one task merges at a time, stem from about SHARE bytes of text.
+    size = base.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = 1 << min(PART_BITS, int(size / SHARE).bit_length())
 
     def frequent(step) -> DataFrame:
         runs = base.mapInArrow(step, "level int, part long, run binary")
