@@ -357,49 +357,76 @@ class HatTrie:
             del self.root[below]
 
 
+class Numbers:
+    """Ids of the words of a task, and one per language and first word.
+
+    The first id of a path tells the language as well, so that subtrees are
+    those of first words; its name is the language.
+    """
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.names: list[bytes] = []
+        self._words: dict[bytes, int] = {}
+        self._firsts: dict[tuple[bytes, int], int] = {}
+
+    def _of(self, table: dict, key, name: bytes) -> int:
+        i = table.setdefault(key, len(self.names))
+        if i == len(self.names):
+            self.names.append(name)
+        return i
+
+    def path(self, lang: bytes, word: bytes) -> tuple[int, int]:
+        i = self._of(self._words, word, word)
+        return self._of(self._firsts, (lang, i), lang), i
+
+
 def _chunk_phrases(
-    langs: list[bytes], codes: np.ndarray, c: Chunk, maps: dict[int, np.ndarray], longest: int
-) -> Iterator[tuple[bytes, list[int], int]]:
-    """``(language, ids in the chunk, count)`` of the phrases that may be frequent."""
+    langs: list[bytes], codes: np.ndarray, c: Chunk, maps: dict[int, np.ndarray], longest: int, numbers: Numbers
+) -> Iterator[tuple[list[tuple[int, ...]], list[int]]]:
+    """Paths and counts of the phrases of 1, 2, … words that may be frequent."""
     h = phrase_hashes(langs, codes, c, longest)
     d = max(1, len(c.names))
-    ok = np.ones(len(c.ids), bool)
+    single = hit(maps.get(1), h[0])
+    ok = single
     node = codes[c.row].astype(np.int64)  # a rank per path so far
-    path: list[list[int]] = [[i] for i in range(len(langs))]
+    ids = np.zeros(d, np.int64)
+    paths: list[tuple[int, ...]] = []
     for k in range(1, longest + 1):
-        ok = ok & c.windows(k) & hit(maps.get(k), h[k - 1])
+        if k > 1:
+            ok = ok & c.windows(k) & hit(maps.get(k), h[k - 1])
+            ok[: len(ok) - k + 1] &= single[k - 1 :]
         at = np.flatnonzero(ok)
         if not len(at):
             return
-        key, first, n = np.unique(node[at] * d + c.ids[at + k - 1], return_inverse=True, return_counts=True)
-        path = [[*path[p], w] for p, w in zip((key // d).tolist(), (key % d).tolist(), strict=True)]
+        key, rank, n = np.unique(node[at] * d + c.ids[at + k - 1], return_inverse=True, return_counts=True)
+        if k == 1:
+            words = (key % d).tolist()
+            paths = [numbers.path(langs[x], c.names[w]) for x, w in zip((key // d).tolist(), words, strict=True)]
+            ids[words] = [p[1] for p in paths]
+        else:
+            last = ids[key % d].tolist()
+            paths = [paths[p] + (w,) for p, w in zip((key // d).tolist(), last, strict=True)]
         node = np.zeros(len(ok), np.int64)
-        node[at] = first
-        for p, m in zip(path, n.tolist(), strict=True):
-            yield langs[p[0]], p[1:], m
+        node[at] = rank
+        yield paths, n.tolist()
 
 
 def _trie_runs(batches, maps: dict[int, np.ndarray], longest: int) -> Iterator[pa.RecordBatch]:
     """Sorted runs ``lang, k, prefix, phrase, n``; ``k`` = 0 counts all words."""
-    trie = HatTrie()
-    ids: dict[bytes, int] = {}
-    names: list[bytes] = []
+    trie, numbers = HatTrie(), Numbers()
     total: dict[bytes, int] = {}
 
-    def number(w: bytes) -> int:
-        i = ids.setdefault(w, len(names))
-        if i == len(names):
-            names.append(w)
-        return i
-
-    def out(found) -> Iterator[pa.RecordBatch]:
-        rows = sorted((tuple(names[i] for i in p), n) for p, n in found)
+    def spilled(keep: int) -> Iterator[pa.RecordBatch]:
+        names = numbers.names
+        rows = sorted(([names[i] for i in p], n) for p, n in trie.spill(keep))
         for a in range(0, len(rows), 10_000):
             part = rows[a : a + 10_000]
-            words = [p[1:] for p, _ in part]
             yield _run_batch(
-                [p[0] for p, _ in part], [len(w) for w in words],
-                [b" ".join(w[:2]) for w in words], [b" ".join(w) for w in words], [n for _, n in part],
+                [p[0] for p, _ in part], [len(p) - 1 for p, _ in part],
+                [b" ".join(p[1:3]) for p, _ in part], [b" ".join(p[1:]) for p, _ in part], [n for _, n in part],
             )
 
     for langs, codes, c in chunks(batches):
@@ -407,24 +434,18 @@ def _trie_runs(batches, maps: dict[int, np.ndarray], longest: int) -> Iterator[p
         for lang, n in zip(langs, rows.tolist(), strict=True):
             if n:
                 total[lang] = total.get(lang, 0) + n
-        for lang, p, n in _chunk_phrases(langs, codes, c, maps, longest):
-            # The language is part of the first id, so that subtrees are those of first words.
-            trie.add((number(lang + b" " + c.names[p[0]]), *[number(c.names[i]) for i in p]), n)
+        for paths, counts in _chunk_phrases(langs, codes, c, maps, longest, numbers):
+            for p, n in zip(paths, counts, strict=True):
+                trie.add(p, n)
         if len(trie) > HELD:
-            yield from out(_relabelled(trie.spill(HELD // 2), names, number))
-        if len(names) > 2 * HELD:
-            yield from out(_relabelled(trie.spill(0), names, number))
-            ids.clear(), names.clear()
-    yield from out(_relabelled(trie.spill(0), names, number))
+            yield from spilled(HELD // 2)
+        if len(numbers.names) > 2 * HELD:
+            yield from spilled(0)
+            numbers.clear()
+    yield from spilled(0)
     yield _run_batch(list(total), [0] * len(total), [b""] * len(total), [b""] * len(total), list(total.values()))
 
 
-def _relabelled(found, names, number):
-    """Paths with the language alone in first place."""
-    for p, n in list(found):
-        yield (number(names[p[0]].rpartition(b" ")[0]), *p[1:]), n
-
-
 def _run_batch(lang, k, prefix, phrase, n) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(
         {
