@@ -18,10 +18,11 @@ from sigfleet.functions.links import absolute_link, link_href, publication_link,
 from sigfleet.functions.timefmt import format_time as format_time_col
 from sigfleet.functions.timefmt import lookback_hours, lookback_start, range_end, range_start
 from sigfleet.operators import asof, bundles, catalog_ops, latest, reports, samples, scans
-from sigfleet.schemas import HISTORY_SIGNALS, PLACEHOLDER_BASE_URL
+from sigfleet.schemas import HISTORY_SIGNALS, PLACEHOLDER_BASE_URL, READING_ARRAY_DDL
 from sigfleet.session import work_path
 from sigfleet.plans.ingest import ingest_payloads
 from sigfleet.sinks import bom, writers
+from sigfleet.sinks.named_files import read_named_files, write_named_files
 from sigfleet.sources import catalog, landing, payloads, result_docs
 from sigfleet.sources import driver_tables as dtab
 from sigfleet.sources.payloads import reading_time
@@ -90,7 +91,7 @@ def q_latest_indexed(spark, sf):
 
 def q_signal_select(spark, sf):
     """The signals to collect, plain and detailed mixed."""
-    r = scans.select_endpoints(_r(spark, sf, pump_ids=[PUMP]), COLLECT)
+    r = scans.select_endpoints(_r(spark, sf), COLLECT)
     return r.select(*SERIES, "time", "value")
 
 
@@ -101,7 +102,7 @@ def q_detailed_select(spark, sf):
 
 
 def q_signal_counts(spark, sf):
-    r = _r(spark, sf, signals=BASIC, pump_ids=[PUMP], detailed=False)
+    r = _r(spark, sf, signals=BASIC, detailed=False)
     return bundles.signal_counts(r, BASIC)
 
 
@@ -490,6 +491,108 @@ def q_bom_repair(spark, sf):
     ).agg(F.count(F.lit(1)).alias("files"))
 
 
+def _json_files(spark, files: DataFrame, kind: str, schema: str) -> DataFrame:
+    """``files(file, content)`` written, and read back as ``file, doc``."""
+    path = work_path(spark, kind)
+    write_named_files(files, path, unique=True)
+    back = read_named_files(spark, path)
+    return back.select("file", F.from_json(F.decode("content", "UTF-8"), schema).alias("doc"))
+
+
+def q_result_files(spark, sf):
+    """A file per document part under its own name, bytes read back."""
+    r = _r(spark, sf, signals=["status"], start=RANGE[0], end=RANGE[1], detailed=False)
+    docs = writers.result_documents(r, _p(spark, sf), "status", RANGE[0], RANGE[1], NOW)
+    item = READING_ARRAY_DDL
+    back = _json_files(
+        spark, writers.document_files(docs), "result-files",
+        f"bomba struct<id:string,name:string>, endpoint string, datos {item}, timestamp_consulta string",
+    )
+    return back.select(
+        "file",
+        F.col("doc.bomba.name").alias("name"),
+        F.col("doc.endpoint").alias("endpoint"),
+        F.size("doc.datos").cast("long").alias("points"),
+        F.array_max(F.transform("doc.datos", lambda x: x["value"])).alias("largest"),
+        F.col("doc.timestamp_consulta").alias("stamp"),
+    )
+
+
+def q_wide_files(spark, sf):
+    """K6: the wide record's documents as files of their own, read back."""
+    wide = reports.wide_record(_p(spark, sf), _r(spark, sf, detailed=True), detailed=True)
+    series = list(reports.WIDE_SIGNALS.values())
+    back = _json_files(
+        spark, writers.wide_record_files(wide, NOW), "wide-files",
+        f"bomba_id long, timestamp timestamp_ntz, info struct<id:string,name:string>, "
+        + ", ".join(f"{c} {READING_ARRAY_DDL}" for c in series),
+    )
+    return back.select(
+        "file", F.col("doc.bomba_id").alias("pump_id"), F.col("doc.info.name").alias("name"),
+        F.col("doc.timestamp").alias("timestamp"),
+        *[F.size(f"doc.{c}").cast("long").alias(f"n_{c}") for c in series],
+    )
+
+
+def q_history_files(spark, sf):
+    """K7: the history documents as files of their own, flattened again."""
+    docs = bundles.history_document(_r(spark, sf, detailed=True), RANGE[1], "48")
+    back = _json_files(
+        spark, writers.history_files(docs), "history-files", f"bomba_id long, datos map<string,{READING_ARRAY_DDL}>"
+    )
+    x = back.select("file", "doc.bomba_id", F.explode("doc.datos").alias("signal", "series"))
+    x = x.select("file", "bomba_id", "signal", F.explode("series").alias("_r"))
+    return x.select(
+        "file", F.col("bomba_id").alias("pump_id"), "signal", reading_time(F.col("_r.time")).alias("time"), "_r.value"
+    )
+
+
+def q_output_files(spark, sf):
+    """K2/K9: readings of a range as CSV under the default stamped path, a
+    folder per pump, with the stamp column; read back."""
+    r = _r(spark, sf, signals=["speed"], start=RANGE[0], end=RANGE[1])
+    path = writers.default_export_path(work_path(spark, "output"), NOW)
+    writers.write_output(r.select("pump_id", "time", "value"), path, fmt="csv", separate_files=True, now=NOW)
+    read = spark.read.schema("time timestamp_ntz, value double, fetched_at timestamp_ntz, pump_id long")
+    back = read.option("header", True).csv(path)
+    name = F.regexp_extract(F.col("_metadata.file_path"), "/(fleet_data_[0-9_]+)/", 1)
+    return back.select("pump_id", "time", "value", "fetched_at", name.alias("folder"))
+
+
+def q_schedule_scan(spark, sf):
+    """Control and flow-schedule series of a range (orders stand in for
+    their readings)."""
+    signal = F.expr("CASE o_orderstatus WHEN 'F' THEN 'aaecontrol' WHEN 'O' THEN 'flowschedule' ELSE 'onoffschedule' END")
+    r = dtab.table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("pump_id"), signal.alias("signal"), F.lit(False).alias("detailed"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("time"), F.col("o_totalprice").alias("value"),
+        F.col("o_orderkey").alias("pos"),
+    )
+    start, end = dt.datetime(1995, 1, 1), dt.datetime(1996, 12, 31)
+    x = scans.range_scan(r, signals=["aaecontrol", "flowschedule"], start=start, end=end)
+    return x.select("pump_id", "signal", "time", "value", "pos")
+
+
+def q_payload_flags(spark, sf):
+    """§2.12: the three availability booleans, counted."""
+    out = payloads.fetch_outcomes(landed_events(spark, sf))
+    return out.groupBy("is_nonempty", "is_not_null", "is_not_empty_object").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_bom_repair_bytes(spark, sf):
+    """K8: repaired files by path below the input, with a hash of their bytes."""
+    src, out = work_path(spark, "landing-bom"), work_path(spark, "repaired")
+    p = _p(spark, sf)
+    files = landing.catalog_files(p, "in/with_bom", bom=True).unionByName(
+        landing.catalog_files(p, "in/plain/in", bom=False, envelope=True)
+    )
+    write_named_files(files, src, unique=True)
+    bom.repair_bom(spark, src, out)
+    return read_named_files(spark, out).select(
+        "file", F.length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256")
+    )
+
+
 def q_stream_latest(spark, sf):
     src = dtab.events_to_readings(dtab.events_stream(spark, sf))
     sink = monitors.run_available(spark, "latest", monitors.start_latest_monitor, src)
@@ -558,6 +661,13 @@ QUERIES = {
     "catalog_scan": q_catalog_scan,
     "result_docs": q_result_docs,
     "bom_repair": q_bom_repair,
+    "bom_repair_bytes": q_bom_repair_bytes,
+    "result_files": q_result_files,
+    "wide_files": q_wide_files,
+    "history_files": q_history_files,
+    "output_files": q_output_files,
+    "schedule_scan": q_schedule_scan,
+    "payload_flags": q_payload_flags,
     "stream_latest": q_stream_latest,
     "stream_heartbeat": q_stream_heartbeat,
     "stream_fault_alerts": q_stream_fault_alerts,

@@ -21,14 +21,14 @@ _WITH_R = {
     "range_carry_in": "select pump_id, signal, detailed, time, value from (select r.*, row_number() over (partition by "
     "pump_id, signal, detailed, time <= timestamp '2024-01-10 00:00:00' order by time desc, pos desc) as rn from r "
     "where time <= timestamp '2024-01-11 00:00:00') t where time > timestamp '2024-01-10 00:00:00' or rn = 1",
-    "signal_select": "select pump_id, signal, detailed, time, value from r where pump_id = 7 and ((signal in "
-    "('status', 'rawpower', 'speed', 'fault') and not detailed) or (signal = 'status' and detailed))",
+    "signal_select": "select pump_id, signal, detailed, time, value from r where (signal in "
+    "('status', 'rawpower', 'speed', 'fault') and not detailed) or (signal = 'status' and detailed)",
     "detailed_select": "select pump_id, signal, detailed, time, value from r where pump_id = 7 and signal in "
     "('status', 'rawpower', 'speed') and detailed",
     "signal_counts": "select case when grouping(g.signal) = 1 then 'TOTAL' else g.signal end as signal, "
     "count(r.time) as points, case when count(r.time) > 0 then concat(count(r.time), ' puntos') else "
     "'sin datos' end as label from (values ('status'), ('rawpower'), ('speed'), ('aaecontrol')) g(signal) "
-    "left join r on r.signal = g.signal and not r.detailed and r.pump_id = 7 group by rollup (g.signal)",
+    "left join r on r.signal = g.signal and not r.detailed group by rollup (g.signal)",
     "individual_query": "select case when grouping(g.signal) = 1 then 'TOTAL' else g.signal end as signal, "
     "count(r.time) as points, case when count(r.time) > 0 then concat(count(r.time), ' puntos') else "
     "'sin datos' end as label from (values ('status'), ('rawpower'), ('speed')) g(signal) left join r on "
@@ -157,9 +157,46 @@ _WITH_R = {
     "bom_repair": "select case b when 1 then 'with_bom' else 'plain' end as folder, case b when 1 then 'repaired' "
     "else 'clean' end as status, cast(case b when 1 then 3 else 0 end as bigint) as bytes_dropped, "
     "count(distinct pump_id // 1000) as files from p cross join (values (0), (1)) v(b) group by b",
+    "result_files": "select concat(p.pump_id, '/consulta_status_', replace(n.name, ' ', '_'), '_20240130_000000', "
+    "coalesce(strftime(c.chunk, '_%Y%m%d%H'), ''), '.json') as file, n.name, 'status' as endpoint, "
+    "coalesce(c.points, 0) as points, c.largest, '2024-01-30T00:00:00' as stamp from p "
+    "join (select pump_id, coalesce(name, 'Sin nombre') as name from p) n on n.pump_id = p.pump_id left join (select "
+    "pump_id, date_trunc('hour', time) as chunk, count(*) as points, max(value) as largest from r where not detailed "
+    "and signal = 'status' and time >= timestamp '2024-01-10 00:00:00' and time <= timestamp '2024-01-20 00:00:00' "
+    "group by 1, 2) c on c.pump_id = p.pump_id",
+    "wide_files": "select concat(p.pump_id, '/datos_detallados_', replace(coalesce(p.name, 'Sin nombre'), ' ', '_'), "
+    "'_20240130_000000', coalesce(strftime(c.chunk, '_%Y%m%d%H'), ''), '.json') as file, p.pump_id, "
+    "coalesce(p.name, 'Sin nombre') as name, timestamp '2024-01-30 00:00:00' as timestamp, "
+    "coalesce(c.n_status, 0) as n_status, coalesce(c.n_power, 0) as n_power, coalesce(c.n_speed, 0) as n_speed, "
+    "coalesce(c.n_faults, 0) as n_faults, coalesce(c.n_inservice, 0) as n_inservice from p left join (select pump_id, "
+    "date_trunc('hour', time) as chunk, count(*) filter (signal = 'status') as n_status, count(*) filter (signal = "
+    "'rawpower') as n_power, count(*) filter (signal = 'speed') as n_speed, count(*) filter (signal = 'fault') as "
+    "n_faults, count(*) filter (signal = 'inservice') as n_inservice from r where detailed group by 1, 2) c on "
+    "c.pump_id = p.pump_id",
+    "history_files": "select concat(pump_id, '/historicos_bomba_', pump_id, '_20240118_20240120', "
+    "strftime(date_trunc('hour', time), '_%Y%m%d%H'), '.json') as file, pump_id, signal, time, value from r where "
+    "detailed and signal in ('status', 'rawpower', 'speed', 'fault') and time >= timestamp '2024-01-18 00:00:00' and "
+    "time <= timestamp '2024-01-20 00:00:00'",
+    "output_files": "select pump_id, time, value, timestamp '2024-01-30 00:00:00' as fetched_at, "
+    "'fleet_data_20240130_000000' as folder from r where signal = 'speed' and time >= timestamp '2024-01-10 00:00:00' "
+    "and time <= timestamp '2024-01-20 00:00:00'",
+    "payload_flags": "select pos % 7 < 3 and pos % 11 in (8, 10) as is_nonempty, pos % 11 <> 9 as is_not_null, "
+    "true as is_not_empty_object, count(*) as n from r group by 1, 2",
+    "bom_repair_bytes": "select file, cast(octet_length(b) as bigint) as bytes, sha256(b) as sha256 from (select "
+    "concat(case w when 1 then 'in/with_bom/' else 'in/plain/in/' end, pump_id // 1000, '.json') as file, "
+    "encode(concat(case w when 0 then '{\"results\": ' end, '[', string_agg(j, ',' order by pump_id), ']', "
+    "case w when 0 then '}' end)) as b from (select p.pump_id, concat('{\"id\":\"', p.pump_id, '\"', "
+    "',\"name\":\"' || p.name || '\"', l.links, '}') as j from p join (select pump_id, string_agg(concat(',\"', s, d, "
+    "'\":{\"href\":\"https://example.invalid/physicalPumps/', pump_id, '/', s, d, '/\"}'), '' order by d, i) as links "
+    "from p cross join (values (1, 'status'), (2, 'rawpower'), (3, 'speed'), (4, 'fault'), (5, 'aaecontrol'), "
+    "(6, 'inservice'), (7, 'onoffschedule'), (8, 'flowschedule')) g(i, s) cross join (values (''), ('/detailed')) v(d) "
+    "group by pump_id) l on l.pump_id = p.pump_id) t cross join (values (0), (1)) v(w) group by w, pump_id // 1000) x",
 }
 
 _PLAIN = {
+    "schedule_scan": "select o_custkey as pump_id, case o_orderstatus when 'F' then 'aaecontrol' else 'flowschedule' "
+    "end as signal, cast(o_orderdate as timestamp) as time, o_totalprice as value, o_orderkey as pos from orders where "
+    "o_orderstatus in ('F', 'O') and o_orderdate >= timestamp '1995-01-01' and o_orderdate <= timestamp '1996-12-31'",
     "dedupe_last": "select pump_id, last_order, status from (select o_custkey as pump_id, o_orderkey as "
     "last_order, o_orderstatus as status, row_number() over (partition by o_custkey order by o_orderkey "
     "desc) as rn from orders) t where rn = 1",

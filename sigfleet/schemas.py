@@ -78,6 +78,8 @@ RANGE_KEYWORDS = {
 API_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 FILE_STAMP_FORMAT = "yyyyMMdd_HHmmss"
 RESULT_FILE_PREFIX = "consulta"
+WIDE_FILE_PREFIX = "datos_detallados"
+HISTORY_FILE_PREFIX = "historicos_bomba"
 
 # Byte-order mark found in front of catalogue files and payloads.
 BOM = "\ufeff"

@@ -1,9 +1,10 @@
 """Encoding repair of landed JSON files (K8).
 
 Reads every file under a folder with ``binaryFile`` (one task per file),
-drops a leading UTF-8 byte-order mark, and writes the repaired text to a
-*new* folder (the input is left untouched, which replaces the backup copy).
-Files not matching the pattern are reported as ``skipped``.
+drops a leading UTF-8 byte-order mark, and writes the repaired files to a
+*new* folder (the input is left untouched, which replaces the backup copy):
+each at its own path below the input folder, byte for byte otherwise, whatever
+its encoding. Files not matching the pattern are reported as ``skipped``.
 """
 
 from __future__ import annotations
@@ -11,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sigfleet.sinks.named_files import path_below, write_named_files
+from sigfleet.sources.payloads import empty_files
+
 BOM_HEX = "EFBBBF"
 
 
@@ -18,18 +22,19 @@ def repair_status(spark: SparkSession, input_dir: str, pattern: str = "*.json")
     """Per file: ``(path, file, status, bytes_in, bytes_out, content)``;
     ``file`` is the path below ``input_dir``, status is ``repaired``,
     ``clean`` or ``skipped``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(input_dir)
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(input_dir)
+    empty = empty_files(spark, input_dir).select(
+        "path", F.lit(0).cast("long").alias("length"), F.lit(b"").cast("binary").alias("content")
+    )
+    files = read.select("path", "length", "content").unionByName(empty)
     regex = "^" + pattern.replace(".", r"\.").replace("*", ".*").replace("?", ".") + "$"
     name = F.element_at(F.split("path", "/"), -1)
-    # Up to the input folder's own name, then the path below it.
-    folder = input_dir.rstrip("/").rsplit("/", 1)[-1]
-    below = F.substring_index("path", f"/{folder}/", -1)
     has_bom = F.hex(F.substring("content", 1, 3)) == F.lit(BOM_HEX)
     matches = F.regexp_like(name, F.lit(regex))
     fixed = F.when(has_bom, F.expr("substring(content, 4)")).otherwise(F.col("content"))
     return files.select(
         "path",
-        below.alias("file"),
+        path_below(spark, input_dir).alias("file"),
         F.when(~matches, "skipped").when(has_bom, "repaired").otherwise("clean").alias("status"),
         F.col("length").alias("bytes_in"),
         F.when(matches, F.length(fixed)).alias("bytes_out"),
@@ -40,12 +45,9 @@ def repair_status(spark: SparkSession, input_dir: str, pattern: str = "*.json")
 def repair_bom(spark: SparkSession, input_dir: str, output_dir: str, pattern: str = "*.json") -> DataFrame:
     """Write repaired copies and return the per-file status rows.
 
-    Each file gets a folder ``output_dir/file=<path below input_dir>``, so
-    files of one name in different folders stay apart. The text writer ends
-    a file with a line feed: one that is there already is not doubled.
+    Every file keeps its path below ``input_dir``; paths of files are unique,
+    so no file meets another.
     """
     st = repair_status(spark, input_dir, pattern)
-    text = F.regexp_replace(F.col("content").cast("string"), r"\n\z", "")
-    todo = st.where(F.col("status") != "skipped").select("file", text.alias("value"))
-    todo.write.mode("overwrite").partitionBy("file").text(output_dir)
+    write_named_files(st.where(F.col("status") != "skipped"), output_dir, unique=True)
     return st.drop("content")

@@ -7,15 +7,16 @@ file is written and later read in parallel.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sigfleet.functions.labels import default_name, file_key, utc_now
+from sigfleet.functions.labels import default_name, file_key, file_stamp, utc_now
 from sigfleet.functions.links import endpoint_signals
 from sigfleet.functions.timefmt import ntz
 from sigfleet.operators.bundles import series_chunks, service_items
 from sigfleet.operators.scans import range_scan
-from sigfleet.schemas import DEFAULT_EXPORT_PREFIX, ENDPOINTS
+from sigfleet.schemas import DEFAULT_EXPORT_PREFIX, ENDPOINTS, HISTORY_FILE_PREFIX, WIDE_FILE_PREFIX
+from sigfleet.sinks.named_files import write_named_files
 
 FORMATS = ("json", "csv")
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -71,6 +72,51 @@ def write_documents(docs: DataFrame, path: str, partition_by=("endpoint",)) -> N
     w.json(path)
 
 
+def _name_part(text) -> Column:
+    """A text as one part of a path: slashes (and a lone dot or two) encoded."""
+    t = F.replace(F.replace(text, F.lit("%"), F.lit("%25")), F.lit("/"), F.lit("%2F"))
+    return F.when(t.isin("", ".", ".."), F.concat(F.lit("%"), F.hex(F.encode(t, "UTF-8")))).otherwise(t)
+
+
+def document_files(docs: DataFrame, key: str = "file_key", pump: str = "bomba.id", part: str = "parte") -> DataFrame:
+    """``file, content``: a JSON file per document part, named by its
+    key, in a folder per pump (pumps without a name share a key).
+
+    A part's name ends in its hour; the key itself is not part of the content.
+    """
+    hour = F.when(F.col(part).isNotNull(), F.concat(F.lit("_"), F.date_format(part, "yyyyMMddHH")))
+    name = F.concat(_name_part(F.col(key)), F.coalesce(hour, F.lit("")), F.lit(".json"))
+    body = F.struct(*[F.col(c) for c in docs.columns if c != key])
+    text = F.to_json(body, {"timestampNTZFormat": MICROS, "ignoreNullFields": "false"})
+    return docs.select(
+        F.concat(_name_part(F.coalesce(F.col(pump).cast("string"), F.lit(""))), F.lit("/"), name).alias("file"),
+        F.encode(text, "UTF-8").alias("content"),
+    )
+
+
+def wide_record_files(wide: DataFrame, now) -> DataFrame:
+    """K6: ``file, content`` of the wide record, named by pump name and stamp."""
+    docs = wide_record_documents(wide, now)
+    name = F.replace(F.col("info.name"), F.lit(" "), F.lit("_"))
+    key = F.concat_ws("_", F.lit(WIDE_FILE_PREFIX), name, file_stamp(now))
+    return document_files(docs.withColumn("file_key", key), pump="bomba_id")
+
+
+def history_files(history: DataFrame) -> DataFrame:
+    """K7: ``file, content`` of history documents, named by pump id and days."""
+    day = lambda c: F.date_format(c, "yyyyMMdd")
+    key = F.concat_ws("_", F.lit(HISTORY_FILE_PREFIX), "bomba_id", day("periodo.inicio"), day("periodo.fin"))
+    return document_files(history.withColumn("file_key", key), pump="bomba_id")
+
+
+def write_document_files(docs: DataFrame, path: str, **names) -> None:
+    """:func:`document_files` written below ``path``, one file each.
+
+    Pump ids and parts tell the files of one table of documents apart.
+    """
+    write_named_files(document_files(docs, **names), path, unique=True)
+
+
 def default_export_path(base_dir: str, now) -> str:
     """K2: default stamped output path ``<base>/fleet_data_{yyyyMMdd_HHmmss}``
     from the job's ``now`` (a datetime)."""
@@ -98,14 +144,16 @@ def write_output(
     now=None,
 ) -> None:
     """K9 output knobs: format (json/csv), a ``fetched_at`` stamp column,
-    one folder per pump (``partitionBy('pump_id')``) and the path."""
+    one folder per pump and the path. With a folder per pump the rows are
+    dealt by pump first, a large pump over several tasks, so that the files
+    number about as many as the pumps and not pumps times tasks."""
     if fmt not in FORMATS:
         raise ValueError(f"output format not supported: {fmt!r} (use one of {FORMATS})")
     if include_timestamp:
         df = df.withColumn("fetched_at", utc_now() if now is None else ntz(now))
     w = df.write.mode("overwrite")
     if separate_files:
-        w = w.partitionBy("pump_id")
+        w = df.hint("rebalance", "pump_id").write.mode("overwrite").partitionBy("pump_id")
     if fmt == "csv":
         _csv(w).csv(path)
     else:

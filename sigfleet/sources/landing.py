@@ -41,13 +41,29 @@ def land_catalog(pumps: DataFrame, path: str, per_file: int = 1000, bom: bool =
     Records are grouped by ``source_pos div per_file``, so a file never holds
     more than ``per_file`` records; ``partitionBy`` gives each its own file.
     """
+    docs = _catalog_docs(pumps, per_file, bom, envelope)
+    docs.write.mode("overwrite").partitionBy("_file").text(path)
+
+
+def catalog_files(
+    pumps: DataFrame, folder: str, per_file: int = 1000, bom: bool = True, envelope: bool = False
+) -> DataFrame:
+    """The same files as ``file, content`` rows: ``<folder>/<number>.json``."""
+    docs = _catalog_docs(pumps, per_file, bom, envelope)
+    return docs.select(
+        F.concat(F.lit(f"{folder}/"), F.col("_file").cast("string"), F.lit(".json")).alias("file"),
+        F.encode("value", "UTF-8").alias("content"),
+    )
+
+
+def _catalog_docs(pumps: DataFrame, per_file: int, bom: bool, envelope: bool) -> DataFrame:
     recs = catalog_record_json(pumps).withColumn("_file", F.floor(F.col("source_pos") / per_file))
     grouped = recs.groupBy("_file").agg(F.array_sort(F.collect_list(F.struct("source_pos", "_json"))).alias("_r"))
     arr = F.concat(F.lit("["), F.array_join(F.transform("_r", lambda x: x["_json"]), ","), F.lit("]"))
     doc = F.concat(F.lit('{"results": '), arr, F.lit("}")) if envelope else arr
     if bom:
         doc = F.concat(F.lit(BOM), doc)
-    grouped.select("_file", doc.alias("value")).write.mode("overwrite").partitionBy("_file").text(path)
+    return grouped.select("_file", doc.alias("value"))
 
 
 def _items(readings: DataFrame) -> DataFrame:

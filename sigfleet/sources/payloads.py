@@ -202,6 +202,11 @@ def _zero_length_files(spark, root: str) -> list:
     return out
 
 
+def empty_files(spark, root: str) -> DataFrame:
+    """``path, modified`` (milliseconds) of the zero-byte files under ``root``."""
+    return spark.createDataFrame(_zero_length_files(spark, root), "path string, modified long")
+
+
 def _text_of(files: DataFrame, name: str | None) -> Column:
     """A key column as text. For a ``name=value`` folder the exact text of
     the path is used (partition type inference would turn ``007`` into 7)."""

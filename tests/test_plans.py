@@ -11,7 +11,7 @@ from tests.conftest import SF_SMOKE
 SIDE_EFFECTS = {
     "catalog_scan", "result_docs", "bom_repair", "stream_latest", "stream_heartbeat", "stream_fault_alerts",
     "range_carry_in_indexed", "latest_indexed", "ingest_twice", "result_document", "latest_csv", "id_names_csv",
-    "report_json",
+    "report_json", "bom_repair_bytes", "result_files", "wide_files", "history_files", "output_files",
 }
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 BAD_JOINS = ("CartesianProduct", "BroadcastNestedLoopJoin")
