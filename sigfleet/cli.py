@@ -6,6 +6,7 @@
     python -m sigfleet report  --readings R --pumps P --out DIR [--faults-from OUTCOMES]
     python -m sigfleet history --readings R --pumps P [--pump ID ...] [--hours 24] --out DIR
     python -m sigfleet ingest-payloads --landed DIR --readings R --outcomes O
+    python -m sigfleet compact --readings R
     python -m sigfleet ingest-catalog  --catalog DIR --pumps P --links L
     python -m sigfleet repair-bom --input DIR --output DIR [--pattern '*.json']
     python -m sigfleet monitor --landing DIR --sink DIR --checkpoint DIR [--once] [--landed]
@@ -33,6 +34,7 @@ from sigfleet.schemas import ENDPOINTS, READINGS_SCHEMA
 from sigfleet.session import build_session
 from sigfleet.sinks import bom, writers
 from sigfleet.sources.payloads import read_landed_files
+from sigfleet.sources.readings_log import compact, runs, scan_log
 from sigfleet.sources.readings_table import scan_readings
 from sigfleet.streaming import monitors
 
@@ -58,13 +60,23 @@ def _pumps(spark, args):
     return p.where(F.col("pump_id").isin(args.pump)) if args.pump else p
 
 
+def _readings(spark, args, **scope):
+    """The readings in scope: of the append log, or of a plain table."""
+    scan = scan_log if runs(spark, args.readings) else scan_readings
+    return scan(spark, args.readings, **scope)
+
+
+def cmd_compact(spark, args):
+    compact(spark, args.readings)
+
+
 def cmd_query(spark, args):
     if args.endpoint not in ENDPOINTS:
         raise SystemExit(f"endpoint not implemented: {args.endpoint}")
     now = _now(args)
     start, end = _range(spark, args.start, args.end, now)
     signals, detailed = ENDPOINTS[args.endpoint]
-    r = scan_readings(spark, args.readings, signals=signals, pump_ids=args.pump, start=start, end=end)
+    r = _readings(spark, args, signals=signals, pump_ids=args.pump, start=start, end=end)
     r = r.where(F.col("detailed") == F.lit(detailed))
     docs = writers.result_documents(r, _pumps(spark, args), args.endpoint, start, end, now)
     writers.write_documents(docs, args.out)
@@ -73,7 +85,7 @@ def cmd_query(spark, args):
 
 
 def cmd_latest(spark, args):
-    r = scan_readings(spark, args.readings, signals=["status", "rawpower"])
+    r = _readings(spark, args, signals=["status", "rawpower"])
     writers.write_csv(writers.latest_export(latest.latest_wide(_pumps(spark, args), r), _now(args)), args.out)
 
 
@@ -82,14 +94,14 @@ def cmd_report(spark, args):
     if args.faults_from:
         rows = reports.outcome_report_rows(pumps, spark.read.parquet(args.faults_from))
     else:
-        rows = reports.report_rows(pumps, scan_readings(spark, args.readings))
+        rows = reports.report_rows(pumps, _readings(spark, args))
     writers.report_documents(reports.fleet_summary(rows), rows, args.out, _now(args))
 
 
 def cmd_history(spark, args):
     now = _now(args)
     start = now - dt.timedelta(hours=lookback_number(args.hours))
-    r = scan_readings(spark, args.readings, pump_ids=args.pump, start=start, end=now)
+    r = _readings(spark, args, pump_ids=args.pump, start=start, end=now)
     doc = bundles.history_document(r, now, args.hours)
     doc.write.mode("overwrite").json(args.out)
 
@@ -155,6 +167,7 @@ def parser() -> argparse.ArgumentParser:
     ip.add_argument("--landed", required=True)
     ip.add_argument("--readings", required=True)
     ip.add_argument("--outcomes", required=True)
+    sub.add_parser("compact").add_argument("--readings", required=True)
     ic = sub.add_parser("ingest-catalog")
     ic.add_argument("--catalog", required=True)
     ic.add_argument("--pumps", required=True)
@@ -182,6 +195,7 @@ COMMANDS = {
     "report": cmd_report,
     "history": cmd_history,
     "ingest-payloads": cmd_ingest_payloads,
+    "compact": cmd_compact,
     "ingest-catalog": cmd_ingest_catalog,
     "repair-bom": cmd_repair_bom,
     "monitor": cmd_monitor,

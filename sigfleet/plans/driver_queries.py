@@ -26,6 +26,7 @@ from sigfleet.sinks.named_files import read_named_files, write_named_files
 from sigfleet.sources import catalog, landing, payloads, result_docs
 from sigfleet.sources import driver_tables as dtab
 from sigfleet.sources.payloads import reading_time
+from sigfleet.sources.readings_log import compact, scan_log
 from sigfleet.streaming import monitors
 
 NOW = dt.datetime(2024, 1, 30, 0, 0, 0)
@@ -459,11 +460,41 @@ def q_ingest_twice(spark, sf):
     path = work_path(spark, "ingest")
     for landed in (first, second, first):
         ingest_payloads(landed, f"{path}/readings", f"{path}/outcomes")
-    return spark.read.parquet(f"{path}/readings").select(
+    return scan_log(spark, f"{path}/readings").select(
         F.col("pump_id").cast("long").alias("pump_id"), "signal", "detailed", "time", "value"
     )
 
 
+def landed_series(r: DataFrame) -> DataFrame:
+    """A landed payload per reading: the reading, one of the same time with
+    another value, and for every fifth one without a time."""
+    at = F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    item = lambda t, v: F.struct(t.alias("time"), v.alias("value"), F.col("validity"))
+    value = F.col("value")
+    untimed = F.when(F.col("pos") % 5 == 0, F.array(item(F.lit(None).cast("string"), value)))
+    items = F.concat(F.array(item(at, value), item(at, value + 1)), F.coalesce(untimed, F.array()))
+    return r.select(
+        F.col("pump_id").cast("string").alias("pump_id"), "signal", "detailed",
+        F.col("time").alias("fetched_at"), F.lit(200).alias("http_status"),
+        F.lit(None).cast("string").alias("error"), F.encode(F.to_json(items), "UTF-8").alias("body"),
+    )
+
+
+def q_ingest_lossless(spark, sf):
+    """Ingest of payloads with equal and missing times in overlapping ranges,
+    one of them twice, compacted in between: the readings."""
+    r = _r(spark, sf)
+    first, second = scans.time_range(r, None, RANGE[1]), scans.time_range(r, RANGE[0], None)
+    path = work_path(spark, "ingest-log")
+    for n, part in enumerate((first, second, first)):
+        ingest_payloads(landed_series(part), f"{path}/readings", f"{path}/outcomes")
+        if n == 1:
+            compact(spark, f"{path}/readings")
+    return scan_log(spark, f"{path}/readings").select(
+        F.col("pump_id").cast("long").alias("pump_id"), "signal", "detailed", "time", "value", "pos"
+    )
+
+
 def q_catalog_scan(spark, sf):
     path = work_path(spark, "landing-catalog")
     landing.land_catalog(_p(spark, sf), path, per_file=1000, bom=True)
@@ -654,6 +685,7 @@ QUERIES = {
     "payload_partial": q_payload_partial,
     "payload_sizes": q_payload_sizes,
     "ingest_twice": q_ingest_twice,
+    "ingest_lossless": q_ingest_lossless,
     "link_lookup": q_link_lookup,
     "result_document": q_result_document,
     "payload_outcomes": q_payload_outcomes,

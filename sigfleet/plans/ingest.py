@@ -1,7 +1,7 @@
 """Ingestion jobs: landed files -> canonical tables.
 
-* payloads -> ``readings`` (partitioned by signal and day, see
-  ``sigfleet.sources.readings_table``) and ``fetch_outcomes`` (partitioned
+* payloads -> ``readings`` (an append log partitioned by signal and day, see
+  ``sigfleet.sources.readings_log``) and ``fetch_outcomes`` (partitioned
   by signal);
 * catalogue files -> ``pumps`` (one row per id, last record wins, records
   without id dropped) and ``pump_links`` (long form of the discovered links).
@@ -20,22 +20,25 @@ from pyspark.sql import functions as F
 from sigfleet.operators.catalog_ops import valid_ids
 from sigfleet.sources.catalog import catalog_links, latest_catalog, read_catalog
 from sigfleet.sources.payloads import fetch_outcomes, readings_from_landed
-from sigfleet.sources.readings_table import merge_readings
+from sigfleet.sources.readings_log import append_readings, payload_id
 
 
 OUTCOME_FILES = 8
 
 
 def ingest_payloads(
-    landed: DataFrame, readings_path: str, outcomes_path: str, files: int | None = None
+    landed: DataFrame, readings_path: str, outcomes_path: str, files: int | None = None, run: int | None = None
 ) -> None:
     """Add landed payloads to the readings and outcomes tables.
 
-    Readings are merged by key, so a repeated or overlapping landing adds
-    nothing twice. Outcomes are a log of fetches: a fetch (pump, signal,
+    Readings are appended as a run of their own and resolved when read, so a
+    repeated or overlapping landing adds nothing twice, nothing of a landing is
+    lost, and no earlier file is touched. A job that may run again passes its
+    ``run`` number. Outcomes are a log of fetches: a fetch (pump, signal,
     detailed, time of fetching) landed again replaces nothing and is dropped.
     """
-    merge_readings(readings_from_landed(landed), readings_path, files=files)
+    told = landed.withColumn("payload", payload_id())
+    append_readings(readings_from_landed(told, "payload"), readings_path, run=run, files=files)
     new = fetch_outcomes(landed).withColumn("day", F.to_date("fetched_at"))
     key = ["pump_id", "signal", "detailed", "fetched_at"]
     new = new.groupBy("day", *key).agg(

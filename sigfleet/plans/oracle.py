@@ -143,6 +143,9 @@ _WITH_R = {
     "payload_partial": "select cast(pump_id as varchar) as pump_id, signal, detailed, cast(sum(case pos % 11 when 8 "
     "then 4 else 1 end) as bigint) as elements, cast(sum(case pos % 11 when 8 then 2 else 0 end) as bigint) as rejected "
     "from r where pos % 11 in (8, 10) and pos % 7 < 3 group by 1, 2, 3",
+    "ingest_lossless": "select pump_id, signal, detailed, time, value, cast(0 as bigint) as pos from r union all "
+    "select pump_id, signal, detailed, time, value + 1, 1 from r union all select pump_id, signal, detailed, null, "
+    "value, 2 from r where pos % 5 = 0",
     "ingest_twice": "select pump_id, signal, detailed, time, value from r",
     "payload_readings": "select cast(pump_id as varchar) as pump_id, signal, detailed, time, value from r",
     "result_docs": "select cast(pump_id as varchar) as pump_id, signal, detailed, time, value from r",

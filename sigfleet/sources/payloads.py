@@ -10,8 +10,9 @@ error, body BINARY)``. Decoding is per row with built-in expressions:
    ``empty``), ``{`` object, anything else (scalar, ``null``) malformed;
    broken JSON or text after the closing bracket -> ``malformed``.
 
-Only ``ok`` rows are parsed into readings, so an object body never becomes
-a row of nulls.
+A body is parsed once, into a variant that outcome, sizes and elements share
+(:func:`decoded`). Only elements of ``ok`` bodies become readings, so an
+object body never becomes a row of nulls.
 """
 
 from __future__ import annotations
@@ -41,41 +42,96 @@ def body_text(body) -> Column:
     return F.when(text.startswith(BOM), F.substring(text, 2, 2147483647)).otherwise(text)
 
 
-def is_one_document(text) -> Column:
-    """Whether the text is exactly one JSON value.
+def _parsed(text, wanted) -> Column:
+    """One parse of a body: the variant ``[body, hash of the body]``.
 
-    Spark's JSON functions stop after the first complete value. So the text
-    is parsed as the only member of an object and as the only element of an
-    array: text after its end breaks at least one of the two, or shows as a
-    second member.
+    Null unless ``wanted`` and valid JSON. :func:`_one` tells whether the body
+    is one value: text beyond its end would be a further element, or would have
+    to close the array early with the hash of itself.
     """
     t = _col(text)
-    member = F.concat(F.lit('{"x":'), t, F.lit("}"))
-    element = F.concat(F.lit("["), t, F.lit("]"))
-    return F.coalesce(
-        F.try_parse_json(member).isNotNull()
-        & (F.size(F.json_object_keys(member)) == 1)
-        & (F.json_array_length(element) == 1),
-        F.lit(False),
-    )
+    wrapped = F.concat(F.lit("["), t, F.lit(","), F.xxhash64(t).cast("string"), F.lit("]"))
+    return F.when(wanted, F.try_parse_json(wrapped))
 
 
-def text_outcome(text) -> Column:
-    """Outcome class of decoded text (no transport information)."""
-    t = _col(text)
-    s = F.btrim(t, F.lit(BLANKS))
-    head = F.left(s, F.lit(1))
-    one = is_one_document(t)
-    return (
-        F.when(t.isNull(), F.lit("error"))
-        .when(s == "", F.lit("empty"))
-        .when(
-            (head == "[") & one,
-            F.when(F.json_array_length(t) == 0, F.lit("empty")).otherwise(F.lit("ok")),
-        )
-        .when((head == "{") & one, F.lit("object"))
+def _one(parts: str, text: str) -> Column:
+    """Whether the parsed array ``parts`` is the one body ``text``."""
+    own = F.try_variant_get(F.get(parts, F.lit(1)), "$", "bigint") == F.xxhash64(text)
+    return F.coalesce((F.size(parts) == 2) & own, F.lit(False))
+
+
+def decoded(landed: DataFrame) -> DataFrame:
+    """``landed`` with ``outcome``, ``text`` and the body ``doc`` as a variant.
+
+    Every body is parsed once; ``doc`` is null unless the outcome is ``ok`` (an
+    array with elements) or ``object``. Transport comes first: nothing of a
+    failed fetch is parsed.
+    """
+    err = F.col("error")
+    failed = err.isNotNull() | F.coalesce(F.col("http_status") >= 400, F.lit(False))
+    head = F.left(F.btrim("_text", F.lit(BLANKS)), F.lit(1))
+    x = landed.select("*", body_text("body").alias("_text")).select("*", head.alias("_head"))
+    wanted = ~failed & F.col("_head").isin("[", "{")
+    x = x.select("*", _parsed("_text", wanted).cast("array<variant>").alias("_parts"))
+    one = _one("_parts", "_text")
+    # Elements of an array body; an object body has none.
+    elements = F.when((F.col("_head") == "[") & one, F.get("_parts", F.lit(0)).cast("array<variant>"))
+    x = x.select("*", elements.alias("_elements"), (one & (F.col("_head") == "{")).alias("_object"))
+    n = F.size("_elements")
+    outcome_ = (
+        F.when(err == NO_PUMP, F.lit(NO_PUMP))
+        .when(err == NO_SIGNAL, F.lit(NO_SIGNAL))
+        .when(failed | F.col("_text").isNull(), F.lit("error"))
+        .when(F.col("_head") == "", F.lit("empty"))
+        .when(F.col("_elements").isNotNull(), F.when(n == 0, F.lit("empty")).otherwise(F.lit("ok")))
+        .when(F.col("_object"), F.lit("object"))
         .otherwise(F.lit("malformed"))
     )
+    doc = F.when(F.col("_object"), F.get("_parts", F.lit(0)))
+    return x.select(
+        *landed.columns, F.col("_text").alias("text"), outcome_.alias("outcome"),
+        F.when(n > 0, F.col("_elements")).alias("elements"), doc.alias("doc"),
+    )
+
+
+# Texts that the service's JSON numbers may be given as.
+NON_FINITE = ("NaN", "Infinity", "+Infinity", "-Infinity", "INF", "+INF", "-INF")
+
+
+# Fields of an element as they come.
+RAW_READING = "struct<time:string,value:variant,validity:variant>"
+
+
+def variant_readings(elements) -> Column:
+    """The reading struct of each element (a variant): null unless it is an
+    object. A field of another type than the service's is null and costs only
+    itself.
+
+    One pass per step, since an expression used twice inside a pass would be
+    evaluated twice.
+    """
+    raw = F.transform(elements, lambda e: e.try_cast(RAW_READING))
+    texts = F.transform(
+        raw,
+        lambda r: F.when(
+            r.isNotNull(),
+            F.struct(
+                r["time"].alias("time"), F.to_json(r["value"]).alias("value"), F.to_json(r["validity"]).alias("validity")
+            ),
+        ),
+    )
+
+    def reading(r: Column) -> Column:
+        value, bare = r["value"], F.btrim(r["value"], F.lit('"'))
+        quoted = value.startswith('"')
+        number = F.when(quoted, F.when(bare.isin(*NON_FINITE), bare)).otherwise(value)
+        whole = F.when(F.regexp_like(r["validity"], F.lit("^-?[0-9]+$")), r["validity"])
+        fields = F.struct(
+            r["time"].alias("time"), number.try_cast("double").alias("value"), whole.try_cast("int").alias("validity")
+        )
+        return F.when(r.isNotNull(), fields)
+
+    return F.transform(texts, reading)
 
 
 def array_elements(text) -> Column:
@@ -91,18 +147,6 @@ def reading_of(element) -> Column:
     return F.when(is_object, F.from_json(e, READING_STRUCT))
 
 
-def outcome(landed: DataFrame) -> Column:
-    """Outcome of a landed fetch: transport first, then the body."""
-    err = F.col("error")
-    status = F.col("http_status")
-    return (
-        F.when(err == NO_PUMP, F.lit(NO_PUMP))
-        .when(err == NO_SIGNAL, F.lit(NO_SIGNAL))
-        .when(err.isNotNull() | (status >= 400), F.lit("error"))
-        .otherwise(text_outcome(body_text("body")))
-    )
-
-
 def fetch_outcomes(landed: DataFrame) -> DataFrame:
     """``(pump_id, signal, detailed, fetched_at, outcome)`` plus the three
     historical availability booleans kept apart:
@@ -112,12 +156,8 @@ def fetch_outcomes(landed: DataFrame) -> DataFrame:
       (the client returned ``[]`` for failures, so this is true for them),
     * ``is_not_empty_object``: not ``{}`` (an empty array still counts).
     """
-    text = body_text("body")
-    out = landed.select(
-        "pump_id", "signal", "detailed", "fetched_at", outcome(landed).alias("outcome"), text.alias("_t")
-    )
-    t = F.btrim(F.col("_t"), F.lit(BLANKS))
-    return out.select(
+    t = F.btrim("text", F.lit(BLANKS))
+    return decoded(landed).select(
         "pump_id",
         "signal",
         "detailed",
@@ -129,13 +169,14 @@ def fetch_outcomes(landed: DataFrame) -> DataFrame:
     )
 
 
-def readings_from_landed(landed: DataFrame) -> DataFrame:
+def readings_from_landed(landed: DataFrame, *more) -> DataFrame:
     """Canonical readings from the ``ok`` payloads; ``pos`` = index in payload.
 
     Elements are decoded one by one: one that is no object gives no reading
-    and costs only itself (:func:`payload_elements` counts them).
+    and costs only itself (:func:`payload_elements` counts them). ``more``
+    columns of the landed rows come along.
     """
-    x = _elements(landed).where(F.col("_r").isNotNull())
+    x = _elements(landed, *more).where(F.col("_r").isNotNull())
     return x.select(
         "pump_id",
         "signal",
@@ -144,31 +185,35 @@ def readings_from_landed(landed: DataFrame) -> DataFrame:
         F.col("_r.value").alias("value"),
         F.col("_r.validity").alias("validity"),
         F.col("pos").cast("long").alias("pos"),
+        *more,
     )
 
 
-def _elements(landed: DataFrame) -> DataFrame:
-    ok = landed.select("*", outcome(landed).alias("_o"), body_text("body").alias("_t"))
-    arrays = ok.where(F.col("_o") == "ok").select(
-        "pump_id", "signal", "detailed", "fetched_at", array_elements("_t").alias("_a")
-    )
-    x = arrays.select(
-        "pump_id", "signal", "detailed", "fetched_at", F.posexplode_outer("_a").alias("pos", "_e")
+def _elements(landed: DataFrame, *more) -> DataFrame:
+    """The elements of the ``ok`` payloads with their readings.
+
+    An outer generator: the filter that an inner one infers on its array would
+    be pushed below the parse and parse once more.
+    """
+    x = decoded(landed).select(
+        "pump_id", "signal", "detailed", "fetched_at", *more, variant_readings("elements").alias("_a")
     )
-    return x.withColumn("_r", reading_of("_e"))
+    x = x.select("pump_id", "signal", "detailed", "fetched_at", *more, F.posexplode_outer("_a").alias("pos", "_r"))
+    return x.where("pos IS NOT NULL")
 
 
 def payload_sizes(landed: DataFrame) -> DataFrame:
     """A1: per pump and series the readings of list results (``points``) and
     the number of keys of object results (``keys``), which are shown but
     never enter a total."""
-    text = body_text("body")
-    x = landed.select("pump_id", "signal", "detailed", outcome(landed).alias("_o"), text.alias("_t"))
-    readings = F.size(F.filter(array_elements("_t"), lambda e: reading_of(e).isNotNull()))
-    n = lambda o, c: F.sum(F.when(F.col("_o") == o, c).otherwise(0)).cast("long")
-    return x.where(F.col("_o").isin("ok", "object")).groupBy("pump_id", "signal", "detailed").agg(
-        n("ok", readings).alias("points"), n("object", F.size(F.json_object_keys("_t"))).alias("keys")
+    objects = F.filter("elements", lambda e: e.try_cast("map<string,variant>").isNotNull())
+    keys = F.size(F.map_keys(F.col("doc").try_cast("map<string,variant>")))
+    n = lambda c: F.sum(F.coalesce(c, F.lit(0))).cast("long")
+    x = decoded(landed).select("pump_id", "signal", "detailed", "outcome", F.size(objects).alias("_n"), keys.alias("_k"))
+    sums = x.groupBy("pump_id", "signal", "detailed").agg(
+        F.count_if(F.col("outcome").isin("ok", "object")).alias("_any"), n(F.col("_n")).alias("points"), n(F.col("_k")).alias("keys")
     )
+    return sums.where("_any > 0").drop("_any")
 
 
 def payload_elements(landed: DataFrame) -> DataFrame:

@@ -16,11 +16,14 @@ into several files instead of landing in one task.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sigfleet.functions.timefmt import ntz
 
+# Different pumps that the Bloom filter of a row group is laid out for (about 120 KB).
+BLOOM_PUMPS = 100_000
+
 COLUMNS = ["pump_id", "signal", "detailed", "time", "value", "validity", "pos"]
 
 
@@ -31,16 +34,20 @@ def write_readings(
     mode: str = "overwrite",
     max_records_per_file: int = 5_000_000,
     dynamic: bool = False,
+    extra: tuple[str, ...] = (),
 ) -> None:
     """Write canonical readings to the partitioned table at ``path``.
 
     ``files`` is the number of range partitions (output tasks); by default
     the session's shuffle partition count. ``dynamic`` replaces only the
-    partitions that have new rows.
+    partitions that have new rows; ``extra`` columns come along.
+
+    Pump ids get Bloom filters: the pumps of a day lie in every file of it, so
+    that ranges alone do not tell where one pump is.
     """
     spark = readings.sparkSession
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df = readings.select(*COLUMNS).withColumn("day", F.to_date("time"))
+    df = readings.select(*COLUMNS, *extra).withColumn("day", F.to_date("time"))
     df = df.repartitionByRange(n, "signal", "day", "pump_id", "time")
     # Sorted by the partition columns first: the partitioned writer would
     # otherwise sort by them itself and lose the order inside a file.
@@ -48,6 +55,8 @@ def write_readings(
     (
         df.write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
+        .option("parquet.bloom.filter.enabled#pump_id", "true")
+        .option("parquet.bloom.filter.expected.ndv#pump_id", str(BLOOM_PUMPS))
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy("signal", "day")
         .parquet(path)
@@ -58,13 +67,14 @@ KEY = ["pump_id", "signal", "detailed", "time"]
 
 
 def merge_readings(readings: DataFrame, path: str, files: int | None = None) -> None:
-    """Add readings to the table, each ``KEY`` once: landing the same or an
-    overlapping range again changes nothing.
+    """Add readings to the table: landing the same or an overlapping range
+    again changes nothing.
 
     Only the ``(signal, day)`` partitions that the new readings touch are
-    read and replaced; of two readings of one key the newer landing stays.
-    A reading without a time has no day to merge into and is matched by its
-    null like any other value.
+    read and replaced. Of a ``KEY`` in both, the readings of the new landing
+    stay, all of them; readings without a time are added unless the table has
+    as many equal ones. For repeated landings at volume see
+    :mod:`sigfleet.sources.readings_log`, which rewrites nothing.
     """
     spark = readings.sparkSession
     new = readings.select(*COLUMNS, F.to_date("time").alias("day"), F.lit(1).alias("_new"))
@@ -79,13 +89,15 @@ def merge_readings(readings: DataFrame, path: str, files: int | None = None) ->
         same = F.expr("o.signal <=> t.signal and o.day <=> t.day")
         kept = old.alias("o").join(touched.alias("t"), same, "left_semi")
         rows = new.unionByName(kept.select(*COLUMNS, "day", F.lit(0).alias("_new")))
+    # A landing replaces a key whole; without a time, every reading is a key of
+    # its own, known by all of its columns and its number among equal ones.
     rest = [c for c in COLUMNS if c not in KEY]
-    once = (
-        rows.groupBy(*KEY)
-        .agg(F.max_by(F.struct(*rest), F.struct("_new", "pos")).alias("_r"))
-        .select(*KEY, "_r.*")
-    )
-    write_readings(once, path, files, mode="overwrite", dynamic=True)
+    timeless = F.col("time").isNull()
+    equal = Window.partitionBy(*COLUMNS, "_new").orderBy("pos")
+    nth = F.when(timeless, F.struct(*rest, F.row_number().over(equal).alias("nth")))
+    newest = F.max("_new").over(Window.partitionBy(*KEY, "_own"))
+    current = rows.withColumn("_own", nth).withColumn("_newest", newest).where("_new = _newest")
+    write_readings(current, path, files, mode="overwrite", dynamic=True)
 
 
 def scan_readings(
