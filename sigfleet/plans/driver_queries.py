@@ -636,6 +636,25 @@ def q_stream_heartbeat(spark, sf):
     return spark.read.parquet(sink).select("pump_id", "status", "power")
 
 
+def q_stream_heartbeat_polls(spark, sf):
+    """Six polls; five days of readings land before each, but none before
+    the fourth, whose days land before the fifth."""
+    src = work_path(spark, "heartbeat-landing")
+    events = dtab.table(spark, sf, "events")
+    day_slice = F.least(F.floor((F.dayofmonth("ts") - 1) / 5), F.lit(5))
+    lands = F.when(day_slice == 3, 4).otherwise(day_slice)
+    events.limit(0).write.parquet(src)
+    stream = dtab.events_to_readings(spark.readStream.schema(events.schema).parquet(src))
+
+    def land(n):
+        if n != 3:
+            events.where(lands == n).write.mode("append").parquet(src)
+
+    sink, ck = work_path(spark, "heartbeat-sink"), work_path(spark, "heartbeat-checkpoint")
+    polls = monitors.run_heartbeat(stream, _p(spark, sf), sink, ck, polls=6, every=0, before=land)
+    return polls.select(F.col("poll").cast("long").alias("poll"), "pump_id", "status", "power")
+
+
 def q_stream_fault_alerts(spark, sf):
     src = dtab.events_to_readings(dtab.events_stream(spark, sf))
     chosen = catalog_ops.name_filter(_p(spark, sf), ["0001", "77"])
@@ -702,5 +721,6 @@ QUERIES = {
     "payload_flags": q_payload_flags,
     "stream_latest": q_stream_latest,
     "stream_heartbeat": q_stream_heartbeat,
+    "stream_heartbeat_polls": q_stream_heartbeat_polls,
     "stream_fault_alerts": q_stream_fault_alerts,
 }

@@ -154,6 +154,11 @@ _WITH_R = {
     "where r.signal = 'fault' and (p.name like '%0001%' or p.name like '%77%')",
     "stream_latest": "select pump_id, signal, detailed, arg_max(value, (time, pos)) as value, max(time) as time "
     "from r group by pump_id, signal, detailed",
+    "stream_heartbeat_polls": "select g.poll, p.pump_id, case when count(v.signal) filter (v.signal = 'status') > 0 then "
+    "'OK' else 'Error' end as status, case when count(v.signal) filter (v.signal = 'rawpower') > 0 then 'OK' else "
+    "'Error' end as power from p cross join (select cast(unnest(range(6)) as bigint) as poll) g left join (select "
+    "pump_id, signal, case s when 3 then 4 else s end as poll from (select pump_id, signal, least((day(time) - 1) // 5, "
+    "5) as s from r where not detailed) w) v on v.pump_id = p.pump_id and v.poll = g.poll group by g.poll, p.pump_id",
     "stream_heartbeat": "select p.pump_id, case when count(r.time) filter (r.signal = 'status') > 0 then 'OK' else "
     "'Error' end as status, case when count(r.time) filter (r.signal = 'rawpower') > 0 then 'OK' else 'Error' end "
     "as power from p left join r on r.pump_id = p.pump_id and not r.detailed group by p.pump_id",

@@ -11,18 +11,22 @@ directory, so the sinks are idempotent (exactly-once with the checkpoint).
   by the fleet, not by the history. A retried batch rebuilds its snapshot
   from the same predecessor.
 * T2 and T3 keep no state; their sinks are logs (one entry per poll and
-  pump, one per alert). T3 leaves out what its sink already holds.
+  pump, one per alert). T3 leaves out what its sink already holds; that sink
+  is laid out by day of the fault, then by batch.
 """
 
 from __future__ import annotations
 
+import time
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sigfleet.functions.labels import default_name
 from sigfleet.functions.ordering import last_of
-from sigfleet.schemas import LANDED_SCHEMA, NO_DATA
+from sigfleet.schemas import LANDED_SCHEMA, NO_DATA, READINGS_SCHEMA
 from sigfleet.session import work_path
 from sigfleet.sources.payloads import readings_from_landed
 
@@ -147,11 +151,7 @@ def landed_readings_stream(spark: SparkSession, path: str) -> DataFrame:
 def heartbeat_flags(batch: DataFrame, batch_id: int, chosen_pumps: DataFrame) -> DataFrame:
     """One poll = one micro-batch: for every chosen pump, did plain status
     and power data arrive. A pump from which nothing came is Error/Error."""
-    sig = F.col("signal")
-    seen = batch.where(~F.col("detailed")).groupBy("pump_id").agg(
-        F.count_if(sig == "status").alias("status_points"),
-        F.count_if(sig == "rawpower").alias("power_points"),
-    )
+    seen = _seen(batch)
     label = lambda c: F.when(F.col(c) > 0, F.lit("OK")).otherwise(F.lit("Error"))
     return (
         chosen_pumps.select("pump_id")
@@ -180,6 +180,75 @@ def start_heartbeat(
     return _start(readings_stream, sink, checkpoint, "append", trigger, fn=flags)
 
 
+def _seen(batch: DataFrame) -> DataFrame:
+    """Plain status and power readings per pump of a batch."""
+    sig = F.col("signal")
+    return batch.where(~F.col("detailed")).groupBy("pump_id").agg(
+        F.count_if(sig == "status").alias("status_points"), F.count_if(sig == "rawpower").alias("power_points")
+    )
+
+
+def run_heartbeat(
+    readings_stream: DataFrame,
+    chosen_pumps: DataFrame,
+    sink: str,
+    checkpoint: str,
+    polls: int = 6,
+    every: float = 10.0,
+    before=None,
+) -> DataFrame:
+    """T2 as a bounded run: ``poll, pump_id, status, power`` of ``polls`` polls.
+
+    A poll takes whatever has landed since the one before, in as many
+    micro-batches as it takes, and then says OK or Error of every chosen pump:
+    also when nothing at all has landed, where a trigger alone would be silent.
+    ``before(n)`` is called ahead of poll ``n`` (from 0); ``every`` seconds lie
+    between two polls. A run that stopped goes on after its last complete poll,
+    with what the stopped poll had seen.
+    """
+    spark = readings_stream.sparkSession
+    done = {n for n in range(polls) if _exists(spark, f"{sink}/poll={n}/_SUCCESS")}
+    for n in range(polls):
+        if n in done:
+            continue
+        if before:
+            before(n)
+        seen = f"{sink}/_seen/poll={n}"
+
+        def write(batch: DataFrame, batch_id: int, seen=seen) -> None:
+            _seen(batch).write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+
+        q = (
+            readings_stream.writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        ids = chosen_pumps.select("pump_id").distinct()
+        if _exists(spark, seen):
+            points = spark.read.parquet(seen).groupBy("pump_id").agg(
+                F.sum("status_points").alias("status_points"), F.sum("power_points").alias("power_points")
+            )
+            rows = ids.join(points, "pump_id", "left")
+        else:
+            rows = ids.select("pump_id", F.lit(0).alias("status_points"), F.lit(0).alias("power_points"))
+        label = lambda c: F.when(F.col(c) > 0, F.lit("OK")).otherwise(F.lit("Error"))
+        rows.select("pump_id", label("status_points").alias("status"), label("power_points").alias("power")).write.mode(
+            "overwrite"
+        ).parquet(f"{sink}/poll={n}")
+        if n + 1 < polls and every:
+            time.sleep(every)
+    return spark.read.option("basePath", sink).parquet(*[f"{sink}/poll={n}" for n in range(polls)])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 # --- T3: fault alerts for selected pumps -----------------------------------
 
 def fault_alerts_stream(readings_stream: DataFrame, chosen_pumps: DataFrame) -> DataFrame:
@@ -191,46 +260,47 @@ def fault_alerts_stream(readings_stream: DataFrame, chosen_pumps: DataFrame) ->
 # A reading is known by (pump, series, time), not by its place in a payload,
 # so a range landed again at another offset alerts once.
 ALERT_KEY = [*SERIES, "time"]
-# More days than this in one batch are looked up as one range.
-MAX_DAY_RANGES = 100
-
-
-def _on_days_of(batch: DataFrame):
-    """Predicate on stored ``time``: the days of the batch, or null."""
-    day = F.to_date("time")
-    days = [r[0] for r in batch.select(day.alias("d")).distinct().orderBy("d").collect()]
-    known = [d for d in days if d is not None]
-    if len(known) > MAX_DAY_RANGES:
-        known = [(known[0], known[-1])]
-    else:
-        known = [(d, d) for d in known]
-    out = F.col("time").isNull()
-    for lo, hi in known:
-        first, last = (F.lit(str(d)).cast("timestamp_ntz") for d in (lo, hi))
-        out |= (F.col("time") >= first) & (F.col("time") < last + F.expr("interval 1 day"))
-    return out
-
-
-def _new_alerts(sink: str):
-    """Alerts of a batch that no earlier batch has written.
-
-    There is no watermark, so a fault alerts however late it lands and
-    whatever the clocks of other pumps say. A batch run again looks only at
-    its predecessors.
+
+
+def _days_of(batch: DataFrame) -> list:
+    """The days of a batch's faults; null for those without a time."""
+    return [r[0] for r in batch.select(F.to_date("time").alias("d")).distinct().collect()]
+
+
+def _day_folders(spark: SparkSession, sink: str, days: list) -> list[str]:
+    """The folders of these days that exist; no other folder is looked at."""
+    jvm = spark._jvm
+    names = [f"{sink}/day={'__HIVE_DEFAULT_PARTITION__' if d is None else d}" for d in days]
+    paths = [jvm.org.apache.hadoop.fs.Path(n) for n in names]
+    conf = spark._jsc.hadoopConfiguration()
+    return [n for n, p in zip(names, paths, strict=True) if p.getFileSystem(conf).exists(p)]
+
+
+def _write_alerts(sink: str):
+    """Add the alerts of a batch that no earlier batch has written.
+
+    The sink is laid out by day of the fault, then by batch: a batch reads the
+    days of its own faults alone, whatever the age of the monitor. There is no
+    watermark, so a fault alerts however late it lands and whatever the clocks
+    of other pumps say. A batch run again looks only at its predecessors and
+    replaces its own folders.
     """
 
-    def new(batch: DataFrame, batch_id: int) -> DataFrame:
+    def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        once = batch.dropDuplicates(ALERT_KEY)
-        paths = [f"{sink}/batch_id={b}" for b in _snapshot_ids(spark, sink) if b < batch_id]
-        if not paths:
-            return once
-        before = spark.read.schema(batch.schema).parquet(*paths).where(_on_days_of(batch))
-        a, b = once.alias("a"), before.select(*ALERT_KEY).alias("b")
-        same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ALERT_KEY]
-        return a.join(b, same, "left_anti")
+        new = batch.dropDuplicates(ALERT_KEY)
+        folders = _day_folders(spark, sink, _days_of(batch))
+        if folders:
+            schema = batch.schema.add("day", "date").add("batch_id", "long")
+            before = spark.read.schema(schema).option("basePath", sink).parquet(*folders)
+            a, b = new.alias("a"), before.where(F.col("batch_id") < batch_id).select(*ALERT_KEY).alias("b")
+            same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ALERT_KEY]
+            new = a.join(b, same, "left_anti")
+        out = new.withColumn("day", F.to_date("time")).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        w.partitionBy("day", "batch_id").parquet(sink)
 
-    return new
+    return write
 
 
 def start_fault_alerts(
@@ -240,12 +310,18 @@ def start_fault_alerts(
     have not alerted yet."""
     trigger = trigger or {"processingTime": "30 seconds"}
     alerts = fault_alerts_stream(readings_stream, chosen_pumps)
-    return _start(alerts, sink, checkpoint, "append", trigger, fn=_new_alerts(sink))
+    w = alerts.writeStream.outputMode("append").foreachBatch(_write_alerts(sink))
+    return w.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def read_alerts(spark: SparkSession, sink: str) -> DataFrame:
-    """Alerts from a T3 sink."""
-    return spark.read.parquet(sink).drop("batch_id")
+    """Alerts from a T3 sink; an empty table while there is none."""
+    try:
+        return spark.read.parquet(sink).drop("day", "batch_id")
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], READINGS_SCHEMA.add("name", "string"))
 
 
 # --- bounded runs ----------------------------------------------------------

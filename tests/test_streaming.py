@@ -106,3 +106,65 @@ def test_heartbeat_per_poll(spark, mk_pumps):
     sink = monitors.run_available(spark, "test-hb", monitors.start_heartbeat, stream(spark, src), chosen)
     got = {(r.pump_id, r.status, r.power) for r in spark.read.parquet(sink).collect()}
     assert got == {("p1", "OK", "Error"), ("p2", "Error", "OK"), ("p9", "Error", "Error")}
+
+
+def test_alert_sink_is_read_by_day_only(spark, mk_pumps, monkeypatch):
+    """What a batch looks at does not grow with the age of the monitor."""
+    src, sink, ck = (work_path(spark, f"test-days-{x}") for x in ("src", "sink", "ck"))
+    chosen = mk_pumps([("p1", "n1")])
+    looked = []
+    plain = monitors._day_folders
+
+    def watched(session, path, days):
+        found = plain(session, path, days)
+        looked.append([f.rsplit("=", 1)[1] for f in found])
+        return found
+
+    monkeypatch.setattr(monitors, "_day_folders", watched)
+    days = [f"2024-01-{d:02d}" for d in (1, 2, 3, 4, 2)]
+    for i, d in enumerate(days):
+        land(spark, [("p1", "fault", False, T(f"{d} 10:00:00"), 1.0, 0, i)], src)
+        monitors.start_fault_alerts(stream(spark, src), chosen, sink, ck, {"availableNow": True}).awaitTermination()
+    assert looked == [[], [], [], [], ["2024-01-02"]]
+    assert monitors.read_alerts(spark, sink).count() == 4
+
+
+def test_alerts_of_a_batch_run_again(spark, mk_pumps):
+    """A batch that stopped halfway neither loses nor doubles an alert."""
+    sink = work_path(spark, "test-again")
+    rows = [("p1", "fault", False, T(f"2024-01-0{d} 10:00:00"), 1.0, 0, d) for d in (1, 2)] + [
+        ("p1", "fault", False, None, 1.0, 0, 9)
+    ]
+    batch = spark.createDataFrame(rows, READINGS_DDL).join(mk_pumps([("p1", "n")]).select("pump_id", "name"), "pump_id")
+    write = monitors._write_alerts(sink)
+    write(batch.where("pos = 1"), 0)  # what the stopped batch had written
+    write(batch, 0)
+    write(batch, 1)
+    assert sorted(r.pos for r in monitors.read_alerts(spark, sink).collect()) == [1, 2, 9]
+    assert monitors.read_alerts(spark, work_path(spark, "never")).collect() == []
+
+
+def test_heartbeat_run_of_polls(spark, mk_pumps):
+    src, sink, ck = (work_path(spark, f"test-polls-{x}") for x in ("src", "sink", "ck"))
+    land(spark, [], src)
+    chosen = mk_pumps([("p1", "n1"), ("p2", "n2")])
+    asked = []
+
+    def before(n):
+        asked.append(n)
+        if n == 3 and asked.count(3) == 1:
+            raise RuntimeError("stopped")
+        if n in (0, 4):
+            land(spark, batch1(), src)
+
+    kw = dict(polls=5, every=0, before=before)
+    try:
+        monitors.run_heartbeat(stream(spark, src), chosen, sink, ck, **kw)
+    except RuntimeError:
+        pass
+    got = monitors.run_heartbeat(stream(spark, src), chosen, sink, ck, **kw)
+    assert asked == [0, 1, 2, 3, 3, 4]
+    ok, silent = {("p1", "OK", "Error"), ("p2", "Error", "OK")}, {("p1", "Error", "Error"), ("p2", "Error", "Error")}
+    rows = got.collect()
+    for n in range(5):
+        assert {(r.pump_id, r.status, r.power) for r in rows if r.poll == n} == (ok if n in (0, 4) else silent)
