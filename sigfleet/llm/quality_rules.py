@@ -296,7 +296,9 @@ def learn_rules(
     stat = F.col("qstat")
     binned = F.array(
         *[
-            F.struct(F.lit(i).alias("f"), _bin(stat[f], cuts[f]).alias("b"))
+            F.struct(
+                F.lit(i).alias("f"), _bin(stat[f], cuts[f]).alias("b"), stat[f].cast("double").alias("v")
+            )
             for i, f in enumerate(FEATURES)
             if cuts[f]
         ]
@@ -315,6 +317,8 @@ def learn_rules(
                 .agg(
                     F.count_if(~F.col("good")).alias("bad"),
                     F.count_if(F.col("good")).alias("good"),
+                    F.min("x.v").alias("low"),
+                    F.max("x.v").alias("high"),
                 )
                 .collect()
             )  # features x bins rows
@@ -332,26 +336,36 @@ def learn_rules(
 
 
 def _best_condition(counts, cuts, min_covered) -> Condition | None:
+    """The condition of most gain; of equal ones that with the widest gap.
+
+    A condition cuts between two neighbouring values of the sample, in the
+    middle of their gap: a threshold on a value itself would turn away what
+    lies just beyond the sample's extremes. The gap counts relative to the
+    feature's spread.
+    """
     from math import log2
 
-    per: dict[int, dict[int, tuple[int, int]]] = {}
+    per: dict[int, dict[int, tuple]] = {}
     for r in counts:
-        per.setdefault(r["f"], {})[r["b"]] = (r["bad"], r["good"])
-    best, gain = None, 1e-9
+        per.setdefault(r["f"], {})[r["b"]] = (r["bad"], r["good"], r["low"], r["high"])
+    best, gain, width = None, 1e-9, 0.0
     for f, hist in sorted(per.items()):
         p0, n0 = (sum(v[k] for v in hist.values()) for k in (0, 1))
         if not p0 or not n0:
             return None  # nothing left to separate
         name, p, n = FEATURES[f], 0, 0
-        for b, cut in enumerate(cuts[name][:-1]):
-            dp, dn = hist.get(b, (0, 0))
-            p, n = p + dp, n + dn
+        bins = sorted(hist)
+        spread = hist[bins[-1]][3] - hist[bins[0]][2]
+        for b, after in zip(bins, bins[1:], strict=False):
+            p, n = p + hist[b][0], n + hist[b][1]
+            below, above_it = hist[b][3], hist[after][2]
+            middle, gap = (below + above_it) / 2, (above_it - below) / spread
             for above, pp, nn in ((False, p, n), (True, p0 - p, n0 - n)):
                 if pp < min_covered:
                     continue
                 g = pp * (log2((pp + 1) / (pp + nn + 2)) - log2((p0 + 1) / (p0 + n0 + 2)))
-                if g > gain:
-                    best, gain = Condition(name, above, cut), g
+                if g > gain + 1e-9 or (g > gain - 1e-9 and gap > width):
+                    best, gain, width = Condition(name, above, middle), max(g, gain), gap
     return best
 
 

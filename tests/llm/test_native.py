@@ -369,3 +369,81 @@ def test_conflicting_and_null_labels_are_not_learned_from(spark):
     df = spark.createDataFrame([(1, "a b", "en", "s", 1), (2, "c d", "en", "s", 1)], data.DOCS)
     lab = data.labels(spark, [(1, 1, 0), (1, 0, 0), (2, None, 0), (None, 1, 0), (2, 1, 1)])
     assert [r.good for r in quality_rules.labelled_sample(df, lab).collect()] == [True]
+
+
+def plain_rules(rows, cuts, max_rules=8, max_conditions=3, min_covered=10, min_precision=0.99):
+    """Sequential covering over plain rows ``(good, prune, {feature: value})``."""
+    from math import log2
+
+    def holds(c, r):
+        name, above, cut = c
+        return (r[2][name] > cut) if above else (r[2][name] <= cut)
+
+    def best(rows):
+        p0, n0 = sum(not r[0] for r in rows), sum(r[0] for r in rows)
+        found, gain, width = None, 1e-9, 0.0
+        if not p0 or not n0:
+            return None
+        for name in quality_rules.FEATURES:
+            values = sorted(r[2][name] for r in rows)
+            for cut in cuts[name]:
+                low = [v for v in values if v <= cut]
+                high = [v for v in values if v > cut]
+                if not low or not high or (low and any(c < cut and c >= low[-1] for c in cuts[name])):
+                    continue
+                middle, gap = (low[-1] + high[0]) / 2, (high[0] - low[-1]) / (values[-1] - values[0])
+                for above in (False, True):
+                    inside = [r for r in rows if holds((name, above, middle), r)]
+                    p, n = sum(not r[0] for r in inside), sum(r[0] for r in inside)
+                    if p < min_covered:
+                        continue
+                    g = p * (log2((p + 1) / (p + n + 2)) - log2((p0 + 1) / (p0 + n0 + 2)))
+                    if g > gain + 1e-9 or (g > gain - 1e-9 and gap > width):
+                        found, gain, width = (name, above, middle), max(g, gain), gap
+        return found
+
+    rules, left = [], list(rows)
+    while len(rules) < max_rules:
+        conditions, inside = [], [r for r in left if not r[1]]
+        while len(conditions) < max_conditions:
+            c = best(inside)
+            if c is None:
+                break
+            conditions.append(c)
+            inside = [r for r in inside if holds(c, r)]
+        if not conditions:
+            break
+
+        def covered(k, rows, conditions=conditions):
+            return [r for r in rows if all(holds(c, r) for c in conditions[:k])]
+
+        def value(k):
+            x = covered(k, [r for r in left if r[1]])
+            return sum(1 if not r[0] else -1 for r in x) / max(1, len(x))
+
+        k = min(range(1, len(conditions) + 1), key=lambda k: (-value(k), k))
+        x = covered(k, left)
+        bad = sum(not r[0] for r in x)
+        if bad < min_covered or bad / len(x) < min_precision:
+            break
+        rules.append(tuple(conditions[:k]))
+        left = [r for r in left if r not in x]
+    return rules
+
+
+def test_learned_rules_equal_a_plain_covering(spark):
+    rng = random.Random(17)
+    rows = []
+    for i in range(400):
+        v = {f: round(rng.uniform(0, 1), 3) for f in quality_rules.FEATURES}
+        a, b = quality_rules.FEATURES[0], quality_rules.FEATURES[2]
+        rows.append((not (v[a] > 0.7 or (v[b] < 0.3 and v[a] > 0.4)), i % 3 == 0, v))
+    kinds = ", ".join(f"{f}: double" for f in quality_rules.FEATURES)
+    sample = spark.createDataFrame(rows, f"good boolean, prune boolean, qstat struct<{kinds}>")
+    cuts = quality_rules._thresholds(sample, 24)
+    got = quality_rules.learn_rules(sample, min_precision=0.8)
+    want = plain_rules(rows, cuts, min_precision=0.8)
+    assert [[(c.feature, c.above, round(c.threshold, 9)) for c in r.conditions] for r in got] == [
+        [(f, a, round(t, 9)) for f, a, t in r] for r in want
+    ]
+    assert len(want) > 1
