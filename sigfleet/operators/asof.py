@@ -11,13 +11,18 @@ The reading in force at ``t`` is then the last of
 both inputs are day-pruned, so a carry-in query reads the compact index
 plus one day of readings instead of the whole history. Exact: equal to
 the full-history answer (tested).
+
+``asof_join`` answers for a whole table of series and times at once: the
+series are cut into buckets of time, a scan over the buckets' last readings
+gives what each bucket starts with, and only buckets that are asked for look
+at their own readings.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigfleet.functions.ordering import last_of
@@ -80,3 +85,108 @@ def range_carry_in_indexed(readings: DataFrame, index: DataFrame, start, end=Non
     inside = time_range(readings, start, end).where(F.col("time") > ntz(start)).drop("day")
     carried = in_force_at(readings, index, start)
     return inside.unionByName(carried.select(*inside.columns))
+
+
+# --- as-of join: the reading in force at each of many times ------------------
+
+BUCKET = 3600  # seconds
+SEGMENT = 512  # buckets that one task scans in order
+
+
+def bucket_of(time: str = "time", seconds: int = BUCKET) -> Column:
+    """Number of the bucket of ``seconds`` that holds a time."""
+    # From the parts of the wall clock: no session time zone takes part.
+    clock = F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+    day = F.datediff(F.to_date(time), F.lit(dt.date(1970, 1, 1))).cast("long")
+    return F.floor((day * 86400 + clock) / seconds).cast("long")
+
+
+def bucket_last(readings: DataFrame, seconds: int = BUCKET, keys=KEYS) -> DataFrame:
+    """``(*keys, bucket, last)``: the last reading of each series and bucket.
+
+    One grouped pass, combined on the map side. It may be stored and passed to
+    :func:`asof_join` again, as ``daily_last`` is for single times.
+    """
+    rest = [c for c in readings.columns if c not in keys]
+    x = readings.where("time IS NOT NULL").withColumn("bucket", bucket_of("time", seconds))
+    return x.groupBy(*keys, "bucket").agg(last_of(rest).alias("last"))
+
+
+def _starts(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Per series and bucket, the last reading of the buckets before it.
+
+    A scan in two levels: inside segments of ``SEGMENT`` buckets, then over one
+    row per segment, so a task holds ``SEGMENT`` buckets of a series, and a
+    segment's carry is one of few rows however long or dense the series is.
+    """
+    x = cells.withColumn("segment", F.floor(F.col("bucket") / SEGMENT))
+    inside = Window.partitionBy(*keys, "segment").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy(*keys).orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    bucket = F.when(F.col("last").isNotNull(), F.col("bucket"))
+    segments = x.groupBy(*keys, "segment").agg(F.max_by("last", bucket).alias("_l"))
+    segments = segments.select(*keys, "segment", F.last("_l", ignorenulls=True).over(above).alias("_before"))
+    here = x.withColumn("_inside", F.last("last", ignorenulls=True).over(inside))
+    return here.join(segments, [*keys, "segment"]).select(
+        *keys, "bucket", "asked", F.coalesce("_inside", "_before").alias("carried")
+    )
+
+
+def asof_join(
+    points: DataFrame,
+    readings: DataFrame,
+    seconds: int = BUCKET,
+    buckets: DataFrame | None = None,
+    keys=KEYS,
+    name: str = "reading",
+) -> DataFrame:
+    """``points`` (``*keys``, ``time`` and any other columns) with the struct
+    ``name``: the last reading of the same series at or before the point's
+    time, null if there is none.
+
+    Each row of ``points`` comes back once, repeated ones as often. Among
+    readings of one time the last position counts. A point with a null key or
+    time has no reading; readings without a time are in force never. An empty
+    side gives null readings or no rows. ``points`` must not bring a column
+    called ``name``; other columns may have any names.
+
+    A series never stands in one task: its rows are dealt by bucket of time,
+    both for its readings and for the times asked, and times asked more than
+    once are asked once. Readings of buckets that nobody asks for are only
+    combined into ``buckets`` (:func:`bucket_last` of the same width).
+    """
+    keys = list(keys)
+    rest = [c for c in readings.columns if c not in keys]
+    cells = bucket_last(readings, seconds, keys) if buckets is None else buckets
+    known = F.lit(True)
+    for c in [*keys, "time"]:
+        known = known & F.col(c).isNotNull()
+    times = points.where(known).select(*keys, "time").distinct()
+    times = times.withColumn("bucket", bucket_of("time", seconds))
+    # The time to ask for counts as a row of its bucket, so every asked bucket has a start.
+    wanted = times.select(*keys, "bucket").distinct()
+    both = cells.select(*keys, "bucket", "last", F.lit(0).alias("asked")).unionByName(
+        wanted.withColumn("asked", F.lit(1)), allowMissingColumns=True
+    )
+    merged = both.groupBy(*keys, "bucket").agg(
+        F.max_by("last", F.struct("last.time", "last.pos")).alias("last"), F.max("asked").alias("asked")
+    )
+    starts = _starts(merged, keys).where("asked = 1 AND carried IS NOT NULL")
+
+    value = F.struct(*[F.col(c) for c in rest])
+    own = readings.where("time IS NOT NULL").withColumn("bucket", bucket_of("time", seconds))
+    own = own.join(wanted, [*keys, "bucket"], "left_semi")
+    none = F.lit(None).cast("long")
+    rows = (
+        starts.select(*keys, "bucket", F.lit(0).alias("_kind"), F.col("carried.time").alias("_at"), none.alias("_pos"), F.col("carried").alias("_r"))
+        .unionByName(own.select(*keys, "bucket", F.lit(1).alias("_kind"), F.col("time").alias("_at"), F.col("pos").alias("_pos"), value.alias("_r")))
+        .unionByName(
+            times.select(*keys, "bucket", F.lit(2).alias("_kind"), F.col("time").alias("_at"), none.alias("_pos")),
+            allowMissingColumns=True,
+        )
+    )
+    # At one time: what was carried, the readings by position, the question.
+    so_far = Window.partitionBy(*keys, "bucket").orderBy("_at", "_kind", "_pos").rowsBetween(Window.unboundedPreceding, 0)
+    answered = rows.withColumn("_r", F.last("_r", ignorenulls=True).over(so_far)).where("_kind = 2")
+    return points.join(
+        answered.select(*keys, F.col("_at").alias("time"), F.col("_r").alias(name)), [*keys, "time"], "left"
+    ).select(*points.columns, name)

@@ -18,7 +18,7 @@ from sigfleet.functions.links import absolute_link, link_href, publication_link,
 from sigfleet.functions.timefmt import format_time as format_time_col
 from sigfleet.functions.timefmt import lookback_hours, lookback_start, range_end, range_start
 from sigfleet.operators import asof, bundles, catalog_ops, latest, reports, samples, scans
-from sigfleet.schemas import HISTORY_SIGNALS, PLACEHOLDER_BASE_URL, READING_ARRAY_DDL
+from sigfleet.schemas import HISTORY_SIGNALS, NO_DATA, PLACEHOLDER_BASE_URL, READING_ARRAY_DDL
 from sigfleet.session import work_path
 from sigfleet.plans.ingest import ingest_payloads
 from sigfleet.sinks import bom, writers
@@ -40,6 +40,9 @@ BASIC = ("status", "rawpower", "speed", "aaecontrol")
 # Fault predicate and "off" rule for the driver data (continuous values).
 FAULT_OVER = 200.0
 OFF_UNDER = 20.0
+LABEL_TRIGGER = {"processingTime": "4 seconds"}
+# Records of a landed catalogue file.
+FILE_RECORDS = 20
 
 
 def _r(spark, sf, **kw) -> DataFrame:
@@ -237,6 +240,39 @@ def q_catalog_fallback(spark, sf):
     return catalog_ops.with_fallback(primary, snapshot, outcomes, "unit").select("origin", "name")
 
 
+def q_catalog_fallback_files(spark, sf):
+    """S2 by file: of the primary files every third is missing and every third
+    is cut short; the snapshot of all of them stands in."""
+    primary, snapshot = work_path(spark, "catalog-primary"), work_path(spark, "catalog-snapshot")
+    files = landing.catalog_files(_p(spark, sf), "list", per_file=FILE_RECORDS, bom=True)
+    write_named_files(files, snapshot, unique=True)
+    number = F.regexp_extract("file", "([0-9]+)[.]json$", 1).cast("long")
+    cut = F.expr("substring(content, 1, length(content) - 1)")
+    part = files.where(number % 3 != 1).withColumn("content", F.when(number % 3 == 2, cut).otherwise(F.col("content")))
+    write_named_files(part, primary, unique=True)
+    return catalog.catalog_with_file_fallback(spark, primary, snapshot).select("file", "pump_id", "name", "origin")
+
+
+def q_state_at_fault(spark, sf):
+    """As-of join: each fault reading with the plain status in force then."""
+    faults = _r(spark, sf, signals=["fault"]).select("pump_id", "time", F.col("pos").alias("fault_pos"))
+    points = faults.select("*", F.lit("status").alias("signal"), F.lit(False).alias("detailed"))
+    status = _r(spark, sf, signals=["status"], detailed=False).select(*SERIES, "time", "value", "pos")
+    x = asof.asof_join(points, status)
+    return x.select(
+        "pump_id", "time", "fault_pos", F.col("reading.value").alias("status"), F.col("reading.time").alias("since")
+    )
+
+
+def q_in_force_per_pump(spark, sf):
+    """P5/W3 with a start of its own per pump: every series' value in force."""
+    start = F.lit(RANGE[0]) + F.make_dt_interval(F.lit(0), (F.col("pump_id") % 480).cast("int"))
+    each = F.explode(F.array(*[F.lit(s) for s in BASIC]))
+    points = _p(spark, sf).select("pump_id", start.alias("time"), each.alias("signal"), F.lit(True).alias("detailed"))
+    x = asof.asof_join(points, _r(spark, sf, detailed=True).select(*SERIES, "time", "value", "pos"))
+    return x.select("pump_id", "signal", "time", F.col("reading.value").alias("value"), F.col("reading.time").alias("since"))
+
+
 def q_format_time(spark, sf):
     r = _r(spark, sf)
     return r.select("pos", format_time_col(F.col("time").cast("string")).alias("api_time"))
@@ -630,6 +666,39 @@ def q_stream_latest(spark, sf):
     return monitors.read_latest(spark, sink)
 
 
+def q_stream_labels(spark, sf):
+    """T1 with labels: readings to the 20th land, all series fall silent, the
+    rest lands: those that speak again have a value, the others no data."""
+    src, sink, ck = (work_path(spark, f"labels-{x}") for x in ("landing", "sink", "checkpoint"))
+    events = dtab.table(spark, sf, "events")
+    events.limit(0).write.parquet(src)
+    stream = dtab.events_to_readings(spark.readStream.schema(events.schema).parquet(src))
+    first = F.dayofmonth("ts") <= RANGE[1].day
+    for part, silent_after in ((first, 0.05), (~first, 86400.0)):
+        events.where(part).write.mode("append").parquet(src)
+        monitors.stop_when_idle(monitors.start_label_monitor(stream, sink, ck, LABEL_TRIGGER, silent_after))
+    silent = F.col("label") == NO_DATA
+    return monitors.read_labels(spark, sink).select(*SERIES, "value", "time", silent.alias("silent"))
+
+
+def q_stream_latest_files(spark, sf):
+    """T1 on payload files: each pump's status readings land as a file, half
+    of the pumps before the second run."""
+    root = work_path(spark, "latest-files")
+    src, sink, ck = f"{root}/landing", f"{root}/sink", f"{root}/checkpoint"
+    files = landing.payload_files(_r(spark, sf, signals=["status"], detailed=False))
+    odd = F.regexp_extract("file", "pump_id=([0-9]+)", 1).cast("long") % 2 == 1
+    for part in (odd, ~odd):
+        write_named_files(files.where(part), src, unique=True)
+        stream = monitors.landed_files_stream(spark, src)
+        q = monitors.start_latest_monitor(stream, sink, ck, {"availableNow": True})
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    now = monitors.read_latest(spark, sink)
+    return now.select(F.col("pump_id").cast("long").alias("pump_id"), "signal", "detailed", "value", "time")
+
+
 def q_stream_heartbeat(spark, sf):
     src = dtab.events_to_readings(dtab.events_stream(spark, sf))
     sink = monitors.run_available(spark, "heartbeat", monitors.start_heartbeat, src, _p(spark, sf))
@@ -691,6 +760,9 @@ QUERIES = {
     "series_sample": q_series_sample,
     "history_export": q_history_export,
     "catalog_fallback": q_catalog_fallback,
+    "catalog_fallback_files": q_catalog_fallback_files,
+    "state_at_fault": q_state_at_fault,
+    "in_force_per_pump": q_in_force_per_pump,
     "format_time": q_format_time,
     "format_time_text": q_format_time_text,
     "lookback_range": q_lookback_range,
@@ -720,6 +792,8 @@ QUERIES = {
     "schedule_scan": q_schedule_scan,
     "payload_flags": q_payload_flags,
     "stream_latest": q_stream_latest,
+    "stream_labels": q_stream_labels,
+    "stream_latest_files": q_stream_latest_files,
     "stream_heartbeat": q_stream_heartbeat,
     "stream_heartbeat_polls": q_stream_heartbeat_polls,
     "stream_fault_alerts": q_stream_fault_alerts,

@@ -154,6 +154,20 @@ _WITH_R = {
     "where r.signal = 'fault' and (p.name like '%0001%' or p.name like '%77%')",
     "stream_latest": "select pump_id, signal, detailed, arg_max(value, (time, pos)) as value, max(time) as time "
     "from r group by pump_id, signal, detailed",
+    "state_at_fault": "select f.pump_id, f.time, f.pos as fault_pos, s.value as status, s.time as since from (select * "
+    "from r where signal = 'fault') f asof left join (select pump_id, time, arg_max(value, pos) as value from r where "
+    "signal = 'status' and not detailed group by pump_id, time) s on f.pump_id = s.pump_id and f.time >= s.time",
+    "in_force_per_pump": "select q.pump_id, q.signal, q.time, s.value, s.time as since from (select p.pump_id, g.signal, "
+    "timestamp '2024-01-10 00:00:00' + to_hours(cast(p.pump_id % 480 as integer)) as time from p cross join (values "
+    "('status'), ('rawpower'), ('speed'), ('aaecontrol')) g(signal)) q asof left join (select pump_id, signal, time, "
+    "arg_max(value, pos) as value from r where detailed group by pump_id, signal, time) s on q.pump_id = s.pump_id "
+    "and q.signal = s.signal and q.time >= s.time",
+    "stream_labels": "select pump_id, signal, detailed, arg_max(value, (time, pos)) as value, max(time) as time, "
+    "max(time) < timestamp '2024-01-21 00:00:00' as silent from r group by pump_id, signal, detailed",
+    "stream_latest_files": "select pump_id, signal, detailed, arg_max(value, (time, pos)) as value, max(time) as time "
+    "from r where signal = 'status' and not detailed group by pump_id, signal, detailed",
+    "catalog_fallback_files": "select concat('list/', k, '.json') as file, cast(pump_id as varchar) as pump_id, name, "
+    "case when k % 3 = 0 then 'primary' else 'snapshot' end as origin from (select p.*, pump_id // 20 as k from p) x",
     "stream_heartbeat_polls": "select g.poll, p.pump_id, case when count(v.signal) filter (v.signal = 'status') > 0 then "
     "'OK' else 'Error' end as status, case when count(v.signal) filter (v.signal = 'rawpower') > 0 then 'OK' else "
     "'Error' end as power from p cross join (select cast(unnest(range(6)) as bigint) as poll) g left join (select "

@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException, PySparkException
 
 from sigfleet.functions.links import discovered_links
+from sigfleet.operators.catalog_ops import with_fallback
 from sigfleet.operators.reports import dedupe_last
 from sigfleet.schemas import BOM, DEFAULT_PUMP_TYPE
+from sigfleet.sinks.named_files import path_below
+from sigfleet.sources.payloads import is_json
 
 CATALOG_COLUMNS = ["pump_id", "name", "pump_type", "links", "source_file", "source_pos"]
 _EMPTY_DDL = "pump_id string, name string, pump_type string, links map<string,string>, source_file string, source_pos long"
@@ -32,15 +35,16 @@ def _documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def catalog_records(docs: DataFrame) -> DataFrame:
-    """Records of catalogue documents ``(doc, source_file)``."""
+def catalog_records(docs: DataFrame, *more: str) -> DataFrame:
+    """Records of catalogue documents ``(doc, source_file)``; ``more`` columns
+    of the documents come along."""
     doc = F.col("doc")
     head = F.substring(F.regexp_replace(doc, r"^\s+", ""), 1, 1)
     arr = F.when(head == "[", doc).when(head == "{", F.get_json_object(doc, "$.results"))
     # Record by record: one that is no object is left out alone.
-    recs = docs.select("source_file", F.from_json(arr, "array<string>").alias("_a"))
+    recs = docs.select("source_file", *more, F.from_json(arr, "array<string>").alias("_a"))
     x = (
-        recs.select("source_file", F.posexplode("_a").alias("source_pos", "_e"))
+        recs.select("source_file", *more, F.posexplode("_a").alias("source_pos", "_e"))
         .where(F.ltrim("_e").startswith("{"))
         .withColumn("_m", F.from_json("_e", "map<string,string>"))
         .where(F.col("_m").isNotNull())
@@ -53,6 +57,7 @@ def catalog_records(docs: DataFrame) -> DataFrame:
         F.map_filter(m, lambda k, v: ~k.isin("id", "name", "type")).alias("links"),
         "source_file",
         F.col("source_pos").cast("long").alias("source_pos"),
+        *more,
     )
 
 
@@ -100,3 +105,71 @@ def catalog_with_fallback(spark: SparkSession, primary_path: str, snapshot_path:
         return catalog_records(docs).withColumn("origin", F.lit("primary"))
     except (PySparkException, Py4JJavaError):  # missing, unreadable or broken storage
         return read_catalog(spark, snapshot_path).withColumn("origin", F.lit("snapshot"))
+
+
+# --- S2 by file ---------------------------------------------------------------
+
+_LOADED_DDL = "file string, source_file string, doc string"
+
+
+def _file_names(spark: SparkSession, root: str) -> DataFrame:
+    """The files with content below ``root`` by their path (no file is opened)."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file string")
+    return files.select(path_below(spark, root).alias("file"))
+
+
+def loaded_documents(spark: SparkSession, root: str) -> DataFrame:
+    """``file, source_file, doc`` of the files below ``root`` that can be read.
+
+    A file whose reading fails (broken compression or checksum, gone since the
+    listing) costs only itself: it has no row. A missing folder has no rows.
+    """
+    guarded = {"recursiveFileLookup": True, "ignoreCorruptFiles": True, "ignoreMissingFiles": True}
+    try:
+        raw = spark.read.options(**guarded).text(root, wholetext=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _LOADED_DDL)
+    source = F.col("_metadata.file_path")
+    raw = raw.select(source.alias("source_file"), F.regexp_replace("value", "^" + BOM, "").alias("doc"))
+    return raw.select(path_below(spark, root, "source_file").alias("file"), "source_file", "doc")
+
+
+def load_outcomes(documents: DataFrame, *names: DataFrame) -> DataFrame:
+    """``file, outcome`` of every file in ``names``, one row per file.
+
+    ``ok`` holds pump records, ``empty`` is JSON of another shape or without
+    any, ``error`` could not be read or is not JSON (a download cut short).
+    """
+    expected = names[0].select("file")
+    for other in names[1:]:
+        expected = expected.unionByName(other.select("file"))
+    listed = F.when(F.ltrim("doc").startswith("["), F.col("doc")).otherwise(F.get_json_object("doc", "$.results"))
+    records = F.coalesce(F.json_array_length(listed), F.lit(0))
+    seen = documents.select(
+        "file", F.when(~is_json("doc"), "error").when(records > 0, "ok").otherwise("empty").alias("outcome")
+    )
+    return expected.distinct().join(seen, "file", "left").select("file", F.coalesce("outcome", F.lit("error")).alias("outcome"))
+
+
+def catalog_with_file_fallback(spark: SparkSession, primary_path: str, snapshot_path: str) -> DataFrame:
+    """S2 by file: the records of each primary file, or those of the snapshot
+    file of the same path where the primary one is missing, cannot be read or
+    is not JSON. ``origin`` tells which one answered, ``file`` the path.
+
+    An empty list or another shape answers (with no records), as in the form
+    for whole loads. Files of zero bytes count as not read. A snapshot file
+    that fails as well gives no records.
+    """
+    documents = loaded_documents(spark, primary_path)
+    backup = loaded_documents(spark, snapshot_path)
+    outcomes = load_outcomes(documents, _file_names(spark, primary_path), _file_names(spark, snapshot_path))
+    tagged = lambda df, origin: df.withColumn("origin", F.lit(origin))
+    docs = with_fallback(tagged(documents, "primary"), tagged(backup, "snapshot"), outcomes, "file")
+    return catalog_records(docs, "file", "origin")

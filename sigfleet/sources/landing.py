@@ -129,3 +129,17 @@ def landed_bodies(readings: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("error"),
         F.encode(F.to_json(_sorted_items()), "UTF-8").alias("body"),
     )
+
+
+def payload_files(readings: DataFrame, days: int = 31) -> DataFrame:
+    """``file, content``: the readings of a pump, series and ``days`` days as
+    one payload, at ``pump_id=…/signal=…/detailed=…/<first day>.json``."""
+    first = F.date_add(F.lit("1970-01-01").cast("date"), (F.floor(F.unix_date(F.to_date("time")) / days) * days).cast("int"))
+    g = _items(readings).groupBy("pump_id", "signal", "detailed", first.alias("_first"))
+    part = lambda c: F.concat(F.lit(f"{c}="), F.col(c).cast("string"))
+    name = F.concat(F.coalesce(F.col("_first").cast("string"), F.lit("no-time")), F.lit(".json"))
+    docs = g.agg(F.collect_list("_item").alias("_items"))
+    return docs.select(
+        F.concat_ws("/", part("pump_id"), part("signal"), part("detailed"), name).alias("file"),
+        F.encode(F.to_json(_sorted_items()), "UTF-8").alias("content"),
+    )

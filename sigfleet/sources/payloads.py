@@ -60,6 +60,12 @@ def _one(parts: str, text: str) -> Column:
     return F.coalesce((F.size(parts) == 2) & own, F.lit(False))
 
 
+def is_json(text) -> Column:
+    """Whether a text is one JSON value and nothing else; false for null."""
+    t = _col(text)
+    return _one(_parsed(t, F.lit(True)).cast("array<variant>"), t)
+
+
 def decoded(landed: DataFrame) -> DataFrame:
     """``landed`` with ``outcome``, ``text`` and the body ``doc`` as a variant.
 
@@ -282,6 +288,11 @@ def read_landed_files(spark, path: str, pump_id: str | None = None, signal: str
             *[F.regexp_extract("path", f"/{c}=([^/]+)/", 1).cast(files.schema[c].dataType).alias(c) for c in extra],
         )
         files = files.unionByName(z)
+    return landed_rows(files, pump_id, signal)
+
+
+def landed_rows(files: DataFrame, pump_id: str | None = None, signal: str | None = None) -> DataFrame:
+    """Landed rows of ``binaryFile`` rows (a table or a stream of them)."""
     here = lambda name: F.col(name) if name in files.columns else F.lit(None)
     return files.select(
         _text_of(files, pump_id).alias("pump_id"),

@@ -10,6 +10,9 @@ directory, so the sinks are idempotent (exactly-once with the checkpoint).
   readers read only the newest snapshot, and the per-batch cost is bounded
   by the fleet, not by the history. A retried batch rebuilds its snapshot
   from the same predecessor.
+* T1 with labels (:func:`start_label_monitor`) keeps a timer per series: a
+  series from which nothing comes for a while gets the "no data" label, and
+  its value again with its next reading.
 * T2 and T3 keep no state; their sinks are logs (one entry per poll and
   pump, one per alert). T3 leaves out what its sink already holds; that sink
   is laid out by day of the fault, then by batch.
@@ -28,7 +31,8 @@ from sigfleet.functions.labels import default_name
 from sigfleet.functions.ordering import last_of
 from sigfleet.schemas import LANDED_SCHEMA, NO_DATA, READINGS_SCHEMA
 from sigfleet.session import work_path
-from sigfleet.sources.payloads import readings_from_landed
+from sigfleet.sources.payloads import landed_rows, readings_from_landed
+from sigfleet.streaming.silence import FORGET_AFTER, labels_stream
 
 
 def _batch_writer(sink: str, fn=None):
@@ -146,6 +150,118 @@ def landed_readings_stream(spark: SparkSession, path: str) -> DataFrame:
     return readings_from_landed(spark.readStream.schema(LANDED_SCHEMA).parquet(path))
 
 
+BINARY_FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
+def landed_files_stream(
+    spark: SparkSession, path: str, pump_id: str = "pump_id", signal: str = "signal", files_per_trigger: int = 10_000
+) -> DataFrame:
+    """Readings from a stream of payload files (one body per file, folders
+    ``pump_id=…/signal=…/detailed=…``), the stream of ``read_landed_files``.
+
+    Files must appear whole (written elsewhere and renamed). One of zero bytes
+    gives no reading; it is an outcome of the batch reader alone.
+    """
+    schema = f"{BINARY_FILES}, {pump_id} string, {signal} string, detailed string"
+    files = spark.readStream.format("binaryFile").schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    return readings_from_landed(landed_rows(files.load(path), pump_id, signal))
+
+
+# --- T1 with labels: series that fall silent --------------------------------
+
+# The state store that keeps timers and lets old state expire.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _merge_labels(sink: str):
+    known: list[int] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if not known or known[-1] >= batch_id:
+            known[:] = [b for b in _snapshot_ids(spark, sink) if b < batch_id]
+        cur = batch.withColumn("seq", F.lit(batch_id).cast("long"))
+        if known:
+            cur = cur.unionByName(spark.read.parquet(f"{sink}/batch_id={known[-1]}"))
+        rest = [c for c in cur.columns if c not in SERIES]
+        merged = cur.groupBy(*SERIES).agg(F.max_by(F.struct(*rest), "seq").alias("_l"))
+        merged.select(*SERIES, "_l.*").write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        known.append(batch_id)
+        while len(known) > KEEP_SNAPSHOTS + 1:
+            _drop_snapshot(spark, f"{sink}/batch_id={known.pop(0)}")
+
+    return write
+
+
+def start_label_monitor(
+    readings_stream: DataFrame,
+    sink: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    silent_after: float = 90.0,
+    forget_after: float = FORGET_AFTER,
+) -> StreamingQuery:
+    """T1 with labels: per series its latest value, or the "no data" label
+    once nothing has come from it for ``silent_after`` seconds.
+
+    A reading that is older than the latest one shows that the series is alive
+    but does not change its value. A series silent for ``forget_after``
+    seconds leaves the state (its label stays in the sink); should it come
+    back, it starts anew.
+    """
+    trigger = trigger or {"processingTime": "30 seconds"}
+    spark = readings_stream.sparkSession
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKS_DB)  # a query keeps the settings of its start
+    try:
+        return (
+            labels_stream(readings_stream, silent_after, forget_after)
+            .writeStream.outputMode("update")
+            .foreachBatch(_merge_labels(sink))
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger)
+            .start()
+        )
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
+def stop_when_idle(q: StreamingQuery, seconds: float = 600.0) -> None:
+    """Stop a query once it has read all that has landed. A query with timers
+    never ends by itself, not even when started for what is available now.
+
+    The first batch of a start may be an earlier one run again, so only a later
+    one without input tells. Stopping falls between two triggers when these lie
+    further apart than a batch takes.
+    """
+    end = time.monotonic() + seconds
+    while q.isActive and time.monotonic() < end:
+        seen = q.recentProgress
+        if len(seen) > 1 and seen[-1]["numInputRows"] == 0:
+            q.stop()
+            return
+        time.sleep(0.1)
+    if q.exception() is not None:
+        raise q.exception()
+    if q.isActive:
+        q.stop()
+        raise TimeoutError(f"the stream was still reading after {seconds} seconds")
+
+
+def read_labels(spark: SparkSession, sink: str) -> DataFrame:
+    """``pump_id, signal, detailed, label, value, time`` of the newest snapshot
+    of :func:`start_label_monitor`; an empty table while there is none."""
+    ids = _snapshot_ids(spark, sink)
+    if not ids:
+        ddl = "pump_id string, signal string, detailed boolean, label string, value double, time timestamp_ntz"
+        return spark.createDataFrame([], ddl)
+    return spark.read.parquet(f"{sink}/batch_id={ids[-1]}").drop("seq")
+
+
 # --- T2: heartbeat of status and power -------------------------------------
 
 def heartbeat_flags(batch: DataFrame, batch_id: int, chosen_pumps: DataFrame) -> DataFrame:

@@ -5,7 +5,15 @@ from pyspark.sql import functions as F
 
 from sigfleet.operators.catalog_ops import id_names, links_count, name_filter, valid_ids
 from sigfleet.schemas import DETAILED_SUFFIX, SIGNAL_CODES
-from sigfleet.sources.catalog import catalog_links, catalog_with_fallback, latest_catalog, read_catalog
+from sigfleet.sources.catalog import (
+    catalog_links,
+    catalog_with_fallback,
+    catalog_with_file_fallback,
+    latest_catalog,
+    load_outcomes,
+    loaded_documents,
+    read_catalog,
+)
 
 HOST = "https://example.invalid"
 BOM = "\ufeff"
@@ -152,3 +160,42 @@ def test_id_names_csv_keeps_catalogue_pairs_and_order(spark, tmp):
         with open(part, newline="", encoding="utf-8") as f:
             rows += [(r["id"], r["name"]) for r in csv.DictReader(f)]
     assert rows == [(r["id"], r["name"]) for r in recs]
+
+
+def test_fallback_file_by_file(spark, tmp):
+    import gzip
+
+    for i in range(8):
+        write(f"{tmp}/snap/region/{i}.json", [record(10 + i, f"old{i}")])
+    prim = f"{tmp}/prim/region"
+    write(f"{prim}/0.json", [record(0, "new0")])
+    write(f"{prim}/1.json", [])  # an answer without records
+    write(f"{prim}/2.json", {"unexpected": 1})  # another shape: an answer too
+    whole = json.dumps([record(3, "new3")])
+    for name, text in (("3", whole[:-1]), ("4", whole + "]"), ("5", "")):
+        with open(f"{prim}/{name}.json", "w", encoding="utf-8") as f:
+            f.write(text)
+    # 6 is missing; 8 is a compressed file that breaks off.
+    write(f"{prim}/7.json", [record(7, "new7")])
+    with open(f"{prim}/8.json.gz", "wb") as f:
+        f.write(gzip.compress(json.dumps([record(8, "new8")]).encode() * 50)[:-20])
+    write(f"{tmp}/snap/region/9.json", [record(19, "old9")])
+    with open(f"{tmp}/snap/region/8.json.gz", "wb") as f:
+        f.write(gzip.compress(json.dumps([record(18, "old8")]).encode()))
+
+    got = catalog_with_file_fallback(spark, f"{tmp}/prim", f"{tmp}/snap")
+    rows = {(r.file, r.name, r.origin) for r in got.collect()}
+    stand_in = {(f"region/{i}.json", f"old{i}", "snapshot") for i in (3, 4, 5, 6, 9)}
+    assert rows == stand_in | {
+        ("region/0.json", "new0", "primary"),
+        ("region/7.json", "new7", "primary"),
+        ("region/8.json.gz", "old8", "snapshot"),
+    }
+    docs = loaded_documents(spark, f"{tmp}/prim")
+    names = docs.select("file").union(spark.createDataFrame([("region/6.json",), ("region/8.json.gz",)], "file string"))
+    outcomes = {r.file[7]: r.outcome for r in load_outcomes(docs, names).collect()}
+    assert outcomes == {"0": "ok", "1": "empty", "2": "empty", "3": "error", "4": "error", "6": "error", "7": "ok", "8": "error"}
+    # A primary folder that is not there at all: every file falls back.
+    gone = catalog_with_file_fallback(spark, f"{tmp}/nowhere", f"{tmp}/snap")
+    assert gone.count() == 10 and {r.origin for r in gone.select("origin").distinct().collect()} == {"snapshot"}
+    assert catalog_with_file_fallback(spark, f"{tmp}/nowhere", f"{tmp}/nowhere").count() == 0

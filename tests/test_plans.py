@@ -12,6 +12,7 @@ SIDE_EFFECTS = {
     "catalog_scan", "result_docs", "bom_repair", "stream_latest", "stream_heartbeat", "stream_fault_alerts",
     "range_carry_in_indexed", "latest_indexed", "ingest_twice", "ingest_lossless", "stream_heartbeat_polls", "result_document", "latest_csv", "id_names_csv",
     "report_json", "bom_repair_bytes", "result_files", "wide_files", "history_files", "output_files",
+    "stream_labels", "stream_latest_files", "catalog_fallback_files",
 }
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 BAD_JOINS = ("CartesianProduct", "BroadcastNestedLoopJoin")

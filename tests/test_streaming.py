@@ -1,9 +1,13 @@
 import datetime as dt
+import pathlib
+import time
 
 from sigfleet.operators.latest import latest_per_signal
 from sigfleet.schemas import LANDED_SCHEMA
 from sigfleet.session import work_path
+from sigfleet.sources.payloads import read_landed_files, readings_from_landed
 from sigfleet.streaming import monitors
+from sigfleet.streaming.silence import latest_of_batches
 from tests.conftest import READINGS_DDL, T
 
 
@@ -168,3 +172,91 @@ def test_heartbeat_run_of_polls(spark, mk_pumps):
     rows = got.collect()
     for n in range(5):
         assert {(r.pump_id, r.status, r.power) for r in rows if r.poll == n} == (ok if n in (0, 4) else silent)
+
+
+def labels_of(spark, sink):
+    return {(r.pump_id, r.signal): (r.label, r.value) for r in monitors.read_labels(spark, sink).collect()}
+
+
+def wait_for(check, seconds=90):
+    end = time.time() + seconds
+    while time.time() < end:
+        if check():
+            return True
+        time.sleep(0.3)
+    return False
+
+
+def test_labels_fall_silent_speak_again_and_survive_a_restart(spark):
+    src, sink, ck = (work_path(spark, f"test-labels-{x}") for x in ("src", "sink", "ck"))
+    land(spark, batch1(), src)
+    assert labels_of(spark, sink) == {}
+
+    def start(silent_after, trigger):
+        return monitors.start_label_monitor(stream(spark, src), sink, ck, trigger, silent_after)
+
+    # A long patience: values only.
+    often = {"processingTime": "3 seconds"}
+    monitors.stop_when_idle(start(3600, often))
+    p1, power, fault = ("p1", "status"), ("p2", "rawpower"), ("p2", "fault")
+    assert labels_of(spark, sink) == {p1: ("0.0", 0.0), power: ("5.0", 5.0), fault: ("9.0", 9.0)}
+
+    # Restarted with little patience: what speaks falls silent without any input.
+    q = start(2, often)
+    try:
+        land(spark, batch2(), src)  # p1's reading is a late one
+        p3 = ("p3", "status")
+        quiet = {p1: ("sin datos", 0.0), power: ("sin datos", 6.0), fault: ("9.0", 9.0), p3: ("sin datos", 3.0)}
+        assert wait_for(lambda: labels_of(spark, sink) == quiet), labels_of(spark, sink)
+    finally:
+        q.stop()
+
+    # Restarted: a late reading brings p1's value back, unchanged; p3 has a new one.
+    land(spark, [("p1", "status", False, T("2023-01-01 00:00:00"), 8.0, 0, 9)], src)
+    land(spark, [("p3", "status", False, T("2024-01-05 00:00:00"), None, 0, 1)], src)
+    monitors.stop_when_idle(start(3600, often))
+    now = {p1: ("0.0", 0.0), power: ("sin datos", 6.0), fault: ("9.0", 9.0), p3: ("sin datos", None)}
+    assert labels_of(spark, sink) == now
+
+
+def test_latest_of_batches_orders_nulls_lowest(spark):
+    rows = [
+        ("p", "status", False, None, 1.0, 0, 5),
+        ("p", "status", False, T("2024-01-01 00:00:00"), 2.0, 0, None),
+        ("p", "status", False, T("2024-01-01 00:00:00"), 3.0, 0, 2**60 + 1),
+        (None, None, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, READINGS_DDL).coalesce(1)
+    got = {(r.pump_id, r.value, r.pos) for r in latest_of_batches(df).collect()}
+    assert got == {("p", 3.0, 2**60 + 1), (None, None, None)}
+
+
+def test_latest_from_files_equals_batch(spark):
+    """A stream of payload files gives what the batch reader gives, over restarts."""
+    root = work_path(spark, "test-files")
+    src, sink, ck = f"{root}/landing", f"{root}/sink", f"{root}/ck"
+
+    def put(pump, name, body, signal="status", detailed="false"):
+        folder = pathlib.Path(src) / f"pump_id={pump}" / f"signal={signal}" / f"detailed={detailed}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_bytes(body)
+
+    def item(t, v):
+        return f'{{"time": "{t}", "value": {v}, "validity": 0}}'
+
+    def run():
+        files = monitors.landed_files_stream(spark, src)
+        monitors.start_latest_monitor(files, sink, ck, {"availableNow": True}).awaitTermination()
+
+    put("007", "a.json", f"[{item('2024-01-01T00:00:00Z', 1)}, {item('2024-01-02T00:00:00Z', 2)}]".encode())
+    put("7", "a.json", b"\xef\xbb\xbf[" + item("2024-01-01T00:00:00Z", 3).encode() + b"]", "speed", "true")
+    put("8", "empty.json", b"")
+    put("9", "broken.json", b"[{")
+    run()
+    put("007", "b.json", f"[{item('2024-01-01T12:00:00Z', 5)}]".encode())
+    put("8", "b.json", f"[{item('2024-01-03T00:00:00Z', 6)}]".encode())
+    run()
+    landed = read_landed_files(spark, src, "pump_id", "signal")
+    want = as_set(latest_per_signal(readings_from_landed(landed)).select("pump_id", "signal", "value", "time"))
+    assert as_set(monitors.read_latest(spark, sink)) == want
+    assert {(p, v) for p, _, v, _ in want} == {("007", 2.0), ("7", 3.0), ("8", 6.0)}
