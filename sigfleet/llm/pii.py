@@ -16,14 +16,24 @@ in the documents that hold the entity, above ``remove_at`` they are removed,
 wherever they stand in the text. All probabilities are shares of documents;
 a term counts where it stands outside of personal data, at any distance.
 A pair counts only if it occurs in ``min_contexts`` different texts: one
-text, however often copied, is one context and proves nothing.
+text, however often copied, is one context and proves nothing. It must also be
+beyond chance: Chernoff's bound of the chance that ``k`` of the ``n`` texts of
+a term hold the entity, when each does with ``p(c)``, times the number of pairs
+tried stays at or below ``max_chance``, so the pairs expected to be marked in
+the whole corpus by chance alone are fewer than that. Terms are runs of two or
+more letters or digits; a name of one letter is never one.
 
 Built-in functions only. One pass over the texts finds spans and stores them
 with the texts that have any; a second one counts in how many documents each
 term occurs. Entities and terms that cannot reach a threshold (too few texts,
 or a term too frequent for any entity) are left out before they are paired,
 which changes no result. The co-occurrence step works on different texts and
-their numbers of copies, so copies share its results.
+their numbers of copies, so copies share its results. Entities that stand in
+the same texts have the same counts, and so have terms of equal frequency: each
+such set, told by a 128-bit hash of its texts, is paired once for all of its
+members, so a text of thousands of addresses is no product of addresses and
+terms. Offsets come from running sums in blocks, texts are cut by pages: the
+work on a text does not grow with the square of its spans.
 
 Defined cases: a null text is empty and has no span; repeated rows get equal
 results; matches that fail their check are dropped without a retry; an empty
@@ -32,6 +42,9 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,7 +76,67 @@ GATES = {
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 TERM = r"[^\p{L}\p{N}]+"
 LETTER = r"[\p{L}\p{N}]"
-MIN_TERM = 3
+MIN_TERM = 2
+PAGE = 4096  # code points
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _before(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """For each of an array of numbers, ``op`` over 0 and all before it.
+
+    Two levels of blocks of about the square root of its size.
+    """
+
+    def running(xs: Column) -> Column:
+        first = F.array(F.lit(0))
+        return F.aggregate(
+            xs, first, lambda acc, x: F.array_append(acc, op(F.element_at(acc, -1), x))
+        )
+
+    def joined(blocks: Column, starts: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                blocks,
+                lambda b, i: F.transform(
+                    F.slice(b, 1, F.size(b) - 1), lambda x: op(F.get(starts, i), x)
+                ),
+            )
+        )
+
+    def scan(v: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(v))).cast("int")
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.size(v) - 1, width),
+            lambda i: running(F.slice(v, i + 1, width)),
+        )
+        return _let(
+            blocks,
+            lambda b: _let(
+                running(F.transform(b, lambda x: F.element_at(x, -1))), lambda s: joined(b, s)
+            ),
+        )
+
+    none = F.array().cast("array<int>")
+    return _let(values, lambda v: F.when(F.size(v) > 0, scan(v)).otherwise(none))
+
+
+def _plus(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _pages(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))
+
+
+def _cut(pages: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` (exclusive) of a text in pages."""
+    first = F.floor(start / PAGE).cast("int")
+    n = F.floor(end / PAGE).cast("int") - first + 1
+    return F.substring(F.array_join(F.slice(pages, first + 1, n), ""), start % PAGE + 1, end - start)
 
 
 def _digits(value: Column) -> Column:
@@ -100,22 +173,25 @@ def _valid(kind: str, value: Column) -> Column:
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
-def _places(found: Column, gaps: Column, kind: int) -> Column:
-    """Spans from the matches and the stretches between them."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-    parts = F.transform(
-        found, lambda m, i: F.struct(F.length(F.get(gaps, i)).alias("g"), m.alias("m"))
-    )
+def _places(found: Column, kind: int) -> Column:
+    """Spans from the matches ``m`` and the stretches ``g`` between them."""
 
-    def add(acc: Column, x: Column) -> Column:
-        a = acc["at"] + x["g"]
-        b = a + F.length(x["m"])
-        one = F.struct(
-            a.alias("start"), F.lit(kind).alias("kind"), b.alias("end"), x["m"].alias("value")
-        )
-        return F.struct(b.alias("at"), F.array_append(acc["out"], one).alias("out"))
+    def spans(f: Column, before: Column) -> Column:
+        def one(m: Column, i: Column) -> Column:
+            a = F.get(before, i) + F.length(F.get(f["g"], i))
+            return F.struct(
+                a.alias("start"),
+                F.lit(kind).alias("kind"),
+                (a + F.length(m)).alias("end"),
+                m.alias("value"),
+            )
+
+        return F.transform(f["m"], one)
+
+    def sizes(f: Column) -> Column:
+        return F.transform(f["m"], lambda m, i: F.length(m) + F.length(F.get(f["g"], i)))
 
-    return F.aggregate(parts, start, add, lambda acc: acc["out"])
+    return _let(found, lambda f: _let(_before(sizes(f), _plus), lambda b: spans(f, b)))
 
 
 def base_spans(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -143,7 +219,7 @@ def base_spans(df: DataFrame, text: str, out: str) -> DataFrame:
     spans = [
         F.when(
             F.size(F.coalesce(F.col(f"{out}_{k}")["m"], empty)) > 0,
-            _checked(_places(F.col(f"{out}_{k}")["m"], F.col(f"{out}_{k}")["g"], i), k),
+            _checked(_places(F.col(f"{out}_{k}"), i), k),
         ).otherwise(F.array().cast(SPAN))
         for i, k in enumerate(KINDS)
     ]
@@ -232,29 +308,49 @@ def find(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> Da
     )
 
 
-def _outside(text: Column, spans: Column) -> Column:
-    """``text`` without its spans and the words that reach into them."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+def _clear_parts(text: Column, spans: Column) -> Column:
+    """``at, part``: what stands outside the spans and the words reaching into them."""
     touches_left = rf"^{LETTER}++"
-    touches_right = rf"(?<!{LETTER}){LETTER}++$"
-
-    def piece(acc: Column, end: Column) -> Column:
-        part = F.substring(text, acc["at"] + 1, end - acc["at"])
-        return F.when(acc["at"] > 0, F.regexp_replace(part, touches_left, "")).otherwise(part)
-
-    def add(acc: Column, s: Column) -> Column:
-        part = F.regexp_replace(piece(acc, s["start"]), touches_right, "")
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] <= acc["at"], acc["out"])
-            .otherwise(F.array_append(acc["out"], part))
-            .alias("out"),
+    touches_right = rf"(?<!{LETTER}){LETTER}++\z"
+
+    def trimmed(raw: Column, start: Column) -> Column:
+        # The right end is cut already; what goes on the left moves the start.
+        return _let(
+            F.when(start > 0, F.regexp_replace(raw, touches_left, "")).otherwise(raw),
+            lambda x: F.struct((start + F.length(raw) - F.length(x)).alias("at"), x.alias("part")),
         )
 
-    def finish(acc: Column) -> Column:
-        return F.array_join(F.array_append(acc["out"], piece(acc, F.length(text))), " ")
+    def part(pages: Column, start: Column, end: Column, last: bool) -> Column:
+        raw = _cut(pages, start, end)
+        if not last:
+            raw = F.regexp_replace(raw, touches_right, "")
+        return _let(raw, lambda r: trimmed(r, start))
+
+    def parts(pages: Column, s: Column, before: Column) -> Column:
+        inner = F.transform(
+            s,
+            lambda x, i: F.when(
+                x["start"] > F.get(before, i), part(pages, F.get(before, i), x["start"], False)
+            ),
+        )
+        end = F.greatest(F.lit(0), F.array_max(F.transform(s, lambda x: x["end"])))
+        return F.concat(
+            F.filter(inner, lambda x: x.isNotNull()),
+            F.array(part(pages, end, F.length(text), True)),
+        )
+
+    def reached(s: Column) -> Column:
+        return _before(F.transform(s, lambda x: x["end"]), F.greatest)
+
+    return _let(
+        spans,
+        lambda s: _let(_pages(text), lambda p: _let(reached(s), lambda b: parts(p, s, b))),
+    )
+
 
-    return F.aggregate(spans, start, add, finish)
+def _outside(text: Column, spans: Column) -> Column:
+    """``text`` without its spans and the words that reach into them."""
+    return F.array_join(F.transform(_clear_parts(text, spans), lambda p: p["part"]), " ")
 
 
 def _term_hashes(text: Column) -> Column:
@@ -274,6 +370,20 @@ def _held(found: DataFrame) -> DataFrame:
     return found.where(F.size("spans") > 0).drop("doc_id").join(copies, "row")
 
 
+def _text_set(row: str) -> list[Column]:
+    """128-bit hash of a set of rows (each row once)."""
+    return [
+        F.bit_xor(F.xxhash64(row)).alias("a"),
+        F.bit_xor(F.xxhash64(F.lit("second"), F.col(row))).alias("b"),
+    ]
+
+
+def _chance(k: Column, n: Column, p: Column) -> Column:
+    """Log of Chernoff's bound of ``k`` or more of ``n``, each with chance ``p``."""
+    rest = F.when(n > k, (n - k) * F.log((n - k) / (n * (1 - p)))).otherwise(F.lit(0.0))
+    return F.when(k > n * p, -(k * F.log(k / (n * p)) + rest)).otherwise(F.lit(0.0))
+
+
 def disclosing_terms(
     spark: SparkSession,
     docs: DataFrame,
@@ -281,6 +391,7 @@ def disclosing_terms(
     min_contexts: int = 3,
     generalise_at: float = 0.8,
     remove_at: float = 0.95,
+    max_chance: float = 0.01,
     text_col: str = "text",
 ) -> DataFrame:
     """``row, h, kind``: disclosing terms (by hash) of the texts of :func:`_held`."""
@@ -292,6 +403,7 @@ def disclosing_terms(
         # threshold; one more against rounding.
         return F.lit(total) * F.pow(n_entity / F.lit(total), F.lit(generalise_at)) + 1
 
+    # Entities of at least min_contexts texts; one of each set of texts.
     entities = stored(
         spark,
         held.select(
@@ -301,14 +413,22 @@ def disclosing_terms(
         ),
         "pii-entities",
     )
-    counted_entities = (
+    entity_sets = stored(
+        spark,
         entities.groupBy("entity")
-        .agg(F.count("*").alias("texts"), F.sum("copies").alias("n_entity"))
+        .agg(F.count("*").alias("texts"), F.sum("copies").alias("n_entity"), *_text_set("row"))
         .where(F.col("texts") >= min_contexts)
-        .drop("texts")
+        .groupBy("a", "b")
+        .agg(F.min("entity").alias("entity"), F.first("n_entity").alias("n_entity")),
+        "pii-entity-sets",
+    )
+    known = entity_sets.agg(F.count("*").alias("n"), F.max(most(F.col("n_entity"))).alias("most"))
+    n_entities, widest = known.first()
+    entities = stored(
+        spark,
+        entities.join(entity_sets.select("entity", "n_entity"), "entity"),
+        "pii-entities-counted",
     )
-    entities = stored(spark, entities.join(counted_entities, "entity"), "pii-entities-counted")
-    widest = entities.agg(F.max(most(F.col("n_entity"))).alias("n")).first()["n"] or 0.0
 
     # Documents per term: all words of all texts, less those that stand only
     # in spans.
@@ -326,19 +446,32 @@ def disclosing_terms(
         .agg(F.sum("n").alias("n_term"))
     )
     terms = stored(spark, held.select("row", F.explode(outside).alias("h")), "pii-terms")
-    able = (
+    able = stored(
+        spark,
         terms.groupBy("h")
-        .agg(F.count("*").alias("texts"))
+        .agg(F.count("*").alias("texts"), *_text_set("row"))
         .where(F.col("texts") >= min_contexts)
         .join(counted, "h")
-        .where(F.col("n_term") <= widest)
-        .select("h", "n_term")
+        .where(F.col("n_term") <= (widest or 0.0))
+        .select("h", "n_term", "a", "b"),
+        "pii-terms-able",
+    )
+    # One term of each set of texts and frequency stands for all of them.
+    term_sets = stored(
+        spark, able.groupBy("a", "b", "n_term").agg(F.min("h").alias("one")), "pii-term-sets"
+    )
+    tried = max(n_entities, 1) * max(term_sets.count(), 1)
+    terms = stored(
+        spark,
+        terms.join(term_sets.select(F.col("one").alias("h"), "n_term"), "h"),
+        "pii-terms-counted",
     )
-    terms = stored(spark, terms.join(able, "h"), "pii-terms-counted")
 
     n = F.lit(total)
     pmi = F.log2(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
     ic = F.log2(n / F.col("n_entity"))
+    # Different texts with both, and all documents of the term without the entity.
+    trials = F.col("texts") + F.col("n_term") - F.col("n_both")
     pairs = (
         entities.join(terms, "row")
         .where(F.col("n_term") <= most(F.col("n_entity")))
@@ -352,6 +485,9 @@ def disclosing_terms(
         .where(F.col("texts") >= min_contexts)
         .withColumn("disclosure", F.when(ic > 0, pmi / ic))
         .where(F.col("disclosure") >= generalise_at)
+        .where(
+            _chance(F.col("texts"), trials, F.col("n_entity") / n) <= math.log(max_chance / tried)
+        )
         .select(
             "entity",
             "h",
@@ -361,49 +497,56 @@ def disclosing_terms(
         )
     )
     pairs = stored(spark, pairs, "pii-pairs")
-    return (
+    marks = (
         terms.select("row", "h")
         .join(pairs, "h")
         .join(entities.select("row", "entity"), ["row", "entity"])
         .groupBy("row", "h")
         .agg(F.max("kind").alias("kind"))
     )
+    members = (
+        term_sets.join(pairs.select(F.col("h").alias("one")).distinct(), "one")
+        .join(able, ["a", "b", "n_term"])
+        .select("one", "h")
+    )
+    return marks.withColumnRenamed("h", "one").join(members, "one").select("row", "h", "kind")
 
 
 def _marked(text: Column, spans: Column, found: Column) -> Column:
     """Spans of the terms whose hashes are keys of ``found``, outside ``spans``."""
-    words = F.split(text, TERM, -1)
-    gaps = F.array_append(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lit(""))
-    parts = F.zip_with(
-        words,
-        gaps,
-        lambda w, g: F.struct(
-            F.length(w).alias("n"),
-            F.length(g).alias("g"),
-            F.when(F.length(w) >= MIN_TERM, F.lower(w)).alias("term"),
-        ),
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-
-    def add(acc: Column, x: Column) -> Column:
-        kind = F.try_element_at(found, F.xxhash64(x["term"]))
-        one = F.struct(
-            acc["at"].alias("start"),
-            kind.alias("kind"),
-            (acc["at"] + x["n"]).alias("end"),
-            x["term"].alias("value"),
-        )
-        return F.struct(
-            (acc["at"] + x["n"] + x["g"]).alias("at"),
-            F.when(x["term"].isNotNull() & kind.isNotNull(), F.array_append(acc["out"], one))
-            .otherwise(acc["out"])
-            .alias("out"),
+
+    def of_part(p: Column) -> Column:
+        words = F.split(p["part"], TERM, -1)
+        gaps = F.array_append(F.regexp_extract_all(p["part"], F.lit(TERM), F.lit(0)), F.lit(""))
+        sized = F.zip_with(
+            words, gaps, lambda w, g: F.struct(w.alias("w"), (F.length(w) + F.length(g)).alias("n"))
         )
 
-    def clear(t: Column) -> Column:
-        return ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
+        def hits(ws: Column, before: Column) -> Column:
+            def one(x: Column, i: Column) -> Column:
+                a = p["at"] + F.get(before, i)
+                term = F.lower(x["w"])
+                kind = F.try_element_at(found, F.xxhash64(term))
+                return F.when(
+                    (F.length(x["w"]) >= MIN_TERM) & kind.isNotNull(),
+                    F.struct(
+                        a.alias("start"),
+                        kind.alias("kind"),
+                        (a + F.length(x["w"])).alias("end"),
+                        term.alias("value"),
+                    ),
+                )
+
+            return F.filter(F.transform(ws, one), lambda t: t.isNotNull())
+
+        return _let(
+            sized,
+            lambda ws: _let(
+                _before(F.transform(ws, lambda x: x["n"]), _plus), lambda b: hits(ws, b)
+            ),
+        )
 
-    return F.filter(F.aggregate(parts, start, add, lambda acc: acc["out"]), clear)
+    return F.flatten(F.transform(_clear_parts(text, spans), of_part))
 
 
 def term_spans(found: DataFrame, disclosing: DataFrame) -> DataFrame:
@@ -439,23 +582,25 @@ def sanitise(
 def _rewritten(text: Column, spans: Column) -> Column:
     """``text`` with every span replaced by its class; overlapping spans merge."""
     tokens = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS], F.lit("<TERM>"), F.lit(""))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def add(acc: Column, s: Column) -> Column:
-        gap = F.concat(
-            F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.get(tokens, s["kind"])
-        )
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] < acc["at"], acc["out"])
-            .otherwise(F.array_append(acc["out"], gap))
-            .alias("out"),
+    def new(pages: Column, s: Column, before: Column) -> Column:
+        parts = F.transform(
+            s,
+            lambda x, i: F.when(
+                x["start"] >= F.get(before, i),
+                F.concat(_cut(pages, F.get(before, i), x["start"]), F.get(tokens, x["kind"])),
+            ),
         )
+        end = F.array_max(F.transform(s, lambda x: x["end"]))
+        return F.concat(F.array_join(parts, ""), _cut(pages, end, F.length(text)))
 
-    def finish(acc: Column) -> Column:
-        return F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
+    def reached(s: Column) -> Column:
+        return _before(F.transform(s, lambda x: x["end"]), F.greatest)
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, add, finish)).otherwise(text)
+    replaced = _let(
+        spans, lambda s: _let(_pages(text), lambda p: _let(reached(s), lambda b: new(p, s, b)))
+    )
+    return F.when(F.size(spans) > 0, replaced).otherwise(text)
 
 
 def sanitise_documents(

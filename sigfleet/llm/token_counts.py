@@ -7,9 +7,9 @@ tokens remain when longer documents are truncated, and which quantile the
 limit is. Limits between two lengths follow from the row of the next smaller
 length (:func:`at_limits`).
 
-The tokenizer is a vocabulary file given by path; it is read once on the
-driver and broadcast (a file of fixed size, about 1 MB), so executors need
-no copy. The histogram has one row per different length; its suffix sums run
+The tokenizer is a vocabulary file given by path; a local path is opened by the
+driver itself, any other by Spark, and its lines are broadcast (a file of fixed
+size, about 1 MB), so executors need no copy. The histogram has one row per different length; its suffix sums run
 inside blocks of ``BLOCK`` lengths plus one total per block, never over all
 documents.
 
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -38,6 +39,15 @@ def _ranks(lines: list[str]) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
+def vocabulary_lines(spark: SparkSession, path: str) -> list[str]:
+    """Lines of the vocabulary; a plain or ``file:`` path is one of the driver's."""
+    where = urlsplit(path)
+    if where.scheme in ("", "file"):
+        with open(where.path, encoding="ascii") as f:
+            return f.read().splitlines()
+    return [r[0] for r in spark.read.text(path).collect()]  # one file of ~50,000 lines
+
+
 def lengths(
     spark: SparkSession,
     docs: DataFrame,
@@ -46,8 +56,7 @@ def lengths(
     pattern: str = PATTERN,
 ) -> DataFrame:
     """``length``: tokens of every document, one row each."""
-    lines = [r[0] for r in spark.read.text(vocabulary).collect()]  # one file of ~50,000 lines
-    shared = spark.sparkContext.broadcast(lines)
+    shared = spark.sparkContext.broadcast(vocabulary_lines(spark, vocabulary))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken

@@ -1,6 +1,7 @@
 """PII, mixing, license scan and quality rules against brute force."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -133,6 +134,131 @@ def test_rare_values_get_the_terms_of_broader_entities(spark):
     assert not any(out[60 + i].all_spans for i in range(300))
 
 
+def plain_entities(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == 0:
+        group, own = "@" + value.lower().rsplit("@", 1)[1], value.lower()
+    elif kind == 1:
+        group, own = ".".join(value.split(".")[:2]) + ".*", value
+    else:
+        group, own = digits[: 6 if kind == 2 else 4] + "*", digits
+    return {f"{kind}", f"{kind}:{group}", f"{kind}:{own}"}
+
+
+def plain_disclosure(rows, contexts=3, generalise=0.8, remove=0.95, chance=0.01):
+    """``text: {(start, end, kind)}`` of all spans, and the pairs tried."""
+    copies = Counter(t or "" for _, t in rows)
+    total, clear, entities = len(rows), {}, {}
+    for t in copies:
+        spans = expected_spans(t)
+        words = [m.span() for m in re.finditer(r"[^\W_]+", t)]
+        clear[t] = [
+            (a, b) for a, b in words if b - a >= 2 and not any(a < e and s < b for s, _, e in spans)
+        ]
+        entities[t] = set().union(*[plain_entities(k, t[s:e]) for s, k, e in spans])
+    terms = {t: {t[a:b].lower() for a, b in c} for t, c in clear.items()}
+    with_entity, with_term = {}, {}
+    for t in copies:
+        for e in entities[t]:
+            with_entity.setdefault(e, set()).add(t)
+        for w in terms[t]:
+            with_term.setdefault(w, set()).add(t)
+
+    def docs(texts):
+        return sum(copies[t] for t in texts)
+
+    held = {t for t in copies if entities[t]}
+    able_e = {e: ts for e, ts in with_entity.items() if len(ts) >= contexts}
+    most = {e: total * (docs(ts) / total) ** generalise + 1 for e, ts in able_e.items()}
+    able_t = {
+        w: ts
+        for w, ts in with_term.items()
+        if len(ts & held) >= contexts and docs(ts) <= max(most.values(), default=0)
+    }
+    tried = max(len({frozenset(ts) for ts in able_e.values()}), 1) * max(
+        len({(frozenset(ts & held), docs(ts)) for ts in able_t.values()}), 1
+    )
+    out = {t: {(s, e, k) for s, k, e in expected_spans(t)} for t in copies}
+    for e, te in able_e.items():
+        for w, tw in able_t.items():
+            both = te & tw
+            p, n_both, n_term = docs(te) / total, docs(both), docs(tw)
+            if len(both) < contexts or p == 1:
+                continue
+            share = math.log2(n_both / (p * n_term)) / -math.log2(p)
+            k, n = len(both), len(both) + n_term - n_both
+            bound = 0.0
+            if k > n * p:
+                bound = -k * math.log(k / (n * p))
+                bound -= (n - k) * math.log((n - k) / (n * (1 - p))) if n > k else 0
+            if share < generalise or bound > math.log(chance / tried):
+                continue
+            kind = pii.REMOVE if share >= remove else pii.GENERAL
+            for t in both:
+                for a, b in clear[t]:
+                    if t[a:b].lower() == w:
+                        out[t] = {x for x in out[t] if x[:2] != (a, b) or x[2] >= kind} | (
+                            set() if (a, b, pii.REMOVE) in out[t] else {(a, b, kind)}
+                        )
+    return out
+
+
+def test_disclosure_equals_plain(spark):
+    rng = random.Random(21)
+    names = ["zylophane", "quintarel", "mandrovik", "ostrellin"]
+    rows = []
+    for i in range(160):
+        text = data.sentence(rng, 25, 60)
+        if i % 2:
+            k = rng.randrange(4)
+            text = (
+                f"{names[k]}\nu{rng.randrange(2)}@corp{k}.example, {text} {names[rng.randrange(4)]}"
+                f" of +44 20 7946 0{k}{rng.randrange(3)}1; {names[k]}_{rng.choice(names)} {names[k]}"
+            )
+        rows += [(len(rows), text)] * (1 + (i % 5 == 0))
+    # Two of the names also stand in a few texts without personal data.
+    rows += [
+        (1000 + i, f"plain {data.sentence(rng, 20, 60)} {names[i % 2] if i < 24 else ''}")
+        for i in range(900)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_disclosure(rows)
+    got = pii.sanitise(spark, df).collect()
+    assert len(got) == len(rows)
+    texts = dict(rows)
+    for r in got:
+        assert {(s.start, s.end, s.kind) for s in r.all_spans} == want[texts[r.doc_id]], r.doc_id
+        assert len(r.all_spans) == len(want[texts[r.doc_id]])
+    kinds = Counter(k for spans in want.values() for _, _, k in spans)
+    assert kinds[pii.GENERAL] and kinds[pii.REMOVE]
+
+
+def test_rare_words_beside_many_entities_are_chance(spark):
+    rng = random.Random(22)
+    rows = [
+        (i, data.sentence(rng, 20, 4_000) + (f" u{i}@site{i}.example" if i % 3 == 0 else ""))
+        for i in range(900)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = Counter(s.kind for r in pii.sanitise(spark, df).collect() for s in r.all_spans)
+    assert spans == {0: 300}
+
+
+def test_text_of_many_addresses(spark):
+    many = " ".join(f"u{i}@host{i}.example w{i}x" for i in range(10_000))
+    rows = [(i, f"{many} zylophane {i}") for i in range(3)]
+    rows += [(10 + i, f"word {i} w{i}x") for i in range(3_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.sanitise(spark, df).collect()}
+    for i in range(3):
+        assert len(out[i].spans) == 10_000
+        assert [(s.start, s.end) for s in out[i].spans] == [
+            m.span() for m in re.finditer(r"u\d+@host\d+\.example", rows[i][1])
+        ]
+    new = {r.doc_id: r.text for r in pii.sanitise_documents(spark, df, length_col=None).collect()}
+    assert new[0].count("<EMAIL>") == 10_000 and "@" not in new[0]
+
+
 def test_pii_messy_and_empty(spark):
     df, rows = data.messy(spark)
     got = pii.sanitise(spark, df).select("doc_id", pii.span_text(F.col("spans")).alias("s"))
