@@ -114,6 +114,37 @@ def test_links_beyond_the_star_are_found(spark):
     assert later.isEmpty()  # a pair is looked at in the first band it shares
 
 
+def test_recall_on_a_given_table(spark, record_property):
+    """Documents whose id 50 divides, against all rows of sf0.1, by exact similarity."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    class_of = {r.doc_id: r.class_id for r in near_dedup.classes(spark, docs).collect()}
+    s = bmh.Shingler()
+    bags = {r.doc_id: Counter(s.hashes(bmh.normal_words(r.text)).tolist()) for r in docs.collect()}
+    assert len(class_of) == len(bags)
+    total = {d: sum(b.values()) for d, b in bags.items()}
+    holders = {}
+    for d, b in bags.items():
+        for h, n in b.items():
+            holders.setdefault(h, []).append((d, n))
+    pairs = together = 0
+    for q in (d for d in bags if d % 50 == 0):
+        common = Counter()
+        for h, n in bags[q].items():
+            for d, m in holders[h]:
+                common[d] += min(n, m)
+        for d, c in common.items():
+            if d != q and c >= 0.8 * (total[q] + total[d] - c):
+                pairs += 1
+                together += class_of[q] == class_of[d]
+    record_property("pairs", pairs)
+    record_property("together", together)
+    print(f"recall: {together} of {pairs} pairs")
+    assert pairs and together >= 0.99 * pairs
+    # Nothing but classes of linked documents: a class of one has no partner.
+    size = Counter(class_of.values())
+    assert all(size[class_of[d]] > 1 or class_of[d] == d for d in class_of)
+
+
 def test_dedup_documents(spark):
     df, rows = data.messy(spark)
     out = near_dedup.dedup_documents(spark, df)
