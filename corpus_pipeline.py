@@ -4,6 +4,13 @@ Each stage works on all that its predecessor kept: quality rules drop what
 they reject, near-dedup keeps one document of each class, personal data are
 replaced, sources are mixed to their weights, and the mix is packed into
 bins. All but the last return the columns of ``documents``.
+
+Defined cases: null, empty and blank texts have fewer words than the base rule
+asks for and go in the first stage; rows that agree in id and text are one
+class, so one stays; a null source is a source of its own; columns beyond
+those of ``documents`` are carried along, whatever their names; texts longer
+than a bin are cut into pieces; without labels only the base rule rejects; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
