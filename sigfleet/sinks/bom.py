@@ -1,10 +1,10 @@
 """Encoding repair of landed JSON files (K8).
 
-Reads every file under a folder with ``binaryFile`` (one task per file),
-drops a leading UTF-8 byte-order mark, and writes the repaired files to a
-*new* folder (the input is left untouched, which replaces the backup copy):
-each at its own path below the input folder, byte for byte otherwise, whatever
-its encoding. Files not matching the pattern are reported as ``skipped``.
+Reads every file under a folder whole (files are dealt over the tasks), drops
+a leading UTF-8 byte-order mark, and writes the repaired files to a *new*
+folder (the input is left untouched, which replaces the backup copy): each at
+its own path below the input folder, byte for byte otherwise, whatever its
+encoding. Files not matching the pattern are reported as ``skipped``.
 """
 
 from __future__ import annotations
@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigfleet.sinks.named_files import path_below, write_named_files
-from sigfleet.sources.payloads import empty_files
+from sigfleet.sinks.named_files import qualified, read_whole_files, write_named_files
 
 BOM_HEX = "EFBBBF"
 
@@ -22,11 +21,8 @@ def repair_status(spark: SparkSession, input_dir: str, pattern: str = "*.json")
     """Per file: ``(path, file, status, bytes_in, bytes_out, content)``;
     ``file`` is the path below ``input_dir``, status is ``repaired``,
     ``clean`` or ``skipped``."""
-    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(input_dir)
-    empty = empty_files(spark, input_dir).select(
-        "path", F.lit(0).cast("long").alias("length"), F.lit(b"").cast("binary").alias("content")
-    )
-    files = read.select("path", "length", "content").unionByName(empty)
+    root = qualified(spark, input_dir)
+    files = read_whole_files(spark, input_dir).select(F.concat(F.lit(f"{root}/"), "file").alias("path"), "*")
     regex = "^" + pattern.replace(".", r"\.").replace("*", ".*").replace("?", ".") + "$"
     name = F.element_at(F.split("path", "/"), -1)
     has_bom = F.hex(F.substring("content", 1, 3)) == F.lit(BOM_HEX)
@@ -34,7 +30,7 @@ def repair_status(spark: SparkSession, input_dir: str, pattern: str = "*.json")
     fixed = F.when(has_bom, F.expr("substring(content, 4)")).otherwise(F.col("content"))
     return files.select(
         "path",
-        path_below(spark, input_dir).alias("file"),
+        "file",
         F.when(~matches, "skipped").when(has_bom, "repaired").otherwise("clean").alias("status"),
         F.col("length").alias("bytes_in"),
         F.when(matches, F.length(fixed)).alias("bytes_out"),

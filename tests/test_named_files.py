@@ -106,3 +106,84 @@ def test_document_files_are_named_and_whole(spark, tmp, mk_readings, mk_pumps):
     assert [x["value"] for x in one["datos"]] == [2.0] and one["bomba"]["id"] == "a"
     back = spark.read.option("recursiveFileLookup", "true").json(f"{tmp}/docs", pathGlobFilter="*.json")
     assert back.count() == 5
+
+
+def test_small_files_are_dealt_and_listed_by_tasks(spark, tmp, monkeypatch):
+    """Neither few bytes nor many folders put all files into one task or the driver."""
+    from sigfleet.sources import payloads
+
+    def on_the_driver(*_):
+        raise AssertionError("files listed one by one on the driver")
+
+    monkeypatch.setattr(payloads, "_zero_length_files", on_the_driver)
+    rows = [(f"{i % 40}/{i % 7}/{i}", bytearray(str(i).encode()) if i % 10 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "file string, content binary").coalesce(1)
+    write_named_files(df, f"{tmp}/out")
+    back = read_named_files(spark, f"{tmp}/out")
+    assert back.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert {r.file: bytes(r.content) for r in back.collect()} == {f: bytes(c or b"") for f, c in rows}
+
+
+def test_hidden_files_are_left_out_as_by_spark(spark, tmp):
+    files = {
+        "a/x": b"1", "_b/x": b"2", "_b=1/x": b"3", ".c/x": b"4", "_x": b"5", "_x=1": b"6", ".x": b"7", "y._COPYING_": b"8",
+        "empty": b"", "_b/empty": b"", "_empty=1": b"", ".empty": b"",
+    }
+    for f, c in files.items():
+        os.makedirs(os.path.dirname(f"{tmp}/in/{f}"), exist_ok=True)
+        open(f"{tmp}/in/{f}", "wb").write(c)
+    by_spark = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{tmp}/in")
+    full = {os.path.relpath(r.path.removeprefix("file:"), f"{tmp}/in") for r in by_spark.select("path").collect()}
+    assert {r.file for r in read_named_files(spark, f"{tmp}/in").collect()} == full | {"empty", "_b/empty"}
+
+
+def test_a_list_of_files_is_of_its_moment(spark, tmp):
+    os.makedirs(f"{tmp}/in")
+    open(f"{tmp}/in/a.json", "wb").write(BOM + b"[]")
+    status = bom.repair_bom(spark, f"{tmp}/in", f"{tmp}/in/out")
+    assert [(r.file, r.status, r.bytes_out) for r in status.collect()] == [("a.json", "repaired", 2)]
+    with pytest.raises(Exception):
+        read_named_files(spark, f"{tmp}/none").collect()
+
+
+def test_top_levels_stop_where_folders_are_enough(tmp):
+    for f in ("a/1/x", "a/2/x", "b/1/x", "b/2/y/x", "c"):
+        os.makedirs(os.path.dirname(f"{tmp}/{f}"), exist_ok=True)
+        open(f"{tmp}/{f}", "wb").write(b"1")
+    assert {x[0] for x in named_files._top(tmp, 2)} == {"a", "b", "c"}
+    assert {x[0] for x in named_files._top(tmp, 3)} == {"a/1", "a/2", "b/1", "b/2", "c"}
+    assert {x[0] for x in named_files._top(tmp, 9)} == {"a/1/x", "a/2/x", "b/1/x", "b/2/y/x", "c"}
+
+
+def test_large_contents_come_in_small_batches():
+    import pyarrow as pa
+
+    class Rows(named_files.NamedFilesArrowWriter):
+        pass
+
+    seen = []
+
+    def batches():
+        for n in range(3):
+            seen.append(n)
+            yield pa.RecordBatch.from_arrays([pa.array([f"../{n}"]), pa.array([b"x"])], ["file", "content"])
+
+    with pytest.raises(ValueError, match="below the folder"):
+        Rows("/nowhere").write(batches())
+    assert seen == [0]  # a batch at a time
+
+
+def test_batches_of_a_write_are_bounded(spark, tmp, monkeypatch):
+    monkeypatch.setattr(named_files, "WRITE_ROWS", 3)
+    monkeypatch.setattr(named_files.NamedFilesArrowWriter, "write", _sizes)
+    df = spark.range(50).selectExpr("concat('f', id) as file", "cast('x' as binary) as content")
+    before = spark.conf.get(named_files.BATCH_ROWS, None)
+    write_named_files(df, f"{tmp}/out", unique=True)
+    assert json.loads(tree(f"{tmp}/out")["_SUCCESS"]) == {"files": 50, "bytes": 0}
+    assert spark.conf.get(named_files.BATCH_ROWS, None) == before
+
+
+def _sizes(self, iterator):
+    rows = [b.num_rows for b in iterator]
+    assert max(rows, default=0) <= 3
+    return named_files.Written(sum(rows), 0)
