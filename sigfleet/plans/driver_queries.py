@@ -19,7 +19,7 @@ from sigfleet.functions.timefmt import format_time as format_time_col
 from sigfleet.functions.timefmt import lookback_hours, lookback_start, range_end, range_start
 from sigfleet.operators import asof, bundles, catalog_ops, latest, reports, samples, scans
 from sigfleet.schemas import HISTORY_SIGNALS, NO_DATA, PLACEHOLDER_BASE_URL, READING_ARRAY_DDL
-from sigfleet.session import work_path
+from sigfleet.session import short_listing, work_path
 from sigfleet.plans.ingest import ingest_payloads
 from sigfleet.sinks import bom, writers
 from sigfleet.sinks.named_files import read_named_files, write_named_files
@@ -621,7 +621,8 @@ def q_output_files(spark, sf):
     path = writers.default_export_path(work_path(spark, "output"), NOW)
     writers.write_output(r.select("pump_id", "time", "value"), path, fmt="csv", separate_files=True, now=NOW)
     read = spark.read.schema("time timestamp_ntz, value double, fetched_at timestamp_ntz, pump_id long")
-    back = read.option("header", True).csv(path)
+    with short_listing(spark):
+        back = read.option("header", True).csv(path)
     name = F.regexp_extract(F.col("_metadata.file_path"), "/(fleet_data_[0-9_]+)/", 1)
     return back.select("pump_id", "time", "value", "fetched_at", name.alias("folder"))
 
@@ -688,11 +689,14 @@ def q_stream_latest_files(spark, sf):
     src, sink, ck = f"{root}/landing", f"{root}/sink", f"{root}/checkpoint"
     files = landing.payload_files(_r(spark, sf, signals=["status"], detailed=False))
     odd = F.regexp_extract("file", "pump_id=([0-9]+)", 1).cast("long") % 2 == 1
+    stream = None
     for part in (odd, ~odd):
         write_named_files(files.where(part), src, unique=True)
-        stream = monitors.landed_files_stream(spark, src)
-        q = monitors.start_latest_monitor(stream, sink, ck, {"availableNow": True})
-        q.awaitTermination()
+        with short_listing(spark):
+            # Loading lists all files to know the key folders: once is enough.
+            stream = stream or monitors.landed_files_stream(spark, src)
+            q = monitors.start_latest_monitor(stream, sink, ck, {"availableNow": True})
+            q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
     now = monitors.read_latest(spark, sink)

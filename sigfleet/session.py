@@ -11,9 +11,17 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Tasks that list folders: by default up to 10,000, one path each, and each
+# sends a result to the driver.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_TASKS = 64
+NO_LOCALITY = "spark.sql.sources.ignoreDataLocality"
+
 # Settings for large runs. AQE re-plans at runtime: it coalesces small
 # shuffle partitions, splits skewed join partitions and turns a sort-merge
 # join into a broadcast join only when the *measured* size of one side is
@@ -26,6 +34,7 @@ SCALE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
+    LISTING: str(LISTING_TASKS),
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -80,3 +89,27 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, kind: str) -> str:
     """A fresh, never reused path under the shared folder."""
     return f"{shared_dir(spark)}/sigfleet/{kind}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value) -> Iterator[None]:
+    """A session setting that holds inside the block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+@contextmanager
+def short_listing(spark: SparkSession) -> Iterator[None]:
+    """Inside the block, folders are listed by :data:`LISTING_TASKS` tasks (or
+    twice the cores), which send no block locations: for folders of many small
+    files, whose list goes to the driver."""
+    tasks = max(LISTING_TASKS, 2 * spark.sparkContext.defaultParallelism)
+    with setting(spark, LISTING, tasks), setting(spark, NO_LOCALITY, "true"):
+        yield

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceWriter, WriterCommitMessage
 
-from sigfleet.session import work_path
+from sigfleet.session import setting, work_path
 
 # The writer travels to the Python workers whole: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -149,15 +149,8 @@ def write_named_files(df: DataFrame, path: str, unique: bool = False) -> None:
     spark = df.sparkSession
     spark.dataSource.register(NamedFiles)
     rows = dealt(df.select("file", F.col("content").cast("binary").alias("content")))
-    before = spark.conf.get(BATCH_ROWS, None)
-    spark.conf.set(BATCH_ROWS, str(WRITE_ROWS))  # contents may be large
-    try:
+    with setting(spark, BATCH_ROWS, WRITE_ROWS):  # contents may be large
         rows.write.format(FORMAT).mode("append").option("path", path).save()
-    finally:
-        if before is None:
-            spark.conf.unset(BATCH_ROWS)
-        else:
-            spark.conf.set(BATCH_ROWS, before)
 
 
 def dealt(files: DataFrame) -> DataFrame:
