@@ -7,6 +7,8 @@ file is written and later read in parallel.
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +18,11 @@ from sigfleet.functions.timefmt import ntz
 from sigfleet.operators.bundles import series_chunks, service_items
 from sigfleet.operators.scans import range_scan
 from sigfleet.schemas import DEFAULT_EXPORT_PREFIX, ENDPOINTS, HISTORY_FILE_PREFIX, WIDE_FILE_PREFIX
+from sigfleet.session import setting
 from sigfleet.sinks.named_files import write_named_files
 
 FORMATS = ("json", "csv")
+COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -146,7 +150,9 @@ def write_output(
     """K9 output knobs: format (json/csv), a ``fetched_at`` stamp column,
     one folder per pump and the path. With a folder per pump the rows are
     dealt by pump first, a large pump over several tasks, so that the files
-    number about as many as the pumps and not pumps times tasks."""
+    number about as many as the pumps and not pumps times tasks. Folders cost
+    more than their bytes, so that small shares of pumps are not put together
+    into one task."""
     if fmt not in FORMATS:
         raise ValueError(f"output format not supported: {fmt!r} (use one of {FORMATS})")
     if include_timestamp:
@@ -154,10 +160,11 @@ def write_output(
     w = df.write.mode("overwrite")
     if separate_files:
         w = df.hint("rebalance", "pump_id").write.mode("overwrite").partitionBy("pump_id")
-    if fmt == "csv":
-        _csv(w).csv(path)
-    else:
-        w.option("timestampNTZFormat", MICROS).json(path)
+    with setting(df.sparkSession, COALESCE, "false") if separate_files else nullcontext():
+        if fmt == "csv":
+            _csv(w).csv(path)
+        else:
+            w.option("timestampNTZFormat", MICROS).json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
