@@ -6,9 +6,10 @@
 * catalogue files -> ``pumps`` (one row per id, last record wins, records
   without id dropped) and ``pump_links`` (long form of the discovered links).
 
-Each output is written by Spark's distributed writer straight from the
-landed input; the two outputs of a job read the input twice rather than
-caching it, so an executor loss only re-runs tasks.
+Each output is written by Spark's distributed writer. The landed payloads are
+parsed once, into a table in the shared folder that both outputs of the job
+read (the readings twice, since their ranges are sampled); it is dropped at
+the end. An executor loss only re-runs tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 
 from sigfleet.operators.catalog_ops import valid_ids
 from sigfleet.sources.catalog import catalog_links, latest_catalog, read_catalog
-from sigfleet.sources.payloads import fetch_outcomes, readings_from_landed
+from sigfleet.session import work_path
+from sigfleet.sources.payloads import OUTCOME, parsed, readings_of_parsed
 from sigfleet.sources.readings_log import append_readings, payload_id
 
 
@@ -37,14 +39,26 @@ def ingest_payloads(
     ``run`` number. Outcomes are a log of fetches: a fetch (pump, signal,
     detailed, time of fetching) landed again replaces nothing and is dropped.
     """
-    told = landed.withColumn("payload", payload_id())
-    append_readings(readings_from_landed(told, "payload"), readings_path, run=run, files=files)
-    new = fetch_outcomes(landed).withColumn("day", F.to_date("fetched_at"))
+    spark = landed.sparkSession
+    kept = work_path(spark, "parsed")
+    try:
+        parsed(landed.withColumn("payload", payload_id()), "payload").write.parquet(kept)
+        payloads = spark.read.parquet(kept)
+        append_readings(readings_of_parsed(payloads, "payload"), readings_path, run=run, files=files)
+        _append_outcomes(payloads, outcomes_path)
+    finally:
+        p = spark._jvm.org.apache.hadoop.fs.Path(kept)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _append_outcomes(payloads: DataFrame, outcomes_path: str) -> None:
+    """The outcomes of the fetches that the log does not have yet."""
+    new = payloads.select("pump_id", "signal", "detailed", "fetched_at", *OUTCOME).withColumn("day", F.to_date("fetched_at"))
     key = ["pump_id", "signal", "detailed", "fetched_at"]
     new = new.groupBy("day", *key).agg(
         F.max(F.struct(*[c for c in new.columns if c not in ("day", *key)])).alias("_o")
     ).select("day", *key, "_o.*")
-    spark = landed.sparkSession
+    spark = payloads.sparkSession
     try:
         old = spark.read.parquet(outcomes_path).select("day", *key)
     except AnalysisException as e:

@@ -162,19 +162,38 @@ def fetch_outcomes(landed: DataFrame) -> DataFrame:
       (the client returned ``[]`` for failures, so this is true for them),
     * ``is_not_empty_object``: not ``{}`` (an empty array still counts).
     """
+    return decoded(landed).select("pump_id", "signal", "detailed", "fetched_at", *_outcome())
+
+
+def _outcome() -> list[Column]:
+    """The outcome and its three booleans, of :func:`decoded` rows."""
     t = F.btrim("text", F.lit(BLANKS))
-    return decoded(landed).select(
-        "pump_id",
-        "signal",
-        "detailed",
-        "fetched_at",
-        "outcome",
+    return [
+        F.col("outcome"),
         (F.col("outcome") == "ok").alias("is_nonempty"),
         F.coalesce(t != "null", F.lit(True)).alias("is_not_null"),
         F.coalesce(~F.regexp_like(t, F.lit(r"^\{\s*\}$")), F.lit(True)).alias("is_not_empty_object"),
+    ]
+
+
+OUTCOME = ["outcome", "is_nonempty", "is_not_null", "is_not_empty_object"]
+
+
+def parsed(landed: DataFrame, *more) -> DataFrame:
+    """One row per payload with its outcome, its three booleans and its
+    ``readings`` (an array): what :func:`fetch_outcomes` and
+    :func:`readings_from_landed` give, from one pass over the bodies."""
+    return decoded(landed).select(
+        "pump_id", "signal", "detailed", "fetched_at", *more, *_outcome(), variant_readings("elements").alias("readings")
     )
 
 
+def readings_of_parsed(payloads: DataFrame, *more) -> DataFrame:
+    """Canonical readings of :func:`parsed` payloads."""
+    x = payloads.select("pump_id", "signal", "detailed", *more, F.posexplode("readings").alias("pos", "_r"))
+    return _canonical(x.where(F.col("_r").isNotNull()), *more)
+
+
 def readings_from_landed(landed: DataFrame, *more) -> DataFrame:
     """Canonical readings from the ``ok`` payloads; ``pos`` = index in payload.
 
@@ -182,7 +201,10 @@ def readings_from_landed(landed: DataFrame, *more) -> DataFrame:
     and costs only itself (:func:`payload_elements` counts them). ``more``
     columns of the landed rows come along.
     """
-    x = _elements(landed, *more).where(F.col("_r").isNotNull())
+    return _canonical(_elements(landed, *more).where(F.col("_r").isNotNull()), *more)
+
+
+def _canonical(x: DataFrame, *more) -> DataFrame:
     return x.select(
         "pump_id",
         "signal",
