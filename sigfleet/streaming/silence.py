@@ -57,7 +57,8 @@ class SilenceProcessor(StatefulProcessor):
             new = (r.time, r.pos, r.value)
             if best is None or _later(new[:2], best[:2]):
                 best = new
-        self._wait(timerValues)
+        # No timer waits for a silent series, nor for one that the state does not have.
+        self._wait(timerValues, fresh=old[3] if old is not None else self.forget_ms > self.silent_ms)
         self.latest.update((*best, False))
         if old is None or old[3] or _later(best[:2], old[:2]):
             label = self.no_data if best[2] is None else str(best[2])
@@ -72,9 +73,9 @@ class SilenceProcessor(StatefulProcessor):
     def _shown(self, key, label: str, reading) -> Row:
         return Row(**dict(zip(SERIES, key, strict=True)), label=label, value=reading[2], time=reading[0])
 
-    def _wait(self, timerValues) -> None:
-        """One timer per series, from this contact on."""
-        for t in list(self.handle.listTimers()):
+    def _wait(self, timerValues, fresh: bool) -> None:
+        """One timer per series, from this contact on; every call asks the JVM."""
+        for t in () if fresh else list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
         self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.silent_ms)
 
