@@ -44,10 +44,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FORMAT = "named_files"
 SUCCESS = "_SUCCESS"
-# Rows of an Arrow batch that is written, and bytes of one that is read (or one file).
+# Rows and bytes of an Arrow batch that is written, and bytes of one that is
+# read; a batch passes its bytes by one file at most.
 WRITE_ROWS = 16
-READ_BYTES = 8 << 20
+WRITE_BYTES = 4 << 20
+READ_BYTES = 4 << 20
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def checked_path(file: str | None) -> str:
@@ -97,7 +100,7 @@ class NamedFilesWriter(DataSourceWriter):
     def write(self, iterator: Iterator) -> Written:
         files = size = 0
         for row in iterator:
-            content = bytes(row["content"] or b"")
+            content = row["content"] or b""
             write_whole(self.path, checked_path(row["file"]), content)
             files, size = files + 1, size + len(content)
         return Written(files, size)
@@ -149,7 +152,7 @@ def write_named_files(df: DataFrame, path: str, unique: bool = False) -> None:
     spark = df.sparkSession
     spark.dataSource.register(NamedFiles)
     rows = dealt(df.select("file", F.col("content").cast("binary").alias("content")))
-    with setting(spark, BATCH_ROWS, WRITE_ROWS):  # contents may be large
+    with setting(spark, BATCH_ROWS, WRITE_ROWS), setting(spark, BATCH_BYTES, WRITE_BYTES):  # contents may be large
         rows.write.format(FORMAT).mode("append").option("path", path).save()
 
 
@@ -294,8 +297,8 @@ def with_content(files: DataFrame, path: str) -> DataFrame:
                 with system.open_input_stream(f"{folder}/{file}", compression=None) as f:
                     content = f.read()
                 if rows and (size + len(content) > READ_BYTES or len(rows) >= 1000):
-                    yield batch_of(rows)
-                    rows, size = [], 0
+                    done, rows, size = batch_of(rows), [], 0
+                    yield done
                 rows.append((file, length, content))
                 size += len(content)
         if rows:

@@ -187,3 +187,21 @@ def _sizes(self, iterator):
     rows = [b.num_rows for b in iterator]
     assert max(rows, default=0) <= 3
     return named_files.Written(sum(rows), 0)
+
+
+def test_batches_of_large_contents_are_bounded_by_bytes(spark, tmp, monkeypatch):
+    """Memory of a worker does not grow with the rows that its task writes."""
+    monkeypatch.setattr(named_files.NamedFilesArrowWriter, "write", _bytes)
+    df = spark.range(50).selectExpr("concat('f', id) as file", "cast(repeat('x', 1000000) as binary) as content")
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    write_named_files(df, f"{tmp}/out", unique=True)
+    assert json.loads(tree(f"{tmp}/out")["_SUCCESS"]) == {"files": 50, "bytes": 50_000_000}
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def _bytes(self, iterator):
+    rows = size = 0
+    for b in iterator:
+        assert b.nbytes <= (4 << 20) + 1_100_000  # and one content
+        rows, size = rows + b.num_rows, size + sum(len(c.as_py()) for c in b.column("content"))
+    return named_files.Written(rows, size)
