@@ -29,7 +29,8 @@ import json
 import os
 import sys
 import uuid
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark import cloudpickle
@@ -51,6 +52,9 @@ WRITE_BYTES = 4 << 20
 READ_BYTES = 4 << 20
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+# Spark's source that gives so many rows with each trigger, and where a task finds its query.
+CLOCK = "rate-micro-batch"
+QUERY_ID = "sql.streaming.queryId"
 
 
 def checked_path(file: str | None) -> str:
@@ -181,8 +185,9 @@ def _reached(path: str) -> bool:
     return True
 
 
-def _entries(path: str, below: str) -> Iterator:
-    """``(path below the root, length, is a folder)`` of what lies in a folder."""
+def _entries(path: str, below: str, wanted=None) -> Iterator:
+    """``(path below the root, length, is a folder, time of change)`` of what
+    lies in a folder, or of its ``wanted`` names; the time is in milliseconds."""
     from pyarrow import fs
 
     system, root = _place(path)
@@ -190,11 +195,20 @@ def _entries(path: str, below: str) -> Iterator:
     if isinstance(system, fs.LocalFileSystem):
         with os.scandir(folder) as there:
             for x in there:
-                is_dir = x.is_dir()
-                yield lead + x.name, 0 if is_dir else x.stat().st_size, is_dir
+                if wanted and not wanted(x.name):
+                    continue
+                if x.is_dir():
+                    yield lead + x.name, 0, True, 0
+                    continue
+                try:
+                    st = x.stat()
+                except FileNotFoundError:  # gone since
+                    continue
+                yield lead + x.name, st.st_size, False, st.st_mtime_ns // 1_000_000
     else:
         for x in system.get_file_info(fs.FileSelector(folder)):
-            yield lead + x.base_name, x.size or 0, x.type == fs.FileType.Directory
+            if not wanted or wanted(x.base_name):
+                yield lead + x.base_name, x.size or 0, x.type == fs.FileType.Directory, (x.mtime_ns or 0) // 1_000_000
 
 
 def _top(path: str, enough: int) -> Iterator:
@@ -258,7 +272,8 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
         import pyarrow as pa
 
         for _ in batches:
-            yield from _batches(_top(root, tasks), ("file", "length", "folder"), (pa.string(), pa.int64(), pa.bool_()))
+            upper = (x[:3] for x in _top(root, tasks))
+            yield from _batches(upper, ("file", "length", "folder"), (pa.string(), pa.int64(), pa.bool_()))
 
     def rest(batches):
         import pyarrow as pa
@@ -266,7 +281,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
         def rows():
             for batch in batches:
                 for x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    for file, length, _ in _files(root, x[0]) if x[2] else (x,):
+                    for file, length, *_ in _files(root, x[0]) if x[2] else (x,):
                         if _shown(file, length):
                             yield file, length
 
@@ -278,9 +293,96 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("file string, length long").parquet(kept)
 
 
+def listing_tasks(spark: SparkSession) -> int:
+    """Tasks that list a folder for a stream."""
+    return max(32, 2 * spark.sparkContext.defaultParallelism)
+
+
+def _landed(path: str, wanted) -> Iterator:
+    """``file, length, modified`` of the files that show below a folder, in the
+    entries of the root that are ``wanted``. A folder that goes away meanwhile
+    has no files."""
+    for x in _entries(path, "", lambda name: not _hidden(name) and wanted(name)):
+        folders = [x]
+        while folders:
+            file, length, is_dir, modified = folders.pop()
+            if not is_dir:
+                yield file, length, modified
+                continue
+            try:
+                folders.extend(_entries(path, file, lambda name: not _hidden(name)))
+            except FileNotFoundError:
+                continue
+
+
+def _kept(path: str, name: str, schema, batches: Callable[[], Iterator]) -> Iterator:
+    """Arrow batches by way of a file below ``path`` that is written once, so
+    that a task that runs again gives the same; files of other names go."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    system, folder = _place(path)
+    system.create_dir(folder, recursive=True)
+    if not system.get_file_info(f"{folder}/{name}").is_file:
+        part = f"{folder}/.{uuid.uuid4().hex}.part"
+        with system.open_output_stream(part, compression=None) as out, pa.ipc.new_stream(out, schema) as to:
+            for batch in batches():
+                to.write_batch(batch)
+        system.move(part, f"{folder}/{name}")
+    with system.open_input_stream(f"{folder}/{name}", compression=None) as f, pa.ipc.open_stream(f) as back:
+        yield from back
+    for x in system.get_file_info(fs.FileSelector(folder)):
+        if x.base_name != name and not x.base_name.endswith(".part"):
+            system.delete_file(x.path)
+
+
+def listed_by_tasks(spark: SparkSession, path: str) -> bool:
+    """Whether :func:`stream_new_files` reaches a folder and its own lists."""
+    return _reached(qualified(spark, path)) and _reached(qualified(spark, work_path(spark, "landed-lists")))
+
+
+def stream_new_files(spark: SparkSession, path: str) -> DataFrame:
+    """A stream of ``file, length, modified`` (milliseconds): every file below
+    ``path`` once, by the trigger that first finds it.
+
+    With each trigger, :func:`listing_tasks` tasks list the folder, each the
+    entries of the root whose names fall to it, and a state store, dealt by
+    name, leaves out what earlier triggers found: neither list lies with the
+    driver, and a trigger takes all that is new. A clock starts the tasks, so
+    there is a batch per trigger, also when nothing has landed.
+
+    What a task lists is kept in the shared folder until its next trigger. A
+    task that has to run again gives the same list: a file that lands in
+    between waits for the next trigger instead of being noted and not read.
+    """
+    root, kept = qualified(spark, path), qualified(spark, work_path(spark, "landed-lists"))
+    tasks = listing_tasks(spark)
+
+    def listed(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        query = TaskContext.get().getLocalProperty(QUERY_ID) or "query"
+        names, types = ("file", "length", "modified"), (pa.string(), pa.int64(), pa.int64())
+        schema = pa.schema(list(zip(names, types, strict=True)))
+        for batch in batches:
+            for n, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                here = n % tasks
+                mine = lambda name, here=here: zlib.crc32(os.fsencode(name)) % tasks == here
+                rows = lambda mine=mine: _batches(_landed(root, mine), names, types)
+                yield from _kept(f"{kept}/{query}/{here}", f"{n}-{at}", schema, rows)
+
+    clock = spark.readStream.format(CLOCK).option("rowsPerBatch", tasks).option("numPartitions", tasks).load()
+    ticks = clock.select("value", F.unix_millis(F.current_timestamp()).alias("at"))
+    found = ticks.mapInArrow(listed, "file string, length long, modified long")
+    return found.dropDuplicates(["file"])
+
+
 def with_content(files: DataFrame, path: str) -> DataFrame:
-    """``files(file, length)`` below ``path`` with their bytes as ``content``."""
+    """``files(file, length)`` below ``path`` with their bytes as ``content``;
+    ``modified`` comes along where the list has it."""
     root = qualified(files.sparkSession, path)
+    names = ["file", "length", *(c for c in files.columns if c == "modified")]
 
     def read(batches):
         import pyarrow as pa
@@ -288,23 +390,24 @@ def with_content(files: DataFrame, path: str) -> DataFrame:
         system, folder = _place(root)
 
         def batch_of(rows):
-            types = (pa.string(), pa.int64(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], ["file", "length", "content"])
+            types = (pa.string(), *[pa.int64()] * (len(names) - 1), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], [*names, "content"])
 
         rows, size = [], 0
         for batch in batches:
-            for file, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                with system.open_input_stream(f"{folder}/{file}", compression=None) as f:
+            for listed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                with system.open_input_stream(f"{folder}/{listed[0]}", compression=None) as f:
                     content = f.read()
                 if rows and (size + len(content) > READ_BYTES or len(rows) >= 1000):
                     done, rows, size = batch_of(rows), [], 0
                     yield done
-                rows.append((file, length, content))
+                rows.append((*listed, content))
                 size += len(content)
         if rows:
             yield batch_of(rows)
 
-    return dealt(files.select("file", "length")).mapInArrow(read, "file string, length long, content binary")
+    fields = ["file string", *(f"{c} long" for c in names[1:]), "content binary"]
+    return dealt(files.select(*names)).mapInArrow(read, ", ".join(fields))
 
 
 def read_whole_files(spark: SparkSession, path: str) -> DataFrame:

@@ -30,7 +30,8 @@ from pyspark.sql.streaming import StreamingQuery
 from sigfleet.functions.labels import default_name
 from sigfleet.functions.ordering import last_of
 from sigfleet.schemas import LANDED_SCHEMA, NO_DATA, READINGS_SCHEMA
-from sigfleet.session import work_path
+from sigfleet.session import setting, work_path
+from sigfleet.sinks.named_files import listed_by_tasks, listing_tasks, qualified, stream_new_files, with_content
 from sigfleet.sources.payloads import landed_rows, readings_from_landed
 from sigfleet.streaming.silence import FORGET_AFTER, labels_stream
 
@@ -53,6 +54,7 @@ def _start(df: DataFrame, sink: str, checkpoint: str, mode: str, trigger: dict,
 SERIES = ["pump_id", "signal", "detailed"]
 # Snapshots of T1 that stay behind the newest one (readers may be on them).
 KEEP_SNAPSHOTS = 3
+SHUFFLE = "spark.sql.shuffle.partitions"
 
 # --- T1: latest value per pump and signal ---------------------------------
 
@@ -63,6 +65,12 @@ def latest_state(readings_stream: DataFrame) -> DataFrame:
     return readings_stream.groupBy(*SERIES).agg(last_of(["time", "pos", "value"]).alias("_l"))
 
 
+def state_tasks(spark: SparkSession) -> int:
+    """Parts of the state of T1: as many as a stream's listing has tasks, or
+    the session's shuffle partitions where these are fewer."""
+    return min(int(spark.conf.get(SHUFFLE)), listing_tasks(spark))
+
+
 def _snapshot_ids(spark: SparkSession, sink: str) -> list[int]:
     """Batch ids of the complete snapshots under ``sink`` (listing only)."""
     jvm = spark._jvm
@@ -108,15 +116,22 @@ def start_latest_monitor(
     readings_stream: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Every trigger (default 30 s) merge the keys whose latest value
-    changed into a new snapshot of the fleet's latest values."""
+    changed into a new snapshot of the fleet's latest values.
+
+    A new checkpoint deals the state over :func:`state_tasks` parts, and so are
+    the snapshots: every part costs some files with every batch, however few
+    keys it has. An existing checkpoint keeps its own number.
+    """
     trigger = trigger or {"processingTime": "30 seconds"}
+    spark = readings_stream.sparkSession
     w = (
         latest_state(readings_stream)
         .writeStream.outputMode("update")
         .foreachBatch(_merge_snapshot(sink))
         .option("checkpointLocation", checkpoint)
     )
-    return w.trigger(**trigger).start()
+    with setting(spark, SHUFFLE, state_tasks(spark)):  # a query keeps the settings of its start
+        return w.trigger(**trigger).start()
 
 
 def read_latest(spark: SparkSession, sink: str) -> DataFrame:
@@ -154,17 +169,35 @@ BINARY_FILES = "path string, modificationTime timestamp, length long, content bi
 
 
 def landed_files_stream(
-    spark: SparkSession, path: str, pump_id: str = "pump_id", signal: str = "signal", files_per_trigger: int = 10_000
+    spark: SparkSession, path: str, pump_id: str = "pump_id", signal: str = "signal", files_per_trigger: int | None = None
 ) -> DataFrame:
     """Readings from a stream of payload files (one body per file, folders
     ``pump_id=…/signal=…/detailed=…``), the stream of ``read_landed_files``.
 
     Files must appear whole (written elsewhere and renamed). One of zero bytes
     gives no reading; it is an outcome of the batch reader alone.
+
+    Tasks list the files and read them (:func:`stream_new_files`): a trigger
+    takes all that is new, and there is a batch per trigger. With
+    ``files_per_trigger``, or where tasks do not reach the store or ``path`` is
+    a pattern, Spark's file source lists them on the driver, which then takes so
+    many at a time. A checkpoint stays with the source that began it.
     """
-    schema = f"{BINARY_FILES}, {pump_id} string, {signal} string, detailed string"
-    files = spark.readStream.format("binaryFile").schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-    return readings_from_landed(landed_rows(files.load(path), pump_id, signal))
+    if files_per_trigger is None and _exists(spark, path) and listed_by_tasks(spark, path):
+        found = with_content(stream_new_files(spark, path), path)
+        files = found.select(
+            F.concat(F.lit(qualified(spark, path) + "/"), "file").alias("path"),
+            F.timestamp_millis("modified").alias("modificationTime"),
+            "length",
+            "content",
+        )
+        key = lambda c: F.nullif(F.regexp_extract("path", f"/{c}=([^/]+)/", 1), F.lit(""))
+        files = files.select("*", *[key(c).alias(c) for c in dict.fromkeys((pump_id, signal, "detailed"))])
+    else:
+        schema = f"{BINARY_FILES}, {pump_id} string, {signal} string, detailed string"
+        read = spark.readStream.format("binaryFile").schema(schema)
+        files = read.option("maxFilesPerTrigger", files_per_trigger or 10_000).load(path)
+    return readings_from_landed(landed_rows(files, pump_id, signal))
 
 
 # --- T1 with labels: series that fall silent --------------------------------
@@ -238,10 +271,16 @@ def stop_when_idle(q: StreamingQuery, seconds: float = 600.0) -> None:
     one without input tells. Stopping falls between two triggers when these lie
     further apart than a batch takes.
     """
+
+    def nothing_new(progress) -> bool:
+        clock = any("RatePerMicroBatch" in s["description"] for s in progress["sources"])
+        files = [o["numRowsUpdated"] for o in progress["stateOperators"] if o["operatorName"] == "dedupe"]
+        return progress["numInputRows"] == 0 or (clock and files != [] and not any(files))  # clock rows are no input
+
     end = time.monotonic() + seconds
     while q.isActive and time.monotonic() < end:
         seen = q.recentProgress
-        if len(seen) > 1 and seen[-1]["numInputRows"] == 0:
+        if len(seen) > 1 and nothing_new(seen[-1]):
             q.stop()
             return
         time.sleep(0.1)

@@ -2,9 +2,12 @@ import datetime as dt
 import pathlib
 import time
 
+from pyspark.sql import functions as F
+
 from sigfleet.operators.latest import latest_per_signal
 from sigfleet.schemas import LANDED_SCHEMA
-from sigfleet.session import work_path
+from sigfleet.session import setting, work_path
+from sigfleet.sinks import named_files
 from sigfleet.sources.payloads import read_landed_files, readings_from_landed
 from sigfleet.streaming import monitors
 from sigfleet.streaming.silence import latest_of_batches
@@ -260,3 +263,100 @@ def test_latest_from_files_equals_batch(spark):
     want = as_set(latest_per_signal(readings_from_landed(landed)).select("pump_id", "signal", "value", "time"))
     assert as_set(monitors.read_latest(spark, sink)) == want
     assert {(p, v) for p, _, v, _ in want} == {("007", 2.0), ("7", 3.0), ("8", 6.0)}
+
+
+def put_payload(src, pump, name, value, day=1):
+    folder = pathlib.Path(src) / f"pump_id={pump}" / "signal=status" / "detailed=false"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(f'[{{"time": "2024-01-{day:02d}T00:00:00Z", "value": {value}, "validity": 0}}]')
+
+
+def test_files_take_one_batch_and_few_parts_whatever_their_number(spark):
+    """10,050 files are one batch (not one per 10,000), over bounded parts of state."""
+    root = work_path(spark, "test-many-files")
+    src, sink, ck = f"{root}/landing", f"{root}/sink", f"{root}/ck"
+    for pump in range(50):
+        for n in range(201):
+            put_payload(src, pump, f"{n}.json", n, 1 + n % 28)
+    tasks = named_files.listing_tasks(spark)
+    with setting(spark, "spark.sql.shuffle.partitions", tasks + 8):
+        q = monitors.start_latest_monitor(monitors.landed_files_stream(spark, src), sink, ck, {"availableNow": True})
+        q.awaitTermination()
+        got = {(r.pump_id, r.value, r.time) for r in monitors.read_latest(spark, sink).collect()}
+    assert len([p for p in q.recentProgress if p["numInputRows"]]) == 1
+    for operator in (0, 1):
+        assert len([d for d in (pathlib.Path(ck) / "state" / str(operator)).iterdir() if d.name.isdigit()]) == tasks
+    assert {(p, t) for p, _, t in got} == {(str(p), dt.datetime(2024, 1, 28)) for p in range(50)}
+    assert {v for _, v, _ in got} <= set(range(27, 201, 28))
+
+
+def test_new_files_come_once(spark):
+    """Each file once over triggers and starts; hidden names and empty folders give none."""
+    root = work_path(spark, "test-new-files")
+    src, out, ck = f"{root}/landing", f"{root}/out", f"{root}/ck"
+    pathlib.Path(f"{src}/pump_id=5/empty").mkdir(parents=True)
+    for pump in range(3):
+        put_payload(src, pump, "a.json", pump)
+    put_payload(src, 0, ".x.part", 9)
+    put_payload(src, "7/_temporary", "b.json", 9)
+    (pathlib.Path(src) / "_SUCCESS").write_text("{}")
+    (pathlib.Path(src) / "top.json").write_text("[]")
+    files = named_files.stream_new_files(spark, src)
+
+    def run():
+        def write(batch, n):
+            batch.withColumn("n", F.lit(n)).write.mode("append").parquet(out)
+
+        files.writeStream.foreachBatch(write).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
+        return sorted((r.n, r.file) for r in spark.read.parquet(out).collect())
+
+    below = "signal=status/detailed=false"
+    first = [(0, f"pump_id={p}/{below}/a.json") for p in range(3)] + [(0, "top.json")]
+    assert run() == first
+    put_payload(src, 0, "a.json", 5)  # written over: known
+    put_payload(src, 0, "c.json", 5)
+    assert run() == [*first, (1, f"pump_id=0/{below}/c.json")]
+    row = spark.read.parquet(out).where("n = 1").first()
+    there = pathlib.Path(src) / row.file
+    assert (row.length, row.modified) == (there.stat().st_size, there.stat().st_mtime_ns // 1_000_000)
+    assert run() == [*first, (1, f"pump_id=0/{below}/c.json")]
+
+
+def test_listing_that_runs_again_gives_the_same(tmp):
+    """A file that lands between two runs of a task waits for the next trigger."""
+    import pyarrow as pa
+
+    schema = pa.schema([("file", pa.string())])
+    names = ["a"]
+    listed = lambda: iter([pa.RecordBatch.from_arrays([pa.array(names)], schema=schema)])
+    run = lambda trigger: [f for b in named_files._kept(f"{tmp}/kept", trigger, schema, listed) for f in b.column("file").to_pylist()]
+    assert run("0") == ["a"]
+    names.append("b")
+    assert run("0") == ["a"]
+    assert run("1") == ["a", "b"]
+    assert [p.name for p in pathlib.Path(f"{tmp}/kept").iterdir()] == ["1"]
+    empty = list(named_files._kept(f"{tmp}/none", "0", schema, lambda: iter(())))
+    assert empty == [] and [p.name for p in pathlib.Path(f"{tmp}/none").iterdir()] == ["0"]
+
+
+def test_limited_files_are_taken_by_the_file_source(spark):
+    """With a limit a trigger takes so many files, as Spark's file source does."""
+    root = work_path(spark, "test-limited-files")
+    src, sink, ck = f"{root}/landing", f"{root}/sink", f"{root}/ck"
+    for pump in range(3):
+        put_payload(src, pump, "a.json", pump)
+    files = monitors.landed_files_stream(spark, src, files_per_trigger=2)
+    q = monitors.start_latest_monitor(files, sink, ck, {"availableNow": True})
+    q.awaitTermination()
+    assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == [2, 1]
+    assert {(r.pump_id, r.value) for r in monitors.read_latest(spark, sink).collect()} == {("0", 0.0), ("1", 1.0), ("2", 2.0)}
+
+
+def test_labels_of_files_stop_when_idle(spark):
+    """A clock drives the listing; its rows do not keep a stream from being idle."""
+    root = work_path(spark, "test-idle-files")
+    src, sink, ck = f"{root}/landing", f"{root}/sink", f"{root}/ck"
+    put_payload(src, 1, "a.json", 4)
+    files = monitors.landed_files_stream(spark, src)
+    monitors.stop_when_idle(monitors.start_label_monitor(files, sink, ck, {"processingTime": "4 seconds"}, 86400.0), 90)
+    assert [(r.pump_id, r.label) for r in monitors.read_labels(spark, sink).collect()] == [("1", "4.0")]
